@@ -33,4 +33,4 @@ def load_all() -> None:
         importlib.import_module(f"stationcast.plans.{mod}")
 
 
-MODULES = ["q_ensemble"]
+MODULES = ["q_ensemble", "q_frames"]

@@ -37,6 +37,17 @@ SQL = {
         FROM lineitem WHERE l_linenumber <= 4 GROUP BY 1, 2, 3""",
     "pred": """SELECT o_orderkey % 3 AS site, CAST(o_orderdate AS DATE) AS date,
         avg(o_totalprice) AS obs FROM orders GROUP BY 1, 2""",
+    "cells": """SELECT c_custkey AS id, c_nationkey AS site, c_mktsegment AS segment,
+        CAST(c_nationkey * 3 - 30 AS DOUBLE) + CASE WHEN c_custkey % 2 = 1 THEN 0.25 ELSE 0.0 END::DOUBLE AS lat,
+        CAST(c_nationkey * 2 - 20 AS DOUBLE) + CASE WHEN c_custkey % 4 >= 2 THEN 0.25 ELSE 0.0 END::DOUBLE AS lon,
+        c_acctbal AS value FROM customer""",
+    "sites": """SELECT n_nationkey AS site, n_name AS name,
+        CAST(n_nationkey * 3 - 30 AS DOUBLE) AS latitude, CAST(n_nationkey * 2 - 20 AS DOUBLE) AS longitude,
+        CASE WHEN n_nationkey % 2 = 0 THEN '19960101T000000Z' END AS start,
+        CASE WHEN n_nationkey % 3 = 0 THEN '20001231T000000Z' END AS "end" FROM nation""",
+    "temps": """SELECT s_suppkey AS id, s_nationkey AS site,
+        CASE WHEN s_nationkey % 2 = 0 THEN s_acctbal / 500 ELSE 273.15 + s_acctbal / 500 END AS t,
+        273.15 + s_acctbal / 500 AS tk, 273.15 + s_acctbal / 500 - s_nationkey / 10 AS tdk FROM supplier""",
 }
 
 
@@ -89,6 +100,40 @@ def pred(spark: SparkSession, d: str) -> DataFrame:
             .agg(F.avg("o_totalprice").alias("obs")))
 
 
+def cells(spark: SparkSession, d: str) -> DataFrame:
+    """Grid cells: four (lat, lon) cells per nation, one row per customer."""
+    c = read_table(spark, d, "customer")
+    k = F.col("c_custkey")
+    return c.select(
+        k.alias("id"), F.col("c_nationkey").alias("site"), F.col("c_mktsegment").alias("segment"),
+        ((F.col("c_nationkey") * 3 - 30).cast("double") + F.when(k % 2 == 1, 0.25).otherwise(0.0)).alias("lat"),
+        ((F.col("c_nationkey") * 2 - 20).cast("double") + F.when(k % 4 >= 2, 0.25).otherwise(0.0)).alias("lon"),
+        F.col("c_acctbal").alias("value"))
+
+
+def sites(spark: SparkSession, d: str) -> DataFrame:
+    """Site dimension with compact-stamp bounds (some missing)."""
+    n = read_table(spark, d, "nation")
+    k = F.col("n_nationkey")
+    return n.select(
+        k.alias("site"), F.col("n_name").alias("name"),
+        (k * 3 - 30).cast("double").alias("latitude"), (k * 2 - 20).cast("double").alias("longitude"),
+        F.when(k % 2 == 0, F.lit("19960101T000000Z")).alias("start"),
+        F.when(k % 3 == 0, F.lit("20001231T000000Z")).alias("end"))
+
+
+def temps(spark: SparkSession, d: str) -> DataFrame:
+    """Temperatures: ``t`` in Celsius for even nations and Kelvin for odd
+    ones; ``tk`` / ``tdk`` temperature and dewpoint in Kelvin."""
+    s = read_table(spark, d, "supplier")
+    base = F.col("s_acctbal") / 500
+    return s.select(
+        F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("site"),
+        F.when(F.col("s_nationkey") % 2 == 0, base).otherwise(F.lit(273.15) + base).alias("t"),
+        (F.lit(273.15) + base).alias("tk"),
+        (F.lit(273.15) + base - F.col("s_nationkey") / 10).alias("tdk"))
+
+
 def r(expr: str, n: int = 6) -> str:
     """SQL twin of ``scalars.rnd``."""
     return f"round(({expr}) * 1e{n}) / 1e{n}"
