@@ -176,10 +176,14 @@ def p13_complete_cases(spark, d):
     return out.select("site", "date", *[rnd(F.col(c.replace('"', '`')), 4).alias(c.strip('"')) for c in _WIDE_COLS])
 
 
-@register("p14_round_cols", S.with_sql("grid") + """
-SELECT site, date, point, round(price * 1e2) / 1e2 AS price, round(qty * 1e3) / 1e3 AS qty FROM grid""")
+@register("p14_round_cols", """
+SELECT l_orderkey, l_linenumber, round(l_extendedprice * (1 - l_discount) * 1e2) / 1e2 AS revenue,
+  round(l_quantity / 7 * 1e3) / 1e3 AS qty FROM lineitem""")
 def p14_round_cols(spark, d):
-    return FR.round_cols(FR.round_cols(S.grid(spark, d), ["price"], 2), ["qty"], 3)
+    li = S.read_table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"),
+        (F.col("l_quantity") / 7).alias("qty"))
+    return FR.round_cols(FR.round_cols(li, ["revenue"], 2), ["qty"], 3)
 
 
 @register("p15_coerce_numeric", """

@@ -46,7 +46,8 @@ def with_line_numbers(lines: DataFrame) -> DataFrame:
     (file, split) counts are a small table whose running sums give each
     split's offset.  No file is ever gathered into one task.
     """
-    df = lines.select("value", F.col("_metadata.file_path").alias("_file"),
+    other = [c for c in lines.columns if c != "value"]  # e.g. partition columns
+    df = lines.select("value", *other, F.col("_metadata.file_path").alias("_file"),
                       F.col("_metadata.file_block_start").alias("_block"),
                       F.monotonically_increasing_id().alias("_id"))
     blocks = df.groupBy("_file", "_block").agg(F.min("_id").alias("_min"), F.count(F.lit(1)).alias("_n"))
@@ -55,7 +56,7 @@ def with_line_numbers(lines: DataFrame) -> DataFrame:
                            (F.sum("_n").over(w) - F.col("_n")).alias("_off"),
                            F.sum("_n").over(Window.partitionBy("_file")).alias("n_lines"))
     return (df.join(blocks, ["_file", "_block"])
-            .select("value", F.col("_file").alias("file"),
+            .select("value", *other, F.col("_file").alias("file"),
                     (F.col("_off") + F.col("_id") - F.col("_min") + 1).alias("line"), "n_lines"))
 
 
@@ -65,8 +66,9 @@ def read_trimmed_csv(spark: SparkSession, path: str, head: int, tail: int,
     ``tail`` lines of every file, parse the rest with ``schema`` (S2)."""
     lines = with_line_numbers(spark.read.text(path))
     keep = lines.filter((F.col("line") > head) & (F.col("line") <= F.col("n_lines") - tail))
-    parsed = keep.select(F.from_csv("value", schema, {"sep": sep}).alias("r"), "file", "line")
-    return parsed.select("r.*", "file", "line")
+    other = [c for c in keep.columns if c not in ("value", "n_lines")]
+    parsed = keep.select(F.from_csv("value", schema, {"sep": sep}).alias("r"), *other)
+    return parsed.select("r.*", *other)
 
 
 # ------------------------------------------------------------------ S3
@@ -192,18 +194,23 @@ def cube_to_rows(df: DataFrame, array_col: str, dims: Sequence[str],
 
 
 # ------------------------------------------------------------------ S9
-def read_keyed(spark: SparkSession, path_glob: str, pattern: str, names: Sequence[str],
-               schema: T.StructType | str | None = None, fmt: str = "csv") -> DataFrame:
+def read_keyed(spark: SparkSession, root: str, pattern: str, names: Sequence[str],
+               schema: T.StructType | str | None = None, fmt: str = "csv",
+               file_glob: str = "*.csv", path_col: str = "file_name") -> DataFrame:
     """Multi-file scan with keys parsed from the file name.
 
-    ``pattern`` is a regular expression with one group per entry of
-    ``names``; files whose name does not match are skipped.
+    Every file under ``root`` matching ``file_glob`` is read (no partition
+    inference); ``pattern`` is a regular expression with one group per entry
+    of ``names``, applied to the file name (or full path with
+    ``path_col='file_path'``); files that do not match are skipped.
     """
-    r = spark.read
+    r = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", file_glob)
     if schema is not None:
         r = r.schema(schema)
-    df = r.option("header", True).format(fmt).load(path_glob) if fmt == "csv" else r.format(fmt).load(path_glob)
-    fname = F.col("_metadata.file_name")
+    if fmt == "csv":
+        r = r.option("header", True)
+    df = r.format(fmt).load(root)
+    fname = F.col(f"_metadata.{path_col}")
     df = df.withColumn("_fname", fname).filter(F.col("_fname").rlike(pattern))
     return df.withColumns({n: F.regexp_extract("_fname", pattern, i + 1) for i, n in enumerate(names)}).drop("_fname")
 
