@@ -33,4 +33,4 @@ def load_all() -> None:
         importlib.import_module(f"stationcast.plans.{mod}")
 
 
-MODULES = ["q_ensemble", "q_frames", "q_reshape", "q_sources"]
+MODULES = ["q_ensemble", "q_frames", "q_reshape", "q_sources", "q_windows", "q_joins"]
