@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stationcast.operators.common import cut_lineage
+
 
 def global_positions(df: DataFrame, keys: Sequence[str], value: str,
                      num_partitions: int | None = None) -> DataFrame:
@@ -29,10 +31,13 @@ def global_positions(df: DataFrame, keys: Sequence[str], value: str,
     spark = df.sparkSession
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     d = df.filter(F.col(value).isNotNull())
-    d = (d.repartitionByRange(n_parts, *keys, value)
-         .sortWithinPartitions(*keys, value)
-         .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_id", F.monotonically_increasing_id()))
+    # Range bounds come from a sample and ids from row order, both of which
+    # may differ between two evaluations of the input: the tagged frame is
+    # written once to the checkpoint folder and every branch reads that copy.
+    d = cut_lineage(d.repartitionByRange(n_parts, *keys, value)
+                    .sortWithinPartitions(*keys, value)
+                    .withColumn("_pid", F.spark_partition_id())
+                    .withColumn("_id", F.monotonically_increasing_id()))
     # local index within (partition, key) and within (partition, key, value)
     part = d.groupBy("_pid", *keys).agg(F.min("_id").alias("_kmin"), F.count(F.lit(1)).alias("_kn"))
     wk = Window.partitionBy(*keys).orderBy("_pid")

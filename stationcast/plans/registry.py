@@ -33,4 +33,5 @@ def load_all() -> None:
         importlib.import_module(f"stationcast.plans.{mod}")
 
 
-MODULES = ["q_ensemble", "q_frames", "q_reshape", "q_sources", "q_windows", "q_joins"]
+MODULES = ["q_ensemble", "q_frames", "q_reshape", "q_sources", "q_windows", "q_joins",
+           "q_climatology", "q_quality", "q_correction"]
