@@ -23,15 +23,22 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def rnd(col, n: int = 6) -> Column:
-    """Round to ``n`` decimals as round(x * 10^n) / 10^n.
+# Fixed value: offset of the output quantisation grid (sqrt(2) - 1).
+GRID_OFFSET = 0.4142135623730951
+
 
-    Used on catalogue outputs: the scaled value is rounded half away from
-    zero, which DuckDB's ``round`` does identically, so equal doubles give
-    equal results even on decimal ties.
+def rnd(col, n: int = 6) -> Column:
+    """Quantise to 10^-n as round(x * 10^n + c) / 10^n with c = sqrt(2) - 1.
+
+    Used on catalogue outputs that are compared with another engine.  Two
+    engines may sum in different orders and differ by an ulp; on a grid
+    whose boundaries are decimal ties, a value that is exactly a tie
+    (common for means of cent values) would then round differently.  The
+    offset moves every boundary off short decimals, while any value with at
+    most ``n`` decimals is returned unchanged.  ``standins.r`` is the SQL twin.
     """
     k = float(10 ** n)
-    return F.round(_c(col) * F.lit(k)) / F.lit(k)
+    return F.round(_c(col) * F.lit(k) + F.lit(GRID_OFFSET)) / F.lit(k)
 
 
 # ---------------------------------------------------------------- P4 units

@@ -29,15 +29,15 @@ def risk_frame(spark, d):
 SELECT site, CAST(time AS DATE) AS date,
   coalesce(max(WG_PT1H_MAX), max(WG_PT10M_MAX)) AS WG,
   min(TA_PT12H_MIN) AS TN, max(TA_PT12H_MAX) AS TX,
-  round(coalesce(sum(PRA_PT12H_ACC), 0.0) * 1e6) / 1e6 AS TP,
-  round(avg(RH_PT1H_AVG) * 1e6) / 1e6 AS RH
+  """ + S.r("coalesce(sum(PRA_PT12H_ACC), 0.0)") + """ AS TP,
+  """ + S.r("avg(RH_PT1H_AVG)") + """ AS RH
 FROM subdaily GROUP BY 1, 2""")
 def a1_daily_agg(spark, d):
     out = C.daily_agg(S.subdaily(spark, d), empty_sum="zero")
     return out.withColumns({"TP": rnd("TP", 6), "RH": rnd("RH", 6)})
 
 
-@register("a13_exceedance", _EXC_SQL + "SELECT site, date, round(pct * 1e6) / 1e6 AS pct FROM exc")
+@register("a13_exceedance", _EXC_SQL + "SELECT site, date, " + S.r("pct") + " AS pct FROM exc")
 def a13_exceedance(spark, d):
     return risk_frame(spark, d).withColumn("pct", rnd("pct", 6))
 
@@ -52,13 +52,13 @@ def a14_monthly_risk(spark, d):
 
 
 @register("a15_risk_days", _EXC_SQL + """
-SELECT site, date, round(pct * 1e6) / 1e6 AS pct FROM exc WHERE pct > 50.0 ORDER BY site, date""")
+SELECT site, date, """ + S.r("pct") + """ AS pct FROM exc WHERE pct > 50.0 ORDER BY site, date""")
 def a15_risk_days(spark, d):
     return E.risk_days(risk_frame(spark, d), PROB).withColumn("pct", rnd("pct", 6))
 
 
 @register("p18_ensemble_mean", S.with_sql("ens") + """
-SELECT site, date, round(avg(value) * 1e9) / 1e9 AS ensemble_mean FROM ens GROUP BY 1, 2""")
+SELECT site, date, """ + S.r("avg(value)", 9) + """ AS ensemble_mean FROM ens GROUP BY 1, 2""")
 def p18_ensemble_mean(spark, d):
     return E.ensemble_mean(S.ens(spark, d)).withColumn("ensemble_mean", rnd("ensemble_mean", 9))
 
@@ -66,7 +66,7 @@ def p18_ensemble_mean(spark, d):
 @register("p26_member_band", S.with_sql("ens") + """
 SELECT CASE WHEN member = 0 THEN '0' ELSE
   CAST((member - 1) // 10 * 10 + 1 AS VARCHAR) || '-' || CAST((member - 1) // 10 * 10 + 10 AS VARCHAR) END AS band,
-  count(DISTINCT member) AS members, round(avg(value) * 1e9) / 1e9 AS mean_value
+  count(DISTINCT member) AS members, """ + S.r("avg(value)", 9) + """ AS mean_value
 FROM ens GROUP BY 1""")
 def p26_member_band(spark, d):
     e = S.ens(spark, d).withColumn("band", member_band("member"))
@@ -78,7 +78,7 @@ _DAYS = [f"2024-01-{i:02d}" for i in range(1, 31)]
 
 
 @register("r6_member_matrix", S.with_sql("ens") + "SELECT site, member, " + ", ".join(
-    f"round(avg(CASE WHEN date = DATE '{x}' THEN value END) * 1e6) / 1e6 AS \"{x}\"" for x in _DAYS)
+    S.r(f"avg(CASE WHEN date = DATE '{x}' THEN value END)") + f" AS \"{x}\"" for x in _DAYS)
     + " FROM ens GROUP BY 1, 2")
 def r6_member_matrix(spark, d):
     e = S.ens(spark, d).withColumn("date", F.date_format("date", "yyyy-MM-dd"))
@@ -92,7 +92,7 @@ em AS (SELECT site, avg(m) AS ens_mean FROM mm GROUP BY 1),
 obs AS (SELECT user_id % 4 AS site, avg(value) AS obs_mean FROM events WHERE event_type = 'error' GROUP BY 1),
 f AS (SELECT em.site, CASE WHEN ens_mean = 0 THEN 1.0 ELSE obs_mean / ens_mean END AS factor
       FROM em LEFT JOIN obs USING (site))
-SELECT e.site, e.member, e.date, round(e.value * f.factor * 1e6) / 1e6 AS corrected, round(f.factor * 1e9) / 1e9 AS factor
+SELECT e.site, e.member, e.date, """ + S.r("e.value * f.factor") + """ AS corrected, """ + S.r("f.factor", 9) + """ AS factor
 FROM ens e LEFT JOIN f USING (site)""")
 def a19_scale_bias(spark, d):
     ev = S.read_table(spark, d, "events")
@@ -110,8 +110,8 @@ st AS (SELECT site, member, count(x0) AS n, stddev_samp(x0) * pow(count(x0), -0.
 g AS (SELECT site, member, n, h, CAST(i AS INTEGER) AS grid_idx,
              lo - 3.0 * h + i * ((hi - lo + 6.0 * h) / 49) AS x
       FROM st, range(0, 50) t(i) WHERE n > 1 AND h > 0)
-SELECT g.site, g.member, g.grid_idx, round(g.x * 1e6) / 1e6 AS x,
-       round(sum(exp(-0.5 * ((g.x - v.x0) / g.h) * ((g.x - v.x0) / g.h))) / (g.n * g.h * sqrt(2 * pi())) * 1e9) / 1e9 AS density
+SELECT g.site, g.member, g.grid_idx, """ + S.r("g.x") + """ AS x,
+       """ + S.r("sum(exp(-0.5 * ((g.x - v.x0) / g.h) * ((g.x - v.x0) / g.h))) / (g.n * g.h * sqrt(2 * pi()))", 9) + """ AS density
 FROM v JOIN g USING (site, member) GROUP BY g.site, g.member, g.grid_idx, g.x, g.n, g.h""")
 def a21_kde(spark, d):
     k = E.kde(S.ens(spark, d), ["site", "member"], gridsize=50)

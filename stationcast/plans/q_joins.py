@@ -45,10 +45,9 @@ def _status_daily(spark, d, st):
     return o.groupBy(F.to_date("o_orderdate").alias("date")).agg(rnd(F.avg("o_totalprice"), 4).alias(st))
 
 
-_STATUS_SQL = """WITH f AS (SELECT CAST(o_orderdate AS DATE) AS date, {r}(avg(o_totalprice) * 1e4) / 1e4 AS "F" FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
-o AS (SELECT CAST(o_orderdate AS DATE) AS date, {r}(avg(o_totalprice) * 1e4) / 1e4 AS "O" FROM orders WHERE o_orderstatus = 'O' GROUP BY 1),
-p AS (SELECT CAST(o_orderdate AS DATE) AS date, {r}(avg(o_totalprice) * 1e4) / 1e4 AS "P" FROM orders WHERE o_orderstatus = 'P' GROUP BY 1)
-""".replace("{r}", "round")
+_STATUS_SQL = "WITH " + ",\n".join(
+    f"{s.lower()} AS (SELECT CAST(o_orderdate AS DATE) AS date, {S.r('avg(o_totalprice)', 4)} AS \"{s}\" "
+    f"FROM orders WHERE o_orderstatus = '{s}' GROUP BY 1)" for s in ("F", "O", "P")) + "\n"
 
 
 @register("j3_outer_merge", _STATUS_SQL + """

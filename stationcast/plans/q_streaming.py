@@ -47,4 +47,4 @@ def a13_exceedance_stream(spark, d):
 
 # The streaming results must equal the batch queries' oracle.
 ORACLE["a1_daily_agg_stream"] = ORACLE["a1_daily_agg"]
-ORACLE["a13_exceedance_stream"] = _EXC_SQL + "SELECT site, date, round(pct * 1e6) / 1e6 AS pct FROM exc"
+ORACLE["a13_exceedance_stream"] = _EXC_SQL + "SELECT site, date, " + S.r("pct") + " AS pct FROM exc"

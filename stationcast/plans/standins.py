@@ -141,7 +141,7 @@ def temps(spark: SparkSession, d: str) -> DataFrame:
 
 def r(expr: str, n: int = 6) -> str:
     """SQL twin of ``scalars.rnd``."""
-    return f"round(({expr}) * 1e{n}) / 1e{n}"
+    return f"round(({expr}) * 1e{n} + 0.4142135623730951) / 1e{n}"
 
 
 def with_sql(*names: str) -> str:
