@@ -146,8 +146,19 @@ class QuantileGBT:
         return model
 
     def _advance(self, model: QuantileGBTModel, df: DataFrame, tree: _Tree, i: int, r: int) -> DataFrame:
+        """Add one tree to the running prediction ``_f``.
+
+        The new frame is persisted and materialised before the previous one
+        is released, so later rounds never recompute earlier trees; every
+        ``checkpoint_every`` rounds it is written to the checkpoint folder
+        instead, which also survives lost executors.
+        """
         out = model._tree_value(df.withColumn("_score", F.col("_f")), tree, i)
         out = out.withColumn("_f", F.col("_score")).drop("_score")
         if self.checkpoint_every and (r + 1) % self.checkpoint_every == 0:
             out = cut_lineage(out)
+        else:
+            out = out.persist()
+            out.count()
+        df.unpersist()
         return out

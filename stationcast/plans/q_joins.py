@@ -24,9 +24,8 @@ _WCOLS = [f"{v}-{i}" for v in ("price", "qty") for i in range(1, 5)]
           + ", ".join(f"{S.r('w.' + _q(c))} AS {_q(c)}" for c in _WCOLS)
           + " FROM pred p LEFT JOIN wide w USING (site, date)")
 def j1_assemble(spark, d):
-    g = S.grid(spark, d)
-    long = (g.select("site", "date", F.lit("price").alias("variable"), "point", F.col("price").alias("value"))
-            .unionByName(g.select("site", "date", F.lit("qty").alias("variable"), "point", F.col("qty").alias("value"))))
+    # one aggregate, melted by an Expand: a single scan feeds both variables
+    long = S.grid(spark, d).unpivot(["site", "date", "point"], ["price", "qty"], "variable", "value")
     out = J.assemble(S.pred(spark, d), long, ["price", "qty"])
     return out.select("site", "date", rnd("obs", 4).alias("obs"), *[rnd(F.col(f"`{c}`")).alias(c) for c in _WCOLS])
 

@@ -34,4 +34,5 @@ def load_all() -> None:
 
 
 MODULES = ["q_ensemble", "q_frames", "q_reshape", "q_sources", "q_windows", "q_joins",
-           "q_climatology", "q_quality", "q_correction", "q_calendar", "q_models", "q_streaming"]
+           "q_climatology", "q_quality", "q_correction", "q_calendar", "q_models", "q_streaming",
+           "q_flows"]
