@@ -110,6 +110,7 @@ class QuantileGBT:
         if valid is not None:
             va = cut_lineage(valid.select(*cols).na.drop("any").withColumn("_f", F.lit(base)))
         best, best_round, since = float("inf"), 0, 0
+        stale: list[DataFrame] = []
         y = F.col(self.label)
         for r in range(self.n_estimators):
             k = max(1, round(self.colsample * len(self.features)))
@@ -128,10 +129,17 @@ class QuantileGBT:
                       .agg(F.percentile_approx(y - F.col("_f"), self.alpha, 10000).cast("double")).collect()}
             tree = _Tree(tm, feats, leaves)
             model.trees.append(tree)
+            # the previous frame is released only after an action has read
+            # the new one from it (next round's fit / this round's MAE)
+            for old in stale:
+                old.unpersist()
+            stale = [tr]
             tr = self._advance(model, tr, tree, len(model.trees) - 1, r)
             if va is not None:
+                old_va = va
                 va = self._advance(model, va, tree, len(model.trees) - 1, r)
                 mae = va.agg(F.avg(F.abs(y - F.col("_f")))).first()[0]
+                old_va.unpersist()
                 model.history.append((r, float(mae)))
                 if mae < best - 1e-12:
                     best, best_round, since = mae, r, 0
@@ -156,9 +164,5 @@ class QuantileGBT:
         out = model._tree_value(df.withColumn("_score", F.col("_f")), tree, i)
         out = out.withColumn("_f", F.col("_score")).drop("_score")
         if self.checkpoint_every and (r + 1) % self.checkpoint_every == 0:
-            out = cut_lineage(out)
-        else:
-            out = out.persist()
-            out.count()
-        df.unpersist()
-        return out
+            return cut_lineage(out)
+        return out.persist()

@@ -60,8 +60,15 @@ def daily_agg(df: DataFrame, mapping: Mapping[str, str] | None = None,
 
 def daily_wind(df: DataFrame, keys: Sequence[str], time: str = "time",
                u: str = "u", v: str = "v") -> DataFrame:
-    """6-hourly -> daily mean of u and v, then wind speed of the means (A2)."""
-    return (df.groupBy(*keys, F.to_date(F.col(time)).alias("date"))
+    """6-hourly -> daily mean of u and v, then wind speed of the means (A2).
+
+    Rows with a null key (time or coordinates) are dropped, as a pandas
+    group-by does (D7); Spark would otherwise keep a null group.
+    """
+    notnull = F.col(time).isNotNull()
+    for k in keys:
+        notnull = notnull & F.col(k).isNotNull()
+    return (df.filter(notnull).groupBy(*keys, F.to_date(F.col(time)).alias("date"))
             .agg(F.avg(u).alias(u), F.avg(v).alias(v))
             .withColumn("wind_speed", wind_speed(u, v)))
 

@@ -300,3 +300,41 @@ def test_kde_integrates_to_one(spark):
     dens = sorted((r.x, r.density) for r in E.kde(df, ["k"], gridsize=400).collect())
     step = dens[1][0] - dens[0][0]
     assert sum(d for _, d in dens) * step == pytest.approx(1.0, abs=0.01)
+
+
+# ------------------------------------------------------------ D2 / D6 / D7
+def test_ensemble_mean_skips_nulls(spark):
+    df = spark.createDataFrame([("s", D(2020, 1, 1), 1, 2.0), ("s", D(2020, 1, 1), 2, None),
+                                ("s", D(2020, 1, 1), 3, 4.0)], "site string, date date, member int, value double")
+    assert E.ensemble_mean(df).first().ensemble_mean == 3.0
+
+
+def test_shift_rows_follows_order_not_arrival(spark):
+    df = spark.createDataFrame([("s", D(2020, 1, 3), 3.0), ("s", D(2020, 1, 1), 1.0), ("s", D(2020, 1, 2), 2.0)],
+                               "site string, date date, v double")
+    assert rows(W.shift_rows(df, ["v"]), "date", "v_lag") == [
+        (D(2020, 1, 1), None), (D(2020, 1, 2), 1.0), (D(2020, 1, 3), 2.0)]
+
+
+def test_daily_wind_drops_null_keys_and_averages_first(spark):
+    T = dt.datetime
+    df = spark.createDataFrame([(T(2020, 1, 1, 0), 60.0, 3.0, 0.0), (T(2020, 1, 1, 6), 60.0, -3.0, 4.0),
+                                (T(2020, 1, 1, 12), None, 100.0, 100.0)], "time timestamp, lat double, u double, v double")
+    out = C.daily_wind(df, ["lat"]).collect()
+    assert len(out) == 1
+    assert out[0].u == 0.0 and out[0].v == 2.0 and out[0].wind_speed == 2.0  # speed of the mean vector
+
+
+# ------------------------------------------------------------ M11 / M12 invariant
+def test_rollups_add_up(spark):
+    from stationcast.ml import explain as EX
+    attr = spark.createDataFrame([(1, "t2-1", 1.0, 0.5), (1, "t2-2", 2.0, -0.25), (2, "t2-1", 3.0, 0.1),
+                                  (2, "msl", 4.0, 0.2), (1, "msl", 5.0, -0.4)],
+                                 "row_id int, feature string, value double, attribution double")
+    per_point, per_row = EX.rollup_by_point(attr)
+    by_var = {r.variable: r.mean_abs for r in EX.rollup_by_variable(attr).collect()}
+    pts = sum(r.mean_abs for r in per_point.collect())
+    other = attr.filter("feature = 'msl'").agg(F.avg(F.abs("attribution"))).first()[0]
+    assert pts + other == pytest.approx(sum(by_var.values()))
+    assert by_var["t2"] == pytest.approx(0.3 + 0.25)
+    assert rows(per_row, "row_id", "point", "attribution") == [(1, "1", 0.5), (1, "2", -0.25), (2, "1", 0.1)]
