@@ -16,6 +16,27 @@ from pyspark.sql import functions as F
 _AGG = {"max": F.max, "min": F.min, "sum": F.sum, "mean": F.avg, "avg": F.avg}
 
 
+def utc_instant(df: DataFrame, col: str):
+    """The column as a TIMESTAMP instant, reading wall-clock types as UTC.
+
+    ``timestamp_ntz`` and ``date`` values are zone-less UTC in the data; a
+    plain cast would read them in the session time zone.
+    """
+    t = F.col(col)
+    kind = dict(df.dtypes)[col]
+    if kind == "timestamp_ntz":
+        return F.make_timestamp(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t),
+                                F.date_part(F.lit("SECOND"), t), F.lit("UTC"))
+    if kind == "date":
+        return F.make_timestamp(F.year(t), F.month(t), F.dayofmonth(t), F.lit(0), F.lit(0), F.lit(0), F.lit("UTC"))
+    return t
+
+
+def utc_date(ts):
+    """UTC calendar day of a TIMESTAMP instant."""
+    return F.date_from_unix_date(F.floor(F.unix_micros(ts) / F.lit(86_400_000_000)).cast("int"))
+
+
 # ------------------------------------------------------------------ W1/W2
 def shift_days(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ("site",),
                date: str = "date", n: int = 1, suffix: str = "_lag") -> DataFrame:
@@ -67,12 +88,22 @@ def trailing_agg_sampled(df: DataFrame, value: str, fn: str, keys: Sequence[str]
 
 def trailing_agg(df: DataFrame, value: str, fn: str, keys: Sequence[str] = ("site",),
                  time: str = "time", hours: int = 24, name: str | None = None) -> DataFrame:
-    """Trailing (t - hours, t] aggregate at every row: a RANGE frame on
-    ``timestamp_ntz`` (one sorted partition per key)."""
-    micros = F.unix_micros(F.col(time).cast("timestamp"))
-    w = (Window.partitionBy(*keys).orderBy(micros)
-         .rangeBetween(-(hours * 3600 * 1_000_000) + 1, 0))
-    return df.withColumn(name or f"{fn}_{hours}h", _AGG[fn](value).over(w))
+    """Trailing (t - hours, t] aggregate at every row (W3, unsampled).
+
+    A RANGE frame, but never over a whole series: time is cut into buckets
+    of ``hours``; every row is also copied into the next bucket, so the
+    window partitioned by (keys, bucket) sees the previous bucket's rows it
+    needs and holds at most two buckets of one key.  Only the originals are
+    returned.
+    """
+    span = hours * 3600 * 1_000_000
+    micros = F.unix_micros(utc_instant(df, time))
+    d = df.withColumns({"_us": micros, "_b": F.floor(micros / F.lit(span))})
+    both = (d.withColumn("_own", F.lit(True))
+            .unionByName(d.withColumns({"_b": F.col("_b") + 1, "_own": F.lit(False)})))
+    w = Window.partitionBy(*keys, "_b").orderBy("_us").rangeBetween(-span + 1, 0)
+    out = both.withColumn(name or f"{fn}_{hours}h", _AGG[fn](value).over(w))
+    return out.filter("_own").drop("_us", "_b", "_own")
 
 
 # ------------------------------------------------------------------ W4

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationcast.operators.climatology import _AGG, DEFAULT_MAPPING, DEFAULT_RULES
+from stationcast.operators.windows import utc_date, utc_instant
 from stationcast.session import checkpoint_dir
 
 
@@ -25,7 +26,7 @@ def daily_agg_stream(stream: DataFrame, mapping: Mapping[str, str] | None = None
     """A1 on a streaming frame: per key and UTC day, one rule per target."""
     mapping = dict(mapping or DEFAULT_MAPPING)
     rules = dict(rules or DEFAULT_RULES)
-    s = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, watermark)
+    s = stream.withColumn(time, utc_instant(stream, time)).withWatermark(time, watermark)
     targets: dict[str, list[str]] = {}
     for src in [c for c in mapping if c in s.columns]:
         targets.setdefault(mapping[src], []).append(src)
@@ -37,7 +38,7 @@ def daily_agg_stream(stream: DataFrame, mapping: Mapping[str, str] | None = None
             e = F.coalesce(e, F.lit(0.0))
         aggs.append(e.alias(tgt))
     g = s.groupBy(*keys, F.window(F.col(time), "1 day").alias("_w")).agg(*aggs)
-    return g.select(*keys, F.to_date(F.col("_w.start")).alias("date"), *targets.keys())
+    return g.select(*keys, utc_date(F.col("_w.start")).alias("date"), *targets.keys())
 
 
 def exceedance_stream(stream: DataFrame, members: DataFrame, threshold: float, op: str = "above",
@@ -49,10 +50,10 @@ def exceedance_stream(stream: DataFrame, members: DataFrame, threshold: float, o
     key, joined stream-static before the aggregation.
     """
     cond = F.col(value) > threshold if op == "above" else F.col(value) < threshold
-    s = (stream.withColumn("_t", F.col(time).cast("timestamp")).withWatermark("_t", watermark)
+    s = (stream.withColumn("_t", utc_instant(stream, time)).withWatermark("_t", watermark)
          .join(members, list(keys)))
     g = s.groupBy(*keys, F.window("_t", "1 day").alias("_w"), "n_members").agg(F.count_if(cond).alias("_hits"))
-    return g.select(*keys, F.to_date(F.col("_w.start")).alias(time),
+    return g.select(*keys, utc_date(F.col("_w.start")).alias(time),
                     (F.lit(100.0) * F.col("_hits") / F.col("n_members")).alias("pct"))
 
 
