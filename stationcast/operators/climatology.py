@@ -14,7 +14,14 @@ from pyspark.sql import functions as F
 
 from stationcast.functions.scalars import wind_speed
 
-_AGG = {"max": F.max, "min": F.min, "sum": F.sum, "mean": F.avg, "avg": F.avg}
+def circular_mean(c):
+    """Mean direction in degrees [0, 360) of angles in degrees (Q9 option)."""
+    r = F.radians(F.col(c) if isinstance(c, str) else c)
+    return F.pmod(F.degrees(F.atan2(F.avg(F.sin(r)), F.avg(F.cos(r)))), F.lit(360.0))
+
+
+_AGG = {"max": F.max, "min": F.min, "sum": F.sum, "mean": F.avg, "avg": F.avg,
+        "circular_mean": circular_mean}
 
 # Default source -> target names and rules for station data.
 DEFAULT_MAPPING = {
@@ -156,11 +163,14 @@ def delta_change(df: DataFrame, var_sum: str, pred: str, cutoff: str,
     d = df.select(*keys, date, var_sum, pred).withColumns({
         "year": F.year(date), "month": F.month(date), "_past": F.col(date) <= cut})
     ym = (d.groupBy(*keys, "year", "month", "_past")
-          .agg(F.count(F.lit(1)).alias("_days"),
+          .agg(F.count(F.lit(1)).alias("_days"), F.count(pred).alias("_pn"),
                *[_AGG[s](var_sum).alias(f"_v_{s}") for s in stats],
                *[_AGG[s](pred).alias(f"_p_{s}") for s in stats]))
-    clim = (d.filter("_past").groupBy(*keys, "month")
-            .agg(*[_AGG[s](pred).alias(f"_c_{s}") for s in stats]))
+    # month climatology of the past from the (small) year-month table, not
+    # from another pass over the daily rows
+    clim = (ym.filter("_past").groupBy(*keys, "month")
+            .agg((F.sum(F.col("_p_mean") * F.col("_pn")) / F.sum(F.when(F.col("_pn") > 0, F.col("_pn")))).alias("_c_mean"),
+                 F.min("_p_min").alias("_c_min"), F.max("_p_max").alias("_c_max")))
     # mean over past *days* of the year-month diff (day-weighted)
     past_diff = (ym.filter("_past").groupBy(*keys, "month")
                  .agg(*[(F.sum((F.col(f"_v_{s}") - F.col(f"_p_{s}")) * F.col("_days"))

@@ -73,6 +73,15 @@ def test_daily_agg_sum_modes_and_two_sources(spark):
     assert n[D(2020, 1, 1)] is None           # min_count=1
 
 
+def test_daily_agg_circular_mean_option(spark):
+    df = spark.createDataFrame([("s", dt.datetime(2020, 1, 1, 6), 350.0), ("s", dt.datetime(2020, 1, 1, 18), 10.0)],
+                               "site string, time timestamp, WD_PT1H_AVG double")
+    arith = C.daily_agg(df).first().WD
+    circ = C.daily_agg(df, rules={**C.DEFAULT_RULES, "WD": "circular_mean"}).first().WD
+    assert arith == 180.0                              # reference parity (Q9)
+    assert min(circ, 360.0 - circ) == pytest.approx(0.0, abs=1e-9)
+
+
 # ------------------------------------------------------------ D11 / S5
 def test_packed_series_unequal_lengths_dropped(spark):
     df = spark.createDataFrame([("t1", "[60.0 60.25]", "[1.0 2.0]", "[ 3.5  4.5 ]"),
