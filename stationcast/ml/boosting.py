@@ -5,15 +5,23 @@ Spark's ``GBTRegressor`` offers squared and absolute loss only.  Quantile
 ``DecisionTreeRegressor`` to the negative pinball gradient (alpha where the
 residual is positive, alpha - 1 elsewhere) on a row and column sample, then
 replaces each leaf's value by the alpha-quantile of the residuals that fall
-in it, as quantile boosting does.  Leaf values are at most 2^depth numbers
-per tree, so they travel to the driver and back into the plan as a literal
-map.  The running prediction is checkpointed every few rounds to cut
-lineage.
+in it, as quantile boosting does.
+
+Each fitted tree is compiled into a Catalyst expression - nested
+``when(feature <= threshold, left).otherwise(right)`` read from the tree's
+description, leaves numbered in preorder as Spark's ``leafCol`` does - so
+leaf assignment and scoring are plain projections inside whole-stage
+codegen: no vector assembly or model ``transform`` per tree, and a
+1000-tree model scores in one pass.  Leaf values are at most 2^depth
+numbers per tree; they travel to the driver and back as literals.  The
+running prediction is persisted per round and checkpointed every few rounds.
 """
 
 from __future__ import annotations
 
+import itertools
 import random
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -24,6 +32,10 @@ from pyspark.sql import functions as F
 
 from stationcast.operators.common import cut_lineage
 
+_IF = re.compile(r"^If \(feature (\d+) <= (\S+)\)$")
+_PRED = re.compile(r"^Predict: (\S+)$")
+TREES_PER_PROJECTION = 50
+
 
 def pinball(y: Column, q: Column, alpha: float) -> Column:
     """Pinball (quantile) loss of prediction ``q`` for target ``y``."""
@@ -31,11 +43,61 @@ def pinball(y: Column, q: Column, alpha: float) -> Column:
     return F.when(r >= 0, F.lit(alpha) * r).otherwise(F.lit(alpha - 1.0) * r)
 
 
+def parse_tree(model: DecisionTreeRegressionModel):
+    """Tree structure from the model description: ('leaf',) or
+    ('split', feature_index, threshold, left, right).  Continuous splits
+    only (all features here are numeric)."""
+    lines = [s.strip() for s in model.toDebugString.splitlines()
+             if s.strip().startswith(("If", "Else", "Predict"))]
+    pos = 0
+
+    def node():
+        nonlocal pos
+        line = lines[pos]
+        pos += 1
+        if _PRED.match(line):
+            return ("leaf",)
+        m = _IF.match(line)
+        if not m:
+            raise ValueError(f"unsupported split: {line}")
+        feat, thr = int(m.group(1)), float(m.group(2))
+        left = node()
+        pos += 1  # the matching Else line
+        right = node()
+        return ("split", feat, thr, left, right)
+
+    return node()
+
+
+def tree_expr(struct, features: Sequence[str], leaf_value) -> Column:
+    """Compile a parsed tree into a column; ``leaf_value(i)`` gives the
+    value of the i-th leaf in preorder.  A null feature follows the right
+    branch, as NaN does in Spark ML."""
+    counter = itertools.count()
+
+    def build(n):
+        if n[0] == "leaf":
+            return F.lit(float(leaf_value(next(counter))))
+        _, f, t, left, right = n
+        lc = build(left)
+        rc = build(right)
+        return F.when(F.col(f"`{features[f]}`") <= F.lit(t), lc).otherwise(rc)
+
+    return build(struct)
+
+
 @dataclass
 class _Tree:
     model: DecisionTreeRegressionModel
     features: list[str]
-    leaves: dict[float, float]
+    leaves: dict[int, float]
+    struct: tuple = ()
+
+    def value(self) -> Column:
+        return tree_expr(self.struct, self.features, lambda i: self.leaves.get(i, 0.0))
+
+    def leaf_index(self) -> Column:
+        return tree_expr(self.struct, self.features, lambda i: i).cast("int")
 
 
 @dataclass
@@ -47,25 +109,18 @@ class QuantileGBTModel:
     trees: list[_Tree] = field(default_factory=list)
     history: list[tuple[int, float | None]] = field(default_factory=list)
 
-    def _tree_value(self, df: DataFrame, t: _Tree, i: int) -> DataFrame:
-        vec, leaf, pred = f"_v{i}", f"_leaf{i}", f"_p{i}"
-        asm = VectorAssembler(inputCols=t.features, outputCol=vec, handleInvalid="keep")
-        m = t.model.copy().setFeaturesCol(vec).setLeafCol(leaf).setPredictionCol(pred)
-        lut = F.create_map(*[x for kv in t.leaves.items() for x in (F.lit(float(kv[0])), F.lit(float(kv[1])))])
-        out = m.transform(asm.transform(df))
-        return out.withColumn("_score", F.col("_score") + F.lit(self.learning_rate) * F.coalesce(
-            F.element_at(lut, F.col(leaf)), F.lit(0.0))).drop(vec, leaf, pred)
-
-    def transform(self, df: DataFrame, output: str = "prediction", checkpoint_every: int = 25) -> DataFrame:
-        """Score rows; a row with a null feature gets a null prediction."""
+    def transform(self, df: DataFrame, output: str = "prediction") -> DataFrame:
+        """Score rows in one pass; a row with a null feature gets null."""
         out = df.withColumn("_score", F.lit(self.base))
-        for i, t in enumerate(self.trees):
-            out = self._tree_value(out, t, i)
-            if checkpoint_every and (i + 1) % checkpoint_every == 0:
-                out = cut_lineage(out)
+        for start in range(0, len(self.trees), TREES_PER_PROJECTION):
+            chunk = self.trees[start:start + TREES_PER_PROJECTION]
+            total = F.col("_score")
+            for t in chunk:
+                total = total + F.lit(self.learning_rate) * t.value()
+            out = out.withColumn("_score", total)
         complete = F.lit(True)
         for c in self.features:
-            complete = complete & F.col(c).isNotNull()
+            complete = complete & F.col(f"`{c}`").isNotNull()
         return out.withColumn(output, F.when(complete, F.col("_score"))).drop("_score")
 
     def gain_importance(self) -> dict[str, float]:
@@ -117,27 +172,26 @@ class QuantileGBT:
             feats = sorted(rng.sample(self.features, k), key=self.features.index)
             grad = F.when(y - F.col("_f") > 0, F.lit(self.alpha)).otherwise(F.lit(self.alpha - 1.0))
             sample = tr if self.subsample >= 1.0 else tr.sample(fraction=self.subsample, seed=rng.randrange(1 << 30))
-            asm = VectorAssembler(inputCols=feats, outputCol="_vec")
-            fit_df = asm.transform(sample.withColumn("_g", grad))
-            dt = DecisionTreeRegressor(featuresCol="_vec", labelCol="_g", leafCol="_leaf", predictionCol="_gp",
+            fit_df = VectorAssembler(inputCols=feats, outputCol="_vec").transform(sample.withColumn("_g", grad))
+            dt = DecisionTreeRegressor(featuresCol="_vec", labelCol="_g", predictionCol="_gp",
                                        maxDepth=self.max_depth, minInstancesPerNode=self.min_instances,
                                        seed=rng.randrange(1 << 30))
             tm = dt.fit(fit_df)
+            tree = _Tree(tm, feats, {}, parse_tree(tm))
             # leaf value = alpha-quantile of the residuals in the leaf (<= 2^depth rows)
-            leaves = {float(row[0]): float(row[1]) for row in
-                      tm.transform(fit_df).groupBy("_leaf")
-                      .agg(F.percentile_approx(y - F.col("_f"), self.alpha, 10000).cast("double")).collect()}
-            tree = _Tree(tm, feats, leaves)
+            tree.leaves = {int(row[0]): float(row[1]) for row in
+                           sample.groupBy(tree.leaf_index().alias("_leaf"))
+                           .agg(F.percentile_approx(y - F.col("_f"), self.alpha, 10000).cast("double")).collect()}
             model.trees.append(tree)
             # the previous frame is released only after an action has read
             # the new one from it (next round's fit / this round's MAE)
             for old in stale:
                 old.unpersist()
             stale = [tr]
-            tr = self._advance(model, tr, tree, len(model.trees) - 1, r)
+            tr = self._advance(tr, tree, r)
             if va is not None:
                 old_va = va
-                va = self._advance(model, va, tree, len(model.trees) - 1, r)
+                va = self._advance(va, tree, r)
                 mae = va.agg(F.avg(F.abs(y - F.col("_f")))).first()[0]
                 old_va.unpersist()
                 model.history.append((r, float(mae)))
@@ -153,16 +207,11 @@ class QuantileGBT:
             model.trees = model.trees[: best_round + 1]
         return model
 
-    def _advance(self, model: QuantileGBTModel, df: DataFrame, tree: _Tree, i: int, r: int) -> DataFrame:
-        """Add one tree to the running prediction ``_f``.
-
-        The new frame is persisted and materialised before the previous one
-        is released, so later rounds never recompute earlier trees; every
-        ``checkpoint_every`` rounds it is written to the checkpoint folder
-        instead, which also survives lost executors.
-        """
-        out = model._tree_value(df.withColumn("_score", F.col("_f")), tree, i)
-        out = out.withColumn("_f", F.col("_score")).drop("_score")
+    def _advance(self, df: DataFrame, tree: _Tree, r: int) -> DataFrame:
+        """Add one tree to the running prediction ``_f``: persisted, and
+        written to the checkpoint folder every ``checkpoint_every`` rounds
+        (which also survives lost executors)."""
+        out = df.withColumn("_f", F.col("_f") + F.lit(self.learning_rate) * tree.value())
         if self.checkpoint_every and (r + 1) % self.checkpoint_every == 0:
             return cut_lineage(out)
         return out.persist()

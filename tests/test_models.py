@@ -39,6 +39,22 @@ def test_quantile_coverage_and_loss(synth):
     assert imp["x"] > imp["z"]
 
 
+def test_compiled_tree_matches_spark_ml(synth):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import DecisionTreeRegressor
+    from stationcast.ml.boosting import parse_tree, tree_expr
+    v = VectorAssembler(inputCols=["x", "z"], outputCol="f").transform(synth)
+    m = DecisionTreeRegressor(featuresCol="f", labelCol="y", maxDepth=5, leafCol="leaf").fit(v)
+    st = parse_tree(m)
+    out = m.transform(v).withColumn("leaf2", tree_expr(st, ["x", "z"], lambda i: i)).collect()
+    assert all(r.leaf == r.leaf2 for r in out)
+    preds = {}
+    for r in out:
+        preds[int(r.leaf)] = r.prediction
+    comp = m.transform(v).withColumn("p2", tree_expr(st, ["x", "z"], lambda i: preds.get(i, 0.0))).collect()
+    assert all(r.prediction == r.p2 for r in comp)
+
+
 def test_null_features_score_null(spark, synth):
     model = QuantileGBT(["x", "z"], "y", n_estimators=2).fit(synth)
     df = spark.createDataFrame([(1.0, None), (1.0, 0.0)], "x double, z double")
