@@ -20,12 +20,14 @@ from stationcast.operators.common import cut_lineage
 
 
 def global_positions(df: DataFrame, keys: Sequence[str], value: str,
-                     num_partitions: int | None = None) -> DataFrame:
+                     num_partitions: int | None = None, keep_partition: bool = False) -> DataFrame:
     """Add ``pos`` (0-based row number in value order within the key),
     ``n_lt`` (rows of the key with a strictly smaller value) and ``n``
     (rows of the key).  Null values are dropped first.
 
-    Ties get consecutive ``pos`` in an arbitrary but fixed order.
+    Ties get consecutive ``pos`` in an arbitrary but fixed order.  With
+    ``keep_partition`` the range partition of each row is kept as
+    ``range_part`` (to inspect how a hot key was spread).
     """
     keys = list(keys)
     spark = df.sparkSession
@@ -49,6 +51,8 @@ def global_positions(df: DataFrame, keys: Sequence[str], value: str,
            .join(first_of_value, ["_pid", *keys, value])
            .withColumn("pos", F.col("_off") + F.col("_id") - F.col("_kmin"))
            .withColumn("n_lt", F.col("_off") + F.col("_vmin") - F.col("_kmin")))
+    if keep_partition:
+        out = out.withColumnRenamed("_pid", "range_part")
     return out.drop("_pid", "_id", "_kmin", "_off", "_vmin")
 
 

@@ -259,6 +259,28 @@ def test_quantile_map_ties_and_subset(spark):
     assert set(vals) <= {10.0, 20.0, 30.0} and vals == sorted(vals)
 
 
+def test_global_positions_spread_hot_key_and_stay_exact(spark):
+    from stationcast.operators.positions import global_positions
+    import random
+    rng = random.Random(5)
+    data = [("hot", float(rng.randint(0, 500))) for _ in range(4000)]
+    data += [(f"k{i}", float(rng.randint(0, 50))) for i in range(20) for _ in range(30)]
+    df = spark.createDataFrame(data, "key string, value double")
+    pos = global_positions(df, ["key"], "value", num_partitions=8, keep_partition=True)
+    hot = pos.filter("key = 'hot'").select("range_part").distinct().count()
+    assert hot > 1                                     # the hot key is not in one task
+    got = sorted((r.key, r.value, r.pos, r.n_lt, r.n) for r in pos.collect())
+    by_key = {}
+    for k, v in data:
+        by_key.setdefault(k, []).append(v)
+    for k, vals in by_key.items():
+        rows_k = [g for g in got if g[0] == k]
+        assert sorted(g[2] for g in rows_k) == list(range(len(vals)))          # positions 0..n-1
+        for _, v, p, n_lt, n in rows_k:
+            assert n == len(vals) and n_lt == sum(1 for x in vals if x < v)
+            assert n_lt <= p < n_lt + vals.count(v)
+
+
 def test_poly_correction_recovers_cubic(spark):
     xs = [float(i) for i in range(20)]
     ctrl = spark.createDataFrame([("s", x) for x in xs], "site string, value double")
