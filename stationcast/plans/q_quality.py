@@ -59,6 +59,19 @@ def a12_percentile_table(spark, d):
                     rnd("pred_percentile", 4).alias("pred_percentile"), "error")
 
 
+@register("a12_percentile_summary", S.with_sql("grid") + """,
+o AS (SELECT DISTINCT o_orderkey % 4 AS site FROM orders),
+p AS (SELECT DISTINCT site FROM grid),
+t AS (SELECT coalesce(o.site, p.site) AS site, o.site IS NOT NULL AND p.site IS NOT NULL AS ok
+      FROM o FULL OUTER JOIN p ON o.site = p.site)
+SELECT CAST(count_if(ok) AS BIGINT) AS successful, CAST(count_if(NOT ok) AS BIGINT) AS failed FROM t""")
+def a12_percentile_summary(spark, d):
+    o = S.read_table(spark, d, "orders").groupBy((F.col("o_orderkey") % 4).alias("site"), F.to_date("o_orderdate").alias("date")) \
+        .agg(F.avg("o_totalprice").alias("observed"))
+    p = S.grid(spark, d).groupBy("site", "date").agg(F.avg("price").alias("predicted"))
+    return Q.percentile_summary(Q.percentile_table(o, p, ["site"]))
+
+
 @register("a16_mae_by_month", _FLAG_SQL + """
 SELECT CAST(month(date) AS INTEGER) AS month, """ + S.r("avg(abs(a - b))") + """ AS mae, count(*) AS n
 FROM a JOIN b USING (date) WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY ROLLUP (month(date))""")

@@ -60,6 +60,18 @@ def s2_trimmed_csv(spark, d):
     return out.select(F.col("site").cast("bigint").alias("site"), "date", rnd("obs", 4).alias("obs"))
 
 
+@register("s2_trimmed_csv_pattern", S.with_sql("pred") + """
+SELECT site, date, """ + S.r("obs", 4) + """ AS obs FROM pred""")
+def s2_trimmed_csv_pattern(spark, d):
+    p = S.pred(spark, d).withColumn("year", F.year("date"))
+    line = F.concat_ws(",", F.date_format("date", "yyyy-MM-dd"), F.lit("60.25"), F.lit("24.75"), F.col("obs").cast("string"))
+    path = _write_text(_lines_with_junk(p.withColumn("_ord", F.dayofyear("date")), ["site", "year"], "_ord",
+                                        line, 3, 4), ["site", "year"], stage_path(spark, "s2p"))
+    out = SRC.read_trimmed_csv(spark, path, 0, 0, "date DATE, lat DOUBLE, lon DOUBLE, obs DOUBLE",
+                               record_pattern=r"^\d{4}-\d{2}-\d{2},")
+    return out.select(F.col("site").cast("bigint").alias("site"), "date", rnd("obs", 4).alias("obs"))
+
+
 _BLEND_SQL = S.with_sql("pred") + """,
 blend AS (SELECT site + 1 AS staid, date,
   CASE WHEN day(date) = 13 THEN NULL ELSE CAST(round(obs / 1000) AS INTEGER) / 10.0 END AS value FROM pred)

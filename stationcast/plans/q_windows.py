@@ -28,6 +28,15 @@ def w1_shift_days(spark, d):
                       *[rnd(F.col(f"`{c}_lag`")).alias(f"{c}_lag") for c in _P])
 
 
+@register("w1_shift_rows", _PIVOT_SQL + "SELECT site, date, " + S.r('"price-1"') + ' AS "price-1", '
+          + S.r('lag("price-1") OVER (PARTITION BY site ORDER BY date)') + ' AS "price-1_lag" FROM wide')
+def w1_shift_rows(spark, d):
+    """Previous row within the site (D6: physical order on an irregular series)."""
+    w = wide_grid(spark, d).select("site", "date", "`price-1`")
+    out = W.shift_rows(w, ["price-1"])
+    return out.select("site", "date", rnd("`price-1`").alias("price-1"), rnd("`price-1_lag`").alias("price-1_lag"))
+
+
 @register("w2_delta", _PIVOT_SQL + "SELECT w.site, w.date, " + ", ".join(
     f'{S.r("w." + _q(c) + " - p." + _q(c))} AS {_q("D" + c)}' for c in _P)
     + " FROM wide w LEFT JOIN wide p ON p.site = w.site AND p.date + 1 = w.date")

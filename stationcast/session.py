@@ -14,6 +14,7 @@ _BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
     # Runtime (measured) broadcast threshold: AQE converts a join to a
     # broadcast only when the materialised side is below this size.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",

@@ -61,11 +61,18 @@ def with_line_numbers(lines: DataFrame) -> DataFrame:
 
 
 def read_trimmed_csv(spark: SparkSession, path: str, head: int, tail: int,
-                     schema: str, sep: str = ",") -> DataFrame:
+                     schema: str, sep: str = ",", record_pattern: str | None = None) -> DataFrame:
     """Tool-made CSV with junk lines: drop the first ``head`` and last
-    ``tail`` lines of every file, parse the rest with ``schema`` (S2)."""
-    lines = with_line_numbers(spark.read.text(path))
-    keep = lines.filter((F.col("line") > head) & (F.col("line") <= F.col("n_lines") - tail))
+    ``tail`` lines of every file, parse the rest with ``schema`` (S2).
+
+    With ``record_pattern`` the lines matching that regular expression are
+    kept instead, whatever their position (no line numbering pass).
+    """
+    if record_pattern is not None:
+        keep = spark.read.text(path).filter(F.col("value").rlike(record_pattern))
+    else:
+        lines = with_line_numbers(spark.read.text(path))
+        keep = lines.filter((F.col("line") > head) & (F.col("line") <= F.col("n_lines") - tail))
     other = [c for c in keep.columns if c not in ("value", "n_lines")]
     parsed = keep.select(F.from_csv("value", schema, {"sep": sep}).alias("r"), *other)
     return parsed.select("r.*", *other)
