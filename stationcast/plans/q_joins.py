@@ -80,10 +80,11 @@ def j6_missing_dates(spark, d):
 
 
 @register("j7_keep_points", S.with_sql("cells") + """
-SELECT id, lat, lon FROM cells WHERE (lat, lon) IN (SELECT DISTINCT lat, lon FROM cells WHERE id % 2 = 0)""")
+SELECT id, lat, lon FROM cells WHERE (lat, lon) IN (SELECT DISTINCT lat, lon FROM cells WHERE lat = floor(lat))""")
 def j7_keep_points(spark, d):
     c = S.cells(spark, d)
-    keep = c.filter(F.col("id") % 2 == 0).select("lat", "lon")
+    # retained coordinate set: the southern row of every 2 x 2 cell block
+    keep = c.filter(F.col("lat") == F.floor("lat")).select("lat", "lon")
     return J.keep_points(c.select("id", "lat", "lon"), keep)
 
 

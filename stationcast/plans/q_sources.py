@@ -93,25 +93,25 @@ def s3_station_blend(spark, d):
     return out.select(F.col("staid").cast("bigint").alias("staid"), "date", rnd("value", 4).alias("value"))
 
 
-_DMS_LAT = "n_nationkey * 3 - 30"
-
-
 def catalog_lines(spark, d):
-    n = S.read_table(spark, d, "nation")
-    k = F.col("n_nationkey")
-    lat = F.format_string("%s%02d:%02d:%02d", F.when(k * 3 - 30 < 0, "-").otherwise("+"),
-                          F.abs(k * 3 - 30), k % 60, (k * 7) % 60)
-    lon = F.when(k == 24, F.lit("bad")).otherwise(
-        F.format_string("+%03d:%02d:%02d", k * 2, (k * 11) % 60, (k * 13) % 60))
-    return n.select(F.concat_ws(",", (k + 1).cast("string"), F.col("n_name"), F.lit("XX"), lat, lon,
+    """Station catalogue text from the supplier table: one station per
+    supplier, DMS coordinates; stations with a negative balance carry a
+    malformed longitude."""
+    s = S.read_table(spark, d, "supplier")
+    k, n = F.col("s_suppkey"), F.col("s_nationkey")
+    lat = F.format_string("%s%02d:%02d:%02d", F.when(n * 3 - 30 < 0, "-").otherwise("+"),
+                          F.abs(n * 3 - 30), k % 60, (k * 7) % 60)
+    lon = F.when(F.col("s_acctbal") < 0, F.lit("bad")).otherwise(
+        F.format_string("+%03d:%02d:%02d", n * 2, (k * 11) % 60, (k * 13) % 60))
+    return s.select(F.concat_ws(",", k.cast("string"), F.col("s_name"), F.lit("XX"), lat, lon,
                                 F.lit("12")).alias("value"))
 
 
 @register("s4_station_catalog", """
-SELECT n_nationkey + 1 AS staid, n_name AS name,
-  """ + S.r("sign(n_nationkey * 3 - 30 + 0.5) * (abs(n_nationkey * 3 - 30) + (n_nationkey % 60) / 60.0 + ((n_nationkey * 7) % 60) / 3600.0)") + """ AS lat,
-  CASE WHEN n_nationkey = 24 THEN NULL ELSE """ + S.r("(n_nationkey * 2) + ((n_nationkey * 11) % 60) / 60.0 + ((n_nationkey * 13) % 60) / 3600.0") + """ END AS lon
-FROM nation""")
+SELECT CAST(s_suppkey AS INTEGER) AS staid, s_name AS name,
+  """ + S.r("sign(s_nationkey * 3 - 30 + 0.5) * (abs(s_nationkey * 3 - 30) + (s_suppkey % 60) / 60.0 + ((s_suppkey * 7) % 60) / 3600.0)") + """ AS lat,
+  CASE WHEN s_acctbal < 0 THEN NULL ELSE """ + S.r("(s_nationkey * 2) + ((s_suppkey * 11) % 60) / 60.0 + ((s_suppkey * 13) % 60) / 3600.0") + """ END AS lon
+FROM supplier""")
 def s4_station_catalog(spark, d):
     header = spark.createDataFrame([("STAID,STANAME                                 ,CN,      LAT,       LON,HGHT",)], "value string")
     lines = header.unionByName(catalog_lines(spark, d))
