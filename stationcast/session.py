@@ -16,9 +16,11 @@ _BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
     # Runtime (measured) broadcast threshold: AQE converts a join to a
-    # broadcast only when the materialised side is below this size.
+    # broadcast only when the materialised side is below this size.  The
+    # static threshold, based on file-size estimates of compressed data,
+    # stays at Spark's conservative default.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
-    "spark.sql.autoBroadcastJoinThreshold": "32MB",
+    "spark.sql.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.sql.files.maxPartitionBytes": "256MB",
