@@ -174,6 +174,23 @@ def test_trimmed_csv_per_file(spark, tmp_path):
     assert sorted(r.v for r in out.collect()) == [1.0, 1.0, 2.0, 2.0, 3.0, 3.0]
 
 
+def test_line_numbers_across_file_splits(spark, tmp_path):
+    n = 60000
+    (tmp_path / "big.csv").write_text("".join(f"2020-01-01,1.0,2.0,{i}\n" for i in range(1, n + 1)))
+    (tmp_path / "small.csv").write_text("h\n2020-01-01,1.0,2.0,7\nt\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(256 * 1024))
+    try:
+        lines = SRC.with_line_numbers(spark.read.text(str(tmp_path)))
+        big = lines.filter(F.col("file").endswith("big.csv"))
+        got = big.select(F.split("value", ",")[3].cast("long").alias("v"), "line", "n_lines")
+        assert got.filter(F.col("v") != F.col("line")).count() == 0 and got.count() == n
+        assert got.agg(F.max("n_lines")).first()[0] == n
+        assert spark.read.text(str(tmp_path / "big.csv")).rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 # ------------------------------------------------------------ S9
 def test_read_keyed_patterns(spark, tmp_path):
     names = ["predictions_Malaga_WG_PT24H_MAX_rcp45_cnrm.csv", "predictions_Malaga_TP_rcp85_mpi.csv",
