@@ -42,6 +42,15 @@ def a13_exceedance(spark, d):
     return risk_frame(spark, d).withColumn("pct", rnd("pct", 6))
 
 
+@register("a13_exceedance_below", S.with_sql("ens") + """,
+nm AS (SELECT site, count(DISTINCT member) AS n_members FROM ens GROUP BY site)
+SELECT e.site, e.date, """ + S.r("100.0 * count_if(e.value < 20.0) / nm.n_members") + """ AS pct
+FROM ens e JOIN nm USING (site) GROUP BY e.site, e.date, nm.n_members""")
+def a13_exceedance_below(spark, d):
+    """Share of members below a threshold (minimum-temperature style risk)."""
+    return E.exceedance(S.ens(spark, d), 20.0, "below").withColumn("pct", rnd("pct"))
+
+
 @register("a14_monthly_risk", _EXC_SQL + """
 SELECT site, strftime(date, '%Y-%m') AS month,
   CAST(count_if(pct > 50.0) AS BIGINT) AS days_over, count(*) AS total_days,

@@ -256,6 +256,11 @@ def p24_exceeds(spark, d):
     return FR.exceeds(S.read_table(spark, d, "events").select("event_id", "value"), "value", 300.0)
 
 
+@register("p24_below", "SELECT event_id, value FROM events WHERE value < 1.0")
+def p24_below(spark, d):
+    return FR.exceeds(S.read_table(spark, d, "events").select("event_id", "value"), "value", 1.0, "below")
+
+
 @register("p25_stamp", S.with_sql("pred") + """
 SELECT site, date, """ + S.r("obs", 4) + """ AS obs, 'Harbour' AS name, 60.25 ::DOUBLE AS latitude, 24.75::DOUBLE AS longitude FROM pred""")
 def p25_stamp(spark, d):
