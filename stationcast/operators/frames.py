@@ -186,7 +186,7 @@ def complete_cases(df: DataFrame, keep: Sequence[str] = ()) -> tuple[DataFrame,
         allnn = allnn & F.col(f"`{c}`").isNotNull()
     report = sub.agg(F.count(F.lit(1)).alias("rows"), F.count_if(allnn).alias("kept")).select(
         "rows", "kept", (F.col("rows") - F.col("kept")).alias("dropped"),
-        (F.lit(100.0) * (F.col("rows") - F.col("kept")) / F.col("rows")).alias("dropped_pct"))
+        (F.lit(100.0) * (F.col("rows") - F.col("kept")) / F.nullif(F.col("rows"), F.lit(0))).alias("dropped_pct"))
     return sub.na.drop("any"), report
 
 

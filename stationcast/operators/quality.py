@@ -92,7 +92,8 @@ def mae_by_month(a: DataFrame, b: DataFrame, on: Sequence[str] = ("date",), a_co
 def missing_pct(df: DataFrame) -> DataFrame:
     """Percent of missing values per column, long form."""
     n = F.count(F.lit(1))
-    row = df.agg(*[(F.lit(100.0) * (n - F.count(F.col(f"`{c}`"))) / n).alias(c) for c in df.columns])
+    row = df.agg(*[(F.lit(100.0) * (n - F.count(F.col(f"`{c}`"))) / F.nullif(n, F.lit(0))).alias(c)
+                   for c in df.columns])
     return row.unpivot([], list(df.columns), "column", "missing_pct")
 
 
@@ -107,7 +108,7 @@ def incomplete_rows_pct(df: DataFrame) -> DataFrame:
     complete = F.lit(True)
     for c in keep:
         complete = complete & F.col(f"`{c}`").isNotNull()
-    return df.agg((F.lit(100.0) * F.count_if(~complete) / F.count(F.lit(1))).alias("incomplete_pct"),
+    return df.agg((F.lit(100.0) * F.count_if(~complete) / F.nullif(F.count(F.lit(1)), F.lit(0))).alias("incomplete_pct"),
                   F.lit(len(df.columns) - len(keep)).alias("all_null_columns"))
 
 

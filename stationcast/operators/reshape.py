@@ -36,12 +36,19 @@ def point_id(df: DataFrame, keys: Sequence[str] = ("site",), lat: str = "lat",
 
 # ------------------------------------------------------------------ R2
 def pivot_points(df: DataFrame, values: Sequence[str], keys: Sequence[str] = ("site", "date"),
-                 point: str = "point", n: int = 4, agg=F.max) -> DataFrame:
+                 point: str = "point", n: int = 4, agg=F.max, strict: bool = False) -> DataFrame:
     """Long -> wide by grid point: ``<var>-<i>`` for i in 1..n (R2).
 
     Input must have one row per (keys, point); ``agg`` only collapses that
-    single row (use ``dedup_first`` first when unsure, D10).
+    single row (use ``dedup_first`` first when unsure, D10).  ``strict``
+    fails on a duplicate (keys, point), as a pandas pivot does; the check is
+    one aggregation that stops at the first duplicate.
     """
+    if strict:
+        dup = (df.groupBy(*keys, point).agg(F.count(F.lit(1)).alias("_c"))
+               .filter(F.col("_c") > 1).limit(1).collect())
+        if dup:
+            raise ValueError(f"duplicate (keys, point) in pivot input: {dup[0].asDict()}")
     cols = [agg(F.when(F.col(point) == i, F.col(v))).alias(f"{v}-{i}")
             for v in values for i in range(1, n + 1)]
     return df.groupBy(*keys).agg(*cols)

@@ -233,6 +233,17 @@ def test_360_day_detection_and_repair(spark):
     assert CAL.is_360_day(full).first().is_360_day is False
 
 
+def test_pivot_strict_duplicates_and_empty_missing_pct(spark):
+    df = spark.createDataFrame([("s", D(2020, 1, 1), 1, 1.0), ("s", D(2020, 1, 1), 1, 2.0)],
+                               "site string, date date, point int, v double")
+    assert R.pivot_points(df, ["v"]).first()["v-1"] == 2.0
+    with pytest.raises(ValueError):
+        R.pivot_points(df, ["v"], strict=True)
+    empty = df.filter("v > 10")
+    assert all(r.missing_pct is None for r in Q.missing_pct(empty).collect())
+    assert Q.incomplete_rows_pct(empty).first().incomplete_pct is None
+
+
 # ------------------------------------------------------------ R12
 def test_dedup_first_deterministic(spark):
     df = spark.createDataFrame([(1, 5, "b"), (1, 3, "z"), (1, 3, "a"), (2, 1, "x")], "k int, o int, v string")
