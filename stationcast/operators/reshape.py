@@ -102,7 +102,9 @@ def reindex_daily(df: DataFrame, keys: Sequence[str] = ("site",), date: str = "d
     """
     bounds = df.groupBy(*keys).agg(F.min(date).alias("_lo"), F.max(date).alias("_hi"))
     lo = F.col("_lo") if start is None else F.greatest(F.col("_lo"), F.lit(start).cast("date"))
-    spine = bounds.select(*keys, F.explode(F.sequence(lo, F.col("_hi"), F.expr("INTERVAL 1 DAY"))).alias(date))
+    # keys whose data ends before ``start`` get no spine (and no rows)
+    bounds = bounds.withColumn("_lo", lo).filter(F.col("_lo") <= F.col("_hi"))
+    spine = bounds.select(*keys, F.explode(F.sequence(F.col("_lo"), F.col("_hi"), F.expr("INTERVAL 1 DAY"))).alias(date))
     data = df if start is None else df.filter(F.col(date) >= F.lit(start).cast("date"))
     return spine.join(data, [*keys, date], "left")
 

@@ -212,6 +212,8 @@ def test_reindex_daily_row_count(spark):
     out = R.reindex_daily(df)
     assert out.filter("site = 's'").count() == 5 and out.filter("site = 't'").count() == 1
     assert R.reindex_daily(df, start="2020-01-03").filter("site = 's'").count() == 3
+    late = R.reindex_daily(df, start="2020-01-20")            # 's' ends before the start
+    assert late.filter("site = 's'").count() == 0 and late.filter("site = 't'").count() == 1
 
 
 # ------------------------------------------------------------ R8 / R9 / Q6
