@@ -43,6 +43,26 @@ def w5_quantile_map(spark, d):
     return out.select("site", "date", "value", rnd("corrected", 4).alias("corrected"))
 
 
+@register("w6_quantile_pairs", """
+WITH c AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS site, CAST(l_shipdate AS DATE) AS date, avg(l_quantity) AS value
+           FROM lineitem GROUP BY 1, 2),
+h AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS site, CAST(o_orderdate AS DATE) AS date, avg(o_totalprice) AS value
+      FROM orders GROUP BY 1, 2),
+cp AS (SELECT site, value AS x, row_number() OVER (PARTITION BY site ORDER BY value) - 1 AS pos,
+       count(*) OVER (PARTITION BY site) AS n FROM c),
+hp AS (SELECT site, value AS v, row_number() OVER (PARTITION BY site ORDER BY value) - 1 AS pos,
+       count(*) OVER (PARTITION BY site) AS m FROM h),
+mm AS (SELECT DISTINCT site, m FROM hp),
+q AS (SELECT cp.site, cp.x, CASE WHEN n > 1 THEN pos / (n - 1) ELSE 0 END * (mm.m - 1) AS hh FROM cp JOIN mm USING (site))
+SELECT q.site, q.x, """ + S.r("lo.v + (q.hh - floor(q.hh)) * (hi.v - lo.v)", 4) + """ AS y
+FROM q JOIN hp lo ON lo.site = q.site AND lo.pos = floor(q.hh) JOIN hp hi ON hi.site = q.site AND hi.pos = ceil(q.hh)""")
+def w6_quantile_pairs(spark, d):
+    """The pairing step of W6: sorted control values with the linearly
+    interpolated historical quantile at the same plotting position."""
+    out = K.quantile_pairs(control(spark, d), historical(spark, d), ["site"])
+    return out.select("site", "x", rnd("y", 4).alias("y"))
+
+
 @register("w6_poly_correction")
 def w6_poly_correction(spark, d):
     """Rows-only check (least-squares fit); invariants are unit-tested."""
