@@ -18,6 +18,19 @@ from stationcast.plans.registry import ORACLE, register
 from stationcast.streaming import daily as ST
 
 
+def _disorder(path, spark, part="day") -> str:
+    """Watermark delay covering the staged source's disorder.
+
+    The day files are written by parallel tasks of one job, so the file
+    stream (which follows modification time) may deliver any day in any
+    order: the delay must span all staged days, or earlier days arriving
+    after later ones would be dropped as late.  A source that delivers days
+    in order would use a short delay instead.
+    """
+    lo, hi = spark.read.parquet(path).agg(F.min(part), F.max(part)).first()
+    return f"{(hi - lo).days + 2} days"
+
+
 def _stage(df, name, spark, part="day"):
     path = stage_path(spark, name)
     df.repartition(part).write.partitionBy(part).parquet(path)
@@ -29,7 +42,7 @@ def a1_daily_agg_stream(spark, d):
     sub = S.subdaily(spark, d).withColumn("day", F.to_date("time"))
     src = _stage(sub, "a1src", spark)
     stream = spark.readStream.schema(spark.read.parquet(src).schema).option("maxFilesPerTrigger", 8).parquet(src)
-    q = ST.daily_agg_stream(stream.drop("day"), empty_sum="zero")
+    q = ST.daily_agg_stream(stream.drop("day"), empty_sum="zero", watermark=_disorder(src, spark))
     out = ST.read_latest(spark, ST.run_available(q, stage_path(spark, "a1out"), f"a1-{abs(hash(src))}"), ["site", "date"])
     return out.select("site", "date", "WG", "TN", "TX", rnd("TP").alias("TP"), rnd("RH").alias("RH"))
 
@@ -40,7 +53,7 @@ def a13_exceedance_stream(spark, d):
     members = E.member_counts(ens)                      # static: one row per site
     src = _stage(ens.withColumn("day", F.col("date")), "a13src", spark)
     stream = spark.readStream.schema(spark.read.parquet(src).schema).option("maxFilesPerTrigger", 8).parquet(src)
-    q = ST.exceedance_stream(stream.drop("day"), members, THRESHOLD)
+    q = ST.exceedance_stream(stream.drop("day"), members, THRESHOLD, watermark=_disorder(src, spark))
     out = ST.read_latest(spark, ST.run_available(q, stage_path(spark, "a13out"), f"a13-{abs(hash(src))}"), ["site", "date"])
     return out.select("site", "date", rnd("pct").alias("pct"))
 
