@@ -203,6 +203,10 @@ class QuantileGBT:
                         break
             else:
                 model.history.append((r, None))
+        # release the cached frames of the loop (checkpoint files stay in
+        # the checkpoint folder, which the cluster manages)
+        for df in [*stale, tr, *([va] if va is not None else [])]:
+            df.unpersist()
         if va is not None and best_round + 1 < len(model.trees):
             model.trees = model.trees[: best_round + 1]
         return model

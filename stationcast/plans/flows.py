@@ -80,7 +80,7 @@ def fit_and_evaluate(table: DataFrame, features: Sequence[str], predictand: str,
     on the hold-out (P13, M1, M4, M6, A18).  Returns (model, predictions,
     scores)."""
     data, _ = FR.complete_cases(table.select(*keys, "date", *features, predictand))
-    data = FO.split_years(data, test_years).persist()
+    data = FO.split_years(data, test_years)
     model = QuantileGBT(features, predictand, alpha=alpha, **gbt).fit(
         data.filter(~F.col("is_test")), data.filter(F.col("is_test")))
     pred = SC.score_batch(model, data.filter(F.col("is_test")), [*keys, "date"], observed=predictand)
