@@ -22,6 +22,27 @@ def series(spark):
     return rows, spark.createDataFrame(rows, "site string, time timestamp_ntz, date date, v double")
 
 
+def test_nearest_point_matches_brute_force(spark):
+    import math
+    from stationcast.operators import joins as J
+    rng = random.Random(4)
+    a = [(i, rng.uniform(-80, 80), rng.uniform(-180, 180)) for i in range(60)]
+    b = [(100 + j, rng.uniform(-80, 80), rng.uniform(-180, 180)) for j in range(25)]   # sparse: many rounds
+
+    def hav(p, q):
+        la1, lo1, la2, lo2 = map(math.radians, (p[1], p[2], q[1], q[2]))
+        h = math.sin((la2 - la1) / 2) ** 2 + math.cos(la1) * math.cos(la2) * math.sin((lo2 - lo1) / 2) ** 2
+        return 2 * 6371.0 * math.asin(math.sqrt(h))
+    adf = spark.createDataFrame(a, "id int, lat double, lon double")
+    bdf = spark.createDataFrame(b, "id int, lat double, lon double")
+    got = {r.a_id: (r.b_id, r.distance_km) for r in J.nearest_point(adf, bdf, cell_km=100.0).collect()}
+    assert len(got) == len(a)
+    for p in a:
+        best = min(b, key=lambda q: (hav(p, q), q[0]))
+        assert got[p[0]][0] == best[0]
+        assert got[p[0]][1] == pytest.approx(hav(p, best), rel=1e-9)
+
+
 def test_ffill_matches_brute_force(series):
     rows, df = series
     # one row per (site, date) so the order within a chunk is total
