@@ -43,6 +43,33 @@ def test_nearest_point_matches_brute_force(spark):
         assert got[p[0]][1] == pytest.approx(hav(p, best), rel=1e-9)
 
 
+def test_bbox_filter_matches_brute_force(spark):
+    from stationcast.sources import readers as SRC
+    rng = random.Random(6)
+    sites = [(f"s{i}", rng.uniform(-10, 10), rng.uniform(-10, 10)) for i in range(12)]
+    pts = [(j, rng.uniform(-11, 11), rng.uniform(-11, 11)) for j in range(3000)]
+    pts += [(5000 + i, s[1] + 0.7, s[2] - 0.7) for i, s in enumerate(sites)]     # exactly on a box edge
+    sdf = spark.createDataFrame(sites, "site string, latitude double, longitude double")
+    pdf = spark.createDataFrame(pts, "id int, lat double, lon double")
+    got = sorted((r.id, r.site) for r in SRC.bbox_filter(pdf, sdf, 0.7).collect())
+    exp = sorted((p[0], s[0]) for p in pts for s in sites
+                 if abs(p[1] - s[1]) <= 0.7 + 1e-9 and abs(p[2] - s[2]) <= 0.7 + 1e-9)
+    assert got == exp and len(exp) > 12
+
+
+def test_exact_quantile_matches_numpy(spark):
+    import numpy as np
+    from stationcast.operators.positions import quantile_cont
+    rng = random.Random(8)
+    rows = [("hot", float(rng.randint(0, 300))) for _ in range(2500)] + \
+           [(f"k{i}", rng.uniform(0, 1)) for i in range(10) for _ in range(rng.randint(1, 40))]
+    df = spark.createDataFrame(rows, "key string, v double")
+    got = {r.key: r.q for r in quantile_cont(df, ["key"], "v", 0.95, "q").collect()}
+    for k in {r[0] for r in rows}:
+        vals = [v for kk, v in rows if kk == k]
+        assert got[k] == pytest.approx(float(np.percentile(vals, 95)), rel=1e-12, abs=1e-12)
+
+
 def test_ffill_matches_brute_force(series):
     rows, df = series
     # one row per (site, date) so the order within a chunk is total
