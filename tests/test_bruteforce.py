@@ -70,6 +70,54 @@ def test_exact_quantile_matches_numpy(spark):
         assert got[k] == pytest.approx(float(np.percentile(vals, 95)), rel=1e-12, abs=1e-12)
 
 
+def test_zip_time_matches_brute_force(spark):
+    from stationcast.operators import calendar as CAL
+    rng = random.Random(2)
+    rows, refs = [], []
+    for site, n, m in (("hot", 900, 610), ("a", 20, 35), ("b", 7, 7)):
+        rows += [(site, i * 3 + rng.randint(0, 2), float(i)) for i in range(n)]
+        refs += [(site, dt.date(2006, 1, 1) + dt.timedelta(days=j)) for j in range(m)]
+    df = spark.createDataFrame(rows, "site string, k int, v double")
+    ref = spark.createDataFrame(refs, "site string, time date")
+    got = {(r.site, r.v): r.time for r in CAL.zip_time(df, ref, ["site"], "k").collect()}
+    for site in ("hot", "a", "b"):
+        mine = sorted([r for r in rows if r[0] == site], key=lambda r: r[1])
+        times = [t for s, t in refs if s == site]
+        while len(times) < len(mine):              # repeat the last four stamps
+            times += times[-4:]
+        for (s, _, v), t in zip(mine, times):
+            assert got[(s, v)] == t
+
+
+def test_repair_360_matches_rules(spark):
+    from stationcast.operators import calendar as CAL
+    days = [(f"{y:04d}-{m:02d}-{d:02d}", float(y * 1000 + m * 40 + d))
+            for y in (1999, 2000, 2100) for m in range(1, 13) for d in range(1, 31)]
+    df = spark.createDataFrame(days, "time string, v double")
+    got = {r.date: (r.v, r.copied) for r in CAL.repair_360_day(df).collect()}
+
+    def leap(y):
+        return y % 4 == 0 and (y % 100 != 0 or y % 400 == 0)
+    cand = {}
+    for t, v in days:
+        y, m, d = int(t[:4]), int(t[5:7]), int(t[8:10])
+        try:
+            cand.setdefault(dt.date(y, m, d), []).append((0, v))
+        except ValueError:
+            pass                                    # 30 Feb (and 29 Feb outside leap years) dropped
+        if m == 2 and d == 1:
+            cand.setdefault(dt.date(y, 1, 31), []).append((1, v))
+        if leap(y) and m == 2 and d == 28:
+            cand.setdefault(dt.date(y, 2, 29), []).append((2, v))
+        if m == 2 and d == (29 if leap(y) else 28):
+            cand.setdefault(dt.date(y, 3, 1), []).append((3, v))
+        if m in (1, 3, 5, 7, 8, 10, 12) and d == 30:
+            cand.setdefault(dt.date(y, m, 31), []).append((4, v))
+    exp = {k: (min(c)[1], min(c)[0] > 0) for k, c in cand.items()}
+    assert got == exp
+    assert len(got) == 365 + 366 + 365      # every calendar day of the three years
+
+
 def test_ffill_matches_brute_force(series):
     rows, df = series
     # one row per (site, date) so the order within a chunk is total
