@@ -147,7 +147,8 @@ def fill_future(df: DataFrame, clim: DataFrame, pred: str, cutoff: str,
 
 
 def delta_change(df: DataFrame, var_sum: str, pred: str, cutoff: str,
-                 keys: Sequence[str] = ("site",), date: str = "date") -> DataFrame:
+                 keys: Sequence[str] = ("site",), date: str = "date",
+                 materialize: bool = False) -> DataFrame:
     """Delta-change projection of predictand monthly statistics.
 
     Input: daily rows with the 4-point mean ``var_sum`` and the predictand
@@ -157,11 +158,18 @@ def delta_change(df: DataFrame, var_sum: str, pred: str, cutoff: str,
     where ``diff_past = <var>_sum_stat - pred_stat`` of the past year-month
     and ``diff_future = <var>_sum_stat`` of the future year-month (the
     future has no predictand statistics, so nothing is subtracted).
+
+    The daily input is read twice (statistics, then the join back); with
+    ``materialize`` it is written once to the checkpoint folder first, for
+    inputs that are expensive to recompute.
     """
     stats = ("mean", "min", "max")
     cut = F.lit(cutoff).cast("date")
     d = df.select(*keys, date, var_sum, pred).withColumns({
         "year": F.year(date), "month": F.month(date), "_past": F.col(date) <= cut})
+    if materialize:
+        from stationcast.operators.common import cut_lineage
+        d = cut_lineage(d)
     ym = (d.groupBy(*keys, "year", "month", "_past")
           .agg(F.count(F.lit(1)).alias("_days"), F.count(pred).alias("_pn"),
                *[_AGG[s](var_sum).alias(f"_v_{s}") for s in stats],
