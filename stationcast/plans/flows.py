@@ -50,7 +50,7 @@ def station_daily(subdaily: DataFrame, sites: DataFrame, start: str | None = Non
 # ------------------------------------------------------------ 3.1 reanalysis
 def reanalysis_table(obs: DataFrame, grid_long: DataFrame, variables: Sequence[str], predictand: str,
                      parameter: str, lag: Sequence[str] = (), keys: Sequence[str] = ("site",),
-                     n_points: int = 4) -> DataFrame:
+                     n_points: int = 4, materialize: bool = False) -> DataFrame:
     """Training table of the reanalysis flow (stages 3-6).
 
     ``obs`` (keys, date, predictand...) and ``grid_long`` (keys, date,
@@ -60,6 +60,8 @@ def reanalysis_table(obs: DataFrame, grid_long: DataFrame, variables: Sequence[s
     mean ``<parameter>_sum`` (P17, fixed divisor); year-month statistics of
     it and of the predictand and their differences (A3, A7) joined back
     (J4); and the predictand's climatology of monthly statistics (A5).
+    With ``materialize`` the assembled daily table is written once to the
+    checkpoint folder before the statistics read it again.
     """
     t = J.assemble(obs, grid_long, variables, n_points, keys)
     if lag:
@@ -68,6 +70,9 @@ def reanalysis_table(obs: DataFrame, grid_long: DataFrame, variables: Sequence[s
         t = t.drop(*lag_cols).join(prev, [*keys, "date"], "left")
     t = FR.add_date_parts(t, "date", ("dayOfYear", "year", "month"))
     t = FR.point_mean_wide(t, parameter, n_points)
+    if materialize:
+        from stationcast.operators.common import cut_lineage
+        t = cut_lineage(t)
     st = C.diff_features(C.monthly_stats(t, [f"{parameter}_sum", predictand], keys), parameter, predictand)
     t = J.with_stats(t, st, [*keys, "year", "month"])
     clim = C.stat_climatology(t, predictand, keys)
