@@ -39,6 +39,18 @@ def test_reanalysis_table(grid, obs):
     assert t.count() == 60
 
 
+def test_materialize_options_do_not_change_results(spark, grid, obs):
+    from stationcast.operators import climatology as C
+    a = FL.reanalysis_table(obs, grid, ["t2", "u10"], "TX", "t2")
+    b = FL.reanalysis_table(obs, grid, ["t2", "u10"], "TX", "t2", materialize=True)
+    cols = ["site", "date", "t2_sum", "TX_mean", "TX_mean_climatology"]
+    assert sorted(a.select(*cols).collect()) == sorted(b.select(*cols).collect())
+    daily = a.select("site", "date", "t2_sum", "TX")
+    x = C.delta_change(daily, "t2_sum", "TX", "2020-01-31")
+    y = C.delta_change(daily, "t2_sum", "TX", "2020-01-31", materialize=True)
+    assert sorted(x.collect()) == sorted(y.collect())
+
+
 def test_scenario_tables(spark, grid, obs):
     wide = (grid.filter("variable = 't2'").groupBy("site", "date")
             .agg(*[F.max(F.when(F.col("point") == i, F.col("value"))).alias(f"t2-{i}") for i in range(1, 5)])
