@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -15,6 +16,8 @@ from stationcast.session import checkpoint_dir
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 #: Rows handed to Python at once.  Bounds a worker's memory: texts are long.
 BATCH_ROWS = 400
 
@@ -24,9 +27,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def workers_ready(spark: SparkSession) -> None:
+    """Bounds the rows of an Arrow batch, and lets Python workers that share the
+    driver's disk import this package whatever the folder the session was started in.
+    On a cluster the package comes with ``--py-files`` or an installed wheel."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``fn`` over Arrow batches of at most ``BATCH_ROWS`` rows."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    workers_ready(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

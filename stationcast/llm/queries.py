@@ -30,3 +30,15 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from stationcast.llm.token_counts import digest
     return digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationcast.llm.quality import digest
+    return digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationcast.llm.language_id import digest
+    return digest(table(spark, sf_dir, "documents"))

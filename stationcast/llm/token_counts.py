@@ -7,35 +7,50 @@ encode the pre-tokens that the table lacks.  No pre-token is ever shuffled.
 Both tiers only cache lengths that the library gives, so counts do not depend
 on the sample.
 
-The split into pre-tokens follows the byte-level pattern.  It is taken by
-``regex`` only for texts whose code points are all below U+0250, where it is
-checked to agree with the library; other texts, and texts that hold a special
-token's string, go to the library whole.
+The split into pre-tokens follows the byte-level pattern.  It is done here
+only for texts whose code points are all below U+0250, where it is tested to
+agree with the library; other texts, and texts that hold a special token's
+string, go to the library whole.
 """
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections import Counter
 from itertools import islice
 
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationcast.llm.common import BATCH_ROWS, bounded_sample, map_batches
+from stationcast.llm.common import bounded_sample, map_batches, workers_ready
 
-#: Byte-level pre-token pattern (fixed value of the public vocabulary).
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Documents sampled for the table of frequent pre-tokens, and entries kept.
-SAMPLE_DOCS = 2000
-TABLE_SIZE = 20_000
+#: Documents sampled for the table of frequent pre-tokens, and entries kept (a few MB when broadcast).
+SAMPLE_DOCS = 4000
+TABLE_SIZE = 100_000
 #: Pre-tokens that one worker remembers before it starts its cache anew.
-CACHE_SIZE = 200_000
-#: Texts are cut at this many pre-tokens while counting, so a huge text needs no huge list.
+CACHE_SIZE = 400_000
+#: Pre-tokens of a very long text that are looked up at once.
 CHUNK = 100_000
-SIMPLE = regex.compile(r"[\x00-ɏ]*+\Z")
-_SPLIT = regex.compile(PATTERN)
+#: Code points that the split here handles.
+SIMPLE_BELOW = 0x250
+SIMPLE = re.compile(f"[\\x00-{chr(SIMPLE_BELOW - 1)}]*\\Z")
+
+
+def _chars(category: str) -> str:
+    return "".join(re.escape(chr(i)) for i in range(SIMPLE_BELOW) if unicodedata.category(chr(i))[0] == category)
+
+
+#: The byte-level split (fixed rule of the public vocabulary), with letters and numbers listed:
+#: contractions; runs of letters, numbers or other signs with one space before; white space but its last; white space.
+_L, _N, _S = _chars("L"), _chars("N"), r"\t-\r \x85\xa0"
+_SPLIT = re.compile(rf" ?[{_L}]+|'(?:s|t|re|ve|m|ll|d)| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
+#: Bytes as the printable characters that a byte-level vocabulary is written in: printable ones
+#: stand for themselves, the others follow from U+0100 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTES = {b: b if b in _PRINTABLE else 256 + k for b, k in
+          ((b, sum(x not in _PRINTABLE for x in range(b))) for b in range(256))}
 
 
 class PretokenCounter:
@@ -56,23 +71,28 @@ class PretokenCounter:
             return 0
         if not SIMPLE.match(text) or any(s in text for s in self.special):
             return self.encode_lengths([text])[0]
-        found, total = (m.group() for m in _SPLIT.finditer(text)) if len(text) > 10 * CHUNK else iter(_SPLIT.findall(text)), 0
+        if len(text) <= 10 * CHUNK:
+            return self._sum(_SPLIT.findall(text))
+        found, total = (m.group() for m in _SPLIT.finditer(text)), 0
         while part := list(islice(found, CHUNK)):
             total += self._sum(part)
         return total
 
     def _sum(self, part: list[str]) -> int:
-        first = list(map(self.table.get, part))
-        if None not in first:
-            return sum(first)
-        cache, misses = self.cache, Counter(p for p, n in zip(part, first) if n is None)
-        new = [p for p in misses if p not in cache]
-        if new:
-            if len(cache) + len(new) > CACHE_SIZE:
-                cache.clear()
-                new = list(misses)
-            cache.update(zip(new, self.encode_lengths(new)))
-        return sum(n for n in first if n is not None) + sum(n * cache[p] for p, n in misses.items())
+        lengths = list(map(self.table.get, part))
+        if None not in lengths:
+            return sum(lengths)
+        total = sum(filter(None, lengths))
+        for p, n in zip(part, lengths):
+            if n is None:
+                total += self.cache.get(p) or self._encode(p)
+        return total
+
+    def _encode(self, part: str) -> int:
+        if len(self.cache) >= CACHE_SIZE:
+            self.cache.clear()
+        n = self.cache[part] = len(self.tok.model.tokenize(part.encode().decode("latin-1").translate(_BYTES)))
+        return n
 
 
 #: The counter of this worker process, kept over its tasks.
@@ -119,7 +139,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, text: str = "text", key:
     def tokens(texts):
         counter = worker_counter(tokenizer_path, lengths)
         return texts.map(lambda t: counter.count(t) if isinstance(t, str) else 0).astype("int64")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    workers_ready(spark)
     return docs.withColumn(out, tokens(F.col(text)))
 
 
