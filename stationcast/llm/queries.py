@@ -42,3 +42,23 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stationcast.llm.language_id import digest
     return digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationcast.llm.line_dedup import digest
+    return digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationcast.llm.mixing import digest
+    return digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def _oracles() -> None:
+    from stationcast.llm import line_dedup, mixing
+    ORACLE.update(op2_line_dedup=line_dedup.ORACLE_SQL, op8_mixing=mixing.ORACLE_SQL)
+
+
+_oracles()
