@@ -56,9 +56,21 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationcast.llm.fingerprints import digest
+    return digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationcast.llm.decontamination import digest
+    return digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def _oracles() -> None:
-    from stationcast.llm import line_dedup, mixing
-    ORACLE.update(op2_line_dedup=line_dedup.ORACLE_SQL, op8_mixing=mixing.ORACLE_SQL)
+    from stationcast.llm import decontamination, line_dedup, mixing
+    ORACLE.update(op2_line_dedup=line_dedup.ORACLE_SQL, op8_mixing=mixing.ORACLE_SQL, op9_decontamination=decontamination.ORACLE_SQL)
 
 
 _oracles()
