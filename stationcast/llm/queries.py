@@ -62,6 +62,12 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationcast.llm.repeats import digest
+    return digest(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stationcast.llm.near_dedup import near_duplicates
