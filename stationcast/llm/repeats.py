@@ -170,7 +170,7 @@ def smallest_docs(contexts: np.ndarray, keys: np.ndarray, smallest: np.ndarray,
         part = contexts[a:b]
         data = np.ascontiguousarray(part).ravel()
         sa = suffix_array(data)
-        prefix = common_prefixes(data, sa, CONTEXT, np.arange(len(part)) * CONTEXT)
+        prefix = common_prefixes(data, sa, CONTEXT + LENGTH, np.arange(len(part)) * CONTEXT)  # right up to LENGTH everywhere
         string = np.cumsum(prefix < LENGTH)
         row, offset = sa // CONTEXT, sa % CONTEXT
         before, behind = (part == OUTSIDE)[:, :WINDOWS].sum(axis=1), (part == OUTSIDE)[:, LENGTH - 1:].sum(axis=1)

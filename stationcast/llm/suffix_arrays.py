@@ -49,8 +49,8 @@ def _in_groups(head: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def common_prefixes(data: np.ndarray, sa: np.ndarray, most: int, starts: np.ndarray) -> np.ndarray:
     """Length of the common prefix of each suffix with the one before it in ``sa``
-    (first: 0), right up to the piece's end for positions in pieces of at most
-    ``most`` bytes that begin at ``starts``.
+    (first: 0).  Comparison ends after ``most`` bytes; it begins anew at ``starts``,
+    so a length is right up to ``most`` less the distance from the last start.
 
     Kasai's rule in its position-ordered form: a suffix whose left byte equals its
     predecessor's left byte loses one byte of its left neighbour's prefix.  Only the
