@@ -138,7 +138,7 @@ def haversine_km(lat1, lon1, lat2, lon2) -> Column:
     dphi = p2 - p1
     dlmb = F.radians(_c(lon2)) - F.radians(_c(lon1))
     a = F.pow(F.sin(dphi / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dlmb / 2), 2)
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(a))
+    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.when(a > 1, F.lit(1.0)).otherwise(a)))
 
 
 # ------------------------------------------------------------ P22 features

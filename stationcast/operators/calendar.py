@@ -77,19 +77,21 @@ def zip_time(df: DataFrame, ref: DataFrame, keys: Sequence[str], order: str,
     """Row k of ``df`` (in ``order``) takes the k-th time of ``ref``.
 
     When ``ref`` is shorter its last ``period`` times repeat cyclically.
+    Rows without an order, and rows whose key ``ref`` lacks, stay with a null time.
     Row numbers come from range-partitioned global positions, then rows
     meet ``ref`` by an equi-join on (keys, position).
     """
     keys = list(keys)
-    a = global_positions(df, keys, order).drop("n_lt", "n").withColumnRenamed("pos", "_k")
-    r = global_positions(ref.select(*keys, ref_time), keys, ref_time).select(
+    a = global_positions(df, keys, order, ties=False).drop("n").withColumnRenamed("pos", "_k")
+    r = global_positions(ref.select(*keys, ref_time), keys, ref_time, ties=False).select(
         *keys, F.col("pos").alias("_rk"), F.col(ref_time).alias(out), F.col("n").alias("_m"))
     m = r.groupBy(*keys).agg(F.max("_m").alias("_m"))
     k, mm = F.col("_k"), F.col("_m")
     target = F.when(k < mm, k).otherwise(mm - period + F.pmod(k - mm, F.lit(period)))
     a = a.join(m, keys, "left").withColumn("_rk", target)
     res = a.drop(out) if out in a.columns and out != order else a
-    return res.join(r.drop("_m"), [*keys, "_rk"], "left").drop("_k", "_rk", "_m")
+    res = res.join(r.drop("_m"), [*keys, "_rk"], "left").drop("_k", "_rk", "_m")
+    return res.unionByName(df.filter(F.col(order).isNull()).withColumn(out, F.lit(None).cast(ref.schema[ref_time].dataType)))
 
 
 # ------------------------------------------------------------------ R11
@@ -107,20 +109,24 @@ def noleap_spine(spark, start: str, end: str, per_day: int = 4) -> DataFrame:
 
 def rebuild_noleap(df: DataFrame, order: str, start: str, end: str, per_day: int = 4,
                    keys: Sequence[str] = (), drop_year: int | None = None,
-                   pad_last: bool = True) -> DataFrame:
+                   pad_last: bool = True, strict: bool = False) -> DataFrame:
     """Re-stamp rows onto a no-leap spine of ``per_day`` rows per day.
 
     Row k (in ``order``) gets the k-th spine time; in ``drop_year`` only its
     first day is kept; the last day's rows are copied to the next day when
-    ``pad_last``.
+    ``pad_last``.  Rows beyond the spine and rows without an order stay with
+    a null time; ``strict`` fails when there are such rows.
     """
     keys = list(keys)
     spark = df.sparkSession
     spine = noleap_spine(spark, start, end, per_day)
-    a = global_positions(df, keys, order).drop("n_lt", "n").withColumnRenamed("pos", "_pos")
-    out = a.join(spine, "_pos").drop("_pos")
+    a = global_positions(df, keys, order, ties=False).drop("n").withColumnRenamed("pos", "_pos")
+    a = a.join(spine, "_pos", "left").drop("_pos")
+    out = a.unionByName(df.filter(F.col(order).isNull()).withColumn("time", F.lit(None).cast("date")))
+    if strict and (left := out.filter(F.col("time").isNull()).count()):
+        raise ValueError(f"{left} rows have no place on the calendar from {start} to {end}")
     if drop_year is not None:
-        out = out.filter(~((F.year("time") == drop_year) & (F.dayofyear("time") != 1)))
+        out = out.filter(F.col("time").isNull() | ~((F.year("time") == drop_year) & (F.dayofyear("time") != 1)))
     if pad_last:
         last = out.filter(F.col("time") == F.lit(end).cast("date")).withColumn(
             "time", F.date_add(F.col("time"), 1))

@@ -25,17 +25,19 @@ def quantile_map(control: DataFrame, hist: DataFrame, keys: Sequence[str], value
 
     idx = number of control values strictly below the value; frac =
     (idx - 1) / (n - 1), or 0 when idx = 0; result = sorted historical value
-    at position int(frac * (m - 1)).  Keys without history get null.
+    at position int(frac * (m - 1)).  Keys without history and null values
+    get null.
     """
     keys = list(keys)
     c = global_positions(control, keys, value)
     frac = F.when((F.col("n_lt") > 0) & (F.col("n") > 1),
                   (F.col("n_lt") - 1) / (F.col("n") - 1)).otherwise(F.lit(0.0))
-    h = global_positions(hist.select(*keys, value), keys, value)
+    h = global_positions(hist.select(*keys, value), keys, value, ties=False)
     m = h.groupBy(*keys).agg(F.max("n").alias("_m"))
     c = c.join(m, keys, "left").withColumn("_target", F.floor(frac * (F.col("_m") - 1)))
     hv = h.select(*keys, F.col("pos").alias("_target"), F.col(value).alias(out))
-    return c.join(hv, [*keys, "_target"], "left").drop("_target", "_m", "pos", "n_lt", "n")
+    mapped = c.join(hv, [*keys, "_target"], "left").drop("_target", "_m", "pos", "n_lt", "n")
+    return mapped.unionByName(control.filter(F.col(value).isNull()).withColumn(out, F.lit(None).cast(hist.schema[value].dataType)))
 
 
 # ------------------------------------------------------------------ W6
@@ -43,8 +45,8 @@ def quantile_pairs(control: DataFrame, hist: DataFrame, keys: Sequence[str], val
     """Sorted control values paired with the linearly interpolated
     historical quantile at the same plotting position p = i / (n - 1)."""
     keys = list(keys)
-    c = global_positions(control.select(*keys, value), keys, value)
-    h = global_positions(hist.select(*keys, value), keys, value)
+    c = global_positions(control.select(*keys, value), keys, value, ties=False)
+    h = global_positions(hist.select(*keys, value), keys, value, ties=False)
     m = h.groupBy(*keys).agg(F.max("n").alias("_m"))
     pos = F.when(F.col("n") > 1, F.col("pos") / (F.col("n") - 1)).otherwise(F.lit(0.0)) * (F.col("_m") - 1)
     c = c.join(m, keys).select(*keys, F.col(value).alias("x"), pos.alias("_h"))

@@ -33,8 +33,8 @@ def clip_period(df: DataFrame, sites: DataFrame | None = None, start: str | None
                 open_end: bool = False) -> DataFrame:
     """Inclusive date-range filter.
 
-    With ``sites`` (keys, start, end) each site has its own window, missing
-    bounds fall back to the defaults; ``open_end`` keeps everything from
+    With ``sites`` (keys, start, end) each site has its own window; missing
+    bounds, and sites without an entry, fall back to the defaults; ``open_end`` keeps everything from
     the start on (prediction window).  The site table is one row per site.
     """
     d = F.col(date)
@@ -45,13 +45,11 @@ def clip_period(df: DataFrame, sites: DataFrame | None = None, start: str | None
         if end is not None and not open_end:
             cond = cond & (d <= F.lit(end).cast(df.schema[date].dataType))
         return df.filter(cond)
-    b = sites.select(*keys,
-                     F.coalesce(F.col("start").cast("date"), F.lit(DEFAULT_START).cast("date")).alias("_start"),
-                     F.coalesce(F.col("end").cast("date"), F.lit(DEFAULT_END).cast("date")).alias("_end"))
-    cond = d.cast("date") >= F.col("_start")
+    b = sites.select(*keys, F.col("start").cast("date").alias("_start"), F.col("end").cast("date").alias("_end"))
+    cond = d.cast("date") >= F.coalesce("_start", F.lit(DEFAULT_START).cast("date"))
     if not open_end:
-        cond = cond & (d.cast("date") <= F.col("_end"))
-    return df.join(b, list(keys)).filter(cond).drop("_start", "_end")
+        cond = cond & (d.cast("date") <= F.coalesce("_end", F.lit(DEFAULT_END).cast("date")))
+    return df.join(b, list(keys), "left").filter(cond).drop("_start", "_end")
 
 
 # ------------------------------------------------------------------ P3
@@ -194,11 +192,11 @@ def complete_cases(df: DataFrame, keep: Sequence[str] = ()) -> tuple[DataFrame,
 def round_cols(df: DataFrame, cols: Iterable[str], n: int = 2) -> DataFrame:
     """Round numeric columns to ``n`` decimals.
 
-    As NumPy/pandas do: scale by 10^n, round, scale back (ties of the scaled
-    binary value go away from zero here, to even in NumPy).
+    As NumPy/pandas do: scale by 10^n, round ties of the scaled binary value
+    to even, scale back.
     """
     k = float(10 ** n)
-    return df.withColumns({c: F.round(F.col(c) * F.lit(k)) / F.lit(k) for c in cols})
+    return df.withColumns({c: F.bround(F.col(c) * F.lit(k)) / F.lit(k) for c in cols})
 
 
 def coerce_numeric(df: DataFrame, cols: Iterable[str]) -> DataFrame:

@@ -8,7 +8,7 @@ with an exact widening search, never as a cross product of fact rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -121,55 +121,53 @@ def _unit_vec(lat: str, lon: str):
 
 def nearest_point(a: DataFrame, b: DataFrame, a_id: str = "id", b_id: str = "id",
                   keys: Sequence[str] = (), lat: str = "lat", lon: str = "lon",
-                  cell_km: float = 50.0, max_rounds: int = 12,
-                  names: tuple[str, str] = ("a_id", "b_id")) -> DataFrame:
+                  cell_km: float = 50.0, names: tuple[str, str] = ("a_id", "b_id")) -> DataFrame:
     """For every point of ``a`` the closest point of ``b`` within the same
-    ``keys`` (J10), with the haversine distance.
-
-    Points become unit vectors bucketed into cubes of side ``c`` (chord
-    units).  Round k joins each unresolved ``a`` point to the ``b`` points
-    in the (2k+1)^3 cubes around it; any ``b`` point outside that block is
-    more than k*c away, so a best chord <= k*c is exact.  Unresolved points
-    go to the next round with k doubled.  Ties go to the smallest id.
+    ``keys`` (J10), with the haversine distance; null where ``b`` has no point
+    of the key.
+
+    Only distinct coordinates are searched, of ``b`` with their smallest id.
+    They become unit vectors in cubes of side ``c`` (chord units).  A round
+    joins each open coordinate to the ``b`` coordinates in the 27 cubes around
+    it; any other is more than c away, so a best chord <= c is exact.  Open
+    ones go to the next round with cubes of twice the side, until a cube spans
+    the sphere: rounds grow with the logarithm of the distance, and none is
+    left out.  Ties go to the smallest id.
     """
     keys = list(keys)
-    c = cell_km / EARTH_RADIUS_KM
-    ax, ay, az = _unit_vec(lat, lon)
-    A = a.select(*keys, F.col(a_id).alias("a_id"), F.col(lat).alias("a_lat"), F.col(lon).alias("a_lon"),
-                 ax.alias("ax"), ay.alias("ay"), az.alias("az"))
-    bx, by, bz = _unit_vec(lat, lon)
-    B = b.select(*keys, F.col(b_id).alias("b_id"), F.col(lat).alias("b_lat"), F.col(lon).alias("b_lon"),
-                 bx.alias("bx"), by.alias("by"), bz.alias("bz"))
-    B = B.withColumns({"_i": F.floor(F.col("bx") / c), "_j": F.floor(F.col("by") / c), "_k": F.floor(F.col("bz") / c)})
-    results = []
-    pending = A
-    k = 1
-    for _ in range(max_rounds):
-        off = F.sequence(F.lit(-k), F.lit(k))
-        cand = (pending
-                .withColumn("_i", F.explode(F.transform(off, lambda o: F.floor(F.col("ax") / c) + o)))
-                .withColumn("_j", F.explode(F.transform(off, lambda o: F.floor(F.col("ay") / c) + o)))
-                .withColumn("_k", F.explode(F.transform(off, lambda o: F.floor(F.col("az") / c) + o))))
-        j = cand.join(B, [*keys, "_i", "_j", "_k"])
-        chord = F.sqrt((F.col("ax") - F.col("bx")) ** 2 + (F.col("ay") - F.col("by")) ** 2
-                       + (F.col("az") - F.col("bz")) ** 2)
-        best = cut_lineage(j.withColumn("_chord", chord)
-                           .groupBy(*keys, "a_id", "a_lat", "a_lon")
-                           .agg(F.min_by(F.struct("b_id", "b_lat", "b_lon"), F.struct("_chord", "b_id")).alias("_b"),
-                                F.min("_chord").alias("_chord")))
-        if k * c >= 2.0:
-            # every b point is within 2 chord units of any a point: exhaustive
-            results.append(best)
-            break
-        done = best.filter(F.col("_chord") <= k * c)
-        results.append(done)
-        pending = cut_lineage(pending.join(done.select(*keys, "a_id"), [*keys, "a_id"], "left_anti"))
-        if pending.limit(1).count() == 0:
+
+    def coordinates(df: DataFrame, x: str, *aggs) -> DataFrame:
+        v = _unit_vec(f"{x}_lat", f"{x}_lon")
+        d = df.select(*keys, F.col(lat).alias(f"{x}_lat"), F.col(lon).alias(f"{x}_lon"), *aggs)
+        d = d.groupBy(*keys, f"{x}_lat", f"{x}_lon").agg(F.min("b_id").alias("b_id")) if aggs else d.distinct()
+        return d.withColumns({f"{x}x": v[0], f"{x}y": v[1], f"{x}z": v[2]})
+    targets = cut_lineage(coordinates(b, "b", F.col(b_id).alias("b_id")))
+    pending = cut_lineage(coordinates(a, "a"))
+    place, found, c = [*keys, "a_lat", "a_lon"], [], cell_km / EARTH_RADIUS_KM
+    axes = (("_i", "x"), ("_j", "y"), ("_k", "z"))
+    while True:
+        cand, cells = pending, targets.withColumns({i: F.floor(F.col(f"b{x}") / c) for i, x in axes})
+        for i, x in axes:
+            cand = cand.withColumn(i, F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), partial(_beside, x, c))))
+        chord = F.sqrt(sum((F.col(f"a{x}") - F.col(f"b{x}")) ** 2 for _, x in axes))
+        best = (cand.join(cells, [*keys, "_i", "_j", "_k"]).withColumn("_chord", chord).groupBy(*place)
+                .agg(F.min_by(F.struct("b_id", "b_lat", "b_lon"), F.struct("_chord", "b_id")).alias("_b"), F.min("_chord").alias("_chord")))
+        if c < 2.0:  # else every point lies in the 27 cubes
+            best = best.filter(F.col("_chord") <= c)
+        found.append(cut_lineage(best))
+        pending = cut_lineage(pending.join(found[-1].select(*place), place, "left_anti"))
+        if c >= 2.0 or pending.isEmpty():
             break
-        k *= 2
-    out = reduce(lambda x, y: x.unionByName(y), results)
-    return out.select(*keys, F.col("a_id").alias(names[0]), F.col("_b.b_id").alias(names[1]),
-                      haversine_km("a_lat", "a_lon", "_b.b_lat", "_b.b_lon").alias("distance_km"))
+        c *= 2
+    nearest = reduce(lambda x, y: x.unionByName(y), found).select(*place, "_b")
+    points = a.select(*keys, F.col(a_id).alias("a_id"), F.col(lat).alias("a_lat"), F.col(lon).alias("a_lon"))
+    return points.join(nearest, place, "left").select(
+        *keys, F.col("a_id").alias(names[0]), F.col("_b.b_id").alias(names[1]),
+        haversine_km("a_lat", "a_lon", "_b.b_lat", "_b.b_lon").alias("distance_km"))
+
+
+def _beside(axis: str, c: float, step):
+    return F.floor(F.col(f"a{axis}") / c) + step
 
 
 # ------------------------------------------------------------------ J11-J13
@@ -207,5 +205,7 @@ def sort_by(df: DataFrame, cols: Sequence[str], ascending=True) -> DataFrame:
 
 def top_k(df: DataFrame, col: str, k: int = 20) -> DataFrame:
     """Top-k rows by ``col`` descending (O3): planned as TakeOrderedAndProject
-    (per-partition top-k, then a k-row merge)."""
-    return df.orderBy(F.col(col).desc()).limit(k)
+    (per-partition top-k, then a k-row merge).  Ties are ordered by the other
+    columns, so the k-th row is always the same."""
+    rest = [F.col(f"`{c}`") for c, t in df.dtypes if c != col and not t.startswith(("map", "variant"))]
+    return df.orderBy(F.col(f"`{col}`").desc_nulls_last(), *rest).limit(k)

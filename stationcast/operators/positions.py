@@ -3,9 +3,9 @@
 A window ``partitionBy(site).orderBy(value)`` sorts every value of a site in
 one task; with a site holding a third of the data that task holds a third
 of the data.  Here the sort is global and range-partitioned on
-(keys, value): Spark samples the key space, so a hot key spreads over many
-partitions, while equal (keys, value) rows always land in the same
-partition.  Per (partition, key) counts form a small table whose running
+(keys, value, hash of the row and its input partition): Spark samples that
+space, so a hot key, and one value that most rows of a key share, spread over
+many partitions.  Per (partition, key) counts form a small table whose running
 sums give every partition its offset; position = offset + local index.
 """
 
@@ -20,10 +20,13 @@ from stationcast.operators.common import cut_lineage
 
 
 def global_positions(df: DataFrame, keys: Sequence[str], value: str,
-                     num_partitions: int | None = None, keep_partition: bool = False) -> DataFrame:
+                     num_partitions: int | None = None, keep_partition: bool = False,
+                     ties: bool = True) -> DataFrame:
     """Add ``pos`` (0-based row number in value order within the key),
-    ``n_lt`` (rows of the key with a strictly smaller value) and ``n``
-    (rows of the key).  Null values are dropped first.
+    ``n_lt`` (rows of the key with a strictly smaller value; only with
+    ``ties``, as it costs a join on the distinct values) and ``n`` (rows of
+    the key).  Rows with a null value have no position and are left out;
+    callers that keep them add them again.
 
     Ties get consecutive ``pos`` in an arbitrary but fixed order.  With
     ``keep_partition`` the range partition of each row is kept as
@@ -36,24 +39,23 @@ def global_positions(df: DataFrame, keys: Sequence[str], value: str,
     # Range bounds come from a sample and ids from row order, both of which
     # may differ between two evaluations of the input: the tagged frame is
     # written once to the checkpoint folder and every branch reads that copy.
-    d = cut_lineage(d.repartitionByRange(n_parts, *keys, value)
-                    .sortWithinPartitions(*keys, value)
+    salted = d.withColumn("_salt", F.xxhash64(*[F.col(f"`{c}`") for c in d.columns], F.spark_partition_id()))
+    d = cut_lineage(salted.repartitionByRange(n_parts, *keys, value, "_salt")
+                    .sortWithinPartitions(*keys, value, "_salt").drop("_salt")
                     .withColumn("_pid", F.spark_partition_id())
                     .withColumn("_id", F.monotonically_increasing_id()))
-    # local index within (partition, key) and within (partition, key, value)
+    # local index within (partition, key)
     part = d.groupBy("_pid", *keys).agg(F.min("_id").alias("_kmin"), F.count(F.lit(1)).alias("_kn"))
     wk = Window.partitionBy(*keys).orderBy("_pid")
     part = part.select("_pid", *keys, "_kmin",
                        (F.sum("_kn").over(wk) - F.col("_kn")).alias("_off"),
                        F.sum("_kn").over(Window.partitionBy(*keys)).alias("n"))
-    first_of_value = d.groupBy("_pid", *keys, value).agg(F.min("_id").alias("_vmin"))
-    out = (d.join(part, ["_pid", *keys])
-           .join(first_of_value, ["_pid", *keys, value])
-           .withColumn("pos", F.col("_off") + F.col("_id") - F.col("_kmin"))
-           .withColumn("n_lt", F.col("_off") + F.col("_vmin") - F.col("_kmin")))
+    out = d.join(part, ["_pid", *keys]).withColumn("pos", F.col("_off") + F.col("_id") - F.col("_kmin"))
+    if ties:
+        out = out.join(out.groupBy(*keys, value).agg(F.min("pos").alias("n_lt")), [*keys, value])
     if keep_partition:
         out = out.withColumnRenamed("_pid", "range_part")
-    return out.drop("_pid", "_id", "_kmin", "_off", "_vmin")
+    return out.drop("_pid", "_id", "_kmin", "_off")
 
 
 def quantile_cont(df: DataFrame, keys: Sequence[str], value: str, q: float,
@@ -65,7 +67,7 @@ def quantile_cont(df: DataFrame, keys: Sequence[str], value: str, q: float,
     final aggregation is two rows per key.
     """
     keys = list(keys)
-    p = global_positions(df.select(*keys, value), keys, value)
+    p = global_positions(df.select(*keys, value), keys, value, ties=False)
     h = F.lit(q) * (F.col("n") - 1)
     lo, hi = F.floor(h), F.ceil(h)
     sel = p.filter((F.col("pos") == lo) | (F.col("pos") == hi)).select(

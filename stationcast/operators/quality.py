@@ -40,7 +40,7 @@ def mode_values(df: DataFrame, col: str, keys: Sequence[str] = ()) -> DataFrame:
     """
     counts = df.filter(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_c"))
     return counts.groupBy(*keys).agg(
-        F.max_by(F.col(col), F.struct(F.col("_c"), -F.col(col))).alias(f"{col}_mode"))
+        F.min_by(F.col(col), F.struct(-F.col("_c"), F.col(col))).alias(f"{col}_mode"))
 
 
 def mode_fill(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -58,15 +58,20 @@ def mode_fill(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> D
 
 # ------------------------------------------------------------------ A12
 def percentile_table(obs: DataFrame, pred: DataFrame, keys: Sequence[str], q: float = 0.95,
-                     obs_col: str = "observed", pred_col: str = "predicted") -> DataFrame:
+                     obs_col: str = "observed", pred_col: str = "predicted",
+                     combinations: DataFrame | None = None) -> DataFrame:
     """Exact q-percentile of observed and predicted per key with a reason
-    when one side has no data (A12)."""
+    code when a side has no data (A12).
+
+    One row for every key of ``combinations``; without it, for every key that
+    either side has a row of, with a value or not."""
     keys = list(keys)
+    base = (combinations if combinations is not None else obs.select(*keys).unionByName(pred.select(*keys))).select(*keys).distinct()
     o = quantile_cont(obs, keys, obs_col, q, "obs_percentile")
     p = quantile_cont(pred, keys, pred_col, q, "pred_percentile")
-    j = o.join(p, keys, "full")
-    reason = (F.when(F.col("obs_percentile").isNull(), F.lit("No valid observation data"))
-              .when(F.col("pred_percentile").isNull(), F.lit("No valid prediction data")))
+    j = base.join(o, keys, "left").join(p, keys, "left")
+    reason = (F.when(F.col("obs_percentile").isNull(), F.lit("no_observed"))
+              .when(F.col("pred_percentile").isNull(), F.lit("no_predicted")))
     return j.withColumn("error", reason)
 
 

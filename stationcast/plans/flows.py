@@ -63,11 +63,9 @@ def reanalysis_table(obs: DataFrame, grid_long: DataFrame, variables: Sequence[s
     With ``materialize`` the assembled daily table is written once to the
     checkpoint folder before the statistics read it again.
     """
+    if lag:  # lagged before assembly: a day without observation still hands its predictors on
+        grid_long = grid_long.withColumn("date", F.when(F.col("variable").isin(*lag), F.date_add("date", 1)).otherwise(F.col("date")))
     t = J.assemble(obs, grid_long, variables, n_points, keys)
-    if lag:
-        lag_cols = [f"{v}-{i}" for v in lag for i in range(1, n_points + 1)]
-        prev = t.select(*keys, F.date_add("date", 1).alias("date"), *[F.col(f"`{c}`").alias(c) for c in lag_cols])
-        t = t.drop(*lag_cols).join(prev, [*keys, "date"], "left")
     t = FR.add_date_parts(t, "date", ("dayOfYear", "year", "month"))
     t = FR.point_mean_wide(t, parameter, n_points)
     if materialize:

@@ -81,8 +81,8 @@ WITH sp AS (SELECT CAST(t AS DATE) AS time FROM generate_series(TIMESTAMP '2024-
 spd AS (SELECT time, row_number() OVER (ORDER BY time) - 1 AS d FROM sp),
 spos AS (SELECT time, d * 4 + j AS pos FROM spd, range(0, 4) r(j)),
 e AS (SELECT event_id, value, row_number() OVER (ORDER BY event_id) - 1 AS pos FROM events),
-o AS (SELECT e.event_id, e.value, spos.time FROM e JOIN spos USING (pos)
-      WHERE NOT (year(spos.time) = 2026 AND dayofyear(spos.time) <> 1))
+o AS (SELECT e.event_id, e.value, spos.time FROM e LEFT JOIN spos USING (pos)
+      WHERE spos.time IS NULL OR NOT (year(spos.time) = 2026 AND dayofyear(spos.time) <> 1))
 SELECT event_id, value, time FROM o UNION ALL SELECT event_id, value, CAST(time + 1 AS DATE) FROM o WHERE time = DATE '2029-12-31'""")
 def r11_rebuild_noleap(spark, d):
     ev = S.read_table(spark, d, "events").select("event_id", "value")

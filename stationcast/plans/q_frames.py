@@ -177,8 +177,8 @@ def p13_complete_cases(spark, d):
 
 
 @register("p14_round_cols", """
-SELECT l_orderkey, l_linenumber, round(l_extendedprice * (1 - l_discount) * 1e2) / 1e2 AS revenue,
-  round(l_quantity / 7 * 1e3) / 1e3 AS qty FROM lineitem""")
+SELECT l_orderkey, l_linenumber, round_even(l_extendedprice * (1 - l_discount) * 1e2, 0) / 1e2 AS revenue,
+  round_even(l_quantity / 7 * 1e3, 0) / 1e3 AS qty FROM lineitem""")
 def p14_round_cols(spark, d):
     li = S.read_table(spark, d, "lineitem").select(
         "l_orderkey", "l_linenumber", (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"),

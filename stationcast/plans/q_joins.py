@@ -211,7 +211,7 @@ def o2_time_sort(spark, d):
 
 @register("o3_top_k", """
 SELECT feature, score FROM (SELECT l_returnflag || '-' || CAST(l_linenumber AS VARCHAR) AS feature,
-  """ + S.r("avg(abs(l_tax))", 9) + """ AS score FROM lineitem GROUP BY 1) ORDER BY score DESC LIMIT 20""")
+  """ + S.r("avg(abs(l_tax))", 9) + """ AS score FROM lineitem GROUP BY 1) ORDER BY score DESC, feature LIMIT 20""")
 def o3_top_k(spark, d):
     li = S.read_table(spark, d, "lineitem")
     f = li.groupBy(F.concat("l_returnflag", F.lit("-"), F.col("l_linenumber").cast("string")).alias("feature")).agg(

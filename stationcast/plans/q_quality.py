@@ -47,8 +47,8 @@ oq AS (SELECT site, quantile_cont(observed, 0.95) AS obs_percentile FROM o GROUP
 pq AS (SELECT site, quantile_cont(predicted, 0.95) AS pred_percentile FROM p GROUP BY 1)
 SELECT coalesce(oq.site, pq.site) AS site, """ + S.r("obs_percentile", 4) + """ AS obs_percentile,
   """ + S.r("pred_percentile", 4) + """ AS pred_percentile,
-  CASE WHEN obs_percentile IS NULL THEN 'No valid observation data'
-       WHEN pred_percentile IS NULL THEN 'No valid prediction data' END AS error
+  CASE WHEN obs_percentile IS NULL THEN 'no_observed'
+       WHEN pred_percentile IS NULL THEN 'no_predicted' END AS error
 FROM oq FULL OUTER JOIN pq ON oq.site = pq.site""")
 def a12_percentile_table(spark, d):
     o = S.read_table(spark, d, "orders").groupBy((F.col("o_orderkey") % 4).alias("site"), F.to_date("o_orderdate").alias("date")) \

@@ -136,7 +136,7 @@ def s5_packed_series(spark, d):
                       F.concat(F.lit("["), F.array_join(lats, " "), F.lit("]")).alias("lat"),
                       F.concat(F.lit("["), F.array_join(lons, " "), F.lit("]")).alias("lon"),
                       F.concat(F.lit("[ "), F.array_join(vals, "  "), F.lit(" ]")).alias("value"))
-    out = SRC.explode_packed_series(packed, ["lat", "lon", "value"])
+    out = SRC.explode_packed_series(packed, ["lat", "lon", "value"], uneven="drop")
     return out.select("utctime", "cell", rnd("lat").alias("lat"), rnd("lon").alias("lon"), rnd("value", 5).alias("value"))
 
 

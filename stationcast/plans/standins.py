@@ -16,7 +16,7 @@ from stationcast.session import read_table
 # Fixed values of the stand-ins.
 EVENT_SITES = 4          # site = user_id % 4
 GRID_SITES = 3           # site = orderkey % 3
-N_POINTS = 4             # grid point = l_linenumber in 1..4
+N_POINTS = 4             # grid point = (l_linenumber - 1) % 4 + 1
 CUTOFF = "1999-12-31"    # past / future split of the gridded series
 
 SQL = {
@@ -33,8 +33,8 @@ SQL = {
     "hourly": """SELECT user_id % 4 AS site, date_trunc('hour', ts) AS time,
         max(value) AS value FROM events GROUP BY 1, 2""",
     "grid": """SELECT l_orderkey % 3 AS site, CAST(l_shipdate AS DATE) AS date,
-        l_linenumber AS point, max(l_extendedprice) AS price, avg(l_quantity) AS qty
-        FROM lineitem WHERE l_linenumber <= 4 GROUP BY 1, 2, 3""",
+        (l_linenumber - 1) % 4 + 1 AS point, max(l_extendedprice) AS price, avg(l_quantity) AS qty
+        FROM lineitem GROUP BY 1, 2, 3""",
     "pred": """SELECT o_orderkey % 3 AS site, CAST(o_orderdate AS DATE) AS date,
         avg(o_totalprice) AS obs FROM orders GROUP BY 1, 2""",
     "cells": """SELECT c_custkey AS id, c_nationkey AS site, c_mktsegment AS segment,
@@ -90,10 +90,9 @@ def grid(spark: SparkSession, d: str) -> DataFrame:
     rounding tie caused by summation order.
     """
     li = read_table(spark, d, "lineitem")
-    return (li.filter(F.col("l_linenumber") <= N_POINTS)
-            .groupBy((F.col("l_orderkey") % GRID_SITES).alias("site"),
-                     F.to_date("l_shipdate").alias("date"),
-                     F.col("l_linenumber").alias("point"))
+    return (li.groupBy((F.col("l_orderkey") % GRID_SITES).alias("site"),
+                         F.to_date("l_shipdate").alias("date"),
+                       ((F.col("l_linenumber") - 1) % N_POINTS + 1).alias("point"))
             .agg(F.max("l_extendedprice").alias("price"), F.avg("l_quantity").alias("qty")))
 
 

@@ -137,16 +137,22 @@ def station_catalog(obs: DataFrame, catalog: DataFrame, key: str = "staid") -> D
 
 
 # ------------------------------------------------------------------ S5
-def explode_packed_series(df: DataFrame, cols: Sequence[str], time: str = "utctime") -> DataFrame:
+def explode_packed_series(df: DataFrame, cols: Sequence[str], time: str = "utctime",
+                          uneven: str = "raise") -> DataFrame:
     """Per-timestamp packed strings ``[a b c]`` -> one row per cell.
 
-    Rows whose arrays differ in length are dropped (the reference raises,
-    D11) rather than padded with nulls.
+    A row whose arrays differ in length fails the job; with ``uneven="drop"``
+    such rows are left out (D11).  They are never padded with nulls.
     """
+    if uneven not in ("raise", "drop"):
+        raise ValueError(f"uneven must be 'raise' or 'drop', not {uneven!r}")
     arrs = {c: F.split(F.trim(F.regexp_replace(F.col(c), r"[\[\]]", "")), r"\s+") for c in cols}
     a = df.select(time, *[v.alias(c) for c, v in arrs.items()])
     size0 = F.size(cols[0])
     same = reduce(lambda x, y: x & y, [F.size(c) == size0 for c in cols[1:]], F.lit(True))
+    if uneven == "raise":
+        same = F.when(same, True).otherwise(F.raise_error(F.concat(
+            F.lit("packed arrays of different length at "), F.coalesce(F.col(time).cast("string"), F.lit("null")))).cast("boolean"))
     z = a.filter(same).select(time, F.posexplode(F.arrays_zip(*cols)).alias("cell", "z"))
     return z.select(time, "cell", *[F.col(f"z.{c}").cast("double").alias(c) for c in cols])
 
@@ -178,11 +184,11 @@ def with_site_dim(df: DataFrame, sites: DataFrame, keys: Sequence[str] = ("site"
     """Join the site dimension to facts, with bounds defaulted.
 
     The dimension is one row per site; it is broadcast after a size check.
+    Sites without an entry get the default bounds as well.
     """
-    dim = with_site_bounds(sites).withColumns({
+    return df.join(bounded(with_site_bounds(sites)), list(keys), "left").withColumns({
         "start": F.coalesce(F.col("start"), F.lit(default_start).cast("date")),
         "end": F.coalesce(F.col("end"), F.lit(default_end).cast("date"))})
-    return df.join(bounded(dim), list(keys), "left")
 
 
 # ------------------------------------------------------------------ S8

@@ -87,7 +87,7 @@ def test_packed_series_unequal_lengths_dropped(spark):
     df = spark.createDataFrame([("t1", "[60.0 60.25]", "[1.0 2.0]", "[ 3.5  4.5 ]"),
                                 ("t2", "[60.0 60.25]", "[1.0]", "[3.5 4.5]")],
                                "utctime string, lat string, lon string, v string")
-    out = rows(SRC.explode_packed_series(df, ["lat", "lon", "v"]), "utctime", "cell", "lat", "lon", "v")
+    out = rows(SRC.explode_packed_series(df, ["lat", "lon", "v"], uneven="drop"), "utctime", "cell", "lat", "lon", "v")
     assert out == [("t1", 0, 60.0, 1.0, 3.5), ("t1", 1, 60.25, 2.0, 4.5)]
 
 
