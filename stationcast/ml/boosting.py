@@ -7,34 +7,37 @@ residual is positive, alpha - 1 elsewhere) on a row and column sample, then
 replaces each leaf's value by the alpha-quantile of the residuals that fall
 in it, as quantile boosting does.
 
-Each fitted tree is compiled into a Catalyst expression - nested
-``when(feature <= threshold, left).otherwise(right)`` read from the tree's
-description, leaves numbered in preorder as Spark's ``leafCol`` does - so
-leaf assignment and scoring are plain projections inside whole-stage
-codegen: no vector assembly or model ``transform`` per tree, and a
-1000-tree model scores in one pass.  Leaf values are at most 2^depth
-numbers per tree; they travel to the driver and back as literals.  The
-running prediction is persisted per round and checkpointed every few rounds.
+Features are assembled once per fit.  In a round the fitted tree itself tells
+each row's leaf (``leafCol``); the leaves' values, at most 2^depth numbers,
+come to the driver, and the next round reads them from an array literal, or
+from a broadcast table of that many rows where the tree is deep.  A finished
+model is a list of flat node arrays.  It scores all trees in one pass over
+Arrow batches, whatever their depth, and is written to and read from shared
+storage as a small Parquet table, one row for each tree.
 """
 
 from __future__ import annotations
 
 import itertools
+import json
 import random
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationcast.operators.common import cut_lineage
 
 _IF = re.compile(r"^If \(feature (\d+) <= (\S+)\)$")
 _PRED = re.compile(r"^Predict: (\S+)$")
-TREES_PER_PROJECTION = 50
+#: Trees of more leaves read their values from a broadcast table of that many rows.
+LEAVES_AS_LITERAL = 256
 
 
 def pinball(y: Column, q: Column, alpha: float) -> Column:
@@ -88,16 +91,43 @@ def tree_expr(struct, features: Sequence[str], leaf_value) -> Column:
 
 @dataclass
 class _Tree:
-    model: DecisionTreeRegressionModel
-    features: list[str]
-    leaves: dict[int, float]
-    struct: tuple = ()
+    """Nodes in preorder: feature number of the model (-1: leaf), threshold, value, right child."""
+    feature: list[int]
+    threshold: list[float]
+    value: list[float]
+    right: list[int]
+    importances: dict[str, float]
 
-    def value(self) -> Column:
-        return tree_expr(self.struct, self.features, lambda i: self.leaves.get(i, 0.0))
+    @staticmethod
+    def of(struct: tuple, features: Sequence[str], all_features: Sequence[str], leaves: dict[int, float], importances: dict[str, float]) -> "_Tree":
+        t, counter = _Tree([], [], [], [], importances), itertools.count()
+        number = [all_features.index(f) for f in features]
+        stack: list[tuple[tuple, int | None]] = [(struct, None)]
+        while stack:
+            n, parent = stack.pop()
+            at = len(t.feature)
+            if parent is not None:
+                t.right[parent] = at
+            leaf = n[0] == "leaf"
+            t.feature.append(-1 if leaf else number[n[1]])
+            t.threshold.append(0.0 if leaf else n[2])
+            t.value.append(float(leaves.get(next(counter), 0.0)) if leaf else 0.0)
+            t.right.append(-1)
+            if not leaf:
+                stack += [(n[4], at), (n[3], None)]
+        return t
 
-    def leaf_index(self) -> Column:
-        return tree_expr(self.struct, self.features, lambda i: i).cast("int")
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        """Values of the rows of ``x``; every step moves all open rows one level down."""
+        feature, threshold, right = (np.asarray(v) for v in (self.feature, self.threshold, self.right))
+        at = np.zeros(len(x), np.int64)
+        rows = np.arange(len(x)) if feature[0] >= 0 else np.zeros(0, np.int64)
+        while len(rows):
+            here = at[rows]
+            left = x[rows, feature[here]] <= threshold[here]
+            at[rows] = np.where(left, here + 1, right[here])
+            rows = rows[feature[at[rows]] >= 0]
+        return np.asarray(self.value)[at]
 
 
 @dataclass
@@ -111,25 +141,43 @@ class QuantileGBTModel:
 
     def transform(self, df: DataFrame, output: str = "prediction") -> DataFrame:
         """Score rows in one pass; a row with a null feature gets null."""
-        out = df.withColumn("_score", F.lit(self.base))
-        for start in range(0, len(self.trees), TREES_PER_PROJECTION):
-            chunk = self.trees[start:start + TREES_PER_PROJECTION]
-            total = F.col("_score")
-            for t in chunk:
-                total = total + F.lit(self.learning_rate) * t.value()
-            out = out.withColumn("_score", total)
+        trees, base, rate = self.trees, self.base, self.learning_rate
+
+        @F.pandas_udf("double")
+        def score(*columns):
+            x = np.column_stack([c.to_numpy(dtype=float, na_value=np.nan) for c in columns])
+            total = np.full(len(x), base)
+            for t in trees:
+                total += rate * t.predict(x)
+            import pandas as pd
+            return pd.Series(np.where(np.isnan(x).any(axis=1), np.nan, total)).astype("Float64")
+        out = score(*[F.col(f"`{c}`").cast("double") for c in self.features])
         complete = F.lit(True)
         for c in self.features:
             complete = complete & F.col(f"`{c}`").isNotNull()
-        return out.withColumn(output, F.when(complete, F.col("_score"))).drop("_score")
+        return df.withColumn(output, F.when(complete, out))
+
+    def save(self, spark: SparkSession, path: str) -> str:
+        """Write the model as Parquet under ``path`` (shared storage): row 0 holds the
+        settings, every other row a tree."""
+        head = json.dumps({"features": self.features, "alpha": self.alpha, "base": self.base, "learning_rate": self.learning_rate, "history": self.history})
+        rows = [(0, head)] + [(i + 1, json.dumps(vars(t))) for i, t in enumerate(self.trees)]
+        spark.createDataFrame(rows, "tree int, body string").coalesce(1).write.parquet(path)
+        return path
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "QuantileGBTModel":
+        rows = [json.loads(r["body"]) for r in spark.read.parquet(path).orderBy("tree").collect()]  # one row per tree
+        head = rows[0]
+        return QuantileGBTModel(head["features"], head["alpha"], head["base"], head["learning_rate"],
+                                [_Tree(**t) for t in rows[1:]], [tuple(h) for h in head["history"]])
 
     def gain_importance(self) -> dict[str, float]:
         """Mean of each tree's normalised importance per feature."""
         acc = {f: 0.0 for f in self.features}
         for t in self.trees:
-            imp = t.model.featureImportances
-            for j, name in enumerate(t.features):
-                acc[name] += float(imp[j])
+            for name, gain in t.importances.items():
+                acc[name] += gain
         n = max(len(self.trees), 1)
         return {k: v / n for k, v in acc.items()}
 
@@ -160,38 +208,42 @@ class QuantileGBT:
         tr = train.select(*cols).na.drop("any")
         base = float(tr.select(F.percentile_approx(self.label, self.alpha, 10000)).first()[0])
         model = QuantileGBTModel(self.features, self.alpha, base, self.learning_rate)
-        tr = cut_lineage(tr.withColumn("_f", F.lit(base)))
-        va = None
-        if valid is not None:
-            va = cut_lineage(valid.select(*cols).na.drop("any").withColumn("_f", F.lit(base)))
+        assembler = VectorAssembler(inputCols=self.features, outputCol="_all")
+
+        def prepared(df: DataFrame) -> DataFrame:
+            return cut_lineage(assembler.transform(df.na.drop("any")).select("_all", F.col(self.label).cast("double").alias("_y"), F.lit(base).alias("_f")))
+        tr = prepared(tr)
+        va = prepared(valid.select(*cols)) if valid is not None else None
         best, best_round, since = float("inf"), 0, 0
         stale: list[DataFrame] = []
-        y = F.col(self.label)
+        y = F.col("_y")
         for r in range(self.n_estimators):
             k = max(1, round(self.colsample * len(self.features)))
             feats = sorted(rng.sample(self.features, k), key=self.features.index)
+            # every column: the assembled vector as it is
+            vec = (lambda df: df.withColumn("_vec", F.col("_all"))) if k == len(self.features) else \
+                VectorSlicer(inputCol="_all", outputCol="_vec", indices=[self.features.index(f) for f in feats]).transform
             grad = F.when(y - F.col("_f") > 0, F.lit(self.alpha)).otherwise(F.lit(self.alpha - 1.0))
-            sample = tr if self.subsample >= 1.0 else tr.sample(fraction=self.subsample, seed=rng.randrange(1 << 30))
-            fit_df = VectorAssembler(inputCols=feats, outputCol="_vec").transform(sample.withColumn("_g", grad))
-            dt = DecisionTreeRegressor(featuresCol="_vec", labelCol="_g", predictionCol="_gp",
+            sample = vec(tr if self.subsample >= 1.0 else tr.sample(fraction=self.subsample, seed=rng.randrange(1 << 30)))
+            dt = DecisionTreeRegressor(featuresCol="_vec", labelCol="_g", predictionCol="_gp", leafCol="_leaf",
                                        maxDepth=self.max_depth, minInstancesPerNode=self.min_instances,
-                                       seed=rng.randrange(1 << 30))
-            tm = dt.fit(fit_df)
-            tree = _Tree(tm, feats, {}, parse_tree(tm))
+                                       maxMemoryInMB=512, seed=rng.randrange(1 << 30))
+            tm = dt.fit(sample.withColumn("_g", grad))
             # leaf value = alpha-quantile of the residuals in the leaf (<= 2^depth rows)
-            tree.leaves = {int(row[0]): float(row[1]) for row in
-                           sample.groupBy(tree.leaf_index().alias("_leaf"))
-                           .agg(F.percentile_approx(y - F.col("_f"), self.alpha, 10000).cast("double")).collect()}
-            model.trees.append(tree)
+            leaves = {int(row[0]): float(row[1]) for row in
+                      tm.transform(sample).groupBy("_leaf").agg(F.percentile_approx(y - F.col("_f"), self.alpha, 10000).cast("double")).collect()}
+            imp = tm.featureImportances
+            model.trees.append(_Tree.of(parse_tree(tm), feats, self.features, leaves, {f: float(imp[j]) for j, f in enumerate(feats)}))
+            step = partial(self._advance, spark=train.sparkSession, tm=tm, vec=vec, leaves=leaves, r=r)
             # the previous frame is released only after an action has read
             # the new one from it (next round's fit / this round's MAE)
             for old in stale:
                 old.unpersist()
             stale = [tr]
-            tr = self._advance(tr, tree, r)
+            tr = step(tr)
             if va is not None:
                 old_va = va
-                va = self._advance(va, tree, r)
+                va = step(va)
                 mae = va.agg(F.avg(F.abs(y - F.col("_f")))).first()[0]
                 old_va.unpersist()
                 model.history.append((r, float(mae)))
@@ -211,11 +263,17 @@ class QuantileGBT:
             model.trees = model.trees[: best_round + 1]
         return model
 
-    def _advance(self, df: DataFrame, tree: _Tree, r: int) -> DataFrame:
+    def _advance(self, df: DataFrame, spark: SparkSession, tm: DecisionTreeRegressionModel, vec, leaves: dict[int, float], r: int) -> DataFrame:
         """Add one tree to the running prediction ``_f``: persisted, and
         written to the checkpoint folder every ``checkpoint_every`` rounds
         (which also survives lost executors)."""
-        out = df.withColumn("_f", F.col("_f") + F.lit(self.learning_rate) * tree.value())
+        out, size = tm.transform(vec(df)), max(leaves, default=0) + 1
+        if size <= LEAVES_AS_LITERAL:
+            value = F.get(F.lit([leaves.get(i, 0.0) for i in range(size)]), F.col("_leaf").cast("int"))
+        else:
+            table = spark.createDataFrame([(float(i), v) for i, v in leaves.items()], "_leaf double, _value double")
+            out, value = out.join(F.broadcast(table), "_leaf", "left"), F.col("_value")
+        out = out.select("_all", "_y", (F.col("_f") + F.lit(self.learning_rate) * F.coalesce(value, F.lit(0.0))).alias("_f"))
         if self.checkpoint_every and (r + 1) % self.checkpoint_every == 0:
             return cut_lineage(out)
         return out.persist()

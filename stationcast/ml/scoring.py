@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationcast.functions.scalars import clamp_min
@@ -28,25 +28,38 @@ def score_batch(model: QuantileGBTModel, df: DataFrame, keys: Sequence[str] = ("
 
 def score_scenario(model: QuantileGBTModel, df: DataFrame, predictor: str, keys: Sequence[str] = ("site", "date"),
                    unit_rule: str | None = None, unit_keys: Sequence[str] = ("site",),
-                   clamp_zero: bool = False) -> DataFrame:
-    """Scenario projection (M7): detect and convert the predictor unit per
-    key (P5), add the predictor's year-month mean/max/min columns, score,
-    and clamp negative predictions to 0 for precipitation (P16).  The
-    number of negatives is reported before clamping (Q11) in ``n_negative``.
+                   clamp_zero: bool = False, predictand: str | None = None, observed: str | None = None,
+                   convert_output: Callable[[Column], Column] | None = None, on_missing: str = "error") -> DataFrame:
+    """Scenario projection (M7).
+
+    The model scores the columns as they are, with the predictor's year-month
+    mean, max and min added; a feature the frame lacks is an error unless
+    ``on_missing`` says otherwise.  ``predictand`` adds the predictor's monthly
+    summaries under the predictand's names, in the unit that ``unit_rule``
+    detects per ``unit_keys`` (P5); ``observed`` adds the observations in the
+    same way.  ``convert_output`` converts the predictions.  Negative ones are
+    marked in ``negative`` before they are clamped to 0 (P16, Q11).
     """
-    d = df
-    if unit_rule:
-        d = FR.auto_units(d, predictor, unit_rule, unit_keys)
-    date = keys[-1]
-    st = C.monthly_stats(d, [predictor], list(keys[:-1]), date)
-    d = (d.withColumns({"year": F.year(date), "month": F.month(date)})
-         .join(st, [*keys[:-1], "year", "month"], "left").drop("year", "month"))
-    out = score_batch(model, d, keys)
-    neg = F.col("predicted") < 0
-    out = out.withColumn("negative", neg)
+    site, date = list(keys[:-1]), keys[-1]
+
+    def monthly(d: DataFrame) -> DataFrame:
+        return C.monthly_stats(d, [predictor], site, date)
+    d = df.withColumns({"year": F.year(date), "month": F.month(date)}).join(monthly(df), [*site, "year", "month"], "left")
+    extra = []
+    if predictand:
+        converted = FR.auto_units(df, predictor, unit_rule, unit_keys) if unit_rule else df
+        names = {f"{predictor}_{s}": f"{predictand}_{s}" for s in ("mean", "max", "min")}
+        d = d.join(monthly(converted).withColumnsRenamed(names), [*site, "year", "month"], "left")
+        extra = list(names.values())
+    if observed and unit_rule:
+        d = FR.auto_units(d, observed, unit_rule, unit_keys)
+    keep = [*keys, *([observed] if observed else []), *extra]
+    out = model.transform(FR.align_features(d, model.features, on_missing, keep=keep), "predicted")
+    predicted = convert_output(F.col("predicted")) if convert_output else F.col("predicted")
+    out = out.withColumn("predicted", predicted).withColumn("negative", F.col("predicted") < 0)
     if clamp_zero:
         out = out.withColumn("predicted", clamp_min("predicted", 0.0))
-    return out
+    return out.select(*keys, *([F.col(observed).alias("observed")] if observed else []), "predicted", "negative", *extra)
 
 
 def fit_on_score_on(train: DataFrame, target: DataFrame, features: Sequence[str], label: str,

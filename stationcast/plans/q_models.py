@@ -14,10 +14,11 @@ from stationcast.functions.scalars import rnd
 from stationcast.ml import explain as EX
 from stationcast.ml import folds as FO
 from stationcast.ml import scoring as SC
-from stationcast.ml.boosting import QuantileGBT
+from stationcast.ml.boosting import QuantileGBT, QuantileGBTModel
 from stationcast.ml.fanout import fit_per_key
 from stationcast.ml.search import param_search
 from stationcast.operators import climatology as C
+from stationcast.operators.common import stage_path
 from stationcast.plans import standins as S
 from stationcast.plans.registry import register
 
@@ -94,10 +95,12 @@ def m7_score_scenario(spark, d):
     mf = model_frame(spark, d)
     st = C.monthly_stats(mf, ["qty"])
     train = (mf.withColumns({"year": F.year("date"), "month": F.month("date")})
-             .join(st, ["site", "year", "month"]).drop("year", "month").filter(F.col("site") == 0))
+             .join(st, ["site", "year", "month"]).filter(~F.col("year").isin(TEST_YEARS)).drop("year", "month"))
     feats = FEATURES + ["qty_mean", "qty_max", "qty_min"]
     model = QuantileGBT(feats, "price", alpha=0.95, **GBT).fit(train)
-    return SC.score_scenario(model, mf.filter(F.col("site") != 0), "qty", clamp_zero=True)
+    # written to and read from shared storage between fit and scoring, as two jobs would
+    model = QuantileGBTModel.load(spark, model.save(spark, stage_path(spark, "model")))
+    return SC.score_scenario(model, mf, "qty", clamp_zero=True, predictand="price", observed="price")
 
 
 @register("m8_scenario_transfer")

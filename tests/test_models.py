@@ -86,3 +86,34 @@ def test_attribution_efficiency(synth):
     fb = model.transform(synth.sparkSession.createDataFrame([(b.x, b.z)], "x double, z double"), "fb").first().fb
     for r in total.join(fx, "row_id").collect():
         assert r.s == pytest.approx(r.fx - fb, abs=1e-9)
+
+
+def test_saved_model_scores_the_same(spark, synth, tmp_path):
+    from stationcast.ml.boosting import QuantileGBTModel
+    model = QuantileGBT(["x", "z"], "y", alpha=0.9, n_estimators=4, max_depth=12, colsample=0.5, seed=2).fit(synth, synth)
+    again = QuantileGBTModel.load(spark, model.save(spark, str(tmp_path / "model")))
+    rows = [(r.a, r.b) for r in again.transform(model.transform(synth, "a"), "b").select("a", "b").collect()]
+    assert all(a == b for a, b in rows) and again.gain_importance() == model.gain_importance()
+    assert again.history == model.history
+
+
+def test_array_trees_equal_the_fitted_path(synth):
+    """The running prediction of the fit and the finished model agree."""
+    model = QuantileGBT(["x", "z"], "y", alpha=0.9, n_estimators=3, max_depth=11).fit(synth, synth)
+    mae = model.transform(synth, "q").agg(F.avg(F.abs(F.col("y") - F.col("q")))).first()[0]
+    assert abs(mae - model.history[len(model.trees) - 1][1]) < 1e-9
+
+
+def test_scenario_scoring_outputs(spark):
+    import datetime as dt
+    from stationcast.ml import scoring as SC
+    rows = [("s", dt.date(2020, 1, 1) + dt.timedelta(days=k), float(k % 17), 300.0 + k % 5, float(k % 17) - 8) for k in range(300)]
+    df = spark.createDataFrame(rows, "site string, date date, p double, t double, y double")
+    model = QuantileGBT(["p"], "y", alpha=0.5, n_estimators=3).fit(df)
+    out = SC.score_scenario(model, df, "t", predictand="tx", observed="y", unit_rule="K_to_C", clamp_zero=True, convert_output=lambda c: c * 2)
+    assert out.columns == ["site", "date", "observed", "predicted", "negative", "tx_mean", "tx_max", "tx_min"]
+    got = out.collect()
+    assert len(got) == 300 and all(r.predicted >= 0 for r in got) and any(r.negative for r in got)
+    assert {round(r.tx_max, 2) for r in got} == {30.85}
+    with pytest.raises(ValueError, match="missing required features"):
+        SC.score_scenario(model, df.drop("p"), "t")
