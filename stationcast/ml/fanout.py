@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationcast.ml.boosting import QuantileGBT, pinball
+from stationcast.operators.common import cut_lineage
 
 
 def fit_per_key(df: DataFrame, keys: Sequence[str], features: Sequence[str], label: str,
@@ -22,6 +23,7 @@ def fit_per_key(df: DataFrame, keys: Sequence[str], features: Sequence[str], lab
     """Fit one quantile model per key combination; one result row per key
     with hold-out pinball loss and MAE and the rounds kept."""
     spark = df.sparkSession
+    df = cut_lineage(df)  # read by every key's fit
     key_rows = [tuple(r) for r in df.select(*keys).distinct().collect()]  # one row per key combination
 
     def run(i_k):

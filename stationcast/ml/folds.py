@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stationcast.operators.common import cut_lineage
+
 # Fixed value: multiplier of the seeded year order (Knuth's multiplicative hash).
 _HASH_MULT = 2654435761
 _HASH_MOD = 2 ** 32
@@ -53,28 +54,42 @@ def with_folds(df: DataFrame, folds: DataFrame, keys: Sequence[str] = (), date:
 
 
 def best_split(df: DataFrame, features: Sequence[str], label: str, fold_col: str = "fold",
-               max_iter: int = 20, max_depth: int = 5, seed: int = 0) -> DataFrame:
+               max_iter: int = 20, max_depth: int = 5, seed: int = 0, subsample: float = 1.0,
+               colsample: float = 1.0, early_stop: float | None = None, year: str = "year") -> DataFrame:
     """Cross-validate squared-error boosted trees, one fold held out at a
-    time (M3).  Returns (fold, rmse, mae, n_test, best); the fold with the
-    lowest RMSE is the split to keep.  Each fit is a distributed Spark ML
-    job; the small result table is built from their scores.
+    time (M3).  Returns (fold, rmse, mae, n_test, train_years, test_years,
+    best); the fold with the lowest RMSE is the split to keep, and its years
+    are what a fit takes over.  ``subsample`` and ``colsample`` are shares of
+    rows per tree and features per node; with ``early_stop`` a fold's fit ends
+    once a tenth of its training rows, by hash, improves by less than that.
+    Each fit is a distributed Spark ML job over the features, which are
+    assembled and written once.
     """
     assembler = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="skip")
-    data = assembler.transform(df.filter(F.col(label).isNotNull()))
+    held = F.pmod(F.xxhash64(*[F.col(f"`{f}`") for f in features], F.lit(seed)), F.lit(10)) == 0
+    data = cut_lineage(assembler.transform(df.filter(F.col(label).isNotNull())).withColumn("_held", held)
+                       .select("_features", label, fold_col, "_held", *([year] if year in df.columns else [])))
+    years: dict = {}
+    if year in df.columns:  # at most a few dozen rows
+        for f, v in data.select(fold_col, year).distinct().collect():
+            years.setdefault(f, []).append(int(v))
     folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())  # at most k values
-    ev_rmse = RegressionEvaluator(labelCol=label, predictionCol="_pred", metricName="rmse")
-    ev_mae = RegressionEvaluator(labelCol=label, predictionCol="_pred", metricName="mae")
     rows = []
     for f in folds:
         train = data.filter(F.col(fold_col) != f)
         test = data.filter(F.col(fold_col) == f)
         if test.limit(1).count() == 0 or train.limit(1).count() == 0:
             continue  # empty folds are skipped
-        model = GBTRegressor(featuresCol="_features", labelCol=label, predictionCol="_pred",
-                             maxIter=max_iter, maxDepth=max_depth, seed=seed).fit(train)
-        pred = model.transform(test)
-        rows.append((int(f), float(ev_rmse.evaluate(pred)), float(ev_mae.evaluate(pred)), int(test.count())))
+        gbt = GBTRegressor(featuresCol="_features", labelCol=label, predictionCol="_pred", maxIter=max_iter,
+                           maxDepth=max_depth, seed=seed, subsamplingRate=subsample,
+                           featureSubsetStrategy="all" if colsample >= 1 else str(colsample))
+        if early_stop is not None:
+            gbt = gbt.setParams(validationIndicatorCol="_held", validationTol=early_stop)
+        error = F.col(label) - F.col("_pred")
+        scores = gbt.fit(train).transform(test).agg(F.sqrt(F.avg(error * error)), F.avg(F.abs(error)), F.count("*")).first()
+        rows.append((int(f), float(scores[0]), float(scores[1]), int(scores[2]),
+                     sorted({y for g, v in years.items() if g != f for y in v}), sorted(set(years.get(f, [])))))
     spark = df.sparkSession
-    res = spark.createDataFrame(rows, "fold int, rmse double, mae double, n_test long")
+    res = spark.createDataFrame(rows, "fold int, rmse double, mae double, n_test long, train_years array<int>, test_years array<int>")
     best = min(rows, key=lambda r: r[1])[0] if rows else None
     return res.withColumn("best", F.col("fold") == F.lit(best))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationcast.ml.boosting import QuantileGBT
+from stationcast.operators.common import cut_lineage
 
 # Search ranges (low, high) per parameter.
 SPACE = {
@@ -45,6 +46,7 @@ def param_search(train: DataFrame, valid: DataFrame, features: Sequence[str], la
     hold-out MAE (``best_mae``) and the number of rounds kept, best first."""
     spark = train.sparkSession
     trials = sample_params(n_trials, space, seed)
+    train, valid = (cut_lineage(d.select(*features, label)) for d in (train, valid))  # read by every trial
 
     def run(i_p):
         i, p = i_p
@@ -64,3 +66,12 @@ def param_search(train: DataFrame, valid: DataFrame, features: Sequence[str], la
                                       "colsample_bytree double, n_estimators int, best_mae double, rounds int, "
                                       "quantile_alpha double")
     return res.orderBy(F.col("best_mae").asc_nulls_last())
+
+
+def best_model(trials: DataFrame, train: DataFrame, features: Sequence[str], label: str,
+               valid: DataFrame | None = None, early_stopping: int = 50, seed: int = 0):
+    """Fit the quantile model with the parameters of the best trial (M5 -> M4)."""
+    b = trials.orderBy(F.col("best_mae").asc_nulls_last(), "trial").first()
+    return QuantileGBT(features, label, alpha=b["quantile_alpha"], max_depth=b["max_depth"], learning_rate=b["learning_rate"],
+                       n_estimators=b["n_estimators"], subsample=b["subsample"], colsample=b["colsample_bytree"],
+                       early_stopping=early_stopping, seed=seed + b["trial"]).fit(train, valid)

@@ -9,19 +9,24 @@ from pyspark.sql import functions as F
 
 from stationcast.session import checkpoint_dir
 
-# A dimension is broadcast only when it holds at most this many rows.
-BROADCAST_MAX_ROWS = 1_000_000
+# A side is broadcast only when its values take at most this many bytes.
+BROADCAST_MAX_BYTES = 32 << 20
 
 
-def bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint for a side whose size is checked first.
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of the values of ``df``: one aggregation, combined in the tasks."""
+    fixed = sum(16 for f in df.schema.fields if f.dataType.typeName() not in ("string", "binary"))
+    sizes = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) + 16 for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    return int(df.agg(F.coalesce(F.sum(sum(sizes, F.lit(fixed)).cast("long")), F.lit(0))).first()[0])
 
-    Counts at most ``max_rows + 1`` rows (cheap for dimensions).  Larger
-    inputs are returned unchanged and join by shuffle, where AQE can still
-    broadcast at runtime from measured sizes or split skewed partitions.
+
+def bounded(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast hint for a side whose bytes are measured first.
+
+    Larger inputs are returned unchanged and join by shuffle, where AQE can
+    still broadcast at runtime from measured sizes or split skewed partitions.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if measured_bytes(df) <= max_bytes else df
 
 
 def stage_path(spark: SparkSession, name: str) -> str:

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stationcast.operators.positions import global_positions
+
 _AGG = {"max": F.max, "min": F.min, "sum": F.sum, "mean": F.avg, "avg": F.avg}
 
 
@@ -54,9 +56,16 @@ def shift_days(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ("site"
 def shift_rows(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ("site",),
                order: str = "date", n: int = 1, suffix: str = "_lag") -> DataFrame:
     """Previous-row shift by physical order within a key (D6 semantics on
-    irregular series).  Window lag: one sorted partition per key."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    return df.withColumns({f"{c}{suffix}": F.lag(c, n).over(w) for c in cols})
+    irregular series).
+
+    Rows meet by their exact positions, from one range-partitioned sort over
+    all keys, so a long series is not sorted in one task.  Rows without an
+    order stay, with a null shift."""
+    keys = list(keys)
+    pos = global_positions(df, keys, order, ties=False).drop("n")
+    prev = pos.select(*keys, (F.col("pos") + n).alias("pos"), *[F.col(f"`{c}`").alias(f"{c}{suffix}") for c in cols])
+    out = pos.join(prev, [*keys, "pos"], "left").select(*[F.col(f"`{c}`") for c in df.columns], *[F.col(f"`{c}{suffix}`") for c in cols])
+    return out.unionByName(df.filter(F.col(order).isNull()), allowMissingColumns=True)
 
 
 def delta(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ("site",),

@@ -7,6 +7,8 @@ results must equal the batch oracle.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from stationcast.functions.scalars import rnd
@@ -33,7 +35,7 @@ def _disorder(path, spark, part="day") -> str:
 
 def _stage(df, name, spark, part="day"):
     path = stage_path(spark, name)
-    df.repartition(part).write.partitionBy(part).parquet(path)
+    df.hint("rebalance", F.col(part)).write.partitionBy(part).parquet(path)
     return path
 
 
@@ -43,7 +45,7 @@ def a1_daily_agg_stream(spark, d):
     src = _stage(sub, "a1src", spark)
     stream = spark.readStream.schema(spark.read.parquet(src).schema).option("maxFilesPerTrigger", 8).parquet(src)
     q = ST.daily_agg_stream(stream.drop("day"), empty_sum="zero", watermark=_disorder(src, spark))
-    out = ST.read_latest(spark, ST.run_available(q, stage_path(spark, "a1out"), f"a1-{abs(hash(src))}"), ["site", "date"])
+    out = ST.read_latest(spark, ST.run_available(q, stage_path(spark, "a1out"), f"a1-{os.path.basename(src)}"), ["site", "date"])
     return out.select("site", "date", "WG", "TN", "TX", rnd("TP").alias("TP"), rnd("RH").alias("RH"))
 
 
@@ -54,7 +56,7 @@ def a13_exceedance_stream(spark, d):
     src = _stage(ens.withColumn("day", F.col("date")), "a13src", spark)
     stream = spark.readStream.schema(spark.read.parquet(src).schema).option("maxFilesPerTrigger", 8).parquet(src)
     q = ST.exceedance_stream(stream.drop("day"), members, THRESHOLD, watermark=_disorder(src, spark))
-    out = ST.read_latest(spark, ST.run_available(q, stage_path(spark, "a13out"), f"a13-{abs(hash(src))}"), ["site", "date"])
+    out = ST.read_latest(spark, ST.run_available(q, stage_path(spark, "a13out"), f"a13-{os.path.basename(src)}"), ["site", "date"])
     return out.select("site", "date", rnd("pct").alias("pct"))
 
 

@@ -233,9 +233,10 @@ def write_keyed(df: DataFrame, path: str, keys: Sequence[str], fmt: str = "parqu
                 mode: str = "overwrite") -> str:
     """One output folder per key combination.
 
-    Rows are clustered by the keys first so each task writes few files.
+    Rows are clustered by the keys first so each task writes few files; the
+    rebalance splits a key that holds much of the data over several tasks.
     """
-    (df.repartition(*keys).write.mode(mode).partitionBy(*keys).format(fmt)
+    (df.hint("rebalance", *[F.col(k) for k in keys]).write.mode(mode).partitionBy(*keys).format(fmt)
      .option("header", True).save(path))
     return path
 

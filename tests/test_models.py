@@ -117,3 +117,41 @@ def test_scenario_scoring_outputs(spark):
     assert {round(r.tx_max, 2) for r in got} == {30.85}
     with pytest.raises(ValueError, match="missing required features"):
         SC.score_scenario(model, df.drop("p"), "t")
+
+
+def test_fold_search_fit_score_hand_over(spark):
+    """M2 -> M3 -> M5 -> M4 -> save -> M6 -> A18: each step takes what the one before gives."""
+    import datetime as dt
+    from stationcast.ml import scoring as SC
+    from stationcast.ml import search as SE
+    from stationcast.operators import quality as Q
+    rng = random.Random(6)
+    rows = [("s", dt.date(y, 1 + m, 1 + d), float(m), rng.random()) for y in range(2000, 2010) for m in range(12) for d in range(0, 28, 3)]
+    df = spark.createDataFrame([(s, d, m, x, 3 * m + x) for s, d, m, x in rows], "site string, date date, m double, x double, y double")
+    feats = ["m", "x"]
+    folds = FO.with_folds(df, FO.year_folds(df, k=5, seed=3))
+    split = FO.best_split(folds, feats, "y", max_iter=4, max_depth=3, subsample=0.8, colsample=0.5, early_stop=0.01).filter("best").first()
+    assert sorted(split.train_years + split.test_years) == list(range(2000, 2010)) and len(split.test_years) == 2
+    data = FO.split_years(df, split.test_years)
+    train, test = data.filter("not is_test"), data.filter("is_test")
+    trials = SE.param_search(train, test, feats, "y", 0.5, n_trials=2, parallelism=1,
+                             space={"max_depth": (3, 4), "subsample": (0.9, 1.0), "learning_rate": (0.4, 0.5), "colsample": (0.9, 1.0), "n_estimators": (6, 8)})
+    model = SE.best_model(trials, train, feats, "y", test)
+    scores = Q.score(SC.score_batch(model, test, ["site", "date"], observed="y"), ["site"]).first()
+    assert scores is not None and model.history[len(model.trees) - 1][1] < 3
+
+
+def test_shift_rows_of_a_hot_series(spark):
+    from stationcast.operators.windows import shift_rows
+    df = spark.range(0, 5000, numPartitions=4).select(F.when(F.col("id") % 10 < 7, "hot").otherwise(F.col("id").cast("string")).alias("site"),
+                                                      F.col("id").alias("date"), (F.col("id") * 2.0).alias("v"))
+    got = {(r.site, r.date): r.v_lag for r in shift_rows(df, ["v"]).collect()}
+    hot = sorted(d for s, d in got if s == "hot")
+    assert len(got) == 5000 and got["hot", hot[0]] is None and all(got["hot", b] == 2.0 * a for a, b in zip(hot, hot[1:]))
+
+
+def test_written_keys_split_and_complete(spark, tmp_path):
+    from stationcast.sources.readers import write_keyed
+    df = spark.range(0, 20_000, numPartitions=8).select(F.when(F.col("id") % 3 > 0, "a").otherwise("b").alias("site"), F.col("id").alias("v"))
+    back = spark.read.parquet(write_keyed(df, str(tmp_path / "w"), ["site"]))
+    assert {r.site: r["count"] for r in back.groupBy("site").count().collect()} == {"a": 13_333, "b": 6_667}
