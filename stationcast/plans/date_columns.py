@@ -17,6 +17,8 @@ DATE_COLUMNS = {
     'a8_fill_future': ['date'],
     'a9_delta_change': ['date'],
     'f1_station_daily': ['utctime'],
+    'f2_reanalysis_table': ['date'],
+    'f4_scenario_tables': ['date'],
     'j11_align_series': ['date'],
     'j13_attach_observed': ['date'],
     'j1_assemble': ['date'],
