@@ -7,9 +7,9 @@ times.  Instead suffix arrays are built where strings can repeat:
 1. Anchors.  In every window of LENGTH bytes the GRAM-byte pieces of least hash
    are anchors.  Equal windows have equal anchors at equal places, so a repeated
    string always meets its copy at a common anchor.
-2. Each document shard sends its sorted distinct anchor keys, with the smallest
-   and largest doc_id, to key shards.  There the sorted lists are merged by binary
-   search; keys of two doc_ids or more go back to the shards that have them.
+2. Each document shard sends its sorted distinct anchor keys to key shards.  There
+   the sorted lists are merged by binary search; a bit for each key tells the
+   shard whether several documents have it.
 3. Around such an anchor a shard cuts the context that holds all windows with it,
    folds equal contexts, and sends them to the key's shard.
 4. Each key shard builds the suffix array of its contexts by Larsson-Sadakane
@@ -43,6 +43,9 @@ CONTEXT = LENGTH + WINDOWS - 1
 #: (more only where one key has more).
 SHARD_BYTES, KEY_SHARD_BYTES, ARRAY_CONTEXTS = 3 << 20, 4 << 20, 25_000
 HOT_SHARDS = 512
+#: Bytes of a key that are sent besides those its key shard implies.  Two keys that agree
+#: in them are taken as one; that makes a few anchors live for nothing and changes no result.
+KEY_BYTES = 5
 #: Stands outside a document; no byte of UTF-8 text.
 OUTSIDE = 0xFF
 _NO_DOC = np.iinfo(np.int64).max
@@ -144,12 +147,43 @@ class Shard:
         return cut
 
 
+    def live_mask(self, keys: np.ndarray, parts: list[tuple[int, int, int]], told: pa.Table, column: str) -> np.ndarray:
+        """The bits that the key shards sent back, for the sorted distinct ``keys``."""
+        mask = np.zeros(len(keys), bool)
+        place = {c: (a, b) for c, a, b in parts}
+        for part, bits in zip(told.column("part").to_pylist(), told.column(column).to_pylist()):
+            a, b = place[part]
+            mask[a:b] = np.unpackbits(np.frombuffer(bits, np.uint8), count=b - a)
+        return mask
+
+
+_ZSTD = pa.Codec("zstd", compression_level=1)
+
+
 def _blob(x: np.ndarray) -> bytes:
-    return np.ascontiguousarray(x).tobytes()
+    """The array's bytes, packed: what is shuffled is mostly these."""
+    raw = np.ascontiguousarray(x).tobytes()
+    return len(raw).to_bytes(8, "little") + _ZSTD.compress(raw, asbytes=True)
+
+
+def _raw(blob: bytes) -> bytes:
+    return _ZSTD.decompress(blob[8:], int.from_bytes(blob[:8], "little"), asbytes=True)
 
 
 def _joined(table: pa.Table, column: str, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(table.column(column).to_pylist()), kind)
+    return np.frombuffer(b"".join(map(_raw, table.column(column).to_pylist())), kind)
+
+
+def _short(keys: np.ndarray, bits: int) -> bytes:
+    """The KEY_BYTES bytes of each key behind its first ``bits`` bits, which its key shard implies."""
+    moved = (keys << np.uint64(bits)) >> np.uint64(64 - 8 * KEY_BYTES)
+    return np.ascontiguousarray(moved.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]).tobytes()
+
+
+def _long(blob: bytes) -> np.ndarray:
+    out = np.zeros((len(blob) // KEY_BYTES, 8), np.uint8)
+    out[:, :KEY_BYTES] = np.frombuffer(blob, np.uint8).reshape(-1, KEY_BYTES)
+    return out.view("<u8").ravel()
 
 
 def _slices(sorted_codes: np.ndarray) -> list[tuple[int, int, int]]:
@@ -210,53 +244,55 @@ def removal(docs: DataFrame, text: str = "text", key: str = "doc_id", shard_byte
         rows = _slices(code(keys))
         shard = docs.column("shard")[0].as_py()
         return pa.table({"part": pa.array([c for c, _, _ in rows], pa.int64()), "shard": pa.array([shard] * len(rows), pa.int64()),
-                         **{name: pa.array([_blob(x[a:b]) for _, a, b in rows], pa.binary()) for name, x in (("keys", keys), ("low", low), ("high", high))}})
+                         "keys": pa.array([_short(keys[a:b], bits) for _, a, b in rows], pa.binary()),
+                         "several": pa.array([np.packbits(low[a:b] < high[a:b]).tobytes() for _, a, b in rows], pa.binary())})
 
     def meet(named: pa.Table) -> pa.Table:
-        lists = [np.frombuffer(x, np.uint64) for x in named.column("keys").to_pylist()]
-        shards = named.column("shard").to_numpy()
+        lists = [_long(x) for x in named.column("keys").to_pylist()]
         keys = np.unique(np.concatenate(lists))
-        low, high, n = np.full(len(keys), _NO_DOC), np.full(len(keys), -_NO_DOC), np.zeros(len(keys), np.int64)
         places = [np.searchsorted(keys, x) for x in lists]  # each sorted list is merged by binary search
-        for place, a, b in zip(places, named.column("low").to_pylist(), named.column("high").to_pylist()):
-            low[place] = np.minimum(low[place], np.frombuffer(a, np.int64))
-            high[place] = np.maximum(high[place], np.frombuffer(b, np.int64))
-            n[place] += 1
-        live, hot = low < high, n > hot_shards
-        out = [(s, _blob(x[live[p]]), _blob(hot[p][live[p]])) for s, x, p in zip(shards, lists, places) if live[p].any()]
-        return pa.table({"shard": pa.array([x[0] for x in out], pa.int64()), "keys": pa.array([x[1] for x in out], pa.binary()),
-                         "hot": pa.array([x[2] for x in out], pa.binary())})
-
-    def live_contexts(docs: pa.Table, keys: np.ndarray, hot: np.ndarray):
+        shards, live = np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        for place, several in zip(places, named.column("several").to_pylist()):
+            shards[place] += 1
+            live[place] |= np.unpackbits(np.frombuffer(several, np.uint8), count=len(place)).astype(bool)
+        live |= shards > 1
+        out = [(s, p, np.packbits(live[x]).tobytes(), np.packbits(shards[x] > hot_shards).tobytes())
+               for s, p, x in zip(named.column("shard").to_pylist(), named.column("part").to_pylist(), places) if live[x].any()]
+        return pa.table({n: pa.array([x[i] for x in out], k) for i, (n, k) in enumerate((("shard", pa.int64()), ("part", pa.int64()), ("live", pa.binary()), ("hot", pa.binary())))})
+
+    def live_contexts(docs: pa.Table, told: pa.Table):
         shard = Shard(docs)
-        order = np.argsort(keys)
-        return shard, *shard.contexts(keys[order], hot[order])
+        keys = shard.distinct_keys()[0]
+        parts = _slices(code(keys))
+        live, hot = (shard.live_mask(keys, parts, told, c) for c in ("live", "hot"))
+        return shard, *shard.contexts(keys[live], hot[live])
 
-    def send(docs: pa.Table, live: pa.Table) -> pa.Table:
+    def send(docs: pa.Table, told: pa.Table) -> pa.Table:
         names = ("part", "shard", "ids", "keys", "rows", "low", "high")
-        if not docs.num_rows or not live.num_rows:
+        if not docs.num_rows or not told.num_rows:
             return pa.table({n: pa.array([], pa.int64() if n in names[:2] else pa.binary()) for n in names})
-        shard, rows, keys, inverse, _, at = live_contexts(docs, _joined(live, "keys", np.uint64), _joined(live, "hot", np.bool_))
+        shard, rows, keys, inverse, _, at = live_contexts(docs, told)
         low, high = np.full(len(rows), _NO_DOC), np.full(len(rows), -_NO_DOC)
         np.minimum.at(low, inverse, shard.doc[at])
         np.maximum.at(high, inverse, shard.doc[at])
         runs = _slices(code(keys))
         own = docs.column("shard")[0].as_py()
-        cols = (("ids", np.arange(len(rows), dtype=np.int32)), ("keys", keys), ("rows", rows), ("low", low), ("high", high))
+        cols = (("ids", np.arange(len(rows), dtype=np.int32)), ("keys", ((keys << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)),
+                ("rows", rows), ("low", low), ("high", high))
         return pa.table({"part": pa.array([c for c, _, _ in runs], pa.int64()), "shard": pa.array([own] * len(runs), pa.int64()),
                          **{n: pa.array([_blob(x[a:b]) for _, a, b in runs], pa.binary()) for n, x in cols}})
 
     def compare(sent: pa.Table) -> pa.Table:
-        keys, rows = _joined(sent, "keys", np.uint64), _joined(sent, "rows", np.uint8).reshape(-1, CONTEXT)
+        keys, rows = _joined(sent, "keys", np.uint32), _joined(sent, "rows", np.uint8).reshape(-1, CONTEXT)
         low, high, ids = _joined(sent, "low", np.int64), _joined(sent, "high", np.int64), _joined(sent, "ids", np.int32)
-        sizes = np.array([len(x) // 4 for x in sent.column("ids").to_pylist()])
-        records = np.concatenate([keys.astype(">u8").view(np.uint8).reshape(-1, 8), rows], axis=1)
-        uniq, inverse = np.unique(np.ascontiguousarray(records).view(f"V{CONTEXT + 8}").ravel(), return_inverse=True)
+        sizes = np.array([int.from_bytes(x[:8], "little") // 4 for x in sent.column("ids").to_pylist()])
+        records = np.concatenate([keys.astype(">u4").view(np.uint8).reshape(-1, 4), rows], axis=1)
+        uniq, inverse = np.unique(np.ascontiguousarray(records).view(f"V{CONTEXT + 4}").ravel(), return_inverse=True)
         inverse = inverse.ravel()
-        table = uniq.view(np.uint8).reshape(-1, CONTEXT + 8)
+        table = uniq.view(np.uint8).reshape(-1, CONTEXT + 4)
         least = np.full(len(table), _NO_DOC)
         np.minimum.at(least, inverse, low)
-        found = smallest_docs(table[:, 8:], np.ascontiguousarray(table[:, :8]).view(">u8").ravel().astype(np.uint64), least, array_contexts)
+        found = smallest_docs(table[:, 4:], np.ascontiguousarray(table[:, :4]).view(">u4").ravel().astype(np.uint32), least, array_contexts)
         # runs of windows with one answer
         change = np.c_[np.ones(len(found), bool), found[:, 1:] != found[:, :-1]]
         row, first = np.nonzero(change)
@@ -279,9 +315,9 @@ def removal(docs: DataFrame, text: str = "text", key: str = "doc_id", shard_byte
         names, kinds = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept"), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
         if not docs.num_rows:
             return pa.table({n: pa.array([], k) for n, k in zip(names, kinds)})
-        live, told = known.filter(known.column("keys").is_valid()), known.filter(known.column("ids").is_valid())
+        live, told = known.filter(known.column("live").is_valid()), known.filter(known.column("ids").is_valid())
         if told.num_rows:
-            shard, _, _, inverse, base, at = live_contexts(docs, _joined(live, "keys", np.uint64), _joined(live, "hot", np.bool_))
+            shard, _, _, inverse, base, at = live_contexts(docs, live)
             ids, first, last, answer = (_joined(told, n, k) for n, k in (("ids", np.int32), ("first", np.uint8), ("last", np.uint8), ("answer", np.int64)))
             order = np.argsort(ids, kind="stable")
             ids, first, last, answer = ids[order], first[order].astype(np.int64), last[order].astype(np.int64), answer[order]
@@ -306,8 +342,8 @@ def removal(docs: DataFrame, text: str = "text", key: str = "doc_id", shard_byte
                          "n_spans": pa.array([x[1] for x in out], pa.int64()), "kept": pa.array([x[2] for x in out], pa.binary())})
 
     by_shard = d.groupBy("shard")
-    named = by_shard.applyInArrow(name_keys, "part long, shard long, keys binary, low binary, high binary")
-    live = named.groupBy("part").applyInArrow(meet, "shard long, keys binary, hot binary")
+    named = by_shard.applyInArrow(name_keys, "part long, shard long, keys binary, several binary")
+    live = named.groupBy("part").applyInArrow(meet, "shard long, part long, live binary, hot binary")
     sent = by_shard.cogroup(live.groupBy("shard")).applyInArrow(send, "part long, shard long, ids binary, keys binary, rows binary, low binary, high binary")
     told = sent.groupBy("part").applyInArrow(compare, "shard long, ids binary, first binary, last binary, answer binary")
     known = live.unionByName(told, allowMissingColumns=True)
