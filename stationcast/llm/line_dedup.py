@@ -1,9 +1,10 @@
 """Line dedup by content-defined chunks of lines.
 
-A text is its lines (between line feeds).  A rolling hash over the hashes of
-the last WINDOW lines cuts after a line where it is 0 modulo DIVISOR, so a
-chunk's borders depend on nearby lines only: inserted or removed lines move the
-chunks around them and no others.  A chunk of at least MIN_LINES lines that are
+A text is its lines (between line feeds).  A window of three lines rolls over
+the line hashes and cuts after its middle line where that line's hash is the
+largest (the earliest of equal ones), so a chunk's borders depend on nearby
+lines only: inserted or removed lines move the chunks around them and no
+others.  Cuts are two lines apart at least.  A chunk of at least MIN_LINES lines that are
 not blank, which occurs more than once in the whole corpus, stays at its first
 place (smallest doc_id, then position) and is removed elsewhere.
 
@@ -18,8 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WINDOW, DIVISOR, MIN_LINES = 2, 2, 2
-_BASE = 31
+MIN_LINES = 2
 
 
 def line_hash(line: Column) -> Column:
@@ -31,13 +31,10 @@ def chunks(text: Column) -> Column:
     """The chunks of a text, in order: array of (ix, lines, text).  Null gives
     null, empty one empty chunk; joined by line feeds they are the text."""
     def cut(lines: Column, hashes: Column) -> Column:
-        def rolled(i: Column) -> Column:  # 1-based; hash over the WINDOW lines that end at i
-            total = F.element_at(hashes, i)
-            for back in range(1, WINDOW):
-                total = total + F.lit(_BASE ** back) * F.element_at(hashes, F.greatest(i - back, F.lit(1)))
-            return total
-        ends = F.filter(F.sequence(F.lit(1), F.size(lines)),
-                        lambda i: (i == F.size(lines)) | ((i >= WINDOW) & (rolled(i) % DIVISOR == 0)))
+        def largest(i: Column) -> Column:  # 1-based
+            h = F.get(hashes, i - 1)
+            return (h > F.coalesce(F.get(hashes, i - 2), F.lit(-1))) & (h >= F.get(hashes, i))
+        ends = F.filter(F.sequence(F.lit(1), F.size(lines)), lambda i: (i == F.size(lines)) | largest(i))
         return _pieces(lines, ends)
     split = F.split(text, "\n", -1)
     return _with(split, lambda lines: _with(F.transform(lines, line_hash), lambda hashes: cut(lines, hashes)))
@@ -105,7 +102,8 @@ WITH l AS (
          len(string_split(text, chr(10))) AS n
   FROM documents WHERE text IS NOT NULL),
 h AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM l),
-c AS (SELECT *, CASE WHEN pos >= {WINDOW} AND (h + {_BASE} * lag(h) OVER (PARTITION BY doc_id ORDER BY pos)) % {DIVISOR} = 0 THEN 1 ELSE 0 END AS cut FROM h),
+c AS (SELECT *, CASE WHEN h > coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY pos), -1)
+                      AND h >= lead(h) OVER (PARTITION BY doc_id ORDER BY pos) THEN 1 ELSE 0 END AS cut FROM h),
 g AS (SELECT *, coalesce(sum(cut) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ix FROM c),
 k AS (SELECT doc_id, ix, string_agg(line, chr(10) ORDER BY pos) AS text, count(*) AS n,
              count(*) FILTER (WHERE trim(line) <> '') AS full_lines FROM g GROUP BY 1, 2),

@@ -57,24 +57,23 @@ def near_components(docs, size, percent):
     return {i: find(i) for i in sets}
 
 
-def cut_chunks(text, window, divisor, base):
+def cut_chunks(text):
     lines = text.split("\n")
     h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
     out, start = [], 0
     for i in range(len(lines)):
-        rolled = sum(base ** back * h[i - back] for back in range(window) if i - back >= 0)
-        if i == len(lines) - 1 or (i + 1 >= window and rolled % divisor == 0):
+        if i == len(lines) - 1 or (h[i] == max(h[max(i - 1, 0):i + 2]) and (i == 0 or h[i] != h[i - 1])):
             out.append(lines[start:i + 1])
             start = i + 1
     return out
 
 
-def line_dedup(docs, window=2, divisor=2, base=31, least=2):
+def line_dedup(docs, least=2):
     """[(doc_id, text)] -> {doc_id: text}."""
     seen, out = set(), {}
     for i, t in sorted(docs):
         kept = []
-        for c in cut_chunks(t, window, divisor, base):
+        for c in cut_chunks(t):
             text = "\n".join(c)
             if sum(x.strip(" ") != "" for x in c) >= least:
                 if text in seen:

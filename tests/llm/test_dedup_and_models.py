@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stationcast.llm import components, decontamination, language_id, line_dedup, mixing, near_dedup, quality, repeats, suffix_arrays
+from stationcast.llm import components, decontamination, language_id, mixing, near_dedup, quality, repeats, suffix_arrays
 from stationcast.llm.common import held_out
 from tests.llm import brute
 from tests.llm.conftest import prose
@@ -227,8 +227,12 @@ def test_queries_are_registered():
     assert names == {f"op{k}" for k in range(1, 11)} and "pipeline" in entry.queries()
 
 
-def test_window_constants_of_the_sql_match():
-    assert line_dedup.WINDOW == 2 and str(line_dedup.DIVISOR) in line_dedup.ORACLE_SQL
+def test_chunk_borders_resist_shifts():
+    """Two lines put in front of a text change its first chunks only."""
+    rng = random.Random(8)
+    lines = [prose(rng, 6) for _ in range(200)]
+    a, b = (["\n".join(c) for c in brute.cut_chunks("\n".join(x))] for x in (lines, ["new", "lines"] + lines))
+    assert len(set(a) - set(b)) <= 2 and all(c.count("\n") for c in a[1:-1])
 
 
 @pytest.mark.parametrize("name", ["op2_line_dedup", "op8_mixing", "op9_decontamination"])
