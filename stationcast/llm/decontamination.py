@@ -8,14 +8,18 @@ each hit is verified on its diagonal: a window of WINDOW words of the item (all
 of a shorter item) around the hit must agree with the document in at least
 SHARE of its words, whatever the substituted ones are.
 
-The scan makes the seeds of a document, joins them with the items' seeds and
-verifies hits in one pass, without a shuffle, as long as the items' seeds are a
-table of checked size; a larger benchmark is joined by a shuffle instead.
+Only positions where every word that the mask reads occurs in the benchmark at
+all are hashed: a bit map of the items' words, of checked size, tells that for
+each word once, and never excludes a hit.  The scan makes the seeds of a
+document, joins them with the items' seeds and verifies hits in one pass,
+without a shuffle, as long as the items' seeds are a table of checked size; a
+larger benchmark is joined by a shuffle instead, and one of more than
+VOCABULARY words hashes every position.
 """
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +32,8 @@ SPAN = 9
 WINDOW, SHARE = 13, 0.8
 #: Items' seeds are broadcast up to this many rows (about 30 MB); beyond, the join shuffles.
 BROADCAST_SEEDS = 500_000
+#: Words of the benchmark that the bit map may hold (16 bits each, in the plan).
+VOCABULARY = 200_000
 _SEPARATOR = r"[^\p{L}\p{N}]+"
 
 
@@ -36,21 +42,56 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), _SEPARATOR), lambda w: w != "")
 
 
-def seeds(hashes: Column) -> Column:
-    """Array of (mask, pos, seed) over the word hashes; empty below SPAN words."""
-    def of(mask: int, i: Column) -> Column:
-        return F.struct(F.lit(mask).alias("mask"), i.alias("pos"),
-                        F.xxhash64(F.lit(mask), *[F.get(hashes, i + k) for k, c in enumerate(MASKS[mask]) if c == "1"]).alias("seed"))
-    at = F.when(F.size(hashes) >= SPAN, F.sequence(F.lit(0), F.size(hashes) - SPAN)).otherwise(F.array().cast("array<int>"))
-    return F.concat(*[F.transform(at, partial(of, m)) for m in range(len(MASKS))])
-
-
-def with_seeds(frame: DataFrame, key: str, text: str, out: str) -> DataFrame:
-    """(``out``_id, ``out``_words, ``out``_pos, mask, seed), a row for every seed."""
-    d = frame.select(F.col(f"`{key}`").alias(f"{out}_id"), tokens(F.col(f"`{text}`")).alias(f"{out}_words"))
-    d = d.withColumn("hashes", F.transform(f"{out}_words", lambda w: F.xxhash64(w)))
-    return (d.select(f"{out}_id", f"{out}_words", F.inline(seeds(F.col("hashes"))))
-            .withColumnRenamed("pos", f"{out}_pos"))
+def word_bits(words: DataFrame, limit: int = VOCABULARY) -> list[int] | None:
+    """Bit map of the word hashes in ``words`` (h), as 64-bit numbers; None for more than ``limit`` of them."""
+    n = words.distinct().count()
+    if n > limit:
+        return None
+    cells = max(16, 1 << (16 * max(n, 1) - 1).bit_length() >> 6)
+    at = F.pmod(F.shiftrightunsigned("h", 6), F.lit(cells))
+    rows = words.groupBy(at.alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63L as int))")).alias("bits")).collect()  # at most ``cells``
+    out = [0] * cells
+    for r in rows:
+        out[r["at"]] = r["bits"]
+    return out
+
+
+def known_words(hashes: Column, bits: list[int] | None) -> Column:
+    """Whether each word's bit is set."""
+    if bits is None:
+        return F.transform(hashes, lambda h: F.lit(True))
+    table = F.split(F.lit(",".join(map(str, bits))), ",").cast("array<bigint>")  # folded to one literal
+    cell = lambda h: F.get(table, F.pmod(F.shiftrightunsigned(h, 6), F.lit(len(bits))).cast("int"))
+    return F.transform(hashes, lambda h: F.getbit(cell(h), h.bitwiseAND(F.lit(63)).cast("int")) == 1)
+
+
+def with_seeds(frame: DataFrame, key: str, text: str, out: str, bits: list[int] | None = None, around: int | None = None) -> DataFrame:
+    """(``out``_id, mask, seed, ``out``_pos, ``out``_words), a row for every seed
+    whose words are in ``bits``; none for texts of under SPAN words.
+
+    ``out``_words are the words from ``around`` before to ``around`` behind the
+    seed, all of the text without it, and ``out``_pos is the seed's place among
+    them: a row carries what its check needs, not the text."""
+    d = frame.select(F.col(f"`{key}`").alias(f"{out}_id"), tokens(F.col(f"`{text}`")).alias("words"))
+    d = d.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+    at = F.when(F.size("hashes") >= SPAN, F.sequence(F.lit(0), F.size("hashes") - SPAN)).otherwise(F.array().cast("array<int>"))
+
+    def known_at(picks: list[int], i: Column) -> Column:
+        return reduce(lambda a, b: a & b, [F.get("known", i + k) for k in picks])
+
+    def of(mask: int, picks: list[int], i: Column) -> Column:
+        first = F.lit(0) if around is None else F.greatest(i - around, F.lit(0))
+        words = F.col("words") if around is None else F.slice("words", first + 1, i - first + SPAN + around)
+        return F.struct(F.lit(mask).alias("mask"), F.xxhash64(F.lit(mask), *[F.get("hashes", i + k) for k in picks]).alias("seed"),
+                        (i - first).alias(f"{out}_pos"), words.alias(f"{out}_words"))
+    read = [[k for k, c in enumerate(m) if c == "1"] for m in MASKS]
+    common = sorted(set.intersection(*map(set, read)))
+    if bits is not None:
+        d = d.withColumn("known", known_words(F.col("hashes"), bits))
+        at = F.filter(at, partial(known_at, common))
+    d = d.withColumn("at", at)
+    places = [F.col("at") if bits is None else F.filter("at", partial(known_at, [k for k in r if k not in common])) for r in read]
+    return d.select(f"{out}_id", F.inline(F.concat(*[F.transform(p, partial(of, m, r)) for m, (p, r) in enumerate(zip(places, read))])))
 
 
 def best_window(doc: Column, item: Column, doc_pos: Column, item_pos: Column) -> Column:
@@ -72,8 +113,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str
     Other columns are not read."""
     item_seeds = staged(with_seeds(benchmark, item_key, item_text, "item"), "benchmark-seeds")
     small = item_seeds.count() <= BROADCAST_SEEDS
+    bits = word_bits(benchmark.select(F.explode(tokens(F.col(f"`{item_text}`"))).alias("w")).select(F.xxhash64("w").alias("h")))
     own = docs.select(F.struct(F.col(f"`{key}`").alias("doc_id"), F.md5(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("text_md5")).alias("__id"), F.col(f"`{text}`"))
-    hits = with_seeds(own, "__id", text, "doc").join(F.broadcast(item_seeds) if small else item_seeds, ["mask", "seed"])
+    hits = with_seeds(own, "__id", text, "doc", bits, WINDOW - SPAN).join(F.broadcast(item_seeds) if small else item_seeds, ["mask", "seed"])
     length = F.least(F.size("item_words"), F.lit(WINDOW))
     found = hits.select("doc_id", "item_id", length.alias("window"),
                         best_window(F.col("doc_words"), F.col("item_words"), F.col("doc_pos"), F.col("item_pos")).alias("matched"))
