@@ -11,9 +11,11 @@ Neighbours of longest common prefix in the sorted orders are the first
 candidates: each representative's best one by signature is confirmed on the
 full shingle sets, then the best pairs between the components so far.  What
 remains are regions (one shallow prefix) that hold several components: there
-every pair of members from different components is a candidate.  Members of
-one component need no further comparison, so a group of thousands of near
-copies costs its size, not its square.  The sorted order is cut deeper in a
+every pair of members from different components is a candidate, unless the
+shingles that a member has alone there keep it below the threshold with any
+partner of that size: an exact bound that needs a count, not a comparison.
+Members of one component need no further comparison, so a group of thousands
+of near copies costs its size, not its square.  The sorted order is cut deeper in a
 region the more members it has (adaptive depth), and a region that stays large
 at the greatest depth is dealt over several tasks with its leader in each.
 """
@@ -169,6 +171,15 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     return map_batches(pairs.select("a", "b").join(own("a"), "a").join(own("b"), "b").select("a", "b", "text_a", "text_b"), run, "a long, b long")
 
 
+def own_shingles(texts: DataFrame, size: int) -> DataFrame:
+    """(rep, n, shared): shingles of each text, and how many of them another text
+    of ``texts`` has too.  A common part has no more than ``shared`` of either."""
+    rows = texts.select("rep", F.explode(shingle_hashes(F.col("text"), size)).alias("h")).distinct()
+    alone = rows.groupBy("h").agg(F.count("*").alias("k"), F.min("rep").alias("rep")).where(F.col("k") == 1).groupBy("rep").agg(F.count("*").alias("alone"))
+    return (rows.groupBy("rep").agg(F.count("*").alias("n")).join(alone, "rep", "left")
+            .select("rep", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared")))
+
+
 def _labelled(frame: DataFrame, comps: DataFrame, vertex: str, out: str) -> DataFrame:
     """``frame`` with the component of ``vertex``, itself where it has no link."""
     return (frame.join(comps.select(F.col("id").alias(vertex), F.col("component").alias(out)), vertex, "left")
@@ -190,7 +201,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     floor = threshold - SLACK * math.sqrt(threshold * (1 - threshold) / mins)
     base = staged(signatures(docs, text, key, size, mins), "near-signatures")
     full = base.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    reps = staged(full.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "near-reps")
+    reps = staged(full.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")), "near-reps")
     rows = forest(reps, trees)
     shared = rows.join(rows.groupBy("region").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("region"), "region", "left_semi")
     shared = staged(shared, "near-forest")  # rows alone in their region are no one's candidates
@@ -212,8 +223,14 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     members = _labelled(shared.select("region", "rep").distinct(), comps, "rep", "c")
     held = members.groupBy("region", "c").agg(F.count("*").alias("n")).groupBy("region").agg(F.count("*").alias("parts"), F.max_by("c", F.struct("n", "c")).alias("main"))
     open_ = staged(members.join(held.where(F.col("parts") > 1).select("region", "main"), "region"), "near-regions")
-    minor = open_.where(F.col("c") != F.col("main")).select("region", F.col("rep").alias("x"), F.col("c").alias("cx"))
-    across = _pairs(minor.join(open_.select("region", F.col("rep").alias("y"), F.col("c").alias("cy")), "region").where(F.col("cx") != F.col("cy")), "x", "y")
+    bound = staged(own_shingles(texts.join(open_.select("rep").distinct(), "rep", "left_semi"), size)
+                   .where(100 * F.col("shared") >= percent * F.col("n")), "near-bounds")
+    able = open_.join(bound, "rep")
+    one = able.where(F.col("c") != F.col("main")).select("region", *[F.col(c).alias(f"{c}_x") for c in ("rep", "c", "n", "shared")])
+    two = able.select("region", *[F.col(c).alias(f"{c}_y") for c in ("rep", "c", "n", "shared")])
+    most = F.least("shared_x", "shared_y")
+    across = _pairs(one.join(two, (one["region"] == two["region"]) & (F.col("c_x") != F.col("c_y"))
+                             & (100 * most >= percent * (F.col("n_x") + F.col("n_y") - most))), "rep_x", "rep_y")
     rest = staged(estimated(across, reps, floor), "near-rest")
     links = links.unionByName(staged(confirmed(rest, texts, size, percent), "near-links"))
     comps = staged(components(links), "near-components")
