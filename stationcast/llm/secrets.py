@@ -10,8 +10,10 @@ assignment sign is lexed into name-literal pairs:
 
 Constants are propagated in text order: a literal given to ``x`` counts again
 where ``password = x`` or ``secret = x + "..."`` follows.  The literals that
-reach a target are scored by how sensitive its name is and how random they
-look; a score at or above the threshold adds their spans as kind ``literal``.
+reach a target of a strongly sensitive name add their spans as kind ``literal``
+whatever they look like, unless they are too short or a placeholder.  For any
+other target they are scored by how sensitive its name is and how random they
+look, and added from the threshold on.
 Base spans always stay; a literal inside a base span is not reported again.
 """
 
@@ -39,12 +41,15 @@ _KINDS = {kind: k for k, (kind, *_) in enumerate(BASE)} | {"literal": len(BASE)}
 #: Parts of target names and how sensitive they make the name.
 SENSITIVE = {"password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 1.0, "secret": 1.0, "token": 0.9, "credential": 0.9,
              "credentials": 0.9, "apikey": 1.0, "private": 0.7, "access": 0.5, "auth": 0.7, "key": 0.6, "bearer": 0.9, "signing": 0.6}
+#: Parts of target names that report any literal which is no placeholder.
+STRONG = {"password", "passwd", "passphrase", "pwd", "secret", "credential", "credentials"}
+#: A literal of such words only stands for a value that is put in elsewhere.
+PLACEHOLDER = {*SENSITIVE, "your", "my", "the", "api", "here", "change", "changeme", "me", "example", "placeholder", "insert", "enter", "replace", "todo",
+               "redacted", "masked", "hidden", "none", "null", "nil", "undefined", "unset", "empty", "required", "optional", "true", "false", "string"}
 #: A pair of name and literal is reported from this score on.
 THRESHOLD = 0.55
 #: Literals shorter than this are never secrets.
 LEAST = 8
-#: Names remembered for constant propagation in one text (the latest ones).
-CONSTANTS = 10_000
 
 _SIGN = re.compile(r":=|=>|->|=|:")
 #: A target ends right before the sign; looked for in the part of the line before it.
@@ -53,6 +58,7 @@ _TERM = re.compile(r"""[ \t]*(?:(["'`])((?:\\.|(?!\1)[^\\\n])*)\1|([A-Za-z0-9_$+
 _JOIN = re.compile(r"""[ \t]*(\+|\.\.|(?=["'`]))""")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 _NAME = re.compile(r"[A-Za-z_$][\w$]*(?:\.[A-Za-z_$][\w$]*)*\Z")
+_TEMPLATE = re.compile(r"\$\{[^}]*\}|\{\{.*\}\}|\{[\w.]*\}|<[^<>]*>|%\(\w+\)s|\$[A-Za-z_]\w*")
 #: A target is looked for in this many code points before the sign: a name has a bounded length, the text has not.
 BEHIND = 200
 
@@ -76,19 +82,71 @@ def sensitivity(name: str) -> float:
     return min(1.0, sum(SENSITIVE.get(p, 0.0) for p in {*parts, *joined}))
 
 
-def randomness(value: str) -> float:
+def strong(name: str) -> bool:
+    """Whether the name alone makes its literals secrets."""
+    return any(p.lower() in STRONG for p in _PART.findall(name))
+
+
+def placeholder(value: str) -> bool:
+    """Whether a literal stands for a value that is put in elsewhere."""
+    if _TEMPLATE.fullmatch(value.strip()):
+        return True
+    words = re.findall(r"[^\W\d_]+|\d+", value)
+    return all(w.lower() in PLACEHOLDER or all(p.lower() in PLACEHOLDER for p in _PART.findall(w) or [w]) for w in words)
+
+
+def randomness(length: float, shares: dict[str, float]) -> float:
     """0 to 1: entropy of the characters against 4 bits, lifted by mixed kinds of characters."""
-    if len(value) < LEAST or re.search(r"\s", value):
+    if length < LEAST or any(map(str.isspace, shares)):
         return 0.0
-    counts = Counter(value).values()
-    entropy = -sum(c / len(value) * math.log2(c / len(value)) for c in counts)
-    kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", r"[^A-Za-z0-9]"))
-    return min(1.0, entropy / 4) * (0.4 + 0.3 * min(kinds - 1, 2))
+    entropy = -sum(p * math.log2(p) for p in shares.values() if p > 0)
+    chars = "".join(shares)
+    kinds = [bool(re.search(p, chars)) for p in ("[a-z]", "[A-Z]", "[0-9]", r"[^A-Za-z0-9]")]
+    mixed = 0.95 if sum(kinds) == 2 and kinds[2] and not kinds[3] else 0.4 + 0.3 * min(sum(kinds) - 1, 2)  # letters with digits
+    return min(1.0, entropy / 4) * mixed
+
+
+class _Value:
+    """What is given to a target: a literal (start, end, text), or other values
+    joined.  Joined values refer to their parts and hold sums over them, so
+    what a text takes grows with the text, not with what its names stand for."""
+    __slots__ = ("span", "text", "parts", "real", "_sums", "found")
+
+    def __init__(self, span=None, text="", parts=(), real=False):
+        self.span, self.text, self.parts, self._sums, self.found = span, text, parts, None, False
+        self.real = real or any(p.real for p in parts)  # a part that is a literal and no placeholder
+
+    def sums(self) -> tuple[float, dict[str, float]]:
+        """Length, and every character's share of it."""
+        if self._sums is None:
+            if not self.parts:
+                length, counts = float(len(self.text)), Counter(self.text)
+            else:
+                counts, length = Counter(), 0.0
+                for n, shares in [p.sums() for p in self.parts]:
+                    length += n
+                    for c, share in shares.items():
+                        counts[c] += share * n
+            # beyond 10^15 characters only the shares matter
+            self._sums = min(length, 1e15), {c: k / length for c, k in counts.items()}
+        return self._sums
+
+    def spans(self) -> list[tuple[int, int]]:
+        """Places of its literals, those that were asked for before left out."""
+        out, todo = [], [self]
+        while todo:
+            v = todo.pop()
+            if not v.found:
+                v.found = True
+                todo += v.parts
+                if v.span and v.span[1] > v.span[0]:
+                    out.append(v.span)
+        return out
 
 
 def literal_spans(text: str) -> list[Span]:
     """Literals that reach sensitive targets, through constants too."""
-    known: dict[str, list[tuple[int, int, str]]] = {}
+    known: dict[str, _Value] = {}
     found, after = [], 0
     for sign in _SIGN.finditer(text):
         if sign.start() < after:  # inside a value that is lexed already
@@ -98,14 +156,14 @@ def literal_spans(text: str) -> list[Span]:
         if not target:
             continue
         name = target[1] or target[2]
-        parts, pos = [], sign.end()  # (start, end, value) of every literal that the value is made of
+        parts, pos = [], sign.end()  # every literal or name that the value is made of
         while term := _TERM.match(text, pos):
             if term[1]:
-                parts.append((term.start(2), term.end(2), term[2]))
+                parts.append(_Value(term.span(2), term[2], real=not placeholder(term[2])))
             elif _NAME.match(term[3]) and term[3] in known:
-                parts += known[term[3]]
-            else:
-                parts.append((term.start(3), term.end(3), term[3]))
+                parts.append(known[term[3]])
+            else:  # a name that is called or indexed is no literal
+                parts.append(_Value(term.span(3), term[3], real=text[term.end():term.end() + 1] not in ("(", "[") and not placeholder(term[3])))
             pos = term.end()
             if not (join := _JOIN.match(text, pos)):
                 break
@@ -113,13 +171,13 @@ def literal_spans(text: str) -> list[Span]:
         if not parts:
             continue
         after = pos
-        known.pop(name, None)
-        known[name] = parts[:64]
-        if len(known) > CONSTANTS:
-            known.pop(next(iter(known)))
+        value = known[name] = parts[0] if len(parts) == 1 else _Value(parts=parts)
         score = sensitivity(name)
-        if score and score * randomness("".join(v for *_, v in parts)) >= THRESHOLD:
-            found += [Span(s, e, "literal") for s, e, _ in parts if e > s]
+        if not score and not value.parts:
+            continue
+        length, shares = value.sums()  # of joined values always, so those made of them have it at hand
+        if score and (strong(name) and value.real and length >= LEAST and len(shares) > 1 or score * randomness(length, shares) >= THRESHOLD):
+            found += [Span(s, e, "literal") for s, e in value.spans()]
     return found
 
 

@@ -31,6 +31,28 @@ def test_secrets_propagates_constants_and_scores_names():
     assert "q7Gx91LmZu" not in found and "aaaaaaaaaaaa" not in found and "plain" not in found
 
 
+def literals(text):
+    return {text[s.start:s.end] for s in secrets.find_spans(text)[1] if s.kind == "literal"}
+
+
+def test_secrets_of_strong_names_need_no_randomness():
+    text = ('pwd = "correcthorsebattery"\ncredential = "84629174650182"\npassphrase = "correct horse battery staple"\nauth = "9f86d0818x4c7dk5"\n'
+            'pwd2 = "xxxxxxxxxxxx"\ndb_pwd = "<password>"\nuser_pwd = "changeme"\nuserPwd = readfrom(vault)\npwd = "short"\n'
+            'city = "correcthorsebattery"\nnote = "correct horse battery"\n')
+    assert literals(text) == {"correcthorsebattery", "84629174650182", "correct horse battery staple", "9f86d0818x4c7dk5"}
+    assert sum(s.kind == "literal" for s in secrets.find_spans(text)[1]) == 4  # not the city
+
+
+def test_secrets_forget_no_constant():
+    pieces = [f"q{k}Gx{k * 7}Z" for k in range(100)]
+    assert set(pieces) <= literals("pwd = " + " + ".join(f'"{p}"' for p in pieces))
+    assert set(pieces) <= literals("long = " + " + ".join(f'"{p}"' for p in pieces) + "\npwd = long\n")
+    many = 'first = "q7Gx91LmZt"\n' + "".join(f"v{k} = {k}\n" for k in range(12_000)) + "pwd = first\n"
+    assert "q7Gx91LmZt" in literals(many)
+    doubled = 'a0 = "q7Gx91LmZt"\n' + "".join(f"a{k + 1} = a{k} + a{k}\n" for k in range(3000)) + "pwd = a3000\n" + 'pwd = pwd + "x1Y"\n' * 3000
+    assert {"q7Gx91LmZt", "x1Y"} == literals(doubled)
+
+
 def test_secrets_spans_are_code_points_and_base_against_plain_search():
     text = "é" * 50 + " token = \"0123456789abcdef0123\" ſecret=abcdefghijklmnop"
     base, _ = secrets.find_spans(text)
