@@ -9,6 +9,10 @@ text, and hashed as a tuple.  Texts share a tuple only if both elements agree
 and stand in the same order, so the likeness of two fingerprints falls with the
 edits that separate them, also with edits that only move parts.
 
+A bucket that got fewer than two elements, as most do in short texts, takes the
+two least of all elements under a hash salted with its number, so an entry
+carries order wherever a text has two elements at all.
+
 An element is one long: 35 bits of hash, 28 bits of position, so a plain sort
 of longs orders elements by bucket, hash and position.
 """
@@ -41,7 +45,7 @@ def _bucket(v: Column) -> Column:
 
 
 def with_fingerprint(frame: DataFrame, text: str, out: str) -> DataFrame:
-    """``frame`` with ``out`` (array<int>): an entry for each bucket that has elements."""
+    """``frame`` with ``out`` (array<int>): an entry for each bucket; none for texts without words."""
     names = [F.col(f"`{c}`") for c in frame.columns if c != out]
     n = F.size("__w")
     d = frame.select(*names, words(F.col(f"`{text}`")).alias("__w")).select(*names, F.transform("__w", lambda w: F.xxhash64(w)).alias("__w"))
@@ -57,16 +61,29 @@ def with_fingerprint(frame: DataFrame, text: str, out: str) -> DataFrame:
         lambda v, o: F.when(o == 0, v).otherwise(_pack(F.xxhash64(_hash(v), o), _pos(v))))))
     d = d.select(*names, F.when(F.size("__r") == F.size("__s"), F.col("__s")).otherwise(F.sort_array(numbered)).alias("__s"))
     least = F.filter("__s", lambda v, j: (j < 2) | (_bucket(v) != _bucket(F.get("__s", j - 2))))
-    d = d.select(*names, least.alias("__s"))
+    d = d.select(*names, "__s", least.alias("__l"))
 
-    def entry(j: Column) -> Column:
-        a, b = F.get("__s", j), F.get("__s", j + 1)
+    def entry(bucket: Column, a: Column, b: Column) -> Column:
         pair = F.when(_pos(a) < _pos(b), F.xxhash64(_hash(a), _hash(b))).otherwise(F.xxhash64(_hash(b), _hash(a)))
-        h = F.when(F.coalesce(_bucket(a) == _bucket(b), F.lit(False)), pair).otherwise(F.xxhash64(_hash(a)))
-        return F.shiftleft(_bucket(a).cast("int"), 26).bitwiseOR(F.shiftrightunsigned(h, 38).cast("int"))
-    first = F.when(F.size("__s") == 0, F.array().cast("array<int>")).otherwise(
-        F.filter(F.sequence(F.lit(0), F.size("__s") - 1), lambda j: (j == 0) | (_bucket(F.get("__s", j)) != _bucket(F.get("__s", j - 1)))))
-    return d.select(*names, F.transform(first, entry).alias(out))
+        h = F.when(b.isNotNull(), pair).otherwise(F.xxhash64(_hash(a)))  # the only element
+        return F.shiftleft(bucket.cast("int"), 26).bitwiseOR(F.shiftrightunsigned(h, 38).cast("int"))
+
+    def of_all(bucket: Column) -> Column:
+        """Places in __s of the two least elements under the bucket's own hash."""
+        salted = F.transform("__s", lambda v, j: _pack(F.xxhash64(_hash(v), bucket), j))
+        return F.transform(F.slice(F.sort_array(salted), 1, 2), lambda x: _pos(x).cast("int"))
+    twos = F.when(F.size("__l") < 2, F.array().cast("array<int>")).otherwise(
+        F.filter(F.sequence(F.lit(0), F.size("__l") - 2), lambda j: _bucket(F.get("__l", j)) == _bucket(F.get("__l", j + 1))))
+    d = d.select(*names, "__s", "__l", twos.alias("__r"))
+    scarce = F.when(F.size("__s") == 0, F.array().cast("array<int>")).otherwise(
+        F.array_except(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), F.transform("__r", lambda j: _bucket(F.get("__l", j)).cast("int"))))
+    places = F.transform(scarce, lambda b: F.struct(b.alias("bucket"), of_all(b).alias("at")))
+    d = d.select(*names, "__s", "__l", "__r", places.alias("__p"))
+    own = F.transform("__r", lambda j: entry(_bucket(F.get("__l", j)), F.get("__l", j), F.get("__l", j + 1)))
+    filled = F.transform("__p", lambda p: entry(p["bucket"], F.get("__s", F.get(p["at"], 0)), F.get("__s", F.get(p["at"], 1))))
+    low = F.lit(-(1 << 31))  # buckets in order: the upper half are negative numbers
+    ordered = F.transform(F.sort_array(F.transform(F.concat(own, filled), lambda v: v.bitwiseXOR(low))), lambda v: v.bitwiseXOR(low))
+    return d.select(*names, ordered.alias(out))
 
 
 def as_text(fingerprint: Column) -> Column:

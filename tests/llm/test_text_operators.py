@@ -127,6 +127,21 @@ def test_fingerprints_follow_order_and_edits(spark):
     assert near[0] == 1.0 and 0.85 < near[1] < 1.0 and near[2] < near[1] and near[3] == 0.0
 
 
+def test_fingerprints_of_short_texts_carry_order(spark):
+    """Halves swapped: hardly a pair of k-mers keeps both its members and their order."""
+    import random
+    rng = random.Random(6)
+    for n, most in ((24, 0.35), (40, 0.45), (80, 0.52)):
+        texts = [[f"w{rng.randint(0, 99_999)}" for _ in range(n)] for _ in range(40)]
+        rows = [(k, " ".join(t), " ".join(t[n // 2:] + t[:n // 2])) for k, t in enumerate(texts)]
+        d = fingerprints.with_fingerprint(spark.createDataFrame(rows, "k int, a string, b string"), "a", "fa")
+        got = fingerprints.with_fingerprint(d, "b", "fb").select("fa", fingerprints.likeness(F.col("fa"), F.col("fb")).alias("near")).collect()
+        assert all([v >> 26 & 63 for v in r["fa"]] == list(range(fingerprints.BUCKETS)) for r in got)
+        assert sum(r["near"] for r in got) / len(got) < most
+    few = fingerprints.with_fingerprint(spark.createDataFrame([("one two",), ("one two",), ("one three",), (" ",)], "text string"), "text", "f")
+    assert [len(r["f"]) for r in few.collect()] == [64, 64, 64, 0] and few.select("f").distinct().count() == 3
+
+
 def test_fingerprint_tuples_by_hand(spark):
     """Occurrence numbers and text order: brute force over the same element hashes."""
     text = "a b c d e " * 30 + "f g h i j k"
