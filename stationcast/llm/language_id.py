@@ -10,7 +10,11 @@ times weights is one small table (buckets x languages); scoring broadcasts it
 and averages its rows over the whole text.
 
 A temperature fitted on validation passages calibrates the probabilities, and
-a threshold set on them rejects texts that look like none of the languages.
+a threshold set on them rejects texts between the languages.  Probabilities only
+compare the languages with each other, so a second threshold rejects texts that
+look like none of them, however few there are: the mean log-likelihood of the
+n-grams under the predicted language, against what validation passages of that
+language have.
 """
 
 from __future__ import annotations
@@ -29,7 +33,9 @@ SAMPLE_DOCS, PASSAGES, PASSAGE_BYTES = 4000, 4, 320
 GRAMS, BITS, DIM = (2, 3, 4), 15, 16
 #: Validation texts that the rejection threshold may cost at most, as a share.
 REJECT_SHARE = 0.002
-#: Texts of at least this calibrated probability are never rejected.
+#: Validation passages of a language lie within this many standard deviations of its mean likelihood, at least.
+SPREAD = 6.0
+#: Texts of at least this calibrated probability are not rejected for it.
 REJECT_AT_MOST = 0.4
 UNDETERMINED = "und"
 
@@ -56,15 +62,39 @@ def has_letter(text: str | None) -> bool:
 
 @dataclass
 class LanguageModel:
-    """Languages, the folded table (rows x languages), bias, temperature and rejection threshold."""
+    """Languages, the folded table (rows x languages), bias, temperature and rejection
+    threshold; log-frequencies of the n-grams (rows x languages), and for every
+    language the mean and deviation of a passage's likelihood and the least deviation
+    from the mean that is not rejected."""
     langs: list[str]
     folded: np.ndarray
     bias: np.ndarray
     temperature: float = 1.0
     reject_below: float = 0.0
+    frequency: np.ndarray | None = None
+    usual: np.ndarray | None = None
+    unlike_below: float = -np.inf
 
     def logits(self, texts: list[bytes]) -> np.ndarray:
         """One row of logits for every text; texts without any n-gram give the bias."""
+        return self._mean(self.folded, texts)[0] + self.bias
+
+    def likelihood(self, texts: list[bytes], lang: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Mean log-likelihood of every text's n-grams under its language, and their number."""
+        mean, count = self._mean(self.frequency, texts)
+        return mean[np.arange(len(texts)), lang], count
+
+    def unlike(self, texts: list[bytes], lang: np.ndarray) -> np.ndarray:
+        """Whether every text's n-grams are too rare in its language.  A text shorter than
+        a passage may deviate more, by the root of its share of a passage's n-grams."""
+        if self.usual is None:
+            return np.zeros(len(texts), bool)
+        value, count = self.likelihood(texts, lang)
+        wide = np.sqrt(np.maximum(1, PASSAGE_BYTES * len(GRAMS) / np.maximum(count, 1)))
+        return (count > 0) & ((value - self.usual[lang, 0]) / (self.usual[lang, 1] * wide) < self.unlike_below)
+
+    def _mean(self, table: np.ndarray, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Mean of the table's rows for the n-grams of every text, and how many there are."""
         total = np.zeros((len(texts), len(self.langs)))
         count = np.zeros(len(texts))
         data = np.frombuffer(b"".join(texts), np.uint8)
@@ -77,9 +107,9 @@ class LanguageModel:
                 cuts = np.column_stack([starts[rows], starts[rows] + own[rows]]).ravel()
                 if cuts[-1] == len(ids):
                     cuts = cuts[:-1]
-                total[rows] += np.add.reduceat(self.folded[ids], cuts, axis=0, dtype=np.float64)[::2]
+                total[rows] += np.add.reduceat(table[ids], cuts, axis=0, dtype=np.float64)[::2]
                 count[rows] += own[rows]
-        return total / np.maximum(count, 1)[:, None] + self.bias
+        return total / np.maximum(count, 1)[:, None], count
 
     def probabilities(self, texts: list[bytes]) -> np.ndarray:
         return softmax(self.logits(texts) / self.temperature)
@@ -123,6 +153,10 @@ def train(passages: list[tuple[int, bytes, str]], epochs: int = 4, rate: float =
             bias -= eta * 0.1 * slope.sum(axis=0)
             np.add.at(embed, ids, np.repeat(-eta * len(some) * pull, lengths, axis=0).astype(np.float32))
     model = LanguageModel(langs, (embed @ weights).astype(np.float32), bias.astype(float))
+    counts = np.full((len(GRAMS) << BITS, len(langs)), 0.5)
+    for bag, lang in zip(bags, target):
+        np.add.at(counts[:, lang], bag, 1)
+    model.frequency = np.log(counts / counts.sum(axis=0)).astype(np.float32)
     return calibrated(model, [x[1] for x in check], np.array([code[x[2]] for x in check]))
 
 
@@ -137,6 +171,18 @@ def calibrated(model: LanguageModel, texts: list[bytes], target: np.ndarray) ->
     p = softmax(logits / model.temperature)
     right = np.sort(p.max(axis=1)[p.argmax(axis=1) == target])
     model.reject_below = float(min(REJECT_AT_MOST, right[int(REJECT_SHARE * len(right))])) if len(right) else 0.0
+    if model.frequency is not None:
+        value, count = model.likelihood(texts, target)
+        full = (count >= 0.9 * count.max()) & (p.argmax(axis=1) == target)  # whole passages: short ones deviate more
+        every = value[full] if full.any() else value
+        model.usual = np.tile([every.mean(), max(every.std(), 0.02)], (len(model.langs), 1))
+        for k in range(len(model.langs)):
+            own = value[full & (target == k)]
+            if len(own):
+                model.usual[k] = own.mean(), max(own.std() if len(own) >= 10 else every.std(), 0.02)
+        if full.any():
+            z = np.sort((value[full] - model.usual[target[full], 0]) / model.usual[target[full], 1])
+            model.unlike_below = float(min(-SPREAD, z[int(REJECT_SHARE * len(z))]))
     return model
 
 
@@ -181,10 +227,11 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", pred: st
         p = m.probabilities([(t or "").encode() for t in texts]) if m.langs else np.zeros((len(texts), 1))
         best, top = p.argmax(axis=1), p.max(axis=1)
         known = np.array([bool(m.langs) and has_letter(t) for t in texts])
+        unlike = m.unlike([(t or "").encode() for t in texts], best) if m.langs else ~known
         return pa.RecordBatch.from_arrays([
             *batch.columns[:len(names)],
             pa.array([m.langs[b] if k else UNDETERMINED for b, k in zip(best, known)], pa.string()),
-            pa.array(np.where(known, top, 0.0)), pa.array(~known | (top < m.reject_below))], [*names, pred, score, rejected])
+            pa.array(np.where(known, top, 0.0)), pa.array(~known | (top < m.reject_below) | unlike)], [*names, pred, score, rejected])
     types = [f"`{c}` {own.schema[i].dataType.simpleString()}" for i, c in enumerate(names)]
     return map_batches(own, run, ", ".join([*types, f"`{pred}` string", f"`{score}` double", f"`{rejected}` boolean"]))
 

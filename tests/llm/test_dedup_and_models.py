@@ -137,6 +137,23 @@ def test_language_id_edges(spark, edge, empty, edge_rows):
     assert {r["lang_pred"] for r in none} == {"und"}
 
 
+@pytest.mark.parametrize("learned", [("en", "de"), ("en", "de", "fr", "es")])
+def test_language_id_rejects_noise_and_unlearned_languages(spark, learned):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where(F.length("text") > 400)
+    known = docs.where(F.col("lang").isin(*learned))
+    model = language_id.fit(known)
+    rng = random.Random(3)
+    noise = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(120)) for _ in range(50)]
+    other = [" ".join(rng.choice(("ja", "niin", "kuin", "että", "talossa", "kävelee", "hyvää", "yötä", "sinä", "minulla", "kukkien")) for _ in range(120)) for _ in range(50)]
+    if len(learned) == 2:
+        other += [r["text"] for r in docs.where("lang = 'es'").limit(50).collect()]
+    for texts in (noise, other):
+        got = language_id.identify(spark.createDataFrame([(t,) for t in texts], "text string"), model).collect()
+        assert np.mean([r["rejected"] for r in got]) >= 0.95
+    own = language_id.identify(known.where(held_out(F.col("doc_id"))), model).collect()
+    assert len(own) > 50 and np.mean([r["rejected"] for r in own]) <= 0.02
+
+
 def test_language_id_does_not_see_held_out_rows(spark):
     """Other labels on held-out rows change no prediction."""
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
