@@ -35,6 +35,8 @@ GRAMS, BITS, DIM = (2, 3, 4), 15, 16
 REJECT_SHARE = 0.002
 #: Validation passages of a language lie within this many standard deviations of its mean likelihood, at least.
 SPREAD = 6.0
+#: Probability that a text outside of that is in any of the languages.
+UNLIKE = 1e-6
 #: Texts of at least this calibrated probability are not rejected for it.
 REJECT_AT_MOST = 0.4
 UNDETERMINED = "und"
@@ -112,7 +114,9 @@ class LanguageModel:
         return total / np.maximum(count, 1)[:, None], count
 
     def probabilities(self, texts: list[bytes]) -> np.ndarray:
-        return softmax(self.logits(texts) / self.temperature)
+        """Calibrated, and next to nothing for texts that look like none of the languages."""
+        p = softmax(self.logits(texts) / self.temperature)
+        return np.where(self.unlike(texts, p.argmax(axis=1))[:, None], p * UNLIKE, p)
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -227,11 +231,10 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", pred: st
         p = m.probabilities([(t or "").encode() for t in texts]) if m.langs else np.zeros((len(texts), 1))
         best, top = p.argmax(axis=1), p.max(axis=1)
         known = np.array([bool(m.langs) and has_letter(t) for t in texts])
-        unlike = m.unlike([(t or "").encode() for t in texts], best) if m.langs else ~known
         return pa.RecordBatch.from_arrays([
             *batch.columns[:len(names)],
             pa.array([m.langs[b] if k else UNDETERMINED for b, k in zip(best, known)], pa.string()),
-            pa.array(np.where(known, top, 0.0)), pa.array(~known | (top < m.reject_below) | unlike)], [*names, pred, score, rejected])
+            pa.array(np.where(known, top, 0.0)), pa.array(~known | (top < m.reject_below))], [*names, pred, score, rejected])
     types = [f"`{c}` {own.schema[i].dataType.simpleString()}" for i, c in enumerate(names)]
     return map_batches(own, run, ", ".join([*types, f"`{pred}` string", f"`{score}` double", f"`{rejected}` boolean"]))
 
