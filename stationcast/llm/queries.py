@@ -80,9 +80,21 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationcast.llm.prefix_trie import trie
+    return trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationcast.llm.whitening import whiten
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def _oracles() -> None:
-    from stationcast.llm import decontamination, line_dedup, mixing
-    ORACLE.update(op2_line_dedup=line_dedup.ORACLE_SQL, op8_mixing=mixing.ORACLE_SQL, op9_decontamination=decontamination.ORACLE_SQL)
+    from stationcast.llm import decontamination, line_dedup, mixing, prefix_trie
+    ORACLE.update(op12_prefix_trie=prefix_trie.ORACLE_SQL, op2_line_dedup=line_dedup.ORACLE_SQL, op8_mixing=mixing.ORACLE_SQL, op9_decontamination=decontamination.ORACLE_SQL)
 
 
 _oracles()

@@ -144,3 +144,45 @@ def mix(docs, quality, seed):
             upto += size[i]
             out[i] = size[i] * (epochs + (rest > 1e-6 and upto - size[i] / 2 <= rest))
     return out, goal
+
+
+def prefix_trie(rows):
+    """[(conv_id, turn, role, text)] -> {(conv_id, depth): the other columns of a node}."""
+    import zlib
+    by = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            by[c].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [(r, t) for _, _, r, t in sorted(v)] for c, v in by.items()}
+    paths = {}
+    for c, v in own.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        paths[c] = own.get(c - int(math.fmod(c, 20)), [])[:h] + v[h:]
+    members = defaultdict(list)
+    for c, path in paths.items():
+        for d in range(len(path) + 1):
+            members[tuple(path[:d])].append(c)
+    children, out = defaultdict(list), {}
+    for prefix in members:
+        if prefix:
+            children[prefix[:-1]].append(prefix)
+    sums = {}
+    for prefix in sorted(members, key=len, reverse=True):
+        saved = (len(members[prefix]) - 1) * (len(WORD.findall(prefix[-1][1])) if prefix else 0)
+        sums[prefix] = (sum(sums[k][0] for k in children[prefix]) or 1, saved + sum(sums[k][1] for k in children[prefix]))
+    for prefix, m in members.items():
+        ends = ",".join(str(c) for c in sorted(m) if len(paths[c]) == len(prefix))
+        out[min(m), len(prefix)] = (min(members[prefix[:-1]]) if prefix else None, len(m), len(children[prefix]), *sums[prefix], hashlib.sha256(ends.encode()).hexdigest())
+    return out
+
+
+def whitened(rows, most=16):
+    """[(vec_id, vector)] -> ([(vec_id, x)], n, S, eigenvalues, eigenvectors, covariance)."""
+    import numpy as np
+    kept = [(i, [math.floor(64 * c) + 1_000_000 for c in v]) for i, v in rows if v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    fit = sorted({tuple(x) for _, x in kept})
+    sums = [sum(col) for col in zip(*fit)]
+    y = np.array([[v - s / len(fit) for v, s in zip(x, sums)] for x in fit])
+    cov = y.T @ y / len(fit)
+    values, vectors = np.linalg.eigh(cov)
+    return kept, len(fit), sums, values[::-1][:most], vectors[:, ::-1][:, :most], cov
