@@ -80,6 +80,12 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationcast.llm.parity_join import jaccard_classes
+    return jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stationcast.llm.prefix_trie import trie
