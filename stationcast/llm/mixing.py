@@ -32,7 +32,8 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     source's size, what is cut off shared again by weight until none is above.
 
     Sources that stay below their cap get weight x level, so with the sources
-    ordered by cap / weight the level follows from prefix sums."""
+    ordered by cap / weight the level follows from prefix sums: it is that of the
+    first source, of several that tie too, whose own level is not above its cap."""
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), ((F.row_number().over(by_name) - 1) % len(WEIGHTS) + 1).cast("int"))
     w = sizes.withColumn("weight", weight.cast("double")).withColumn("cap", F.lit(float(MOST)) * F.col("source_size"))
@@ -40,8 +41,8 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     before, after = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1), Window.orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
     whole = Window.partitionBy()
     level = (F.sum("source_size").over(whole) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("weight").over(after)
-    w = w.withColumn("level", level)
-    w = w.withColumn("level", F.min(F.when(F.col("level") <= F.col("cap") / F.col("weight"), F.struct(F.col("cap") / F.col("weight"), "level"))).over(whole)["level"])
+    w = w.withColumn("level", level).withColumn("place", F.row_number().over(Window.orderBy(*order)))
+    w = w.withColumn("level", F.min(F.when(F.col("level") <= F.col("cap") / F.col("weight"), F.struct("place", "level"))).over(whole)["level"])
     return w.select("source", "source_size", F.least(F.coalesce(F.col("weight") * F.col("level"), F.col("cap")), F.col("cap")).alias("target"))
 
 
@@ -102,16 +103,21 @@ def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return mix(with_quality(sized, labels), F.col("__quality")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+#: Targets by sharing again and again: in every round the sources above their cap are cut and leave.
 ORACLE_SQL = f"""
-WITH q AS (SELECT doc_id, pow(4.0, avg(quality::DOUBLE) - 0.5) AS w FROM labels WHERE doc_id IS NOT NULL GROUP BY 1),
+WITH RECURSIVE q AS (SELECT doc_id, pow(4.0, avg(quality::DOUBLE) - 0.5) AS w FROM labels WHERE doc_id IS NOT NULL GROUP BY 1),
 d AS (SELECT d.doc_id, d.source, coalesce(len(regexp_extract_all(d.text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
              -ln((('0x' || substr(md5('{SEED}:' || coalesce(d.doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 0.5) / {1 << 52}.0) / coalesce(q.w, 1.0) AS k
       FROM documents d LEFT JOIN q USING (doc_id)),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} + 1 AS w,
              {float(MOST)} * sum(size)::DOUBLE AS cap FROM d GROUP BY source),
-v AS (SELECT *, ((SELECT sum(source_size) FROM s)::DOUBLE - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
-              / sum(w::DOUBLE) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM s),
-t AS (SELECT source, source_size, least(coalesce(w * (SELECT min_by(level, cap / w) FROM v WHERE level <= cap / w), cap), cap) AS target FROM v),
+v AS (SELECT 0 AS round, source, source_size, w, cap, 0.0::DOUBLE AS target, true AS free FROM s
+      UNION ALL
+      SELECT round + 1, source, source_size, w, cap, CASE WHEN free THEN least(cap, share) ELSE target END, free AND share < cap
+      FROM (SELECT *, w * (((SELECT sum(source_size) FROM s)::DOUBLE - coalesce(sum(target) FILTER (WHERE NOT free) OVER (), 0.0))
+                           / sum(w::DOUBLE) FILTER (WHERE free) OVER ()) AS share FROM v)
+      WHERE round < (SELECT count(*) FROM s)),
+t AS (SELECT source, source_size, target FROM v WHERE round = (SELECT count(*) FROM s)),
 p AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM t),
 x AS (SELECT d.doc_id, d.size, p.source_size, p.target, p.epochs, p.target - p.epochs * p.source_size AS rest,
              sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto

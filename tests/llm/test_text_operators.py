@@ -215,6 +215,35 @@ def test_mixing_targets_cap_and_reshare(spark):
     assert got == pytest.approx(brute.targets(sizes))
 
 
+@pytest.mark.parametrize("sizes", [
+    {"a": 10, "b": 1000, "c": 10, "d": 500}, {"a": 5, "b": 10, "c": 15, "d": 5, "e": 10, "f": 15}, {"a": 0, "b": 0, None: 0},
+    {"a": 7, "b": 7, "c": 7, "d": 7, "e": 100, "f": 14, "g": 7, "h": 14, "i": 21}, {"a": 1}, {"a": 20, "b": 40, "c": 60, "d": 9000}])
+def test_mixing_targets_with_ties(spark, duck_sources, sizes):
+    """Sources that tie in size / weight where the level ends; the SQL shares again and again."""
+    d = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    got = {r["source"]: r["target"] for r in mixing.source_targets(d).collect()}
+    assert got == pytest.approx(brute.targets(sizes)) and all(0 <= t <= 3 * sizes[s] for s, t in got.items())
+    assert duck_sources(sizes) == pytest.approx(got)
+
+
+@pytest.fixture
+def duck_sources():
+    """Targets by ORACLE_SQL for documents whose sources have the given sizes."""
+    import duckdb
+
+    def run(sizes):
+        con = duckdb.connect()
+        con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+        con.execute("CREATE TABLE labels (doc_id BIGINT, quality INTEGER)")
+        for i, (s, n) in enumerate(sizes.items()):
+            con.execute("INSERT INTO documents VALUES (?, ?, ?)", [i, "w " * n, s])
+        names = dict(enumerate(sizes))
+        rows = con.sql(mixing.ORACLE_SQL).fetchall()
+        assert all(0 <= r[4] <= 3 * r[1] for r in rows)
+        return {names[r[0]]: r[3] for r in rows}
+    return run
+
+
 def test_mixing_edges(spark, edge, empty, edge_rows):
     labels = spark.createDataFrame([(0, 1), (0, 0), (None, 1), (1, None), (9, 1)], "doc_id long, quality int")
     got = mixing.mix(mixing.with_quality(edge, labels), F.col("__quality"))
