@@ -9,15 +9,17 @@ shares the shallowest prefix in some tree but for about MISS of the cases.
 
 Neighbours of longest common prefix in the sorted orders are the first
 candidates: each representative's best one by signature is confirmed on the
-full shingle sets, then the best pairs between the components so far.  What
-remains are regions (one shallow prefix) that hold several components: there
-every pair of members from different components is a candidate, unless the
-shingles that a member has alone there keep it below the threshold with any
-partner of that size: an exact bound that needs a count, not a comparison.
-Members of one component need no further comparison, so a group of thousands
-of near copies costs its size, not its square.  The sorted order is cut deeper in a
-region the more members it has (adaptive depth), and a region that stays large
-at the greatest depth is dealt over several tasks with its leader in each.
+full shingle sets, then the best pairs between the components so far.  A region
+(one shallow prefix) of many members is cut by its next deeper prefix, where
+that is still large by the deepest, and only what agrees in all of it is dealt
+by a hash, so the depth follows the region.
+
+What remains are regions that hold several components.  In a region of few
+members the pairs between components are candidates.  In a large one, as of
+thousands of near copies, links are settled by the differences from a pivot
+(pivots.py), the central member of the region's main component: members that
+are both linked with it need no comparison, and others only where their
+differences from it have enough in common.  Both ways lose no link.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ from pyspark.sql import functions as F
 
 from stationcast.llm.common import ascii_lower, map_batches, staged, words
 from stationcast.llm.components import components
+from stationcast.llm.pivots import hot_links
+from stationcast.operators.common import bounded
 
 #: Prefix depths of a tree.  The first alone makes a region.
 DEPTHS = (6, 10, 14)
@@ -38,10 +42,10 @@ DEPTHS = (6, 10, 14)
 MISS = 2e-6
 #: Standard errors below the threshold at which a signature rules a pair out.
 SLACK = 5.4
-#: Members of a region that are sorted in one piece.
+#: Members of a region that are sorted in one piece; larger ones are cut by a deeper prefix.
 REGION_ROWS = 20_000
-#: Hot regions are known by their key; tables up to this many rows are broadcast.
-SMALL_TABLE = 100_000
+#: Members of a region whose pairs between components are candidates themselves.
+SMALL = 16
 _CHUNK = 2048
 
 
@@ -111,19 +115,30 @@ def forest(reps: DataFrame, trees: int) -> DataFrame:
     return map_batches(reps.select("rep", "sig"), run, "region long, mid long, deep long, rep long")
 
 
+def _large(rows: DataFrame, prefix: list[str], most: int) -> DataFrame:
+    return staged(rows.groupBy(*prefix).agg(F.count("*").alias("n")).where(F.col("n") > most), "near-large")
+
+
 def neighbours(tree_rows: DataFrame, region_rows: int = REGION_ROWS) -> DataFrame:
-    """Distinct pairs (a > b) that lie side by side in some sorted order."""
-    hot = staged(tree_rows.groupBy("region").agg(F.count("*").alias("n"), F.min("rep").alias("leader")).where(F.col("n") > region_rows), "near-hot")
-    few = hot.count()
-    rows = tree_rows.withColumn("part", F.lit(0).cast("long"))
-    if few:
-        # a large region is cut by its deeper prefix, and dealt by document where that is one prefix too
-        known = tree_rows.join(F.broadcast(hot) if few <= SMALL_TABLE else hot, "region", "left")
-        deal = F.pmod(F.xxhash64("rep"), F.ceil(F.col("n") / region_rows))
-        rows = known.withColumn("part", F.when(F.col("n").isNull(), F.lit(0)).otherwise(deal).cast("long"))
-        leaders = (rows.where(F.col("n").isNotNull()).groupBy("region", "part").agg(F.first("leader").alias("rep"))
-                   .withColumn("mid", F.lit(None).cast("long")).withColumn("deep", F.lit(None).cast("long")))
-        rows = rows.select("region", "part", "mid", "deep", "rep").unionByName(leaders)
+    """Distinct pairs (a > b) that lie side by side in some sorted order.
+
+    A region of more than ``region_rows`` is sorted in parts: one for each of its
+    next deeper prefixes, for those that are large themselves one for each of the
+    deepest, and of those several by a hash.  The region's least member is put
+    into every part, so the parts stay connected."""
+    names = ["region", "mid", "deep"]
+    rows, large = tree_rows.withColumn("part", F.lit(0).cast("long")), _large(tree_rows, names[:1], region_rows)
+    if not large.isEmpty():
+        hot = staged(tree_rows.join(bounded(large.select("region")), "region"), "near-hot")
+        by_mid, by_deep = _large(hot, names[:2], region_rows), _large(hot, names, region_rows)
+        cut = (hot.join(bounded(by_mid.select("region", "mid", F.lit(True).alias("mid_large"))), names[:2], "left")
+               .join(bounded(by_deep.withColumnRenamed("n", "deep_n")), names, "left"))
+        deal = F.pmod(F.xxhash64("rep"), F.ceil(F.coalesce("deep_n", F.lit(1)) / region_rows))
+        cut = cut.withColumn("part", F.when(F.col("mid_large").isNull(), F.xxhash64("mid")).otherwise(F.xxhash64("mid", "deep", deal)))
+        leaders = cut.select("region", "part").distinct().join(hot.groupBy("region").agg(F.min("rep").alias("rep")), "region")
+        none = F.lit(None).cast("long")
+        rows = (rows.join(bounded(large.select("region")), "region", "left_anti").select(*names, "rep", "part")
+                .unionByName(cut.select(*names, "rep", "part")).unionByName(leaders.select("region", none.alias("mid"), none.alias("deep"), "rep", "part")))
     before = F.lag("rep").over(Window.partitionBy("region", "part").orderBy("mid", "deep", "rep"))
     return _pairs(rows.select("rep", before.alias("other")).where(F.col("other").isNotNull()), "rep", "other")
 
@@ -171,15 +186,6 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     return map_batches(pairs.select("a", "b").join(own("a"), "a").join(own("b"), "b").select("a", "b", "text_a", "text_b"), run, "a long, b long")
 
 
-def own_shingles(texts: DataFrame, size: int) -> DataFrame:
-    """(rep, n, shared): shingles of each text, and how many of them another text
-    of ``texts`` has too.  A common part has no more than ``shared`` of either."""
-    rows = texts.select("rep", F.explode(shingle_hashes(F.col("text"), size)).alias("h")).distinct()
-    alone = rows.groupBy("h").agg(F.count("*").alias("k"), F.min("rep").alias("rep")).where(F.col("k") == 1).groupBy("rep").agg(F.count("*").alias("alone"))
-    return (rows.groupBy("rep").agg(F.count("*").alias("n")).join(alone, "rep", "left")
-            .select("rep", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared")))
-
-
 def _labelled(frame: DataFrame, comps: DataFrame, vertex: str, out: str) -> DataFrame:
     """``frame`` with the component of ``vertex``, itself where it has no link."""
     return (frame.join(comps.select(F.col("id").alias(vertex), F.col("component").alias(out)), vertex, "left")
@@ -191,8 +197,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
 
     Texts are linked where 100 * common shingles >= percent * together; the
     component is the smallest doc_id that can be reached over links.  Null,
-    empty and blank texts have no shingles and are linked with nothing.  Rows
-    without a key have no component and are kept.  Rows of one key are one
+    empty and blank texts have no shingles and are linked with nothing.  Keys
+    must be integers.  Rows without a key have no component and are kept.  Rows of one key are one
     document, linked with what any of its rows is linked with.  An empty table
     gives an empty result; other columns are not read."""
     threshold = percent / 100
@@ -220,20 +226,28 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     links = links.unionByName(staged(confirmed(between, texts, size, percent), "near-links"))
     comps = staged(components(links), "near-components")
 
-    members = _labelled(shared.select("region", "rep").distinct(), comps, "rep", "c")
-    held = members.groupBy("region", "c").agg(F.count("*").alias("n")).groupBy("region").agg(F.count("*").alias("parts"), F.max_by("c", F.struct("n", "c")).alias("main"))
-    open_ = staged(members.join(held.where(F.col("parts") > 1).select("region", "main"), "region"), "near-regions")
-    bound = staged(own_shingles(texts.join(open_.select("rep").distinct(), "rep", "left_semi"), size)
-                   .where(100 * F.col("shared") >= percent * F.col("n")), "near-bounds")
-    able = open_.join(bound, "rep")
-    one = able.where(F.col("c") != F.col("main")).select("region", *[F.col(c).alias(f"{c}_x") for c in ("rep", "c", "n", "shared")])
-    two = able.select("region", *[F.col(c).alias(f"{c}_y") for c in ("rep", "c", "n", "shared")])
-    most = F.least("shared_x", "shared_y")
-    across = _pairs(one.join(two, (one["region"] == two["region"]) & (F.col("c_x") != F.col("c_y"))
-                             & (100 * most >= percent * (F.col("n_x") + F.col("n_y") - most))), "rep_x", "rep_y")
-    rest = staged(estimated(across, reps, floor), "near-rest")
-    links = links.unionByName(staged(confirmed(rest, texts, size, percent), "near-links"))
+    members = staged(_labelled(shared.select("region", "rep").distinct(), comps, "rep", "c"), "near-members")
+    held = members.groupBy("region", "c").agg(F.count("*").alias("n")).groupBy("region").agg(
+        F.count("*").alias("parts"), F.sum("n").alias("size"), F.max_by("c", F.struct("n", "c")).alias("main"))
+    open_ = staged(members.join(held.where(F.col("parts") > 1).select("region", "size", "main"), "region"), "near-regions")
+    few = open_.where(F.col("size") <= SMALL)
+    across = (few.alias("x").join(few.alias("y"), "region").where((F.col("x.rep") > F.col("y.rep")) & (F.col("x.c") != F.col("y.c")))
+              .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
+    links = links.unionByName(staged(confirmed(staged(estimated(across, reps, floor), "near-rest"), texts, size, percent), "near-links"))
+    wide = open_.where(F.col("size") > SMALL)
+    central = (members.join(held.select("region", "size"), "region").groupBy("rep", "c").agg(F.sum("size").alias("score"))
+               .groupBy(F.col("c").alias("main")).agg(F.max_by("rep", F.struct("score", -F.col("rep"))).alias("pivot")))
+    groups = staged(wide.join(central, "main").select("pivot", "rep").distinct(), "near-groups")
     comps = staged(components(links), "near-components")
+    both = groups.select("rep").unionByName(groups.select(F.col("pivot").alias("rep"))).distinct()
+    sets = texts.join(bounded(both), "rep", "left_semi").select("rep", F.array_sort(shingle_hashes(F.col("text"), size)).alias("set")).where(F.size("set") > 0)
+    sets = staged(sets.select("rep", F.xxhash64("set").alias("tag"), F.size("set").cast("long").alias("n"), "set").dropDuplicates(["rep", "tag"]), "near-sets")
+    star, candidates = hot_links(groups, sets, comps, percent)
+    links = links.unionByName(staged(confirmed(star.unionByName(candidates).distinct(), texts, size, percent), "near-links"))
+    # a number of several texts joins their groups
+    named = full.join(reps.select("k1", "k2", "rep"), ["k1", "k2"]).select("doc_id", "rep", "k1", "k2").distinct()
+    several = named.groupBy("doc_id").agg(F.count("*").alias("sets")).where(F.col("sets") > 1).select("doc_id")
+    comps = staged(components(links.unionByName(_pairs(named.join(several, "doc_id", "left_semi"), "doc_id", "rep"))), "near-components")
 
     groups = _labelled(reps.select("k1", "k2", "rep"), comps, "rep", "component_id").select("k1", "k2", "component_id")
     known = full.select("doc_id", "n", "k1", "k2").join(groups, ["k1", "k2"])

@@ -241,7 +241,7 @@ def test_pipeline_stages_on_edge_rows_and_empty_input(spark, edge, empty):
 def test_queries_are_registered():
     import __spark_entry__ as entry
     names = {n.split("_")[0] for n in entry.queries() if n.startswith("op")}
-    assert names == {f"op{k}" for k in range(1, 11)} and "pipeline" in entry.queries()
+    assert names == {f"op{k}" for k in range(1, 14)} and "pipeline" in entry.queries()
 
 
 def test_chunk_borders_resist_shifts():
@@ -258,3 +258,30 @@ def test_sql_queries_match_duckdb(spark, duck, name):
     from tools.oracle_check import compare
     result = compare(spark, duck, name, QUERIES[name], ORACLE[name], SF)
     assert result["ok"], result.get("why")
+
+
+@pytest.mark.parametrize("small, region_rows", [(2, 25), (16, 20_000)])
+def test_near_duplicates_of_a_hot_group(spark, monkeypatch, small, region_rows):
+    """Near copies of all distances, and a passage in many foreign texts: large regions go through pivots."""
+    from tests.llm.test_parity_join import hot_documents
+    monkeypatch.setattr(near_dedup, "SMALL", small)
+    monkeypatch.setattr(near_dedup, "REGION_ROWS", region_rows)
+    docs = hot_documents(5, near=90)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    assert {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(df).collect()} == brute.near_components(docs, 3, 85)
+
+
+def test_near_duplicates_of_repeated_numbers(spark):
+    """Numbers with two texts: each is linked with what either text is linked with."""
+    import random
+    rng = random.Random(8)
+    text = lambda: " ".join(f"v{rng.randrange(900)}" for _ in range(50))
+    base, rows = text(), []
+    for i in range(0, 24, 2):
+        rows += [(i, base + f" e{i}"), (i, text()), (i + 1, rows[-1][1] if rows else text())]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {}
+    for r in near_dedup.near_duplicates(df).collect():
+        got.setdefault(r["doc_id"], set()).add(r["component_id"])
+    assert got[0] == {0} and all(got[i] == {0} for i in range(0, 24, 2)) and all(len(v) == 1 for v in got.values())
+    assert all(got[i] == {0} for i in range(3, 24, 2))  # the text of an even number
