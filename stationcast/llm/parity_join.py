@@ -4,18 +4,21 @@ A set of word shingles is hashed into a bit sketch: every shingle flips one bit.
 The sketches of two sets differ in no more bits than the sets differ in
 elements, so their Hamming distance bounds the symmetric difference from
 below.  Linked sets of a band of sizes differ in at most k elements; cut into
-k + 1 blocks, their sketches agree in at least one block.  Every set therefore
-gives one key for each block, and linked sets meet in a key.
-
-Groups of one key are not expanded into pairs.  Every member is compared with
-one pivot, the links so found give components, and only a group that still
-holds several components needs more: a group of few members gives its pairs
-between components; members of a large one are sketched again with another
-hash, where they mostly lie in small groups, because linked sets agree in some
-block under every hash.  What remains large after the last hash, groups of
-thousands of near copies, is settled exactly by differences from a pivot
-(pivots.py).  Candidates are checked by the Hamming distance of one sketch a
-set, folded to the shorter one's length, and then on the whole sets.
+k + 1 + spare blocks, their sketches agree in at least 1 + spare blocks.  Every
+set gives a key for each block, and linked sets meet in that many keys.
+
+A key that many sets share is hot: blocks that no shingle fell into, or only
+those of a passage that many texts hold.  A set with no more than ``spare`` hot
+keys does not need them, since it meets all that it is linked with in another
+key too.  So hot keys only concern sets with more of them: near copies in
+thousands, and texts made of common passages.  Their links are settled exactly
+by differences from a pivot (pivots.py).
+
+Keys are not expanded into pairs either.  Every member is compared with one
+pivot, the links so found give components, and only a key of few members that
+still holds several components gives its pairs between them.  Candidates are
+checked by the Hamming distance of one dense sketch a set, folded to the
+shorter one's length, and then on the whole sets.
 """
 
 from __future__ import annotations
@@ -31,12 +34,12 @@ from stationcast.llm.near_dedup import shingle_hashes
 from stationcast.llm.pivots import _arrays, hot_links
 from stationcast.operators.common import bounded
 
-#: Hash functions that members of large groups are sketched with, one after the other.
-SEEDS = 2
-#: Members of a group whose pairs between components are candidates themselves.
+#: Members of a key whose pairs between components are candidates themselves; keys of more are hot.
 SMALL = 16
-#: Bits of a sketch block.
-BLOCK = 64
+#: Blocks beyond what a link needs, as a share of the elements that linked sets can differ in.
+SPARE = 0.25
+#: Bits of a sketch block (as a power of two).
+BLOCK_BITS = 16
 _ODD = 0x9E3779B97F4A7C15
 
 
@@ -54,10 +57,13 @@ def windows(n: int, edges: list[int]) -> list[int]:
     return [band // 2] if band % 2 else [m for m in (band // 2 - 1, band // 2) if m >= 0]
 
 
-def blocks(window: int, edges: list[int], percent: int) -> int:
-    """One block more than linked sets of the window can differ in elements; 1 means that only equal sets link."""
+def blocks(window: int, edges: list[int], percent: int) -> tuple[int, int]:
+    """(blocks of the window's sketches, hot ones that a set can do without); no
+    blocks where only equal sets link."""
     largest = edges[window * 2 + 3] - 1
-    return 2 * largest * (100 - percent) // (100 + percent) + 1
+    apart = 2 * largest * (100 - percent) // (100 + percent)
+    spare = int(apart * SPARE)
+    return (apart + 1 + spare, spare) if apart else (0, 0)
 
 
 def _mixed(values: np.ndarray, seed: int) -> np.ndarray:
@@ -67,10 +73,16 @@ def _mixed(values: np.ndarray, seed: int) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def parity_sketch(mixed: np.ndarray, words: int) -> np.ndarray:
-    """``words`` longs; every element flips the bit that its hash names."""
-    bits = ((mixed >> np.uint64(32)) * np.uint64(words) >> np.uint64(32)) * np.uint64(BLOCK) + (mixed & np.uint64(BLOCK - 1))
-    return np.packbits(np.bincount(bits.astype(np.int64), minlength=words * BLOCK).astype(np.uint8) & 1, bitorder="little").view(np.int64)
+def block_codes(mixed: np.ndarray, count: int) -> np.ndarray:
+    """A 32-bit code of each of ``count`` blocks of the parity sketch.
+
+    Every element flips the bit that its hash names; a block's code is the XOR of
+    the codes of its set bits, so a bit flipped twice is gone from it as well."""
+    bit = mixed & np.uint64((1 << BLOCK_BITS) - 1)
+    block = (mixed >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)
+    codes = np.zeros(count, np.uint32)
+    np.bitwise_xor.at(codes, block.astype(np.int64), (_mixed(bit.view(np.int64), 3) >> np.uint64(32)).astype(np.uint32))
+    return codes.view(np.int32)
 
 
 def one_sketch(values: np.ndarray) -> bytes:
@@ -91,61 +103,75 @@ def hamming(a: bytes, b: bytes) -> int:
 _IDENTITY = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
-def _sketched(docs: DataFrame, size: int, percent: int, seed: int) -> DataFrame:
-    """(doc_id, n, k1, k2, sketches: array of (window, words)) of (doc_id, text)."""
+_BLOCKS = "array<struct<window:int,spare:int,codes:array<int>>>"
+
+
+def _sketched(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(doc_id, n, k1, k2, sketch, blocks) of (doc_id, text): size of the set, 128 bits
+    that tell sets apart, one dense sketch, and the codes of its windows' blocks."""
     edges = size_edges(percent)
     own = docs.select("doc_id", shingle_hashes(F.col("text"), size).alias("set"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets, keys, out = _arrays(batch.column(1)), [], []
+        sets, keys, codes = _arrays(batch.column(1)), [], []
         for x in sets:
             y = [_mixed(x ^ np.int64(k + 1), 7 + k) * _IDENTITY[k] for k in (0, 1)]
             keys.append([int(np.sum(v, dtype=np.uint64).view(np.int64)) for v in y])
-            mixed = _mixed(x, seed + 1)
-            mine = [(m, blocks(m, edges, percent)) for m in windows(len(x), edges)] if len(x) else []
-            out.append([{"window": m, "words": parity_sketch(mixed, q)} for m, q in mine if q > 1])
+            mixed = _mixed(x, 1)
+            mine = [(m, *blocks(m, edges, percent)) for m in windows(len(x), edges)] if len(x) else []
+            codes.append([{"window": m, "spare": spare, "codes": block_codes(mixed, count)} for m, count, spare in mine if count])
+        kind = pa.list_(pa.struct([("window", pa.int32()), ("spare", pa.int32()), ("codes", pa.list_(pa.int32()))]))
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
-                                           pa.array(out, pa.list_(pa.struct([("window", pa.int32()), ("words", pa.list_(pa.int64()))])))], ["doc_id", "n", "k1", "k2", "sketches"])
-    return map_batches(own, run, "doc_id long, n long, k1 long, k2 long, sketches array<struct<window:int,words:array<bigint>>>")
+                                           pa.array([one_sketch(x) if len(x) else None for x in sets], pa.binary()), pa.array(codes, kind)], ["doc_id", "n", "k1", "k2", "sketch", "blocks"])
+    return map_batches(own, run, f"doc_id long, n long, k1 long, k2 long, sketch binary, blocks {_BLOCKS}")
 
 
-def _keys(sketched: DataFrame) -> DataFrame:
-    """(key, rep): a row for every block of every sketch."""
-    rows = sketched.select("rep", F.explode("sketches").alias("s")).select("rep", F.col("s.window").alias("window"), F.posexplode("s.words").alias("block", "word"))
-    return rows.select(F.xxhash64("window", "block", "word").alias("key"), "rep")
+def _keys(reps: DataFrame) -> DataFrame:
+    """(key, rep, window, spare): a row for every block of every sketch."""
+    rows = reps.select("rep", F.explode("blocks").alias("b")).select("rep", F.col("b.window").alias("window"), F.col("b.spare").alias("spare"), F.posexplode("b.codes").alias("block", "code"))
+    return rows.select(F.xxhash64("window", "block", "code").alias("key"), "rep", "window", "spare")
 
 
-def set_table(texts: DataFrame, size: int) -> DataFrame:
-    """(rep, tag, n, sketch, set) of (rep, text): whole sets, in rising order."""
-    own = texts.select("rep", F.array_sort(shingle_hashes(F.col("text"), size)).alias("set")).where(F.size("set") > 0)
+def set_table(texts: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """(rep, tag, n, set) of (rep, text) for the numbers in ``ids``: whole sets, in
+    rising order; a number's sets are told apart by ``tag``, equal ones are one."""
+    own = texts.join(bounded(ids), "rep", "left_semi").select("rep", F.array_sort(shingle_hashes(F.col("text"), size)).alias("set")).where(F.size("set") > 0)
+    sets = staged(own.select("rep", F.xxhash64("set").alias("tag"), F.size("set").cast("long").alias("n"), "set"), "parity-sets")
+    again = sets.groupBy("rep", "tag").agg(F.count("*").alias("rows")).where(F.col("rows") > 1)
+    return sets if again.isEmpty() else staged(sets.dropDuplicates(["rep", "tag"]), "parity-sets")
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = _arrays(batch.column(1))
-        tags = [int(np.sum(_mixed(x, 5), dtype=np.uint64).view(np.int64)) for x in sets]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(tags, pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array([one_sketch(x) for x in sets], pa.binary()), batch.column(1)],
-                                          ["rep", "tag", "n", "sketch", "set"])
-    return map_batches(own, run, "rep long, tag long, n long, sketch binary, set array<bigint>").dropDuplicates(["rep", "tag"])
+
+def _ids(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
 
 
-def linked_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def linked_pairs(pairs: DataFrame, reps: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are linked: by sizes and sketches first, then on the whole sets."""
-    def own(side: str, value: str) -> DataFrame:
-        return sets.select(F.col("rep").alias(side), F.col("n").alias(f"n_{side}"), F.col("tag").alias(f"t_{side}"), F.col(value).alias(f"{value}_{side}"))
+    pairs = staged(pairs, "parity-pairs")
+    some = reps.select("rep", "n", "sketch").join(bounded(_ids(pairs)), "rep", "left_semi")
+    own = lambda side: some.select(F.col("rep").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}"))
 
     def near(batch: pa.RecordBatch) -> pa.RecordBatch:
         n = [batch.column(c).to_numpy() for c in ("n_a", "n_b")]
         apart = np.array([hamming(x, y) for x, y in zip(batch.column("sketch_a").to_pylist(), batch.column("sketch_b").to_pylist())])
         keep = pa.array(((100 + percent) * apart <= (100 - percent) * (n[0] + n[1])) & (100 * np.minimum(*n) >= percent * np.maximum(*n)))
-        return pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "t_a", "b", "t_b")], ["a", "t_a", "b", "t_b"])
+        return pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], ["a", "b"])
+    sketched = pairs.join(own("a"), "a").join(own("b"), "b").select("a", "n_a", "sketch_a", "b", "n_b", "sketch_b")
+    close = staged(map_batches(sketched, near, "a long, b long").distinct(), "parity-near")
+    return exact_links(close, set_table(texts, _ids(close), size), percent)
+
+
+def exact_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that are linked on their whole sets."""
+    own = lambda side: sets.select(F.col("rep").alias(side), F.col("set").alias(f"set_{side}"))
 
     def equal(batch: pa.RecordBatch) -> pa.RecordBatch:
-        common = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(_arrays(batch.column("set_a")), _arrays(batch.column("set_b")))])
-        both = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+        sides = [_arrays(batch.column(c)) for c in ("set_a", "set_b")]
+        common = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(*sides)])
+        both = np.array([len(x) + len(y) for x, y in zip(*sides)])
         keep = pa.array(100 * common >= percent * (both - common))
         return pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
-    sketched = pairs.join(own("a", "sketch"), "a").join(own("b", "sketch"), "b").select("a", "n_a", "t_a", "sketch_a", "b", "n_b", "t_b", "sketch_b")
-    close = staged(map_batches(sketched, near, "a long, t_a long, b long, t_b long"), "parity-near")
-    whole = close.join(own("a", "set"), ["a", "t_a"]).join(own("b", "set"), ["b", "t_b"]).select("a", "n_a", "set_a", "b", "n_b", "set_b")
+    whole = pairs.join(own("a"), "a").join(own("b"), "b").select("a", "set_a", "b", "set_b")
     return map_batches(whole, equal, "a long, b long").distinct()
 
 
@@ -164,55 +190,41 @@ def _open(members: DataFrame, comps: DataFrame) -> DataFrame:
     return rows.join(mixed, "key", "left_semi")
 
 
-def set_links(texts: DataFrame, reps: DataFrame, size: int, percent: int, seeds: int = SEEDS, small: int = SMALL) -> DataFrame:
+def set_links(texts: DataFrame, reps: DataFrame, size: int, percent: int, small: int = SMALL) -> DataFrame:
     """(a, b): links enough to join every two linked sets in one component, all of them true.
 
-    ``texts`` is (rep, text) of all documents, ``reps`` (rep, sketches) of one document for each set."""
-    spark = texts.sparkSession
-    links = spark.createDataFrame([], "a long, b long")
-    comps = spark.createDataFrame([], "id long, component long")
-    sketched, pivoted = reps, None
-    for seed in range(seeds):
-        keys = _keys(sketched)
-        groups = staged(keys.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("pivot"), F.max("rep").alias("other")).where(F.col("pivot") != F.col("other")), "parity-groups")
-        larger = groups.where(F.col("n") > 2).select("key", "n", "pivot")
-        members = staged(keys.join(bounded(larger), "key"), "parity-members")
-        first = _pairs(members, "rep", "pivot").unionByName(_pairs(groups.where(F.col("n") == 2), "other", "pivot")).distinct()
-        if seed == 0:
-            involved = first.select(F.col("a").alias("rep")).unionByName(first.select(F.col("b").alias("rep"))).distinct()
-            texts = staged(texts.join(bounded(involved), "rep", "left_semi"), "parity-texts")
-            sets = staged(set_table(texts, size), "parity-sets")
-        links = links.unionByName(staged(linked_pairs(first, sets, percent), "parity-links"))
-        comps = staged(components(links), "parity-components")
-
-        # in an open group the central member of its main component is the better pivot
-        score = members.groupBy("rep").agg(F.sum("n").alias("score"))
-        central = _labelled(score, comps).groupBy(F.col("c").alias("main")).agg(F.max_by("rep", F.struct("score", -F.col("rep"))).alias("pivot"))
-        open_ = staged(_open(members.select("key", "rep", "n"), comps), "parity-open")
-        main = open_.groupBy("key", "c").agg(F.count("*").alias("m")).groupBy("key").agg(F.max_by("c", F.struct("m", "c")).alias("main"))
-        pivoted = main.join(central, "main").select("key", "pivot")
-        again = _pairs(open_.join(pivoted, "key"), "rep", "pivot").join(first, ["a", "b"], "left_anti")
-        links = links.unionByName(staged(linked_pairs(again, sets, percent), "parity-links"))
-        comps = staged(components(links), "parity-components")
-
-        open_ = staged(_open(open_.select("key", "rep", "n"), comps), "parity-open")
-        few = open_.where(F.col("n") <= small)
-        across = few.alias("x").join(few.alias("y"), "key").where((F.col("x.rep") > F.col("y.rep")) & (F.col("x.c") != F.col("y.c"))).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-        links = links.unionByName(staged(linked_pairs(across, sets, percent), "parity-links"))
-        open_ = open_.where(F.col("n") > small)
-        rest = staged(open_.select("rep").distinct(), "parity-rest")
-        if rest.isEmpty():
-            return links
-        if seed + 1 < seeds:
-            again = texts.join(bounded(rest), "rep", "left_semi").select(F.col("rep").alias("doc_id"), "text")
-            sketched = staged(_sketched(again, size, percent, seed + 1).select(F.col("doc_id").alias("rep"), "sketches"), "parity-sketches")
+    ``texts`` is (rep, text) of all documents, ``reps`` (rep, n, sketch, blocks) of one document for each set."""
+    keys = _keys(reps)
+    groups = staged(keys.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("pivot"), F.max("rep").alias("other")).where(F.col("pivot") != F.col("other")), "parity-groups")
+    members = staged(keys.join(bounded(groups.where(F.col("n") > 2).select("key", "n", "pivot")), "key"), "parity-members")
+    cold, hot = members.where(F.col("n") <= small), members.where(F.col("n") > small)
+    needed = hot.groupBy("window", "rep").agg(F.count("*").alias("keys"), F.first("spare").alias("spare")).where(F.col("keys") > F.col("spare")).select("window", "rep")
+    hot = staged(hot.join(needed, ["window", "rep"]).select("key", "rep", "n", "pivot"), "parity-hot")
+
+    first = _pairs(cold.unionByName(hot, allowMissingColumns=True), "rep", "pivot").unionByName(_pairs(groups.where(F.col("n") == 2), "other", "pivot")).distinct()
+    links = staged(linked_pairs(first, reps, texts, size, percent), "parity-links")
+    comps = staged(components(links), "parity-components")
+    few = staged(_open(cold.select("key", "rep"), comps), "parity-open")
+    across = few.alias("x").join(few.alias("y"), "key").where((F.col("x.rep") > F.col("y.rep")) & (F.col("x.c") != F.col("y.c"))).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    links = links.unionByName(staged(linked_pairs(across, reps, texts, size, percent), "parity-links"))
+
+    open_ = staged(_open(hot.select("key", "rep", "n"), comps), "parity-open")
+    if open_.isEmpty():
+        return links
+    # every open key is settled from the central member of its main component
+    score = _labelled(hot.groupBy("rep").agg(F.sum("n").alias("score")), comps)
+    central = score.groupBy(F.col("c").alias("main")).agg(F.max_by("rep", F.struct("score", -F.col("rep"))).alias("pivot"))
+    main = open_.groupBy("key", "c").agg(F.count("*").alias("m")).groupBy("key").agg(F.max_by("c", F.struct("m", "c")).alias("main"))
+    pivoted = staged(open_.join(main.join(central, "main"), "key").select("pivot", "rep").distinct(), "parity-pivoted")
     comps = staged(components(links), "parity-components")
-    star, candidates = hot_links(staged(open_.join(pivoted, "key").select("pivot", "rep").distinct(), "parity-hot"), sets, comps, percent)
-    return links.unionByName(star).unionByName(linked_pairs(candidates, sets, percent))
+    ids = pivoted.select("rep").unionByName(pivoted.select(F.col("pivot").alias("rep"))).distinct()
+    sets = set_table(texts, ids, size)
+    star, candidates = hot_links(pivoted, sets, comps, percent)
+    return links.unionByName(star).unionByName(exact_links(candidates, sets, percent))
 
 
 def jaccard_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = 4, percent: int = 85,
-                    seeds: int = SEEDS, small: int = SMALL) -> DataFrame:
+                    small: int = SMALL) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``.
 
     A text's set is that of its distinct shingles of ``size`` words, told apart by
@@ -224,7 +236,7 @@ def jaccard_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     table gives an empty result; other columns are not read, so their names may
     clash."""
     own = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    base = staged(_sketched(own, size, percent, 0), "parity-base", "zstd")
+    base = staged(_sketched(own, size, percent), "parity-base", "zstd")
     full = base.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     sets = full.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
     known = staged(full.select("doc_id", "n", "k1", "k2").join(sets, ["k1", "k2"]), "parity-known")
@@ -234,7 +246,7 @@ def jaccard_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     several = known.select("doc_id", "k1", "k2").distinct().groupBy("doc_id").agg(F.count("*").alias("sets")).where(F.col("sets") > 1).select("doc_id")
     same = _pairs(known.join(several, "doc_id", "left_semi"), "doc_id", "rep")
     texts = own.select(F.col("doc_id").alias("rep"), "text")
-    links = set_links(texts, first.select(F.col("doc_id").alias("rep"), "sketches"), size, percent, seeds, small)
+    links = set_links(texts, first.select(F.col("doc_id").alias("rep"), "n", "sketch", "blocks"), size, percent, small)
     comps = staged(components(links.unionByName(same)), "parity-components")
     joined = known.join(comps.select(F.col("id").alias("rep"), "component"), "rep", "left").select("doc_id", "n", F.coalesce("component", "rep").alias("component_id"))
     none = base.where((F.col("n") == 0) | F.col("doc_id").isNull()).select("doc_id", "n", F.col("doc_id").alias("component_id"))

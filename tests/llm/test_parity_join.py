@@ -48,7 +48,8 @@ def test_sizes_bands_and_blocks():
                 both = set(parity_join.windows(a, edges)) & set(parity_join.windows(partner, edges))
                 assert both, (percent, a, partner)
                 apart = (a + partner) * (100 - percent) // (100 + percent)
-                assert all(parity_join.blocks(m, edges, percent) > apart for m in both)
+                for count, spare in (parity_join.blocks(m, edges, percent) for m in both):
+                    assert count - spare > apart or (count == 0 and apart == 0)
 
 
 def test_sketches_bound_the_difference():
@@ -58,8 +59,9 @@ def test_sketches_bound_the_difference():
         a, b = (np.unique(np.concatenate([common, v])) for v in (x, y))
         apart = len(np.setxor1d(a, b))
         assert parity_join.hamming(parity_join.one_sketch(a), parity_join.one_sketch(b)) <= apart
-        s = [parity_join.parity_sketch(parity_join._mixed(v, 1), apart + 1) for v in (a, b)]
-        assert np.bitwise_count((s[0] ^ s[1]).view(np.uint64)).sum() <= apart and np.any(s[0] == s[1])
+        spare = int(rng.integers(0, 9))
+        s = [parity_join.block_codes(parity_join._mixed(v, 1), apart + 1 + spare) for v in (a, b)]
+        assert np.sum(s[0] == s[1]) > spare
 
 
 def test_join_against_brute_force(small):
@@ -67,12 +69,12 @@ def test_join_against_brute_force(small):
     assert classes(parity_join.jaccard_classes(docs)) == expected(rows)
 
 
-@pytest.mark.parametrize("seed, seeds, few", [(1, 1, 2), (2, 2, 4)])
-def test_hot_groups_against_brute_force(spark, seed, seeds, few):
+@pytest.mark.parametrize("seed, few", [(1, 2), (2, 8)])
+def test_hot_groups_against_brute_force(spark, seed, few):
     """With few members to a small group nearly all goes through pivots."""
     docs = hot_documents(seed)
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
-    assert classes(parity_join.jaccard_classes(df, seeds=seeds, small=few)) == expected(docs)
+    assert classes(parity_join.jaccard_classes(df, small=few)) == expected(docs)
 
 
 def test_pivots_lose_no_link(spark):
