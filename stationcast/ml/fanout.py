@@ -1,50 +1,27 @@
 """Fan-out of fits over site x predictand x scenario x model.
 
-Data operators already run on one table holding every key.  Fits are
-independent Spark jobs, submitted concurrently from a thread pool (each in
-its own scheduler pool when FAIR scheduling is on); every fit is itself a
-distributed job over the key's rows, which a key-partitioned layout prunes.
+All keys are fitted by one set of jobs (boosting.py): the keys' rows are packed
+by one shuffle, keys that fit a block are boosted where their block lies, and
+larger ones together, by grouped sums of their blocks' counts.  No list of keys
+passes the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationcast.ml.boosting import QuantileGBT, pinball
-from stationcast.operators.common import cut_lineage
+from stationcast.ml.boosting import MAX_ROWS, fit_models
+from stationcast.ml.histograms import Settings
 
 
 def fit_per_key(df: DataFrame, keys: Sequence[str], features: Sequence[str], label: str,
-                test: str = "is_test", alpha: float = 0.95, parallelism: int = 4, **gbt) -> DataFrame:
+                test: str = "is_test", alpha: float = 0.95, max_rows: int = MAX_ROWS, **gbt) -> DataFrame:
     """Fit one quantile model per key combination; one result row per key
-    with hold-out pinball loss and MAE and the rounds kept."""
-    spark = df.sparkSession
-    df = cut_lineage(df)  # read by every key's fit
-    key_rows = [tuple(r) for r in df.select(*keys).distinct().collect()]  # one row per key combination
-
-    def run(i_k):
-        i, kv = i_k
-        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"key{i % parallelism}")
-        cond = F.lit(True)
-        for k, v in zip(keys, kv):
-            cond = cond & (F.col(k) == F.lit(v))
-        part = df.filter(cond)
-        train, valid = part.filter(~F.col(test)), part.filter(F.col(test))
-        if train.limit(1).count() == 0:
-            return (*kv, 0, 0, None, None)
-        model = QuantileGBT(features, label, alpha=alpha, **gbt).fit(train, valid)
-        scored = model.transform(valid.select(*features, label), "_q").filter(F.col("_q").isNotNull())
-        m = scored.agg(F.avg(pinball(F.col(label), F.col("_q"), alpha)).alias("loss"),
-                       F.avg(F.abs(F.col(label) - F.col("_q"))).alias("mae")).first()
-        return (*kv, int(train.count()), len(model.trees),
-                None if m["loss"] is None else float(m["loss"]), None if m["mae"] is None else float(m["mae"]))
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = list(pool.map(run, enumerate(key_rows)))
-    types = dict(df.dtypes)
-    schema = ", ".join([f"{k} {types[k]}" for k in keys] + ["n_train long", "rounds int", "pinball double", "mae double"])
-    return spark.createDataFrame(rows, schema)
+    with the rows it was trained on, the rounds kept, and hold-out pinball loss
+    and MAE (null without held-out or training rows).  Null keys are a key."""
+    out = fit_models(df, keys, features, label, test, Settings(alpha=alpha, **gbt), max_rows)
+    fitted = F.col("n_train") > 0
+    return out.select(*[F.col(f"`{k}`") for k in keys], "n_train", "rounds", F.when(fitted, F.col("pinball")).alias("pinball"), F.when(fitted, F.col("mae")).alias("mae"))

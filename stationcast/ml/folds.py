@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationcast.operators.common import cut_lineage
+from stationcast.ml.boosting import fit_models
+from stationcast.ml.histograms import Settings
 
 # Fixed value: multiplier of the seeded year order (Knuth's multiplicative hash).
 _HASH_MULT = 2654435761
@@ -54,42 +53,33 @@ def with_folds(df: DataFrame, folds: DataFrame, keys: Sequence[str] = (), date:
 
 
 def best_split(df: DataFrame, features: Sequence[str], label: str, fold_col: str = "fold",
-               max_iter: int = 20, max_depth: int = 5, seed: int = 0, subsample: float = 1.0,
-               colsample: float = 1.0, early_stop: float | None = None, year: str = "year") -> DataFrame:
+               max_iter: int = 645, max_depth: int = 10, learning_rate: float = 0.067, seed: int = 0, subsample: float = 0.29,
+               colsample: float = 0.56, parallel_trees: int = 10, early_stopping: int = 50, year: str = "year") -> DataFrame:
     """Cross-validate squared-error boosted trees, one fold held out at a
-    time (M3).  Returns (fold, rmse, mae, n_test, train_years, test_years,
+    time (M3).  Returns (fold, rmse, mae, rounds, n_test, train_years, test_years,
     best); the fold with the lowest RMSE is the split to keep, and its years
-    are what a fit takes over.  ``subsample`` and ``colsample`` are shares of
-    rows per tree and features per node; with ``early_stop`` a fold's fit ends
-    once a tenth of its training rows, by hash, improves by less than that.
-    Each fit is a distributed Spark ML job over the features, which are
-    assembled and written once.
-    """
-    assembler = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="skip")
-    held = F.pmod(F.xxhash64(*[F.col(f"`{f}`") for f in features], F.lit(seed)), F.lit(10)) == 0
-    data = cut_lineage(assembler.transform(df.filter(F.col(label).isNotNull())).withColumn("_held", held)
-                       .select("_features", label, fold_col, "_held", *([year] if year in df.columns else [])))
-    years: dict = {}
-    if year in df.columns:  # at most a few dozen rows
-        for f, v in data.select(fold_col, year).distinct().collect():
-            years.setdefault(f, []).append(int(v))
-    folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())  # at most k values
-    rows = []
-    for f in folds:
-        train = data.filter(F.col(fold_col) != f)
-        test = data.filter(F.col(fold_col) == f)
-        if test.limit(1).count() == 0 or train.limit(1).count() == 0:
-            continue  # empty folds are skipped
-        gbt = GBTRegressor(featuresCol="_features", labelCol=label, predictionCol="_pred", maxIter=max_iter,
-                           maxDepth=max_depth, seed=seed, subsamplingRate=subsample,
-                           featureSubsetStrategy="all" if colsample >= 1 else str(colsample))
-        if early_stop is not None:
-            gbt = gbt.setParams(validationIndicatorCol="_held", validationTol=early_stop)
-        error = F.col(label) - F.col("_pred")
-        scores = gbt.fit(train).transform(test).agg(F.sqrt(F.avg(error * error)), F.avg(F.abs(error)), F.count("*")).first()
-        rows.append((int(f), float(scores[0]), float(scores[1]), int(scores[2]),
-                     sorted({y for g, v in years.items() if g != f for y in v}), sorted(set(years.get(f, [])))))
-    spark = df.sparkSession
-    res = spark.createDataFrame(rows, "fold int, rmse double, mae double, n_test long, train_years array<int>, test_years array<int>")
-    best = min(rows, key=lambda r: r[1])[0] if rows else None
-    return res.withColumn("best", F.col("fold") == F.lit(best))
+    are what a fit takes over.
+
+    A fold's model ends once the error on its held-out rows has not fallen for
+    ``early_stopping`` rounds.  All folds are one set of jobs: every row goes once
+    to each fold's model, where it is held out or trained on.  Folds that hold
+    out nothing, or leave nothing to train on, are left out, and so are rows
+    without a fold."""
+    years_known = year in df.columns
+    data = df.where(F.col(fold_col).isNotNull())
+    folds = data.select(F.col(fold_col).cast("int").alias("__model")).distinct()  # at most k
+    rows = data.join(F.broadcast(folds)).withColumn("__held", F.col(fold_col).cast("int") == F.col("__model"))
+    s = Settings(squared=True, max_depth=max_depth, learning_rate=learning_rate, n_estimators=max_iter, subsample=subsample, colsample=colsample,
+                 early_stopping=early_stopping, seed=seed, parallel_trees=parallel_trees)
+    models = fit_models(rows, ["__model"], features, label, "__held", s).where((F.col("n_train") > 0) & (F.col("n_test") > 0))
+    out = models.select(F.col("__model").alias("fold"), F.col("error").alias("rmse"), "mae", "rounds", F.col("n_test"))
+    if years_known:  # a few dozen years
+        named = data.where(F.col(label).isNotNull()).select(F.col(fold_col).cast("int").alias("f"), F.col(year).cast("int").alias("y")).distinct()
+        own = folds.join(F.broadcast(named)).groupBy(F.col("__model").alias("fold")).agg(
+            F.sort_array(F.collect_set(F.when(F.col("f") != F.col("__model"), F.col("y")))).alias("train_years"),
+            F.sort_array(F.collect_set(F.when(F.col("f") == F.col("__model"), F.col("y")))).alias("test_years"))
+        out = out.join(own, "fold", "left")
+    else:
+        out = out.withColumns({c: F.array().cast("array<int>") for c in ("train_years", "test_years")})
+    best = F.row_number().over(Window.orderBy("rmse", "fold")) == 1  # one row a fold
+    return out.select("fold", "rmse", "mae", "rounds", "n_test", "train_years", "test_years", best.alias("best"))

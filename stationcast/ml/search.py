@@ -1,22 +1,22 @@
-"""Parameter search minimising hold-out MAE (M5).
+"""Parameter search minimising hold-out MAE (M5), by successive halving.
 
-Trials are independent Spark jobs; a small thread pool submits them
-concurrently so the cluster runs several fits at once (each fit is itself
-distributed).  The sampler is a seeded random search over the reference's
-ranges.
+The rows are quantised and packed once, for all trials.  A rung boosts all its
+trials on by the same number of rounds in one job, a trial a task; then the
+better share of them stays and the others end.  A trial that stays goes on from
+its own trees, so it becomes the model that it would have become alone.  The
+sampler is a seeded random search over the reference's ranges.
 """
 
 from __future__ import annotations
 
 import random
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationcast.ml.boosting import QuantileGBT
-from stationcast.operators.common import cut_lineage
+from stationcast.ml.boosting import QuantileGBT, advance_models, new_models, pack
+from stationcast.ml.histograms import Settings
 
 # Search ranges (low, high) per parameter.
 SPACE = {
@@ -40,32 +40,40 @@ def sample_params(n: int, space: Mapping[str, tuple] = SPACE, seed: int = 0) ->
 
 
 def param_search(train: DataFrame, valid: DataFrame, features: Sequence[str], label: str, alpha: float,
-                 n_trials: int = 30, space: Mapping[str, tuple] = SPACE, seed: int = 0,
-                 parallelism: int = 2, early_stopping: int = 50) -> DataFrame:
+                 n_trials: int = 30, space: Mapping[str, tuple] = SPACE, seed: int = 0, early_stopping: int = 50,
+                 first_rung: int = 30, keep: int = 3) -> DataFrame:
     """Random search; returns one row per trial with its parameters, the
-    hold-out MAE (``best_mae``) and the number of rounds kept, best first."""
-    spark = train.sparkSession
-    trials = sample_params(n_trials, space, seed)
-    train, valid = (cut_lineage(d.select(*features, label)) for d in (train, valid))  # read by every trial
-
-    def run(i_p):
-        i, p = i_p
-        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"trial{i % parallelism}")
-        m = QuantileGBT(features, label, alpha=alpha, max_depth=int(p["max_depth"]),
-                        learning_rate=float(p["learning_rate"]), n_estimators=int(p["n_estimators"]),
-                        subsample=float(p["subsample"]), colsample=float(p["colsample"]),
-                        early_stopping=early_stopping, seed=seed + i).fit(train, valid)
-        maes = [h[1] for h in m.history if h[1] is not None]
-        return (i, int(p["max_depth"]), float(p["subsample"]), float(p["learning_rate"]),
-                float(p["colsample"]), int(p["n_estimators"]), float(min(maes)) if maes else None,
-                len(m.trees), float(alpha))
+    hold-out MAE (``best_mae``), the number of rounds kept and the rounds it was
+    boosted to (``boosted``), best first.
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = list(pool.map(run, enumerate(trials)))
-    res = spark.createDataFrame(rows, "trial int, max_depth int, subsample double, learning_rate double, "
-                                      "colsample_bytree double, n_estimators int, best_mae double, rounds int, "
-                                      "quantile_alpha double")
-    return res.orderBy(F.col("best_mae").asc_nulls_last())
+    The first rung ends after ``first_rung`` rounds, every further one after
+    ``keep`` times as many, and one in ``keep`` trials (one at least) goes on to
+    the next.  ``keep`` 1 ends no trial early."""
+    spark = train.sparkSession
+    trials = dict(enumerate(sample_params(n_trials, space, seed)))
+    settings = {i: Settings(alpha=alpha, max_depth=int(p["max_depth"]), learning_rate=float(p["learning_rate"]), n_estimators=int(p["n_estimators"]),
+                            subsample=float(p["subsample"]), colsample=float(p["colsample"]), early_stopping=early_stopping, seed=seed + i) for i, p in trials.items()}
+    cols = [F.col(f"`{c}`") for c in (*features, label)]
+    rows = train.select(*cols, F.lit(False).alias("__held")).unionByName(valid.select(*cols, F.lit(True).alias("__held")))
+    blocks = pack(rows, [], features, label, "__held")
+    running, ended, upto, left = new_models(blocks, list(trials)), None, first_rung, n_trials
+    most = max((s.n_estimators for s in settings.values()), default=0)
+    while left:
+        last = keep < 2 or upto >= most or left <= 1
+        now = advance_models(blocks, running, settings, None if last else upto)
+        place = F.row_number().over(Window.partitionBy(*blocks.keys).orderBy(F.col("error").asc_nulls_last(), "trial"))  # as many rows as trials
+        ranked = now.withColumn("place", place)
+        left = 0 if last else max(1, left // keep)
+        stays = F.col("place") <= left
+        out = ranked.where(~stays).drop("place").withColumn("boosted", F.lit(most if last else upto))
+        ended = out if ended is None else ended.unionByName(out)
+        running, upto = ranked.where(stays).select(*blocks.keys, "trial", "body"), upto * keep
+    schema = "trial int, max_depth int, subsample double, learning_rate double, colsample_bytree double, n_estimators int, quantile_alpha double"
+    told = spark.createDataFrame([(i, s.max_depth, s.subsample, s.learning_rate, s.colsample, s.n_estimators, s.alpha) for i, s in settings.items()], schema)
+    if ended is None:
+        return told.withColumns({"best_mae": F.lit(None).cast("double"), "rounds": F.lit(0), "boosted": F.lit(0)})
+    return (told.join(ended, "trial").select("trial", "max_depth", "subsample", "learning_rate", "colsample_bytree", "n_estimators", F.col("error").alias("best_mae"), "rounds",
+                                            F.least("boosted", "n_estimators").alias("boosted"), "quantile_alpha").orderBy(F.col("best_mae").asc_nulls_last(), "trial"))
 
 
 def best_model(trials: DataFrame, train: DataFrame, features: Sequence[str], label: str,

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +32,15 @@ def bounded(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     return F.broadcast(df) if measured_bytes(df) <= max_bytes else df
 
 
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where a null key matches a null key; the keys appear once, as
+    in ``left``.  Without keys every row meets every row of ``right``, which is one row then."""
+    rest = [F.col(f"`{c}`") for c in right.columns if c not in keys]
+    other = right.select(*[F.col(f"`{k}`").alias(f"__on{i}") for i, k in enumerate(keys)], *rest)
+    on = reduce(and_, [F.col(f"`{k}`").eqNullSafe(F.col(f"__on{i}")) for i, k in enumerate(keys)], F.lit(True))
+    return left.join(other, on, how).drop(*[f"__on{i}" for i in range(len(keys))])
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
     """Fresh folder under the shared checkpoint directory for staged data."""
     return f"{checkpoint_dir(spark).rstrip('/')}/stage/{name}-{uuid.uuid4().hex[:12]}"

@@ -39,20 +39,57 @@ def test_quantile_coverage_and_loss(synth):
     assert imp["x"] > imp["z"]
 
 
-def test_compiled_tree_matches_spark_ml(synth):
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import DecisionTreeRegressor
-    from stationcast.ml.boosting import parse_tree, tree_expr
-    v = VectorAssembler(inputCols=["x", "z"], outputCol="f").transform(synth)
-    m = DecisionTreeRegressor(featuresCol="f", labelCol="y", maxDepth=5, leafCol="leaf").fit(v)
-    st = parse_tree(m)
-    out = m.transform(v).withColumn("leaf2", tree_expr(st, ["x", "z"], lambda i: i)).collect()
-    assert all(r.leaf == r.leaf2 for r in out)
-    preds = {}
-    for r in out:
-        preds[int(r.leaf)] = r.prediction
-    comp = m.transform(v).withColumn("p2", tree_expr(st, ["x", "z"], lambda i: preds.get(i, 0.0))).collect()
-    assert all(r.prediction == r.p2 for r in comp)
+def test_blocks_and_one_block_give_the_same_models(spark, synth):
+    """Keys whose rows lie in one block, and in many whose counts Spark sums: equal number for number."""
+    from stationcast.ml.boosting import fit_models
+    from stationcast.ml.histograms import Settings, State
+    df = synth.withColumn("site", F.when(F.col("row_id") % 3 == 0, "a").when(F.col("row_id") % 3 == 1, F.lit(None)).otherwise("c"))
+    df = df.where("site is null or site <> 'c' or row_id < 90")
+    for kw in ({"alpha": 0.9, "subsample": 0.6, "colsample": 0.5}, {"squared": True, "parallel_trees": 2}):
+        s = Settings(max_depth=3, n_estimators=2, learning_rate=0.3, seed=4, **kw)
+        got = []
+        for rows in (100_000, 400):
+            got.append({r["site"]: r for r in fit_models(df, ["site"], ["x", "z"], "y", "is_test", s, max_rows=rows).collect()})
+        assert set(got[0]) == set(got[1]) == {"a", None, "c"}
+        for k in got[0]:
+            one, many = got[0][k], got[1][k]
+            assert all(one[c] == many[c] for c in ("n_train", "n_test", "rounds", "error", "edges"))
+            assert one["pinball"] == pytest.approx(many["pinball"], rel=1e-12)
+            a, b = State.from_bytes(one["body"]), State.from_bytes(many["body"])
+            assert a.base == b.base and a.errors == b.errors and len(a.trees) == len(b.trees)
+            for t, u in zip(a.trees, b.trees):
+                assert all((getattr(t, c) == getattr(u, c)).all() for c in ("feature", "bin", "left", "value", "gain"))
+
+
+def test_models_of_keys_equal_single_fits(spark, synth):
+    """All keys in one set of jobs; each as if fitted alone."""
+    from stationcast.ml.fanout import fit_per_key
+    df = synth.withColumn("site", F.col("row_id") % 50).withColumn("is_test", F.col("row_id") % 4 == 0)
+    gbt = dict(max_depth=3, learning_rate=0.3, n_estimators=5)
+    got = {r.site: r for r in fit_per_key(df, ["site"], ["x", "z"], "y", alpha=0.8, **gbt).collect()}
+    assert len(got) == 50
+    for site in (0, 17, 49):
+        part = df.where(F.col("site") == site)
+        model = QuantileGBT(["x", "z"], "y", alpha=0.8, **gbt).fit(part.where("not is_test"), part.where("is_test"))
+        scored = model.transform(part.where("is_test"), "q")
+        m = scored.agg(F.avg(pinball(F.col("y"), F.col("q"), 0.8)).alias("p"), F.avg(F.abs(F.col("y") - F.col("q"))).alias("a")).first()
+        assert got[site].rounds == len(model.trees) and got[site].n_train == part.where("not is_test").count()
+        if m["p"] is not None:
+            assert got[site].pinball == pytest.approx(m["p"]) and got[site].mae == pytest.approx(m["a"])
+    assert fit_per_key(df.limit(0), ["site"], ["x", "z"], "y").count() == 0
+
+
+def test_halving_keeps_what_a_whole_run_gives(synth):
+    """A trial that stays to the end is the model of an uninterrupted run; the others end early."""
+    from stationcast.ml import search as SE
+    train, test = synth.filter(~F.col("is_test")), synth.filter(F.col("is_test"))
+    space = {"max_depth": (2, 4), "subsample": (0.5, 1.0), "learning_rate": (0.1, 0.5), "colsample": (0.5, 1.0), "n_estimators": (18, 20)}
+    halved = {r.trial: r for r in SE.param_search(train, test, ["x", "z"], "y", 0.5, n_trials=6, space=space, first_rung=3, keep=2).collect()}
+    whole = {r.trial: r for r in SE.param_search(train, test, ["x", "z"], "y", 0.5, n_trials=6, space=space, keep=1).collect()}
+    assert sorted(halved) == sorted(whole) == list(range(6))
+    best = min(halved.values(), key=lambda r: (r.best_mae, r.trial))
+    assert best.boosted == best.n_estimators and best.best_mae == whole[best.trial].best_mae and best.rounds == whole[best.trial].rounds
+    assert sorted(r.boosted for r in halved.values())[:3] == [3, 3, 3] and all(r.best_mae >= whole[t].best_mae for t, r in halved.items())
 
 
 def test_null_features_score_null(spark, synth):
@@ -130,11 +167,11 @@ def test_fold_search_fit_score_hand_over(spark):
     df = spark.createDataFrame([(s, d, m, x, 3 * m + x) for s, d, m, x in rows], "site string, date date, m double, x double, y double")
     feats = ["m", "x"]
     folds = FO.with_folds(df, FO.year_folds(df, k=5, seed=3))
-    split = FO.best_split(folds, feats, "y", max_iter=4, max_depth=3, subsample=0.8, colsample=0.5, early_stop=0.01).filter("best").first()
+    split = FO.best_split(folds, feats, "y", max_iter=8, max_depth=3, learning_rate=0.3, subsample=0.8, parallel_trees=2).filter("best").first()
     assert sorted(split.train_years + split.test_years) == list(range(2000, 2010)) and len(split.test_years) == 2
     data = FO.split_years(df, split.test_years)
     train, test = data.filter("not is_test"), data.filter("is_test")
-    trials = SE.param_search(train, test, feats, "y", 0.5, n_trials=2, parallelism=1,
+    trials = SE.param_search(train, test, feats, "y", 0.5, n_trials=2,
                              space={"max_depth": (3, 4), "subsample": (0.9, 1.0), "learning_rate": (0.4, 0.5), "colsample": (0.9, 1.0), "n_estimators": (6, 8)})
     model = SE.best_model(trials, train, feats, "y", test)
     scores = Q.score(SC.score_batch(model, test, ["site", "date"], observed="y"), ["site"]).first()
