@@ -240,8 +240,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     groups = staged(wide.join(central, "main").select("pivot", "rep").distinct(), "near-groups")
     comps = staged(components(links), "near-components")
     both = groups.select("rep").unionByName(groups.select(F.col("pivot").alias("rep"))).distinct()
-    sets = texts.join(bounded(both), "rep", "left_semi").select("rep", F.array_sort(shingle_hashes(F.col("text"), size)).alias("set")).where(F.size("set") > 0)
-    sets = staged(sets.select("rep", F.xxhash64("set").alias("tag"), F.size("set").cast("long").alias("n"), "set").dropDuplicates(["rep", "tag"]), "near-sets")
+    sets = texts.join(bounded(both), "rep", "left_semi").select("rep", F.array_sort(shingle_hashes(F.col("text"), size)).alias("set"))
+    sets = staged(sets.select("rep", F.xxhash64("set").alias("tag"), F.size("set").cast("long").alias("n"), "set").dropDuplicates(["rep", "tag"]), "near-sets").where(F.col("n") > 0)
     star, candidates = hot_links(groups, sets, comps, percent)
     links = links.unionByName(staged(confirmed(star.unionByName(candidates).distinct(), texts, size, percent), "near-links"))
     # a number of several texts joins their groups

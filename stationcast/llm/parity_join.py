@@ -135,8 +135,9 @@ def _keys(reps: DataFrame) -> DataFrame:
 def set_table(texts: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     """(rep, tag, n, set) of (rep, text) for the numbers in ``ids``: whole sets, in
     rising order; a number's sets are told apart by ``tag``, equal ones are one."""
-    own = texts.join(bounded(ids), "rep", "left_semi").select("rep", F.array_sort(shingle_hashes(F.col("text"), size)).alias("set")).where(F.size("set") > 0)
-    sets = staged(own.select("rep", F.xxhash64("set").alias("tag"), F.size("set").cast("long").alias("n"), "set"), "parity-sets")
+    own = texts.join(bounded(ids), "rep", "left_semi").select("rep", F.array_sort(shingle_hashes(F.col("text"), size)).alias("set"))
+    # filtered after it is written: before, the filter would make the sets of all texts
+    sets = staged(own.select("rep", F.xxhash64("set").alias("tag"), F.size("set").cast("long").alias("n"), "set"), "parity-sets").where(F.col("n") > 0)
     again = sets.groupBy("rep", "tag").agg(F.count("*").alias("rows")).where(F.col("rows") > 1)
     return sets if again.isEmpty() else staged(sets.dropDuplicates(["rep", "tag"]), "parity-sets")
 
