@@ -46,17 +46,18 @@ def pinball(y: Column, q: Column, alpha: float) -> Column:
 
 @dataclass
 class NodeArrays:
-    """A tree over values: feature (-1: leaf), threshold (not above goes left), left child, value, gain."""
+    """A tree over values: feature (-1: leaf), threshold (not above goes left), left child, value, gain, training rows."""
     feature: np.ndarray
     threshold: np.ndarray
     left: np.ndarray
     value: np.ndarray
     gain: np.ndarray
+    cover: np.ndarray
 
     @staticmethod
     def of(tree: Tree, edges: Sequence[np.ndarray]) -> "NodeArrays":
         threshold = np.array([np.nextafter(edges[f][b], -np.inf) if f >= 0 else 0.0 for f, b in zip(tree.feature, tree.bin)])
-        return NodeArrays(tree.feature.astype(np.int32), threshold, tree.left.astype(np.int32), tree.value, tree.gain)
+        return NodeArrays(tree.feature.astype(np.int32), threshold, tree.left.astype(np.int32), tree.value, tree.gain, tree.cover)
 
     def leaves(self, x: np.ndarray) -> np.ndarray:
         """Leaf of every row; each step moves all open rows a level down."""
@@ -109,8 +110,8 @@ class QuantileGBTModel:
         """Write the model as Parquet under ``path`` (shared storage): row 0 holds the
         settings, every other row a tree."""
         head = json.dumps({"features": self.features, "alpha": self.alpha, "base": self.base, "learning_rate": self.learning_rate, "history": self.history})
-        rows = [(0, head, [], [], [], [], [])] + [(i + 1, None, *[getattr(t, c).tolist() for c in _ARRAYS]) for i, t in enumerate(self.trees)]
-        schema = "tree int, head string, feature array<int>, threshold array<double>, left array<int>, value array<double>, gain array<double>"
+        rows = [(0, head, [], [], [], [], [], [])] + [(i + 1, None, *[getattr(t, c).tolist() for c in _ARRAYS]) for i, t in enumerate(self.trees)]
+        schema = "tree int, head string, feature array<int>, threshold array<double>, left array<int>, value array<double>, gain array<double>, cover array<double>"
         spark.createDataFrame(rows, schema).coalesce(1).write.parquet(path)
         return path
 
@@ -118,7 +119,7 @@ class QuantileGBTModel:
     def load(spark: SparkSession, path: str) -> "QuantileGBTModel":
         rows = spark.read.parquet(path).orderBy("tree").collect()  # one row per tree
         head = json.loads(rows[0]["head"])
-        kinds = dict(zip(_ARRAYS, (np.int32, float, np.int32, float, float)))
+        kinds = dict(zip(_ARRAYS, (np.int32, float, np.int32, float, float, float)))
         return QuantileGBTModel(head["features"], head["alpha"], head["base"], head["learning_rate"],
                                 [NodeArrays(*[np.array(r[c], kinds[c]) for c in _ARRAYS]) for r in rows[1:]], [tuple(h) for h in head["history"]])
 
@@ -132,7 +133,7 @@ class QuantileGBTModel:
         return dict(zip(self.features, (total / max(n, 1)).tolist()))
 
 
-_ARRAYS = ("feature", "threshold", "left", "value", "gain")
+_ARRAYS = ("feature", "threshold", "left", "value", "gain", "cover")
 
 
 # -- rows into blocks ------------------------------------------------------------------------------
@@ -400,6 +401,7 @@ class _Split:
                 for r in by.get(k, []):
                     n[r["leaf"]], t[r["leaf"]] = r["n"], r["t"]
                 tree.value = t * step[k] / (n + s.reg_lambda)
+                tree.covered(n)
             return
 
         def ends(r):
@@ -426,14 +428,16 @@ class _Split:
                 totals = np.bincount(leaf, weights=n).astype(int)
                 rank = ranks.value[key] if ranks else {int(x): H.quantile_rank(int(totals[x]), s.alpha) for x in np.unique(leaf)}
                 got = H.quantile_bins(leaf, bin_, n, rank)
-                return [np.array(list(got)), np.array([v[0] for v in got.values()]), np.array([rank[x] - v[1] for x, v in got.items()])]
+                return [np.array(list(got)), np.array([v[0] for v in got.values()]), np.array([rank[x] - v[1] for x, v in got.items()]), np.array([int(totals[x]) for x in got])]
             return pick
-        schema, out = "__key string, leaf long, bin long, n long", "__key string, leaf long, bin long, rest long"
+        schema, out = "__key string, leaf long, bin long, n long", "__key string, leaf long, bin long, rest long, rows long"
         first = self._picked(bins, schema, ["leaf", "bin"], ["n"], place(), out)
         picked = {k: np.full(len(t.value), -1) for k, t in trees.items()}
         for k, rows in first.items():
+            cover = np.zeros(len(trees[k].value))
             for r in rows:
-                picked[k][r["leaf"]] = r["bin"]
+                picked[k][r["leaf"]], cover[r["leaf"]] = r["bin"], r["rows"]
+            trees[k].covered(cover)
         sc = self.spark.sparkContext
         inside, ranks = sc.broadcast(picked), sc.broadcast({k: {r["leaf"]: r["rest"] for r in rows} for k, rows in first.items()})
         second = self._picked(lambda r: bins(r, inside), schema, ["leaf", "bin"], ["n"], place(ranks), out)

@@ -48,16 +48,24 @@ class Settings:
 
 @dataclass
 class Tree:
-    """Nodes: feature (-1: leaf), last bin that goes left, left child (the right one follows it), value, gain of the split."""
+    """Nodes: feature (-1: leaf), last bin that goes left, left child (the right one follows it),
+    value, gain of the split, sampled training rows that reach it."""
     feature: np.ndarray
     bin: np.ndarray
     left: np.ndarray
     value: np.ndarray
     gain: np.ndarray
+    cover: np.ndarray
 
     @staticmethod
     def root() -> "Tree":
-        return Tree(np.array([-1]), np.array([0]), np.array([-1]), np.array([0.0]), np.array([0.0]))
+        return Tree(np.array([-1]), np.array([0]), np.array([-1]), np.array([0.0]), np.array([0.0]), np.array([0.0]))
+
+    def covered(self, leaf_rows: np.ndarray) -> None:
+        """Sets ``cover`` from the rows of the leaves; children follow their parents."""
+        self.cover = leaf_rows.astype(float)
+        for k in np.flatnonzero(self.feature >= 0)[::-1]:
+            self.cover[k] = self.cover[self.left[k]] + self.cover[self.left[k] + 1]
 
     def split(self, nodes: np.ndarray, feature: np.ndarray, bin_: np.ndarray, gain: np.ndarray) -> np.ndarray:
         """Gives each of ``nodes`` two children; returns the children's numbers."""
@@ -66,7 +74,7 @@ class Tree:
         self.left[nodes] = first + 2 * np.arange(k)
         more = lambda a, v: np.concatenate([a, np.full(2 * k, v, a.dtype)])
         self.feature, self.bin, self.left = more(self.feature, -1), more(self.bin, 0), more(self.left, -1)
-        self.value, self.gain = more(self.value, 0.0), more(self.gain, 0.0)
+        self.value, self.gain, self.cover = more(self.value, 0.0), more(self.gain, 0.0), more(self.cover, 0.0)
         return np.arange(first, first + 2 * k)
 
     def leaves(self, x: np.ndarray) -> np.ndarray:
@@ -97,14 +105,14 @@ class State:
         join = lambda name, kind: np.concatenate([getattr(t, name) for t in self.trees]).astype(kind) if self.trees else np.zeros(0, kind)
         out = io.BytesIO()
         np.savez(out, base=np.array([self.base]), errors=np.array(self.errors), done=np.array([self.done]), sizes=sizes, feature=join("feature", np.int32),
-                 bin=join("bin", np.int16), left=join("left", np.int32), value=join("value", float), gain=join("gain", float))
+                 bin=join("bin", np.int16), left=join("left", np.int32), value=join("value", float), gain=join("gain", float), cover=join("cover", float))
         return out.getvalue()
 
     @staticmethod
     def from_bytes(body: bytes) -> "State":
         z = np.load(io.BytesIO(bytes(body)))
         cuts = np.cumsum(z["sizes"])[:-1]
-        parts = [np.split(z[c].astype(np.int64 if c in ("feature", "bin", "left") else float), cuts) for c in ("feature", "bin", "left", "value", "gain")]
+        parts = [np.split(z[c].astype(np.int64 if c in ("feature", "bin", "left") else float), cuts) for c in ("feature", "bin", "left", "value", "gain", "cover")]
         trees = [Tree(*p) for p in zip(*parts)] if len(z["sizes"]) else []
         return State(float(z["base"][0]), trees, z["errors"].tolist(), bool(z["done"][0]))
 
@@ -278,6 +286,7 @@ def grow(b: Block, f: np.ndarray, s: Settings, round_: int, number: int, step: f
         n, t = np.bincount(leaf, minlength=len(tree.value)), np.zeros(len(tree.value), np.int64)
         np.add.at(t, leaf, signals[rows])
         tree.value = t * step / (n + s.reg_lambda)
+        tree.covered(n)
     elif len(rows):
         low, high = float(residual.min()), float(residual.max())
         set_quantiles(tree, lambda lows, widths: count_pairs(leaf, residual_bins(residual, lows[leaf], widths[leaf])),
@@ -298,6 +307,7 @@ def set_quantiles(tree: Tree, counts, counts_inside, low: float, high: float, s:
     lows, widths = np.full(size, low), np.full(size, (high - low) / RANGES)
     leaf, bin_, n = counts(lows, widths)
     totals = np.bincount(leaf, weights=n, minlength=size).astype(int)
+    tree.covered(totals)
     rank = {int(k): quantile_rank(int(totals[k]), s.alpha) for k in np.unique(leaf)}
     first = quantile_bins(leaf, bin_, n, rank)
     picked = np.full(size, -1)

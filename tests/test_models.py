@@ -58,7 +58,7 @@ def test_blocks_and_one_block_give_the_same_models(spark, synth):
             a, b = State.from_bytes(one["body"]), State.from_bytes(many["body"])
             assert a.base == b.base and a.errors == b.errors and len(a.trees) == len(b.trees)
             for t, u in zip(a.trees, b.trees):
-                assert all((getattr(t, c) == getattr(u, c)).all() for c in ("feature", "bin", "left", "value", "gain"))
+                assert all((getattr(t, c) == getattr(u, c)).all() for c in ("feature", "bin", "left", "value", "gain", "cover"))
 
 
 def test_models_of_keys_equal_single_fits(spark, synth):
@@ -112,17 +112,49 @@ def test_year_folds_disjoint_and_exhaustive(spark):
     assert set(sizes) == set(range(5)) and max(sizes.values()) - min(sizes.values()) <= 1
 
 
-def test_attribution_efficiency(synth):
-    model = QuantileGBT(["x", "z"], "y", n_estimators=3, max_depth=2).fit(synth)
-    rows = synth.filter("row_id < 20")
-    bg = EX.background_sample(synth, ["x", "z"], size=1)
-    attr = EX.attribution(model, rows, "row_id", n_perm=3, background=bg)
-    total = attr.groupBy("row_id").agg(F.sum("attribution").alias("s"))
-    fx = model.transform(rows, "fx").select("row_id", "fx")
-    b = bg.first()
-    fb = model.transform(synth.sparkSession.createDataFrame([(b.x, b.z)], "x double, z double"), "fb").first().fb
-    for r in total.join(fx, "row_id").collect():
-        assert r.s == pytest.approx(r.fx - fb, abs=1e-9)
+def test_attribution_sums_to_the_prediction(synth):
+    model = QuantileGBT(["x", "z"], "y", n_estimators=4, max_depth=6).fit(synth)
+    rows = synth.filter("row_id < 200").withColumn("z", F.when(F.col("row_id") % 10 > 0, F.col("z")))
+    attr = EX.attribution(model, rows, "row_id")
+    total = {r.row_id: r.s for r in attr.groupBy("row_id").agg(F.sum("attribution").alias("s")).collect()}
+    fx = {r.row_id: r.fx for r in model.transform(rows, "fx").select("row_id", "fx").collect()}
+    mean = EX.expectation(model)
+    assert set(total) == {k for k, v in fx.items() if v is not None} and len(total) == 180
+    for k, s in total.items():
+        assert s == pytest.approx(fx[k] - mean, abs=1e-9)
+
+
+def test_attribution_equals_all_feature_subsets():
+    """Path-dependent Shapley values against the sum over all subsets of up to 6 features."""
+    import itertools
+    from math import factorial
+    import numpy as np
+    from stationcast.ml import histograms as H
+    from stationcast.ml.boosting import NodeArrays, QuantileGBTModel
+    rng = np.random.default_rng(2)
+    for width in (1, 3, 6):
+        x = rng.uniform(0, 1, (400, width))
+        y = x @ np.arange(1, width + 1) + np.sin(9 * x[:, 0]) * x[:, -1] + rng.normal(0, 0.1, 400)
+        edges = [np.unique(np.sort(c)[H.edges_at(400)]) for c in x.T]
+        block = H.Block(np.column_stack([H.to_bins(c, e) for c, e in zip(x.T, edges)]), y, rng.integers(0, 1 << 62, 400).astype(np.uint64), np.zeros(400, bool))
+        s = H.Settings(alpha=0.7, max_depth=7, n_estimators=3, learning_rate=0.5, seed=width)
+        model = QuantileGBTModel.of(H.advance(block, s), edges, [f"f{j}" for j in range(width)], s)
+
+        def known(tree: NodeArrays, row, subset, at=0):
+            f = tree.feature[at]
+            if f < 0:
+                return tree.value[at]
+            left, right = tree.left[at], tree.left[at] + 1
+            if f in subset:
+                return known(tree, row, subset, left if row[f] <= tree.threshold[at] else right)
+            return sum(tree.cover[c] * known(tree, row, subset, c) for c in (left, right)) / tree.cover[at]
+        got = EX.shapley_values(model, x[:4])
+        for row, values in zip(x, got):
+            f = {sub: sum(s.learning_rate * known(t, row, sub) for t in model.trees) for k in range(width + 1) for sub in itertools.combinations(range(width), k)}
+            for j in range(width):
+                expected = sum(factorial(len(sub)) * factorial(width - len(sub) - 1) / factorial(width) * (f[tuple(sorted((*sub, j)))] - v) for sub, v in f.items() if j not in sub)
+                assert values[j] == pytest.approx(expected, abs=1e-9)
+        assert EX.expectation(model) == pytest.approx(model.base + f[()])
 
 
 def test_saved_model_scores_the_same(spark, synth, tmp_path):
