@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stationcast.ml.boosting import fit_models
 from stationcast.ml.histograms import Settings
+from stationcast.operators.common import join_on
 
 # Fixed value: multiplier of the seeded year order (Knuth's multiplicative hash).
 _HASH_MULT = 2654435761
@@ -33,23 +34,24 @@ def year_folds(df: DataFrame, k: int = 5, seed: int = 42, keys: Sequence[str] =
                date: str = "date", bounds: DataFrame | None = None) -> DataFrame:
     """Assign each (keys, year) to one of ``k`` folds in a seeded shuffled
     order (M2).  Years are first clipped to the site bounds when ``bounds``
-    (keys, start, end) is given.  Returns (keys, year, fold); folds without
+    (keys, start, end) is given; a site without an entry, or with an open end, keeps its years.  Returns (keys, year, fold); folds without
     years simply do not appear.
 
     Only the distinct-year table is ordered (a few dozen rows per key).
     """
     years = df.select(*keys, F.year(date).alias("year")).distinct()
     if bounds is not None:
-        years = (years.join(bounds.select(*keys, "start", "end"), list(keys))
-                 .filter(F.col("year").between(F.year("start"), F.year("end"))).drop("start", "end"))
+        inside = F.col("year").between(F.coalesce(F.year("start"), F.col("year")), F.coalesce(F.year("end"), F.col("year")))
+        years = join_on(years, bounds.select(*keys, "start", "end"), list(keys), "left").filter(inside).drop("start", "end")
     h = F.pmod(F.col("year").cast("long") * F.lit(_HASH_MULT) + F.lit(seed), F.lit(_HASH_MOD))
     w = Window.partitionBy(*keys).orderBy(h, F.col("year")) if keys else Window.orderBy(h, F.col("year"))
     return years.withColumn("fold", ((F.row_number().over(w) - 1) % k).cast("int"))
 
 
 def with_folds(df: DataFrame, folds: DataFrame, keys: Sequence[str] = (), date: str = "date") -> DataFrame:
-    """Attach the fold of each row's year (small fold table, broadcast by AQE)."""
-    return df.withColumn("year", F.year(date)).join(folds, [*keys, "year"])
+    """Attach the fold of each row's year (small fold table, broadcast by AQE); rows
+    whose year has none, outside the site's bounds or without a date, stay with a null fold."""
+    return join_on(df.withColumn("year", F.year(date)), folds, [*keys, "year"], "left")
 
 
 def best_split(df: DataFrame, features: Sequence[str], label: str, fold_col: str = "fold",

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stationcast.operators.common import join_on
 from stationcast.operators.positions import global_positions
 
 # Months with 31 days.
@@ -88,9 +89,9 @@ def zip_time(df: DataFrame, ref: DataFrame, keys: Sequence[str], order: str,
     m = r.groupBy(*keys).agg(F.max("_m").alias("_m"))
     k, mm = F.col("_k"), F.col("_m")
     target = F.when(k < mm, k).otherwise(mm - period + F.pmod(k - mm, F.lit(period)))
-    a = a.join(m, keys, "left").withColumn("_rk", target)
+    a = join_on(a, m, keys, "left").withColumn("_rk", target)
     res = a.drop(out) if out in a.columns and out != order else a
-    res = res.join(r.drop("_m"), [*keys, "_rk"], "left").drop("_k", "_rk", "_m")
+    res = join_on(res, r.drop("_m"), [*keys, "_rk"], "left").drop("_k", "_rk", "_m")
     return res.unionByName(df.filter(F.col(order).isNull()).withColumn(out, F.lit(None).cast(ref.schema[ref_time].dataType)))
 
 

@@ -9,11 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stationcast.operators.common import join_on
 from stationcast.operators.positions import global_positions
 
 
@@ -34,13 +33,17 @@ def quantile_map(control: DataFrame, hist: DataFrame, keys: Sequence[str], value
                   (F.col("n_lt") - 1) / (F.col("n") - 1)).otherwise(F.lit(0.0))
     h = global_positions(hist.select(*keys, value), keys, value, ties=False)
     m = h.groupBy(*keys).agg(F.max("n").alias("_m"))
-    c = c.join(m, keys, "left").withColumn("_target", F.floor(frac * (F.col("_m") - 1)))
+    c = join_on(c, m, keys, "left").withColumn("_target", F.floor(frac * (F.col("_m") - 1)))
     hv = h.select(*keys, F.col("pos").alias("_target"), F.col(value).alias(out))
-    mapped = c.join(hv, [*keys, "_target"], "left").drop("_target", "_m", "pos", "n_lt", "n")
+    mapped = join_on(c, hv, [*keys, "_target"], "left").drop("_target", "_m", "pos", "n_lt", "n")
     return mapped.unionByName(control.filter(F.col(value).isNull()).withColumn(out, F.lit(None).cast(hist.schema[value].dataType)))
 
 
 # ------------------------------------------------------------------ W6
+#: Share of the row count below which a pivot counts as zero.
+RANK = 1e-10
+
+
 def quantile_pairs(control: DataFrame, hist: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
     """Sorted control values paired with the linearly interpolated
     historical quantile at the same plotting position p = i / (n - 1)."""
@@ -49,12 +52,12 @@ def quantile_pairs(control: DataFrame, hist: DataFrame, keys: Sequence[str], val
     h = global_positions(hist.select(*keys, value), keys, value, ties=False)
     m = h.groupBy(*keys).agg(F.max("n").alias("_m"))
     pos = F.when(F.col("n") > 1, F.col("pos") / (F.col("n") - 1)).otherwise(F.lit(0.0)) * (F.col("_m") - 1)
-    c = c.join(m, keys).select(*keys, F.col(value).alias("x"), pos.alias("_h"))
+    c = join_on(c, m, keys).select(*keys, F.col(value).alias("x"), pos.alias("_h"))
     c = c.withColumns({"_lo": F.floor("_h"), "_hi": F.ceil("_h")})
     hv = h.select(*keys, "pos", F.col(value).alias("_v"))
     lo = hv.withColumnRenamed("pos", "_lo").withColumnRenamed("_v", "_vlo")
     hi = hv.withColumnRenamed("pos", "_hi").withColumnRenamed("_v", "_vhi")
-    j = c.join(lo, [*keys, "_lo"]).join(hi, [*keys, "_hi"])
+    j = join_on(join_on(c, lo, [*keys, "_lo"]), hi, [*keys, "_hi"])
     y = F.col("_vlo") + (F.col("_h") - F.col("_lo")) * (F.col("_vhi") - F.col("_vlo"))
     return j.select(*keys, "x", y.alias("y"))
 
@@ -63,37 +66,39 @@ def fit_polynomial(pairs: DataFrame, keys: Sequence[str], degree: int = 3) -> Da
     """Least-squares polynomial y ~ x per key.
 
     x is standardised per key for conditioning; each key is reduced to the
-    moment sums of x'^k (k <= 2 deg) and x'^k y (k <= deg) by one
-    aggregation, then the small normal equations are solved per key in a
-    grouped pandas function.  Output: keys, x mean / scale and coefficients
-    c0..c_deg of the polynomial in the standardised x.
+    moment sums of x'^k (k <= 2 deg) and x'^k y (k <= deg) by one aggregation,
+    and the normal equations are solved by elimination in column expressions.
+    A power that the lower ones already determine (fewer distinct x than
+    powers) gets the coefficient 0.  Output: keys, x mean / scale and
+    coefficients c0..c_deg of the polynomial in the standardised x.
     """
-    keys = list(keys)
+    keys, size = list(keys), degree + 1
     st = pairs.groupBy(*keys).agg(F.avg("x").alias("x_mean"), F.stddev_pop("x").alias("_sd"))
     st = st.withColumn("x_scale", F.when(F.col("_sd") > 0, F.col("_sd")).otherwise(F.lit(1.0))).drop("_sd")
-    z = pairs.join(st, keys).withColumn("_z", (F.col("x") - F.col("x_mean")) / F.col("x_scale"))
+    z = join_on(pairs, st, keys).withColumn("_z", (F.col("x") - F.col("x_mean")) / F.col("x_scale"))
     mom = z.groupBy(*keys, "x_mean", "x_scale").agg(
-        *[F.sum(F.pow("_z", k)).alias(f"sx{k}") for k in range(2 * degree + 1)],
-        *[F.sum(F.pow("_z", k) * F.col("y")).alias(f"sxy{k}") for k in range(degree + 1)])
-    schema = ", ".join([f"{k} {dict(pairs.dtypes)[k]}" for k in keys] + ["x_mean double", "x_scale double"]
-                       + [f"c{k} double" for k in range(degree + 1)])
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for _, r in pdf.iterrows():
-            a = np.array([[r[f"sx{i + j}"] for j in range(degree + 1)] for i in range(degree + 1)], float)
-            b = np.array([r[f"sxy{i}"] for i in range(degree + 1)], float)
-            coef = np.linalg.lstsq(a, b, rcond=None)[0]
-            rows.append([r[k] for k in keys] + [r["x_mean"], r["x_scale"]] + list(coef))
-        return pd.DataFrame(rows, columns=[*keys, "x_mean", "x_scale"] + [f"c{k}" for k in range(degree + 1)])
-
-    return mom.groupBy(*keys).applyInPandas(solve, schema)
+        *[F.sum(F.pow("_z", k)).alias(f"_s{k}") for k in range(2 * degree + 1)],
+        *[F.sum(F.pow("_z", k) * F.col("y")).alias(f"_b{k}") for k in range(size)])
+    # rows of the symmetric, positive matrix in turn; no row exchanges are needed
+    m = mom.withColumns({f"_a{i}_{j}": F.col(f"_s{i + j}") for i in range(size) for j in range(size)})
+    for k in range(size):
+        sound = F.col(f"_a{k}_{k}") > RANK * F.col("_s0")
+        factor = {i: F.when(sound, F.col(f"_a{i}_{k}") / F.col(f"_a{k}_{k}")).otherwise(0.0) for i in range(k + 1, size)}
+        m = m.withColumns({f"_f{i}": f for i, f in factor.items()})
+        m = m.withColumns({**{f"_a{i}_{j}": F.col(f"_a{i}_{j}") - F.col(f"_f{i}") * F.col(f"_a{k}_{j}") for i in factor for j in range(k, size)},
+                           **{f"_b{i}": F.col(f"_b{i}") - F.col(f"_f{i}") * F.col(f"_b{k}") for i in factor}})
+    for k in range(degree, -1, -1):
+        rest = F.col(f"_b{k}")
+        for j in range(k + 1, size):
+            rest = rest - F.col(f"_a{k}_{j}") * F.col(f"c{j}")
+        m = m.withColumn(f"c{k}", F.when(F.col(f"_a{k}_{k}") > RANK * F.col("_s0"), rest / F.col(f"_a{k}_{k}")).otherwise(0.0))
+    return m.select(*keys, "x_mean", "x_scale", *[f"c{k}" for k in range(size)])
 
 
 def apply_polynomial(df: DataFrame, coefs: DataFrame, keys: Sequence[str], value: str = "value",
                      degree: int = 3, out: str = "corrected") -> DataFrame:
     """Evaluate the fitted polynomial as a Horner column expression."""
-    j = df.join(coefs, list(keys), "left")
+    j = join_on(df, coefs, list(keys), "left")
     z = (F.col(value) - F.col("x_mean")) / F.col("x_scale")
     acc = F.col(f"c{degree}")
     for k in range(degree - 1, -1, -1):

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationcast.functions.scalars import SQRT_2PI, month_label, scott_bandwidth
+from stationcast.operators.common import join_on
 
 
 def _cond(value: str, threshold: float, op: str):
@@ -49,7 +50,7 @@ def exceedance(df: DataFrame, threshold: float, op: str = "above",
     else:
         # One row per key: its size is bounded by the number of sites and
         # AQE broadcasts it at runtime when small.
-        out = hits.join(member_counts(df, keys, member), list(keys))
+        out = join_on(hits, member_counts(df, keys, member), list(keys))
         denom = F.col("n_members")
     return out.select(*keys, time, (F.lit(100.0) * F.col("_hits") / denom).alias("pct"))
 
@@ -97,10 +98,10 @@ def scale_bias(ens: DataFrame, obs: DataFrame, keys: Sequence[str] = ("site",),
     member_means = ens.groupBy(*keys, member).agg(F.avg(value).alias("_mm"))
     ens_mean = member_means.groupBy(*keys).agg(F.avg("_mm").alias("ens_mean"))
     obs_mean = obs.groupBy(*keys).agg(F.avg(obs_value).alias("obs_mean"))
-    factor = (ens_mean.join(obs_mean, list(keys), "left")
+    factor = (join_on(ens_mean, obs_mean, list(keys), "left")
               .select(*keys, F.when(F.col("ens_mean") == 0, F.lit(1.0))
                       .otherwise(F.col("obs_mean") / F.col("ens_mean")).alias("factor")))
-    return (ens.join(factor, list(keys), "left")
+    return (join_on(ens, factor, list(keys), "left")
             .withColumn("corrected", F.col(value) * F.col("factor")))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationcast.functions.scalars import EARTH_RADIUS_KM, haversine_km
-from stationcast.operators.common import bounded, cut_lineage
+from stationcast.operators.common import bounded, cut_lineage, join_on
 
 
 # ------------------------------------------------------------------ J1
@@ -174,7 +174,7 @@ def _beside(axis: str, c: float, step):
 def align_series(a: DataFrame, b: DataFrame, on: Sequence[str] = ("date",),
                  a_col: str = "a", b_col: str = "b") -> DataFrame:
     """Outer alignment then complete cases == inner join without nulls."""
-    return (a.select(*on, a_col).join(b.select(*on, b_col), list(on))
+    return (join_on(a.select(*on, a_col), b.select(*on, b_col), list(on))
             .filter(F.col(a_col).isNotNull() & F.col(b_col).isNotNull()))
 
 

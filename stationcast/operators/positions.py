@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationcast.operators.common import cut_lineage
+from stationcast.operators.common import cut_lineage, join_on
 
 
 def global_positions(df: DataFrame, keys: Sequence[str], value: str,
@@ -26,7 +26,7 @@ def global_positions(df: DataFrame, keys: Sequence[str], value: str,
     ``n_lt`` (rows of the key with a strictly smaller value; only with
     ``ties``, as it costs a join on the distinct values) and ``n`` (rows of
     the key).  Rows with a null value have no position and are left out;
-    callers that keep them add them again.
+    callers that keep them add them again.  A null key is a key like others.
 
     Ties get consecutive ``pos`` in an arbitrary but fixed order.  With
     ``keep_partition`` the range partition of each row is kept as
@@ -50,9 +50,9 @@ def global_positions(df: DataFrame, keys: Sequence[str], value: str,
     part = part.select("_pid", *keys, "_kmin",
                        (F.sum("_kn").over(wk) - F.col("_kn")).alias("_off"),
                        F.sum("_kn").over(Window.partitionBy(*keys)).alias("n"))
-    out = d.join(part, ["_pid", *keys]).withColumn("pos", F.col("_off") + F.col("_id") - F.col("_kmin"))
+    out = join_on(d, part, ["_pid", *keys]).withColumn("pos", F.col("_off") + F.col("_id") - F.col("_kmin"))
     if ties:
-        out = out.join(out.groupBy(*keys, value).agg(F.min("pos").alias("n_lt")), [*keys, value])
+        out = join_on(out, out.groupBy(*keys, value).agg(F.min("pos").alias("n_lt")), [*keys, value])
     if keep_partition:
         out = out.withColumnRenamed("_pid", "range_part")
     return out.drop("_pid", "_id", "_kmin", "_off")

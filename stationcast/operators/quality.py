@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationcast.operators import joins as J
+from stationcast.operators.common import join_on
 from stationcast.operators.positions import quantile_cont
 
 
@@ -51,7 +52,7 @@ def mode_fill(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> D
     for c in cols:
         m = mode_values(df, c, keys)
         m = m if keys else m.withColumn("_all", F.lit(0))
-        out = out.join(m, on, "left")
+        out = join_on(out, m, on, "left")
         out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"{c}_mode"))).drop(f"{c}_mode")
     return out if keys else out.drop("_all")
 
@@ -69,7 +70,7 @@ def percentile_table(obs: DataFrame, pred: DataFrame, keys: Sequence[str], q: fl
     base = (combinations if combinations is not None else obs.select(*keys).unionByName(pred.select(*keys))).select(*keys).distinct()
     o = quantile_cont(obs, keys, obs_col, q, "obs_percentile")
     p = quantile_cont(pred, keys, pred_col, q, "pred_percentile")
-    j = base.join(o, keys, "left").join(p, keys, "left")
+    j = join_on(join_on(base, o, keys, "left"), p, keys, "left")
     reason = (F.when(F.col("obs_percentile").isNull(), F.lit("no_observed"))
               .when(F.col("pred_percentile").isNull(), F.lit("no_predicted")))
     return j.withColumn("error", reason)

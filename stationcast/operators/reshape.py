@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stationcast.operators.common import join_on
+
 
 def _q(c: str):
     return F.col(f"`{c}`")
@@ -106,7 +108,7 @@ def reindex_daily(df: DataFrame, keys: Sequence[str] = ("site",), date: str = "d
     bounds = bounds.withColumn("_lo", lo).filter(F.col("_lo") <= F.col("_hi"))
     spine = bounds.select(*keys, F.explode(F.sequence(F.col("_lo"), F.col("_hi"), F.expr("INTERVAL 1 DAY"))).alias(date))
     data = df if start is None else df.filter(F.col(date) >= F.lit(start).cast("date"))
-    return spine.join(data, [*keys, date], "left")
+    return join_on(spine, data, [*keys, date], "left")
 
 
 # ------------------------------------------------------------------ R12

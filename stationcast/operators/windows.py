@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stationcast.operators.common import join_on
 from stationcast.operators.positions import global_positions
 
 _AGG = {"max": F.max, "min": F.min, "sum": F.sum, "mean": F.avg, "avg": F.avg}
@@ -50,7 +51,7 @@ def shift_days(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ("site"
     """
     prev = df.select(*keys, F.date_add(F.col(date), n).alias(date),
                      *[F.col(c).alias(f"{c}{suffix}") for c in cols])
-    return df.join(prev, [*keys, date], "left")
+    return join_on(df, prev, [*keys, date], "left")
 
 
 def shift_rows(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ("site",),
@@ -64,7 +65,7 @@ def shift_rows(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ("site"
     keys = list(keys)
     pos = global_positions(df, keys, order, ties=False).drop("n")
     prev = pos.select(*keys, (F.col("pos") + n).alias("pos"), *[F.col(f"`{c}`").alias(f"{c}{suffix}") for c in cols])
-    out = pos.join(prev, [*keys, "pos"], "left").select(*[F.col(f"`{c}`") for c in df.columns], *[F.col(f"`{c}{suffix}`") for c in cols])
+    out = join_on(pos, prev, [*keys, "pos"], "left").select(*[F.col(f"`{c}`") for c in df.columns], *[F.col(f"`{c}{suffix}`") for c in cols])
     return out.unionByName(df.filter(F.col(order).isNull()), allowMissingColumns=True)
 
 
@@ -92,7 +93,7 @@ def trailing_agg_sampled(df: DataFrame, value: str, fn: str, keys: Sequence[str]
     sample = F.when(t == anchor, t).otherwise(anchor + F.expr("INTERVAL 1 DAY"))
     agg = df.groupBy(*keys, sample.alias(time)).agg(_AGG[fn](value).alias(name or f"{fn}_24h"))
     at = df.filter((F.hour(t) == sample_hour) & (F.minute(t) == 0) & (F.second(t) == 0)).select(*keys, time).distinct()
-    return agg.join(at, [*keys, time], "left_semi")
+    return join_on(agg, at, [*keys, time], "left_semi")
 
 
 def trailing_agg(df: DataFrame, value: str, fn: str, keys: Sequence[str] = ("site",),
@@ -133,6 +134,6 @@ def ffill(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ("site",),
     carry = lasts.select(*keys, "_chunk", *[F.last(f"_last_{c}", ignorenulls=True).over(wc).alias(f"_in_{c}")
                                             for c in cols])
     wi = Window.partitionBy(*keys, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    filled = d.join(carry, [*keys, "_chunk"], "left").withColumns({
+    filled = join_on(d, carry, [*keys, "_chunk"], "left").withColumns({
         c: F.coalesce(F.last(c, ignorenulls=True).over(wi), F.col(f"_in_{c}")) for c in cols})
     return filled.drop("_chunk", *[f"_in_{c}" for c in cols])

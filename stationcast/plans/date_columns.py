@@ -28,6 +28,7 @@ DATE_COLUMNS = {
     'j5_common_dates': ['date'],
     'j6_missing_dates': ['date'],
     'm1_split_years': ['date'],
+    'w6_poly_correction': ['date'],
     'o2_time_sort': ['date'],
     'p10_select_contains': ['date'],
     'p11_select_delimited': ['date'],

@@ -43,7 +43,7 @@ def w5_quantile_map(spark, d):
     return out.select("site", "date", "value", rnd("corrected", 4).alias("corrected"))
 
 
-@register("w6_quantile_pairs", """
+_PAIRS_SQL = """
 WITH c AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS site, CAST(l_shipdate AS DATE) AS date, avg(l_quantity) AS value
            FROM lineitem GROUP BY 1, 2),
 h AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS site, CAST(o_orderdate AS DATE) AS date, avg(o_totalprice) AS value
@@ -53,9 +53,30 @@ cp AS (SELECT site, value AS x, row_number() OVER (PARTITION BY site ORDER BY va
 hp AS (SELECT site, value AS v, row_number() OVER (PARTITION BY site ORDER BY value) - 1 AS pos,
        count(*) OVER (PARTITION BY site) AS m FROM h),
 mm AS (SELECT DISTINCT site, m FROM hp),
-q AS (SELECT cp.site, cp.x, CASE WHEN n > 1 THEN pos / (n - 1) ELSE 0 END * (mm.m - 1) AS hh FROM cp JOIN mm USING (site))
-SELECT q.site, q.x, """ + S.r("lo.v + (q.hh - floor(q.hh)) * (hi.v - lo.v)", 4) + """ AS y
-FROM q JOIN hp lo ON lo.site = q.site AND lo.pos = floor(q.hh) JOIN hp hi ON hi.site = q.site AND hi.pos = ceil(q.hh)""")
+q AS (SELECT cp.site, cp.x, CASE WHEN n > 1 THEN pos / (n - 1) ELSE 0 END * (mm.m - 1) AS hh FROM cp JOIN mm USING (site)),
+pairs AS (SELECT q.site, q.x, lo.v + (q.hh - floor(q.hh)) * (hi.v - lo.v) AS y
+FROM q JOIN hp lo ON lo.site = q.site AND lo.pos = floor(q.hh) JOIN hp hi ON hi.site = q.site AND hi.pos = ceil(q.hh))
+"""
+
+
+def _fit_sql() -> str:
+    """Cubic least squares per site: moments about the mean, then Cramer's rule on the 4 x 4 normal equations."""
+    def det(m):
+        if len(m) == 1:
+            return m[0][0]
+        terms = [f"{'+' if j % 2 == 0 else '-'} {m[0][j]} * ({det([[r[k] for k in range(len(m)) if k != j] for r in m[1:]])})" for j in range(len(m))]
+        return " ".join(terms).lstrip("+ ")
+    moments = ", ".join([f"avg(pow(z, {k})) AS s{k}" for k in range(7)] + [f"avg(pow(z, {k}) * y) AS b{k}" for k in range(4)])
+    a = [[f"s{i + j}" for j in range(4)] for i in range(4)]
+    columns = ", ".join(f"({det([[f'b{i}' if j == k else a[i][j] for j in range(4)] for i in range(4)])}) / ({det(a)}) AS c{k}" for k in range(4))
+    return f""",
+st AS (SELECT site, avg(x) AS x_mean, stddev_pop(x) AS x_scale FROM pairs GROUP BY 1),
+mo AS (SELECT site, x_mean, x_scale, {moments} FROM (SELECT site, x_mean, x_scale, y, (x - x_mean) / x_scale AS z FROM pairs JOIN st USING (site)) GROUP BY 1, 2, 3),
+co AS (SELECT site, x_mean, x_scale, {columns} FROM mo)
+"""
+
+
+@register("w6_quantile_pairs", _PAIRS_SQL + "SELECT site, x, " + S.r("y", 4) + " AS y FROM pairs")
 def w6_quantile_pairs(spark, d):
     """The pairing step of W6: sorted control values with the linearly
     interpolated historical quantile at the same plotting position."""
@@ -63,11 +84,11 @@ def w6_quantile_pairs(spark, d):
     return out.select("site", "x", rnd("y", 4).alias("y"))
 
 
-@register("w6_poly_correction")
+@register("w6_poly_correction", _PAIRS_SQL + _fit_sql() + "SELECT site, date, value, " + S.r("c0 + z * (c1 + z * (c2 + z * c3))", 3)
+          + " AS corrected FROM (SELECT c.site, c.date, c.value, (c.value - x_mean) / x_scale AS z, c0, c1, c2, c3 FROM c JOIN co USING (site))")
 def w6_poly_correction(spark, d):
-    """Rows-only check (least-squares fit); invariants are unit-tested."""
     out = K.poly_correction(control(spark, d), historical(spark, d), ["site"])
-    return out.select("site", "date", "value", "corrected")
+    return out.select("site", "date", "value", rnd("corrected", 3).alias("corrected"))
 
 
 @register("w7_correction_skill", _QM_SQL + """

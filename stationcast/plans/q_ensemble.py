@@ -98,15 +98,14 @@ def r6_member_matrix(spark, d):
 @register("a19_scale_bias", S.with_sql("ens") + """,
 mm AS (SELECT site, member, avg(value) AS m FROM ens GROUP BY 1, 2),
 em AS (SELECT site, avg(m) AS ens_mean FROM mm GROUP BY 1),
-obs AS (SELECT user_id % 4 AS site, avg(value) AS obs_mean FROM events WHERE event_type = 'error' GROUP BY 1),
+obs AS (SELECT user_id % 4 AS site, avg(value) AS obs_mean FROM events GROUP BY 1),
 f AS (SELECT em.site, CASE WHEN ens_mean = 0 THEN 1.0 ELSE obs_mean / ens_mean END AS factor
       FROM em LEFT JOIN obs USING (site))
 SELECT e.site, e.member, e.date, """ + S.r("e.value * f.factor") + """ AS corrected, """ + S.r("f.factor", 9) + """ AS factor
 FROM ens e LEFT JOIN f USING (site)""")
 def a19_scale_bias(spark, d):
     ev = S.read_table(spark, d, "events")
-    obs = (ev.filter(F.col("event_type") == "error")
-           .select((F.col("user_id") % S.EVENT_SITES).alias("site"), "value"))
+    obs = ev.select((F.col("user_id") % S.EVENT_SITES).alias("site"), "value")
     out = E.scale_bias(S.ens(spark, d), obs)
     return out.select("site", "member", "date", rnd("corrected", 6).alias("corrected"),
                       rnd("factor", 9).alias("factor"))

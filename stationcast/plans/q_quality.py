@@ -74,10 +74,10 @@ def a12_percentile_summary(spark, d):
 
 @register("a16_mae_by_month", _FLAG_SQL + """
 SELECT coalesce(CAST(month(date) AS INTEGER), 0) AS month, """ + S.r("avg(abs(a - b))") + """ AS mae, count(*) AS n
-FROM a JOIN b USING (date) WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY ROLLUP (month(date))""")
+FROM a JOIN b USING (flag, date) WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY ROLLUP (month(date))""")
 def a16_mae_by_month(spark, d):
     """Per-month MAE; the overall row (rollup's null month) is reported as month 0."""
-    out = Q.mae_by_month(_flag_daily(spark, d, "A", "a"), _flag_daily(spark, d, "R", "b"))
+    out = Q.mae_by_month(_flag_daily(spark, d, 1, "a"), _flag_daily(spark, d, 0, "b"), ["flag", "date"])
     return out.withColumns({"month": F.coalesce("month", F.lit(0)), "mae": rnd("mae")})
 
 

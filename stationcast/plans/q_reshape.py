@@ -65,15 +65,14 @@ def r5_melt(spark, d):
 
 
 @register("r7_reindex_daily", """
-WITH p AS (SELECT user_id AS site, CAST(ts AS DATE) AS date, max(value) AS value
-           FROM events WHERE event_type = 'purchase' GROUP BY 1, 2),
-b AS (SELECT site, greatest(min(date), DATE '2024-01-03') AS lo, max(date) AS hi FROM p GROUP BY site),
-spine AS (SELECT site, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date FROM b WHERE lo <= hi)
-SELECT s.site, s.date, p.value FROM spine s LEFT JOIN p USING (site, date)""")
+WITH p AS (SELECT user_id AS site, event_type AS kind, CAST(ts AS DATE) AS date, max(value) AS value
+           FROM events GROUP BY 1, 2, 3),
+b AS (SELECT site, kind, greatest(min(date), DATE '2024-01-03') AS lo, max(date) AS hi FROM p GROUP BY 1, 2),
+spine AS (SELECT site, kind, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date FROM b WHERE lo <= hi)
+SELECT s.site, s.kind, s.date, p.value FROM spine s LEFT JOIN p USING (site, kind, date)""")
 def r7_reindex_daily(spark, d):
-    ev = S.read_table(spark, d, "events").filter(F.col("event_type") == "purchase")
-    p = ev.groupBy(F.col("user_id").alias("site"), F.to_date("ts").alias("date")).agg(F.max("value").alias("value"))
-    return R.reindex_daily(p, start="2024-01-03")
+    p = S.event_series(spark, d)
+    return R.reindex_daily(p, ["site", "kind"], start="2024-01-03")
 
 
 @register("r12_dedup_first", """

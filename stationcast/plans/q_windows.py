@@ -67,15 +67,14 @@ def w3_trailing_24h(spark, d):
 
 
 @register("w4_ffill", """
-WITH p AS (SELECT user_id AS site, CAST(ts AS DATE) AS date, max(value) AS value
-           FROM events WHERE event_type = 'purchase' GROUP BY 1, 2),
-b AS (SELECT site, min(date) AS lo, max(date) AS hi FROM p GROUP BY site),
-spine AS (SELECT site, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date FROM b),
-r AS (SELECT s.site, s.date, p.value FROM spine s LEFT JOIN p USING (site, date))
-SELECT site, date, value AS raw, last_value(value IGNORE NULLS) OVER (PARTITION BY site ORDER BY date
+WITH p AS (SELECT user_id AS site, event_type AS kind, CAST(ts AS DATE) AS date, max(value) AS value
+           FROM events GROUP BY 1, 2, 3),
+b AS (SELECT site, kind, min(date) AS lo, max(date) AS hi FROM p GROUP BY 1, 2),
+spine AS (SELECT site, kind, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date FROM b),
+r AS (SELECT s.site, s.kind, s.date, p.value FROM spine s LEFT JOIN p USING (site, kind, date))
+SELECT site, kind, date, value AS raw, last_value(value IGNORE NULLS) OVER (PARTITION BY site, kind ORDER BY date
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value FROM r""")
 def w4_ffill(spark, d):
-    ev = S.read_table(spark, d, "events").filter(F.col("event_type") == "purchase")
-    p = ev.groupBy(F.col("user_id").alias("site"), F.to_date("ts").alias("date")).agg(F.max("value").alias("value"))
-    r = R.reindex_daily(p).withColumn("raw", F.col("value"))
-    return W.ffill(r, ["value"], chunk="week").select("site", "date", "raw", "value")
+    keys = ["site", "kind"]
+    r = R.reindex_daily(S.event_series(spark, d), keys).withColumn("raw", F.col("value"))
+    return W.ffill(r, ["value"], keys, chunk="week").select("site", "kind", "date", "raw", "value")

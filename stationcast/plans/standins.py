@@ -74,6 +74,12 @@ def ens(spark: SparkSession, d: str) -> DataFrame:
             .agg(F.max("value").alias("value")))
 
 
+def event_series(spark: SparkSession, d: str) -> DataFrame:
+    """Daily maximum of every event series (user and type); days without events are absent."""
+    return (read_table(spark, d, "events").groupBy(F.col("user_id").alias("site"), F.col("event_type").alias("kind"), F.to_date("ts").alias("date"))
+            .agg(F.max("value").alias("value")))
+
+
 def hourly(spark: SparkSession, d: str) -> DataFrame:
     """Hourly station series (site, time, value)."""
     ev = read_table(spark, d, "events")
