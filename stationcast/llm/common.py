@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+import zlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -38,6 +39,8 @@ def workers_ready(spark: SparkSession) -> None:
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``fn`` over Arrow batches of at most ``BATCH_ROWS`` rows."""
     workers_ready(df.sparkSession)
+    # names with dots can't be handed to Python; the function takes such columns by their place
+    df = df.toDF(*[f"__p{i}" if set(c) & {".", "`"} else c for i, c in enumerate(df.columns)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -57,6 +60,25 @@ def staged(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def named(*names: str) -> list[Column]:
+    """Columns of these names, whatever characters are in them."""
+    return [F.col(f"`{c.replace('`', '``')}`") for c in names]
+
+
+def others(df: DataFrame, *new: str) -> list[str]:
+    """Names of the columns of ``df`` that a result of the names ``new`` leaves as they
+    are; Spark does not tell names apart by case."""
+    taken = {c.lower() for c in new}
+    return [c for c in df.columns if c.lower() not in taken]
+
+
+def sheltered(df: DataFrame, names: list[str], **own: Column) -> tuple[DataFrame, list[Column]]:
+    """(``df`` with the columns ``names`` under names that clash with nothing, and the
+    columns ``own``; the columns that give ``names`` back)."""
+    held = df.select(*[c.alias(f"__c{i}") for i, c in enumerate(named(*names))], *[c.alias(k) for k, c in own.items()])
+    return held, [F.col(f"__c{i}").alias(c) for i, c in enumerate(names)]
+
+
 def words(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text, in order; null and empty give []."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
@@ -78,16 +100,31 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def bounded_sample(df: DataFrame, key: Column, size: int) -> DataFrame:
-    """At most about ``size`` rows of ``df``, chosen by the hash of ``key``:
-    the same rows on every run, spread over the whole table.
-
-    Only a row count is taken first; the rows are then filtered where they
-    lie, so nothing but the sample leaves the tasks.  Whole table when it has
-    no more than ``size`` rows."""
-    n = df.select(key.alias("_k")).where(F.col("_k").isNotNull()).count()
-    if n <= size:
-        return df.where(key.isNotNull())
-    steps = 1 << 30
-    keep = int(steps * size / n)
-    return df.where(key.isNotNull() & (F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(steps)) < keep))
+def bounded_sample(df: DataFrame, key: str, size: int) -> DataFrame:
+    """About ``size`` rows of ``df``, one row a key, chosen by the key's hash: the same
+    rows on every run, spread over the whole table.  Of a key's rows the least one stands
+    for all, so repeated keys do not make the sample larger.
+
+    Only the number of keys is taken first; rows are then filtered where they lie, so
+    nothing but the sample leaves the tasks.  All keys when there are no more than
+    ``size``; rows without a key are left out."""
+    known = df.where(named(key)[0].isNotNull())
+    n = known.agg(F.approx_count_distinct(named(key)[0], 0.02)).first()[0]
+    if n > size:
+        steps = 1 << 30
+        known = known.where(F.pmod(F.xxhash64(named(key)[0], F.lit("sample")), F.lit(steps)) < int(steps * size / n))
+    rest = [c for c in df.columns if c != key]
+    return known.groupBy(named(key)[0].alias(key)).agg(F.min(F.struct(*named(*rest))).alias("__row")).select(*named(key), "__row.*")
+
+
+def within_bytes(rows: DataFrame, key: str, text: str, most: int) -> DataFrame:
+    """The rows of a bounded sample whose texts, taken whole and in the order of a hash of
+    their key, fit in ``most`` bytes together."""
+    sizes = sorted((zlib.crc32(str(r[0]).encode()), str(r[0]), r[1]) for r in rows.select(F.col(key).cast("string"), F.coalesce(F.octet_length(text), F.lit(0))).collect())
+    kept, total = [], 0
+    for _, k, n in sizes:
+        if total + n <= most:
+            kept.append((k,))
+            total += n
+    few = rows.sparkSession.createDataFrame(kept, "__fits string")  # keys of the sample
+    return rows.join(F.broadcast(few), F.col(key).cast("string") == F.col("__fits")).drop("__fits")

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationcast.llm.common import words
+from stationcast.llm.common import named, others, sheltered, words
 
 K, BUCKETS = 5, 64
 _POS_BITS, _BUCKET_SHIFT = 28, 57  # 63 bits: 6 of bucket, 29 more of hash, 28 of position
@@ -46,9 +46,10 @@ def _bucket(v: Column) -> Column:
 
 def with_fingerprint(frame: DataFrame, text: str, out: str) -> DataFrame:
     """``frame`` with ``out`` (array<int>): an entry for each bucket; none for texts without words."""
-    names = [F.col(f"`{c}`") for c in frame.columns if c != out]
     n = F.size("__w")
-    d = frame.select(*names, words(F.col(f"`{text}`")).alias("__w")).select(*names, F.transform("__w", lambda w: F.xxhash64(w)).alias("__w"))
+    d, back = sheltered(frame, others(frame, out), __w=words(named(text)[0]))
+    names = [F.col(c) for c in d.columns[:-1]]
+    d = d.select(*names, F.transform("__w", lambda w: F.xxhash64(w)).alias("__w"))
     whole = F.array(_pack(F.xxhash64("__w"), F.lit(0)))
     moving = F.transform(F.sequence(F.lit(0), n - K), lambda i: _pack(F.xxhash64(*[F.get("__w", i + k) for k in range(K)]), i))
     d = d.select(*names, F.when(n >= K, F.sort_array(moving)).when(n > 0, whole).otherwise(F.array().cast("array<bigint>")).alias("__s"))
@@ -83,7 +84,7 @@ def with_fingerprint(frame: DataFrame, text: str, out: str) -> DataFrame:
     filled = F.transform("__p", lambda p: entry(p["bucket"], F.get("__s", F.get(p["at"], 0)), F.get("__s", F.get(p["at"], 1))))
     low = F.lit(-(1 << 31))  # buckets in order: the upper half are negative numbers
     ordered = F.transform(F.sort_array(F.transform(F.concat(own, filled), lambda v: v.bitwiseXOR(low))), lambda v: v.bitwiseXOR(low))
-    return d.select(*names, ordered.alias(out))
+    return d.select(*back, ordered.alias(out))
 
 
 def as_text(fingerprint: Column) -> Column:
@@ -140,7 +141,8 @@ def fingerprint(docs: DataFrame, text: str = "text", out: str = "fingerprint") -
     Equal texts have equal fingerprints.  Null, empty and blank texts have the
     empty one.  Null keys, repeated rows and further columns stay as they are;
     an empty table gives an empty result."""
-    return with_fingerprint(docs, text, out).withColumn(out, as_text(F.col(out)))
+    d = with_fingerprint(docs, text, out)
+    return d.select(*named(*others(d, out)), as_text(named(out)[0]).alias(out))
 
 
 def digest(docs: DataFrame) -> DataFrame:

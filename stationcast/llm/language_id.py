@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationcast.llm.common import bounded_sample, held_out, map_batches
+from stationcast.llm.common import bounded_sample, held_out, map_batches, named, others, within_bytes
 
-#: Bounds of the training sample: documents, passages of each (spread over the whole text), bytes of a passage.
-SAMPLE_DOCS, PASSAGES, PASSAGE_BYTES = 4000, 4, 320
+#: Bounds of the training sample: documents, and bytes of their whole texts together.  Texts are cut in passages of this many bytes.
+SAMPLE_DOCS, SAMPLE_BYTES, PASSAGE_BYTES = 4000, 6 << 20, 320
 GRAMS, BITS, DIM = (2, 3, 4), 15, 16
 #: Validation texts that the rejection threshold may cost at most, as a share.
 REJECT_SHARE = 0.002
@@ -190,25 +190,24 @@ def calibrated(model: LanguageModel, texts: list[bytes], target: np.ndarray) ->
     return model
 
 
-def spread_passages(text: str, passages: int, size: int) -> list[bytes]:
-    """Up to ``passages`` pieces of ``size`` bytes at even distances over the whole text."""
+def passages_of(text: str, size: int) -> list[bytes]:
+    """The whole text in pieces of ``size`` bytes."""
     data = text.encode()
-    if len(data) <= passages * size:
-        return [data[i:i + size] for i in range(0, len(data), size)]
-    return [data[at:at + size] for at in np.linspace(0, len(data) - size, passages).astype(int)]
+    return [data[i:i + size] for i in range(0, len(data), size)]
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample_docs: int = SAMPLE_DOCS) -> LanguageModel:
     """Trains on passages of a bounded sample of the rows that are not held out
     and have a language, a text with a letter and a key."""
-    known = docs.where(~held_out(F.col(key)) & F.col(lang).isNotNull())
-    some = bounded_sample(known, F.col(key), sample_docs).select(F.col(key).cast("string"), text, lang)
+    known = docs.where(~held_out(named(key)[0]) & named(lang)[0].isNotNull())
+    own = known.select(named(key)[0].alias("k"), named(text)[0].alias("t"), named(lang)[0].alias("g"))
+    some = within_bytes(bounded_sample(own, "k", sample_docs), "k", "t", SAMPLE_BYTES).select(F.col("k").cast("string"), "t", "g")
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = [(k, p, g) for k, t, g in zip(*(c.to_pylist() for c in batch.columns)) if has_letter(t)
-                for p in spread_passages(t, PASSAGES, PASSAGE_BYTES)]
+                for p in passages_of(t, PASSAGE_BYTES)]
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.string(), pa.binary(), pa.string()))], ["k", "p", "g"])
-    rows = sorted(map(tuple, map_batches(some, cut, "k string, p binary, g string").collect()))  # bounded: documents x passages x bytes
+    rows = sorted(map(tuple, map_batches(some, cut, "k string, p binary, g string").collect()))  # bounded by SAMPLE_BYTES
     numbers = {k: i for i, k in enumerate(dict.fromkeys(r[0] for r in rows))}
     return train([(numbers[k], bytes(p), g) for k, p, g in rows])
 
@@ -223,8 +222,8 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", pred: st
     rows and null keys give a row each; an empty table gives an empty result."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)  # buckets x languages numbers
-    names = [c for c in (passthrough or docs.columns) if c not in (pred, score, rejected)]
-    own = docs.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text}`").alias("__text"))
+    names = others(docs.select(*named(*passthrough)) if passthrough else docs, pred, score, rejected)
+    own = docs.select(*named(*names, text)).toDF(*[f"__p{i}" for i in range(len(names) + 1)])  # taken by place
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         m, texts = shared.value, batch.column(len(names)).to_pylist()

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationcast.llm.common import n_words, staged
+from stationcast.llm.common import n_words, named, others, sheltered, staged
 
 #: Ranges of keys in a source.
 BUCKETS = 4096
@@ -61,11 +61,12 @@ def mix(docs: DataFrame, quality: Column | None = None, text: str = "text", key:
     have size 0 and are taken 0 words.  A null source is a source like others,
     the last one; null keys draw one common number.  Equal sample keys are
     ordered by key and text, so reruns agree.  An empty table gives an empty result."""
-    new = ("size", "source_size", "target", "taken")
-    names = [c for c in docs.columns if c not in new]
+    names = others(docs, "size", "source_size", "target", "taken")
     q = F.lit(1.0) if quality is None else F.when(quality > 0, quality).otherwise(1.0).cast("double")
-    d = docs.withColumn("__q", q).select(*[F.col(f"`{c}`") for c in names], n_words(F.col(f"`{text}`")).alias("size") if text in names else F.col("size"), F.col("__q"))
-    d = d.withColumn("__s", F.col(f"`{source}`")).withColumn("__key", sample_key(F.col(f"`{key}`"), F.col("__q")))
+    has_text = text.lower() in {c.lower() for c in names}
+    d, back = sheltered(docs, names, __q=q, __id=named(key)[0], __s=named(source)[0], size=n_words(named(text)[0]) if has_text else F.col("size"),
+                        __text=F.xxhash64(named(text)[0]) if has_text else F.lit(0))
+    d = d.withColumn("__key", sample_key(F.col("__id"), F.col("__q")))
     d = d.withColumn("__b", F.least(F.floor((1 - F.exp(-F.col("__key"))) * BUCKETS), F.lit(BUCKETS - 1)).cast("int"))
     sums = staged(d.groupBy("__s", "__b").agg(F.sum("size").alias("size")), "mix-sums")
     targets = source_targets(sums.groupBy(F.col("__s").alias("source")).agg(F.sum("size").alias("source_size")))
@@ -81,12 +82,12 @@ def mix(docs: DataFrame, quality: Column | None = None, text: str = "text", key:
     small = plan.count() <= SMALL_TABLE
     j = d.join(F.broadcast(plan) if small else plan, F.col("__s").eqNullSafe(F.col("__source")), "left")
     ends_here = F.coalesce(F.col("__b") == F.col("__last"), F.lit(False))
-    ties = [F.col("__key"), F.col(f"`{key}`").asc_nulls_last(), *([F.xxhash64(F.col(f"`{text}`"))] if text in names else []), F.col("size")]
+    ties = [F.col("__key"), F.col("__id").asc_nulls_last(), F.col("__text"), F.col("size")]
     upto = F.sum("size").over(Window.partitionBy("__s", "__b").orderBy(*ties).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     # the document that crosses the budget is taken when that comes nearer to it
     inside = j.where(ends_here).withColumn("__more", (F.col("__before") + upto - F.col("size") / 2 <= F.col("__rest")).cast("long"))
     outside = j.where(~ends_here).withColumn("__more", F.coalesce((F.col("__b") < F.col("__last")) & (F.col("__rest") > 0), F.lit(False)).cast("long"))
-    return inside.unionByName(outside).select(*[F.col(f"`{c}`") for c in names], "size", "source_size", "target",
+    return inside.unionByName(outside).select(*back, "size", "source_size", "target",
                                               (F.col("size") * (F.col("__epochs") + F.col("__more"))).cast("long").alias("taken"))
 
 
@@ -94,7 +95,8 @@ def with_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> Dat
     """``docs`` with ``__quality``: 2 where its label is 1, 0.5 where it is 0, by
     the mean of several labels, 1 without a label."""
     known = labels.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__lk")).agg(F.pow(F.lit(4.0), F.avg(F.col("quality").cast("double")) - 0.5).alias("__quality"))
-    return docs.join(known, F.col(f"`{key}`") == F.col("__lk"), "left").drop("__lk").withColumn("__quality", F.coalesce("__quality", F.lit(1.0)))
+    joined = docs.drop("__quality").join(known, named(key)[0] == F.col("__lk"), "left")
+    return joined.drop("__lk").withColumn("__quality", F.coalesce("__quality", F.lit(1.0)))
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:

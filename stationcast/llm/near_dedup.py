@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationcast.llm.common import ascii_lower, map_batches, staged, words
+from stationcast.llm.common import ascii_lower, map_batches, named, sheltered, staged, words
 from stationcast.llm.components import components
 from stationcast.llm.pivots import hot_links
 from stationcast.operators.common import bounded
@@ -259,4 +259,5 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
 def deduplicate(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` whose document is the smallest of its group; all columns stay."""
     gone = near_duplicates(docs, text, key, size, percent).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(f"`{key}`").cast("long") == F.col("__gone"), "left_anti")
+    held, back = sheltered(docs, docs.columns, __key=named(key)[0].cast("long"))
+    return held.join(gone, F.col("__key") == F.col("__gone"), "left_anti").select(*back)

@@ -18,12 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationcast.llm.common import bounded_sample, held_out, map_batches
+from stationcast.llm.common import bounded_sample, held_out, map_batches, named, others, within_bytes
 
 #: Bytes of a passage (the last one is shorter).
 PASSAGE = 512
-#: Bounds of the training sample: documents, and passages of each (spread evenly over its text).
-SAMPLE_DOCS, SAMPLE_PASSAGES = 4000, 12
+#: Bounds of the training sample: documents, and bytes of their whole texts together.
+SAMPLE_DOCS, SAMPLE_BYTES = 4000, 16 << 20
 HASHED, HIDDEN, GATE = 256, 24, 12
 #: Kinds of bytes whose shares are features.
 _KINDS = [b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" ", b"\n", b".", b",", b"|", b"%", b"&", b"*",
@@ -145,29 +145,27 @@ def train(bags: list[np.ndarray], labels: np.ndarray, epochs: int = 14, batch: i
     return model
 
 
-def spread(x: np.ndarray, most: int) -> np.ndarray:
-    return x if len(x) <= most else x[np.linspace(0, len(x) - 1, most).astype(int)]
-
-
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality",
         sample_docs: int = SAMPLE_DOCS) -> AttentionModel:
     """Trains on a bounded sample of the labelled rows that are not held out.
 
     Rows of ``labels`` with a null key or label are left out; of a key with
-    several labels the mean counts.  The sample's labels, not more than
-    ``sample_docs`` small rows by construction, are broadcast to the documents."""
+    several labels the mean counts, of several texts the least.  The sample's labels,
+    about ``sample_docs`` small rows, are broadcast to the documents; texts are taken
+    whole, as many as fit in SAMPLE_BYTES."""
     known = (labels.select(F.col(key).alias("__k"), F.col(label).cast("double").alias("__y"))
              .where(F.col("__k").isNotNull() & F.col("__y").isNotNull() & ~held_out(F.col("__k"))).groupBy("__k").agg(F.avg("__y").alias("__y")))
-    some = bounded_sample(known, F.col("__k"), sample_docs)
-    rows = docs.select(F.col(key).alias("__k"), F.col(text).alias("__t")).join(F.broadcast(some), "__k").select(F.col("__k").cast("string"), "__t", "__y")
+    some = bounded_sample(known, "__k", sample_docs)
+    rows = docs.select(F.col(key).alias("__k"), F.col(text).alias("__t")).join(F.broadcast(some), "__k").groupBy("__k").agg(F.min("__t").alias("__t"), F.first("__y").alias("__y"))
+    rows = within_bytes(rows, "__k", "__t", SAMPLE_BYTES).select(F.col("__k").cast("string"), "__t", "__y")
 
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
         x, owner = passages(texts)
         cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
-        bags = [spread(x[a:b], SAMPLE_PASSAGES).astype(np.float16).tobytes() for a, b in zip(cuts, cuts[1:])]
+        bags = [x[a:b].astype(np.float16).tobytes() for a, b in zip(cuts, cuts[1:])]  # every passage
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(bags, pa.binary())], ["k", "y", "x"])
-    got = map_batches(rows, encode, "k string, y double, x binary").collect()  # bounded: documents x passages x features
+    got = map_batches(rows, encode, "k string, y double, x binary").collect()  # bounded by SAMPLE_BYTES: passages x features
     got.sort(key=lambda r: (r["k"], bytes(r["x"])))
     bags = [np.frombuffer(bytes(r["x"]), np.float16).reshape(-1, FEATURES).astype(np.float32) for r in got]
     return train(bags, np.array([r["y"] for r in got]))
@@ -180,8 +178,8 @@ def score(docs: DataFrame, model: AttentionModel, text: str = "text", out: str =
     that is called like the result is replaced; repeated rows and null keys
     give a row each; an empty table gives an empty result."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # layers of fixed size
-    names = [c for c in docs.columns if c not in (text, out)]
-    own = docs.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text}`"))
+    names = others(docs, text, out)
+    own = docs.select(*named(*names, text)).toDF(*[f"__p{i}" for i in range(len(names) + 1)])  # taken by place
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         y = shared.value.scores([(t or "").encode() for t in batch.column(len(names)).to_pylist()])

@@ -80,6 +80,43 @@ def test_line_dedup_against_brute_force(small):
     assert got == brute.line_dedup(rows)
 
 
+def test_line_dedup_takes_short_repeats(spark):
+    """Copies of one line, passages of two lines, whatever stands around them, and blank lines between."""
+    one = " ".join(f"word{k}" for k in range(30))
+    docs = [(i, one) for i in range(20)] + [(100 + i, f"own {i}\nfirst of two\nsecond of two\nrest {i}") for i in range(20)]
+    docs += [(200, "a b\n\nc d\n\ne"), (201, "x\na b\n\n\nc d\n\ny"), (202, "short line"), (203, "short line"), (204, "c d\nc d\nc d"), (205, "\n\n"), (206, "a b\n\nc d")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df).collect()}
+    assert got == brute.line_dedup(docs)
+    assert got[0] == one and all(got[i] == "" for i in range(1, 20))
+    assert got[100] == docs[20][1] and all(got[100 + i] == f"own {i}\nrest {i}" for i in range(1, 20))
+    assert got[203] == "short line" and got[201] == "x\ny" and got[206] == ""
+
+
+def test_line_dedup_compares_bytes(spark, monkeypatch):
+    """Different passages of one hash stay."""
+    monkeypatch.setattr(line_dedup.F, "md5", lambda c: F.lit("00000000000000000000000000000000"))
+    df = spark.createDataFrame([(1, "a b\nc d\ne f"), (2, "g h\ni j\nk l")], "doc_id long, text string")
+    assert line_dedup.dedup_lines(df).where("lines_removed > 0").count() == 0
+
+
+def test_names_that_clash(spark):
+    """Columns named like results in other letters, internal names and dots, through every operator of the pipeline."""
+    rows = [(i, " ".join(f"w{i % 3}x{k}" for k in range(40)), "en", f"s{i % 2}", 9, 1, "q", 2.5, "k", "m", 3) for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, Score int, Rejected string, `a.b` double, __k string, Lines_Before string, Size int")
+    assert line_dedup.dedup_lines(df).columns == [c for c in df.columns if c != "Lines_Before"] + ["lines_before", "lines_removed", "runs_removed"]
+    assert mixing.mix(df).columns == [c for c in df.columns if c != "Size"] + ["size", "source_size", "target", "taken"]
+    more = df.withColumnRenamed("Score", "Fingerprint")
+    assert fingerprints.fingerprint(more).columns == [c for c in more.columns if c != "Fingerprint"] + ["fingerprint"]
+    bench = spark.createDataFrame([(1, rows[0][1])], "item_id long, text string")
+    left = decontamination.decontaminate(df, bench)
+    assert left.columns == df.columns and left.count() == 6
+    import corpus_pipeline
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        out = stage(spark, df, "/root/testdata/sf0.001")
+        assert out.columns == df.columns and out.count() <= 9, name
+
+
 def test_line_dedup_edges(edge, empty, edge_rows):
     out = line_dedup.dedup_lines(edge)
     assert out.columns[:len(edge.columns)] == edge.columns
@@ -87,7 +124,7 @@ def test_line_dedup_edges(edge, empty, edge_rows):
     assert len(got) == len(edge_rows)
     texts = {r["doc_id"]: r["text"] for r in got if r["doc_id"] != 3}
     assert texts[2] is None and texts[4] == " \t\n "
-    assert sum(r["chunks_removed"] for r in got) > 0 and all(r["lines_removed"] == 0 for r in got if r["doc_id"] is None)
+    assert sum(r["runs_removed"] for r in got) > 0 and all(r["lines_removed"] == 0 for r in got if r["doc_id"] is None)
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
