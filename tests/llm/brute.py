@@ -57,29 +57,21 @@ def near_components(docs, size, percent):
     return {i: find(i) for i in sets}
 
 
-def cut_chunks(text):
-    lines = text.split("\n")
-    h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
-    out, start = [], 0
-    for i in range(len(lines)):
-        if i == len(lines) - 1 or (h[i] == max(h[max(i - 1, 0):i + 2]) and (i == 0 or h[i] != h[i - 1])):
-            out.append(lines[start:i + 1])
-            start = i + 1
-    return out
-
-
-def line_dedup(docs, least=2):
-    """[(doc_id, text)] -> {doc_id: text}."""
+def line_dedup(docs, words=20):
+    """[(doc_id, text)] -> {doc_id: text}: pairs of successive lines, and long lines, that stood earlier go."""
     seen, out = set(), {}
     for i, t in sorted(docs):
-        kept = []
-        for c in cut_chunks(t):
-            text = "\n".join(c)
-            if sum(x.strip(" ") != "" for x in c) >= least:
-                if text in seen:
-                    continue
-                seen.add(text)
-            kept.append(text)
+        lines, gone = t.split("\n"), set()
+        full = [k for k, x in enumerate(lines) if x.strip(" ")]
+        units = sorted([(2 * a, (a, b), lines[a] + "\n" + lines[b]) for a, b in zip(full, full[1:])]
+                       + [(2 * a + 1, (a,), lines[a]) for a in full if len(WORD.findall(lines[a])) >= words])
+        for _, at, text in units:
+            gone.update(at if text in seen else ())
+            seen.add(text)
+        kept, last = [], False
+        for k, x in enumerate(lines):
+            last = k in gone if x.strip(" ") else last
+            kept += [] if last else [x]
         out[i] = "\n".join(kept)
     return out
 
