@@ -8,15 +8,18 @@ Both tiers only cache lengths that the library gives, so counts do not depend
 on the sample.
 
 The split into pre-tokens follows the byte-level pattern.  It is done here
-only for texts whose code points are all below U+0250, where it is tested to
-agree with the library; other texts, and texts that hold a special token's
-string, go to the library whole.
+only for code points below U+0250, where it is tested to agree with the
+library.  A pre-token never reaches over a single space that stands between two
+other characters, but begins there; so a text with further code points is cut
+at such spaces, and only the pieces that hold them go to the library.  Texts
+that hold a special token's string go to it whole.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from itertools import islice
 
@@ -24,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationcast.llm.common import bounded_sample, map_batches, workers_ready
+from stationcast.llm.common import bounded_sample, map_batches, named, others, workers_ready
 
 #: Documents sampled for the table of frequent pre-tokens, and entries kept (a few MB when broadcast).
 SAMPLE_DOCS = 4000
@@ -36,6 +39,9 @@ CHUNK = 100_000
 #: Code points that the split here handles.
 SIMPLE_BELOW = 0x250
 SIMPLE = re.compile(f"[\\x00-{chr(SIMPLE_BELOW - 1)}]*\\Z")
+_ODD = re.compile(f"[^\\x00-{chr(SIMPLE_BELOW - 1)}]+")
+#: Places where every pre-token begins anew.
+_CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
 def _chars(category: str) -> str:
@@ -69,8 +75,21 @@ class PretokenCounter:
     def count(self, text: str) -> int:
         if not text:
             return 0
-        if not SIMPLE.match(text) or any(s in text for s in self.special):
+        if any(s in text for s in self.special):
             return self.encode_lengths([text])[0]
+        if not SIMPLE.match(text):
+            cuts, at, odd, total = [0, *(m.start() for m in _CUT.finditer(text)), len(text)], 0, [], 0
+            for m in _ODD.finditer(text):
+                if m.start() < at:  # in the piece before
+                    continue
+                first, last = cuts[bisect_right(cuts, m.start()) - 1], cuts[bisect_left(cuts, m.end())]
+                total += self._simple(text[at:first])
+                odd.append(text[first:last])
+                at = last
+            return total + self._simple(text[at:]) + sum(self.encode_lengths(odd))
+        return self._simple(text)
+
+    def _simple(self, text: str) -> int:
         if len(text) <= 10 * CHUNK:
             return self._sum(_SPLIT.findall(text))
         found, total = (m.group() for m in _SPLIT.finditer(text)), 0
@@ -117,7 +136,7 @@ def frequent_lengths(docs: DataFrame, text: str, key: str, tokenizer_path: str,
         top = seen.most_common(size)
         return pa.RecordBatch.from_pydict({"p": pa.array([p for p, _ in top], pa.string()),
                                            "n": pa.array([n for _, n in top], pa.int64())})
-    some = bounded_sample(docs, F.col(key), sample_docs).select(text)
+    some = bounded_sample(docs.select(named(key)[0].alias("k"), named(text)[0].alias("t")), "k", sample_docs).select("t")
     top = (map_batches(some, count, "p string, n long").groupBy("p").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "p").limit(size).select("p").collect())  # at most ``size`` short strings
     parts = [r["p"] for r in top]
@@ -140,7 +159,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, text: str = "text", key:
         counter = worker_counter(tokenizer_path, lengths)
         return texts.map(lambda t: counter.count(t) if isinstance(t, str) else 0).astype("int64")
     workers_ready(spark)
-    return docs.withColumn(out, tokens(F.col(text)))
+    return docs.select(*named(*others(docs, out)), tokens(named(text)[0]).alias(out))
 
 
 def digest(docs: DataFrame, tokenizer_path: str, limit: int = 512) -> DataFrame:
