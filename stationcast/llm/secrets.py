@@ -53,13 +53,13 @@ LEAST = 8
 
 _SIGN = re.compile(r":=|=>|->|=|:")
 #: A target ends right before the sign; looked for in the part of the line before it.
-_TARGET = re.compile(r"""(?:["'`]([\w.\- ]{1,80})["'`]\]?|([A-Za-z_$][\w$\-]*(?:(?:\.|::)[A-Za-z_$][\w$\-]*)*))(?:\s*:\s*[A-Za-z_][\w\[\]<>.]*)?\s*\Z""")
+_TARGET = re.compile(r"""(?:["'`]([\w.\- ]+)["'`]\]?|([A-Za-z_$][\w$\-]*(?:(?:\.|::)[A-Za-z_$][\w$\-]*)*))(?:\s*:\s*[A-Za-z_][\w\[\]<>.]*)?\s*\Z""")
 _TERM = re.compile(r"""[ \t]*(?:(["'`])((?:\\.|(?!\1)[^\\\n])*)\1|([A-Za-z0-9_$+/.=\-]+))""")
 _JOIN = re.compile(r"""[ \t]*(\+|\.\.|(?=["'`]))""")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 _NAME = re.compile(r"[A-Za-z_$][\w$]*(?:\.[A-Za-z_$][\w$]*)*\Z")
 _TEMPLATE = re.compile(r"\$\{[^}]*\}|\{\{.*\}\}|\{[\w.]*\}|<[^<>]*>|%\(\w+\)s|\$[A-Za-z_]\w*")
-#: A target is looked for in this many code points before the sign: a name has a bounded length, the text has not.
+#: Code points before the sign in which a target is looked for first; more where it reaches further.
 BEHIND = 200
 
 
@@ -144,6 +144,20 @@ class _Value:
         return out
 
 
+def target_before(text: str, at: int) -> re.Match | None:
+    """The name that ends right before the sign at ``at``, on its line, however long it is."""
+    size = BEHIND
+    while True:
+        low = max(0, at - size)
+        line = text.rfind("\n", low, at)
+        part = text[line + 1 if line >= 0 else low:at]
+        found = _TARGET.search(part)
+        open_ = found.start() == 0 if found else part.rstrip().rstrip("]")[-1:] in ("'", '"', "`")
+        if line >= 0 or not low or not open_:
+            return found
+        size *= 4  # the name, or its quote, may begin before
+
+
 def literal_spans(text: str) -> list[Span]:
     """Literals that reach sensitive targets, through constants too."""
     known: dict[str, _Value] = {}
@@ -152,7 +166,7 @@ def literal_spans(text: str) -> list[Span]:
         if sign.start() < after:  # inside a value that is lexed already
             continue
         at = sign.start()
-        target = _TARGET.search(text[text.rfind("\n", max(0, at - BEHIND), at) + 1 if "\n" in text[max(0, at - BEHIND):at] else max(0, at - BEHIND):at])
+        target = target_before(text, at)
         if not target:
             continue
         name = target[1] or target[2]
