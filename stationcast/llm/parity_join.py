@@ -237,7 +237,7 @@ def jaccard_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     table gives an empty result; other columns are not read, so their names may
     clash."""
     own = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    base = staged(_sketched(own, size, percent), "parity-base", "zstd")
+    base = staged(_sketched(own, size, percent), "parity-base")
     full = base.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     sets = full.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
     known = staged(full.select("doc_id", "n", "k1", "k2").join(sets, ["k1", "k2"]), "parity-known")
