@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationcast.llm.common import staged, table
+from stationcast.llm.common import named, others, staged, table
 from stationcast.llm.decontamination import decontaminate
 from stationcast.llm.language_id import fit, identify
 from stationcast.llm.line_dedup import dedup_lines
@@ -21,24 +21,26 @@ from stationcast.llm.near_dedup import deduplicate
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the model recognises; those it rejects go."""
-    return identify(docs, fit(docs)).where(~F.col("rejected")).select(*docs.columns)
+    found = identify(docs, fit(docs), pred="__lang", score="__score", rejected="__rejected")
+    return found.where(~F.col("__rejected")).select(*named(*docs.columns))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the chunks of lines that stand in an earlier document already;
+    """Texts without the passages of lines that stand at an earlier place already;
     n_chars is the length of what is left."""
-    return (dedup_lines(docs).withColumn("n_chars", F.when(F.col("chunks_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
-            .select(*docs.columns))
+    done = dedup_lines(docs, counts=("__before", "__removed", "__runs"))
+    return (done.withColumn("n_chars", F.when(F.col("__removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
+            .select(*named(*docs.columns)))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the first, of every group of near copies (five-word shingles, 0.8)."""
-    return deduplicate(docs).select(*docs.columns)
+    return deduplicate(docs).select(*named(*docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of a benchmark item."""
-    return decontaminate(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+    return decontaminate(docs, table(spark, sf_dir, "benchmark")).select(*named(*docs.columns))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +48,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     how often, towards the source's target."""
     mixed = mix(with_quality(docs, table(spark, sf_dir, "labels")), F.col("__quality"))
     return (mixed.where(F.col("taken") > 0).withColumn("times", (F.col("taken") / F.col("size")).cast("int"))
-            .select(*docs.columns, "size", "source_size", "target", "taken", "times"))
+            .select(*named(*others(docs, "size", "source_size", "target", "taken", "times")), "size", "source_size", "target", "taken", "times"))
 
 
 STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("near_dedup", near_dedup),
