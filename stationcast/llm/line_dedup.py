@@ -142,9 +142,9 @@ WITH l AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(0, len(string_split(text, chr(10))))) AS pos
   FROM documents WHERE text IS NOT NULL),
 f AS (SELECT *, lead(line) OVER w AS next_line, lead(pos) OVER w AS next_pos FROM l WHERE trim(line, ' ') <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
-u AS (SELECT doc_id, pos * 2 AS at, pos AS a, next_pos AS b, line || chr(10) || next_line AS t FROM f WHERE next_line IS NOT NULL
+u AS (SELECT doc_id, pos * 2 AS spot, pos AS a, next_pos AS b, line || chr(10) || next_line AS t FROM f WHERE next_line IS NOT NULL
       UNION ALL SELECT doc_id, pos * 2 + 1, pos, pos, line FROM f WHERE len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) >= {LINE_WORDS}),
-g AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id, at) AS place FROM u),
+g AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id, spot) AS place FROM u),
 x AS (SELECT doc_id, a AS pos FROM g WHERE place > 1 UNION SELECT doc_id, b FROM g WHERE place > 1),
 m AS (SELECT l.doc_id, l.pos, l.line, CASE WHEN trim(l.line, ' ') <> '' THEN x.pos IS NOT NULL END AS flag FROM l LEFT JOIN x ON x.doc_id = l.doc_id AND x.pos = l.pos),
 n AS (SELECT *, coalesce(last_value(flag IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), false) AS gone FROM m),
