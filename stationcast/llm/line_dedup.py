@@ -12,10 +12,11 @@ A second, exact step takes what they left: every two successive lines that are
 not blank, and every single line of LINE_WORDS words or more, go where they
 stood at an earlier place already.  Both steps judge the input, and what the
 chunks remove the second step would remove as well, so the result does not
-depend on the cuts; the chunks spare it most of the repeated lines.  A blank
-line goes with the line before it.
+depend on the cuts.  A blank line goes with the line before it.
 
-Equal means equal bytes: what shares an MD5 is compared as text before it goes.
+Equal means equal bytes for chunks: what shares an MD5 is compared as text before
+it goes.  The second step shuffles no text: MD5, 64 bits of another hash and the
+length stand for a pair or line.
 Rows are combined in the tasks first, so a passage that a third of all documents
 share reaches the shuffle once per task, and only keys and places go on.
 """
@@ -66,12 +67,13 @@ def _text(lines: Column, start: Column, stop: Column) -> Column:
 
 
 def repeated(places: DataFrame, k: str = "k") -> DataFrame:
-    """The rows (k, at, h, start, stop) of ``places`` (with text) whose text stood at an earlier (k, at)."""
+    """The rows (k, at, h, start, stop) of ``places`` (with ``bytes``, what tells texts of one
+    hash apart) whose text stood at an earlier (k, at)."""
     place = F.struct(F.col(k), F.col("at"))
     groups = staged(places.groupBy("h").agg(F.count("*").alias("n"), F.min(place).alias("first")).where(F.col("n") > 1).select("h", "first"), "line-groups")
     again = places.join(bounded(groups), "h")
     # different texts of one hash remove nothing
-    mixed = again.groupBy("h").agg(F.min("text").alias("low"), F.max("text").alias("high")).where(F.col("low") != F.col("high")).select("h")
+    mixed = again.groupBy("h").agg(F.min("bytes").alias("low"), F.max("bytes").alias("high")).where(F.col("low") != F.col("high")).select("h")
     return again.where(place != F.col("first")).select(k, "at", "h", "start", "stop").join(mixed, "h", "left_anti")
 
 
@@ -80,23 +82,21 @@ def removed_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> D
     own = docs.select(named(key)[0].alias("k"), F.split(named(text)[0], "\n", -1).alias("lines")).where(F.col("k").isNotNull() & F.col("lines").isNotNull())
     cut = own.select("k", "lines", chunks(F.col("lines")).alias("chunks"))
     whole = cut.select("k", "lines", F.explode(F.filter("chunks", lambda c: c["lines"] >= MIN_LINES)).alias("c"))
-    whole = whole.select("k", F.col("c.ix").alias("at"), F.col("c.start").alias("start"), F.col("c.stop").alias("stop"), _text(F.col("lines"), F.col("c.start"), F.col("c.stop")).alias("text"))
-    big = staged(repeated(whole.withColumn("h", F.md5("text"))).select("k", "start", "stop"), "line-chunks")
+    whole = whole.select("k", F.col("c.ix").alias("at"), F.col("c.start").alias("start"), F.col("c.stop").alias("stop"), _text(F.col("lines"), F.col("c.start"), F.col("c.stop")).alias("bytes"))
+    big = staged(repeated(whole.withColumn("h", F.md5("bytes"))).select("k", "start", "stop"), "line-chunks")
 
-    spans = big.groupBy("k").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))  # a document's own chunks
     full = F.filter(F.transform("lines", lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda v: F.trim(v["x"]) != "")
-    unit = lambda at, a, b, t: F.struct(at.alias("at"), a.alias("start"), (b + 1).alias("stop"), t.alias("text"))
+    # no text goes on from here: 128 bits say what may be equal, and 64 others and the length what is
+    unit = lambda at, a, b, t: F.struct(at.alias("at"), a.alias("start"), (b + 1).alias("stop"), F.md5(t).alias("h"),
+                                        F.struct(F.xxhash64(t).alias("x"), F.octet_length(t).alias("n")).alias("bytes"))
 
     def units(v: Column) -> Column:
         pairs = F.transform(F.when(F.size(v) > 1, F.sequence(F.lit(0), F.size(v) - 2)).otherwise(F.array().cast("array<int>")), lambda j: unit(
             F.get(v, j)["i"] * 2, F.get(v, j)["i"], F.get(v, j + 1)["i"], F.concat(F.get(v, j)["x"], F.lit("\n"), F.get(v, j + 1)["x"])))
         longer = F.filter(v, lambda e: n_words(e["x"]) >= LINE_WORDS)
         return F.concat(pairs, F.transform(longer, lambda e: unit(e["i"] * 2 + 1, e["i"], e["i"], e["x"])))
-    left = own.join(spans, "k", "left").select("k", "spans", F.explode(_with(full, units)).alias("u"))
-    inside = F.coalesce(F.exists("spans", lambda s: (s["start"] <= F.col("u.start")) & (F.col("u.stop") <= s["stop"])), F.lit(False))
-    small = left.where(~inside).select("k", F.col("u.at").alias("at"), F.col("u.start").alias("start"), F.col("u.stop").alias("stop"), F.col("u.text").alias("text"))
     # a pair and a line are never the same: only pairs have a line feed
-    rest = repeated(small.withColumn("h", F.md5("text")))
+    rest = repeated(own.select("k", F.explode(_with(full, units)).alias("u")).select("k", "u.*"))
     numbers = big.select("k", F.explode(F.sequence(F.col("start"), F.col("stop") - 1)).alias("i"))
     ends = rest.select("k", F.explode(F.array("start", F.col("stop") - 1)).alias("i"))  # the blank lines between follow the first
     return numbers.unionByName(ends).groupBy("k").agg(F.collect_set("i").alias("gone"))  # a document's own lines
