@@ -22,18 +22,41 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where(F.col("u") != F.col("v")).distinct()
 
 
+def _stars_only(edges: DataFrame) -> bool:
+    """Whether the links (u > v) are stars around their least vertices: no vertex hangs
+    on two, or on one while another hangs on it."""
+    ends = edges.select(F.inline(F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+                                         F.struct(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))))
+    held = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return held.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every vertex of ``edges`` (a, b); component is the least
     vertex that can be reached.  Rounds grow with the logarithm of the largest
     component; each round is written to the shared folder, so lost executors
     cost no more than a round."""
     e = edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    e, before = staged(e, "components"), None
-    while True:
+    e = staged(e, "components")
+    while not _stars_only(e):
         e = staged(_star(_star(e, True), False), "components")
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
     stars = e.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return stars.unionByName(e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+
+
+def grown(comps: DataFrame, edges: DataFrame) -> DataFrame:
+    """The components when ``edges`` (a, b) come to those that ``comps`` (id, component)
+    holds already.  Only links between different components are followed, as links
+    of their least vertices, so what is settled is not gone through again.
+    ``comps`` is read several times and should be written."""
+    apart = edges.select("a", "b")
+    for end in ("a", "b"):
+        known = comps.select(F.col("id").alias(end), F.col("component").alias(f"of_{end}"))
+        apart = apart.join(known, end, "left").withColumn(f"of_{end}", F.coalesce(f"of_{end}", end))
+    apart = staged(apart.where(F.col("of_a") != F.col("of_b")).select(F.greatest("of_a", "of_b").alias("a"), F.least("of_a", "of_b").alias("b")).distinct(), "components-apart")
+    if apart.isEmpty():
+        return comps
+    merged = components(apart)
+    moved = (comps.join(merged.select(F.col("id").alias("component"), F.col("component").alias("now")), "component", "left")
+             .select("id", F.coalesce("now", "component").alias("component")))
+    return staged(moved.unionByName(merged.join(comps.select("id"), "id", "left_anti").select("id", "component")), "components-grown")

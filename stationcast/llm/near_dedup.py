@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationcast.llm.common import ascii_lower, map_batches, named, sheltered, staged, words
-from stationcast.llm.components import components
+from stationcast.llm.components import components, grown
 from stationcast.llm.pivots import hot_links
 from stationcast.operators.common import bounded
 
@@ -223,8 +223,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     apart = _labelled(_labelled(close, comps, "a", "ca"), comps, "b", "cb").where(F.col("ca") != F.col("cb"))
     rank = F.struct("est", "a", "b")
     between = (apart.groupBy(F.greatest("ca", "cb").alias("x"), F.least("ca", "cb").alias("y")).agg(F.max(rank).alias("p")).select("p.a", "p.b"))
-    links = links.unionByName(staged(confirmed(between, texts, size, percent), "near-links"))
-    comps = staged(components(links), "near-components")
+    comps = grown(comps, staged(confirmed(between, texts, size, percent), "near-links"))
 
     members = staged(_labelled(shared.select("region", "rep").distinct(), comps, "rep", "c"), "near-members")
     held = members.groupBy("region", "c").agg(F.count("*").alias("n")).groupBy("region").agg(
@@ -233,21 +232,20 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     few = open_.where(F.col("size") <= SMALL)
     across = (few.alias("x").join(few.alias("y"), "region").where((F.col("x.rep") > F.col("y.rep")) & (F.col("x.c") != F.col("y.c")))
               .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
-    links = links.unionByName(staged(confirmed(staged(estimated(across, reps, floor), "near-rest"), texts, size, percent), "near-links"))
+    comps = grown(comps, staged(confirmed(staged(estimated(across, reps, floor), "near-rest"), texts, size, percent), "near-links"))
     wide = open_.where(F.col("size") > SMALL)
     central = (members.join(held.select("region", "size"), "region").groupBy("rep", "c").agg(F.sum("size").alias("score"))
                .groupBy(F.col("c").alias("main")).agg(F.max_by("rep", F.struct("score", -F.col("rep"))).alias("pivot")))
     groups = staged(wide.join(central, "main").select("pivot", "rep").distinct(), "near-groups")
-    comps = staged(components(links), "near-components")
     both = groups.select("rep").unionByName(groups.select(F.col("pivot").alias("rep"))).distinct()
     sets = texts.join(bounded(both), "rep", "left_semi").select("rep", F.array_sort(shingle_hashes(F.col("text"), size)).alias("set"))
     sets = staged(sets.select("rep", F.xxhash64("set").alias("tag"), F.size("set").cast("long").alias("n"), "set").dropDuplicates(["rep", "tag"]), "near-sets").where(F.col("n") > 0)
     star, candidates = hot_links(groups, sets, comps, percent)
-    links = links.unionByName(staged(confirmed(star.unionByName(candidates).distinct(), texts, size, percent), "near-links"))
+    links = staged(confirmed(star.unionByName(candidates).distinct(), texts, size, percent), "near-links")
     # a number of several texts joins their groups
     named = full.join(reps.select("k1", "k2", "rep"), ["k1", "k2"]).select("doc_id", "rep", "k1", "k2").distinct()
     several = named.groupBy("doc_id").agg(F.count("*").alias("sets")).where(F.col("sets") > 1).select("doc_id")
-    comps = staged(components(links.unionByName(_pairs(named.join(several, "doc_id", "left_semi"), "doc_id", "rep"))), "near-components")
+    comps = grown(comps, links.unionByName(_pairs(named.join(several, "doc_id", "left_semi"), "doc_id", "rep")))
 
     groups = _labelled(reps.select("k1", "k2", "rep"), comps, "rep", "component_id").select("k1", "k2", "component_id")
     known = full.select("doc_id", "n", "k1", "k2").join(groups, ["k1", "k2"])

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationcast.llm.common import map_batches, staged
-from stationcast.llm.components import components
+from stationcast.llm.components import components, grown
 from stationcast.llm.near_dedup import shingle_hashes
 from stationcast.llm.pivots import _arrays, hot_links
 from stationcast.operators.common import bounded
@@ -195,6 +195,12 @@ def set_links(texts: DataFrame, reps: DataFrame, size: int, percent: int, small:
     """(a, b): links enough to join every two linked sets in one component, all of them true.
 
     ``texts`` is (rep, text) of all documents, ``reps`` (rep, n, sketch, blocks) of one document for each set."""
+    first, _, rest = _settled(texts, reps, size, percent, small)
+    return first.unionByName(rest)
+
+
+def _settled(texts: DataFrame, reps: DataFrame, size: int, percent: int, small: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The links of ``set_links`` in two parts, and between them the components (id, component) of the first."""
     keys = _keys(reps)
     groups = staged(keys.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("pivot"), F.max("rep").alias("other")).where(F.col("pivot") != F.col("other")), "parity-groups")
     members = staged(keys.join(bounded(groups.where(F.col("n") > 2).select("key", "n", "pivot")), "key"), "parity-members")
@@ -207,21 +213,21 @@ def set_links(texts: DataFrame, reps: DataFrame, size: int, percent: int, small:
     comps = staged(components(links), "parity-components")
     few = staged(_open(cold.select("key", "rep"), comps), "parity-open")
     across = few.alias("x").join(few.alias("y"), "key").where((F.col("x.rep") > F.col("y.rep")) & (F.col("x.c") != F.col("y.c"))).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    links = links.unionByName(staged(linked_pairs(across, reps, texts, size, percent), "parity-links"))
+    more = staged(linked_pairs(across, reps, texts, size, percent), "parity-links")
 
     open_ = staged(_open(hot.select("key", "rep", "n"), comps), "parity-open")
     if open_.isEmpty():
-        return links
+        return links, comps, more
     # every open key is settled from the central member of its main component
     score = _labelled(hot.groupBy("rep").agg(F.sum("n").alias("score")), comps)
     central = score.groupBy(F.col("c").alias("main")).agg(F.max_by("rep", F.struct("score", -F.col("rep"))).alias("pivot"))
     main = open_.groupBy("key", "c").agg(F.count("*").alias("m")).groupBy("key").agg(F.max_by("c", F.struct("m", "c")).alias("main"))
     pivoted = staged(open_.join(main.join(central, "main"), "key").select("pivot", "rep").distinct(), "parity-pivoted")
-    comps = staged(components(links), "parity-components")
+    comps, links = grown(comps, more), links.unionByName(more)
     ids = pivoted.select("rep").unionByName(pivoted.select(F.col("pivot").alias("rep"))).distinct()
     sets = set_table(texts, ids, size)
     star, candidates = hot_links(pivoted, sets, comps, percent)
-    return links.unionByName(star).unionByName(exact_links(candidates, sets, percent))
+    return links, comps, staged(star.unionByName(exact_links(candidates, sets, percent)), "parity-links")
 
 
 def jaccard_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = 4, percent: int = 85,
@@ -247,8 +253,8 @@ def jaccard_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     several = known.select("doc_id", "k1", "k2").distinct().groupBy("doc_id").agg(F.count("*").alias("sets")).where(F.col("sets") > 1).select("doc_id")
     same = _pairs(known.join(several, "doc_id", "left_semi"), "doc_id", "rep")
     texts = own.select(F.col("doc_id").alias("rep"), "text")
-    links = set_links(texts, first.select(F.col("doc_id").alias("rep"), "n", "sketch", "blocks"), size, percent, small)
-    comps = staged(components(links.unionByName(same)), "parity-components")
+    _, comps, links = _settled(texts, first.select(F.col("doc_id").alias("rep"), "n", "sketch", "blocks"), size, percent, small)
+    comps = grown(comps, links.unionByName(same))
     joined = known.join(comps.select(F.col("id").alias("rep"), "component"), "rep", "left").select("doc_id", "n", F.coalesce("component", "rep").alias("component_id"))
     none = base.where((F.col("n") == 0) | F.col("doc_id").isNull()).select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return joined.unionByName(none).select("doc_id", F.col("n").alias("n_shingles"), "component_id")

@@ -24,6 +24,18 @@ def test_components_of_paths_stars_and_cycles(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_grow_by_further_links(spark):
+    frame = lambda links: spark.createDataFrame(links, "a long, b long")
+    linked = lambda comps: {r["id"]: r["component"] for r in comps.collect()}
+    first, more = [(9, 8), (8, 7), (4, 3), (20, 21)], [(9, 4), (7, 8), (2, 21), (30, 31), (5, 5)]
+    old = components.components(frame(first))
+    for links in (more, [], [(3, 4)], [(1, 9)]):
+        new = components.grown(old, frame(links))
+        assert linked(new) == linked(components.components(frame(first + links)))
+        assert new.count() == len(linked(new))
+    assert linked(components.grown(components.components(frame([])), frame(more))) == linked(components.components(frame(more)))
+
+
 def near_texts():
     rng = random.Random(4)
     docs, i = [], 0
