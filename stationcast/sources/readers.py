@@ -118,8 +118,9 @@ def dms_to_degrees(col) -> "F.Column":
 
 
 def parse_station_catalog(lines: DataFrame) -> DataFrame:
-    """Station catalogue: records after the ``STAID`` header line,
-    ``STAID, STANAME, CN, LAT, LON, HGHT`` with DMS coordinates (S4)."""
+    """Station catalogue lines ``STAID, STANAME, CN, LAT, LON, HGHT`` with DMS
+    coordinates (S4).  A frame has no order, so every line with an integer id and
+    six fields is a record; ``read_station_catalog`` knows what precedes the header."""
     p = F.split(F.col("value"), ",")
     rec = lines.select(p.alias("p")).filter(F.size("p") >= 6).select(
         F.expr("try_cast(trim(p[0]) AS INT)").alias("staid"),
@@ -131,6 +132,16 @@ def parse_station_catalog(lines: DataFrame) -> DataFrame:
                       dms_to_degrees("_lon").alias("lon"), "height")
 
 
+def read_station_catalog(spark: SparkSession, path: str) -> DataFrame:
+    """Station catalogue files: the records after each file's first ``STAID`` header
+    line (S4).  A file without a header has none.  One place per file is joined back,
+    so no file is gathered into a task."""
+    at = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())  # ids rise within a split
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"), at.alias("_at"))
+    header = lines.filter(F.col("value").rlike(r"^\s*STAID\s*,")).groupBy("_file").agg(F.min("_at").alias("_header"))
+    return parse_station_catalog(lines.join(header, "_file").filter(F.col("_at") > F.col("_header")).select("value"))
+
+
 def station_catalog(obs: DataFrame, catalog: DataFrame, key: str = "staid") -> DataFrame:
     """Attach station name and coordinates to observations (S4 join)."""
     return obs.join(bounded(catalog), key, "left")

@@ -399,3 +399,14 @@ def test_rollups_add_up(spark):
     assert pts + other == pytest.approx(sum(by_var.values()))
     assert by_var["t2"] == pytest.approx(0.3 + 0.25)
     assert rows(per_row, "row_id", "point", "attribution") == [(1, "1", 0.5), (1, "2", -0.25), (2, "1", 0.1)]
+
+
+def test_station_catalog_starts_after_each_files_header(spark, tmp_path):
+    from stationcast.sources.readers import read_station_catalog
+    record = "{:>5},{:<40},FI,+60:10:30,+024:57:00,{:>4}"
+    note, header = record.format(7, "A NOTE LIKE A RECORD", 1), "STAID,STANAME                                 ,CN,      LAT,       LON,HGHT"
+    (tmp_path / "a.txt").write_text("\n".join(["EUROPEAN STATIONS", note, header, record.format(1, "HELSINKI", 4), header, record.format(2, "KOTKA", 9)]))
+    (tmp_path / "b.txt").write_text("\n".join([header, record.format(3, "OULU", 14), "", "END"]))
+    (tmp_path / "c.txt").write_text(record.format(4, "NO HEADER", 2))
+    got = sorted((r["staid"], r["name"], round(r["lat"], 3), r["height"]) for r in read_station_catalog(spark, str(tmp_path)).collect())
+    assert got == [(1, "HELSINKI", 60.175, 4.0), (2, "KOTKA", 60.175, 9.0), (3, "OULU", 60.175, 14.0)]
