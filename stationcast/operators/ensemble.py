@@ -133,3 +133,43 @@ def kde(df: DataFrame, keys: Sequence[str], value: str = "value",
             .agg(F.sum(F.exp(F.lit(-0.5) * z * z)).alias("_s"))
             .select(*keys, "grid_idx", "x",
                     (F.col("_s") / (F.col("_n") * F.col("_h") * F.lit(SQRT_2PI))).alias("density")))
+
+
+def kde_binned(df: DataFrame, keys: Sequence[str], value: str = "value",
+               gridsize: int = 200, cut: float = 3.0) -> DataFrame:
+    """``kde`` by linear binning (A21): the tasks reduce the values to weights on the
+    grid, each value shared by its two neighbours, and the kernel is summed
+    between grid points, so the cost is rows + series x gridsize^2 and not
+    rows x gridsize.  A density differs from the exact sum by at most
+    step^2 / (8 h^3 sqrt(2 pi)).  A series without spread, or of one value, is one
+    row: null ``grid_idx`` and ``density``, ``x`` its least value.
+    """
+    keys = list(keys)
+    vals = df.select(*keys, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+    stats = (vals.groupBy(*keys)
+             .agg(F.count("_x").alias("_n"), F.stddev_samp("_x").alias("_sd"),
+                  F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+             .withColumn("_h", scott_bandwidth(F.col("_sd"), F.col("_n")))
+             .withColumn("_wide", F.coalesce((F.col("_n") > 1) & (F.col("_h") > 0), F.lit(False))))
+    own = ["_n", "_h", "_from", "_step"]
+    grid = stats.filter("_wide").select(
+        *keys, "_n", "_h", (F.col("_lo") - F.lit(cut) * F.col("_h")).alias("_from"),
+        ((F.col("_hi") - F.col("_lo") + F.lit(2 * cut) * F.col("_h")) / F.lit(gridsize - 1)).alias("_step"))
+    at = (F.col("_x") - F.col("_from")) / F.col("_step")
+    placed = (join_on(vals, grid, keys).withColumn("_at", at)
+              .withColumn("_i", F.least(F.floor("_at"), F.lit(gridsize - 2)).cast("int")))
+    part = F.col("_at") - F.col("_i")
+    weights = (placed.select(*keys, *own, F.inline(F.array(F.struct(F.col("_i").alias("i"), (F.lit(1.0) - part).alias("w")),
+                                                           F.struct((F.col("_i") + 1).alias("i"), part.alias("w")))))
+               .groupBy(*keys, *own, "i").agg(F.sum("w").alias("w")))
+    bins = weights.groupBy(*keys, *own).agg(F.collect_list(F.struct("i", "w")).alias("_bins"))  # at most gridsize
+    points = bins.select(*keys, *own, "_bins", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("grid_idx"))
+
+    def add(total, b):
+        z = (F.col("grid_idx") - b["i"]) * F.col("_step") / F.col("_h")
+        return total + b["w"] * F.exp(F.lit(-0.5) * z * z)
+    dense = points.select(*keys, "grid_idx", (F.col("_from") + F.col("grid_idx") * F.col("_step")).alias("x"),
+                          (F.aggregate("_bins", F.lit(0.0), add) / (F.col("_n") * F.col("_h") * F.lit(SQRT_2PI))).alias("density"))
+    flat = stats.filter(~F.col("_wide")).select(*keys, F.lit(None).cast("int").alias("grid_idx"), F.col("_lo").alias("x"),
+                                                F.lit(None).cast("double").alias("density"))
+    return dense.unionByName(flat)

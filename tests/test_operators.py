@@ -4,6 +4,7 @@ quirk decisions (Q1-Q17) and invariants.  Expected values are written out."""
 import datetime as dt
 import math
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -363,6 +364,20 @@ def test_kde_integrates_to_one(spark):
     assert sum(d for _, d in dens) * step == pytest.approx(1.0, abs=0.01)
 
 
+def test_binned_kde_is_within_its_bound(spark):
+    rows = [("s", float(v)) for v in [1, 2, 2, 3, 7]] + [(None, 1.0), (None, 4.5), ("flat", 2.0), ("flat", 2.0), ("one", 5.0), ("none", None)]
+    df = spark.createDataFrame(rows, "k string, value double")
+    got = {(r.k, r.grid_idx): (r.x, r.density) for r in E.kde_binned(df, ["k"], gridsize=60).collect()}
+    assert got[("flat", None)] == (2.0, None) and got[("one", None)] == (5.0, None)
+    assert len(got) == 2 * 60 + 2
+    exact = {(r.k, r.grid_idx): (r.x, r.density) for r in E.kde(df, ["k"], gridsize=60).collect()}
+    h = pd.Series([1, 2, 2, 3, 7]).std() * 5 ** -0.2
+    bound = (got[("s", 1)][0] - got[("s", 0)][0]) ** 2 / (8 * h ** 3 * (2 * 3.141592653589793) ** 0.5)
+    for i in range(60):
+        assert got[("s", i)][0] == pytest.approx(exact[("s", i)][0])
+        assert abs(got[("s", i)][1] - exact[("s", i)][1]) <= bound
+
+
 # ------------------------------------------------------------ D2 / D6 / D7
 def test_ensemble_mean_skips_nulls(spark):
     df = spark.createDataFrame([("s", D(2020, 1, 1), 1, 2.0), ("s", D(2020, 1, 1), 2, None),
