@@ -31,10 +31,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationcast.llm.common import ascii_lower, map_batches, named, sheltered, staged, words
+from stationcast.llm.common import BATCH_ROWS, ascii_lower, map_batches, named, sheltered, staged, words
 from stationcast.llm.components import components, grown
 from stationcast.llm.pivots import hot_links
-from stationcast.operators.common import bounded
+from stationcast.operators.common import BROADCAST_MAX_BYTES, bounded, measured_bytes
 
 #: Prefix depths of a tree.  The first alone makes a region.
 DEPTHS = (6, 10, 14)
@@ -147,16 +147,26 @@ def _pairs(frame: DataFrame, a: str, b: str) -> DataFrame:
     return frame.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
 
 
+def _beside(pairs: DataFrame, rows: DataFrame, value: str) -> DataFrame:
+    """The pairs (a, b) with ``value``_a and ``value``_b of ``rows`` (rep, value).  Pairs of
+    measured size go to the rows of ``a``, so these are not shuffled; in no more
+    tasks than the pairs fill Arrow batches."""
+    own = lambda c: rows.select(F.col("rep").alias(c), F.col(value).alias(f"{value}_{c}"))
+    pairs = staged(pairs.select("a", "b"), "near-asked")
+    few = measured_bytes(pairs) <= BROADCAST_MAX_BYTES
+    both = own("a").join(F.broadcast(pairs) if few else pairs, "a").join(own("b"), "b").select("a", "b", f"{value}_a", f"{value}_b")
+    return both.coalesce(max(1, -(-pairs.count() // BATCH_ROWS))) if few else both
+
+
 def estimated(pairs: DataFrame, reps: DataFrame, floor: float) -> DataFrame:
     """(a, b, est) of the pairs whose signatures agree in at least a share ``floor``."""
-    own = lambda c: reps.select(F.col("rep").alias(c), F.col("sig").alias(f"sig_{c}"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         x, y = (np.stack([np.frombuffer(s, np.uint32) for s in batch.column(c).to_pylist()]) for c in ("sig_a", "sig_b"))
         est = (x == y).mean(axis=1)
         keep = pa.array(est >= floor)
         return pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep), pa.array(est).filter(keep)], ["a", "b", "est"])
-    return map_batches(pairs.join(own("a"), "a").join(own("b"), "b").select("a", "b", "sig_a", "sig_b"), run, "a long, b long, est double")
+    return map_batches(_beside(pairs, reps, "sig"), run, "a long, b long, est double")
 
 
 def shingle_set(text: str, size: int) -> set[tuple[str, ...]]:
@@ -171,8 +181,6 @@ _BLANK = {c: 32 for c in range(9, 14)}
 
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) with 100 * common >= percent * together, on their whole sets."""
-    own = lambda c: texts.select(F.col("rep").alias(c), F.col("text").alias(f"text_{c}"))
-
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         keep, last, held = [], None, set()
         for s, t in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
@@ -183,12 +191,12 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
             keep.append(100 * common >= percent * (len(x) + len(held) - common))
         mask = pa.array(keep)
         return pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
-    return map_batches(pairs.select("a", "b").join(own("a"), "a").join(own("b"), "b").select("a", "b", "text_a", "text_b"), run, "a long, b long")
+    return map_batches(_beside(pairs, texts, "text"), run, "a long, b long")
 
 
 def _labelled(frame: DataFrame, comps: DataFrame, vertex: str, out: str) -> DataFrame:
     """``frame`` with the component of ``vertex``, itself where it has no link."""
-    return (frame.join(comps.select(F.col("id").alias(vertex), F.col("component").alias(out)), vertex, "left")
+    return (frame.join(bounded(comps.select(F.col("id").alias(vertex), F.col("component").alias(out))), vertex, "left")
             .withColumn(out, F.coalesce(out, vertex)))
 
 
@@ -207,13 +215,18 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     floor = threshold - SLACK * math.sqrt(threshold * (1 - threshold) / mins)
     base = staged(signatures(docs, text, key, size, mins), "near-signatures")
     full = base.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    reps = staged(full.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")), "near-reps")
+    # copies are few rows or narrow ones; signatures of first documents stay where they lie
+    known = full.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
+    known = staged(full.select("doc_id", "n", "k1", "k2").join(known, ["k1", "k2"]), "near-known")
+    copies = known.where(F.col("doc_id") != F.col("rep")).select("doc_id", "k1", "k2").distinct()
+    reps = full.join(bounded(copies), ["doc_id", "k1", "k2"], "left_anti").select(F.col("doc_id").alias("rep"), "sig")
     rows = forest(reps, trees)
-    shared = rows.join(rows.groupBy("region").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("region"), "region", "left_semi")
-    shared = staged(shared, "near-forest")  # rows alone in their region are no one's candidates
-    involved = shared.select("rep").distinct()
+    regions = staged(rows.groupBy("region").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where(F.col("low") != F.col("high")).select("region"), "near-shared")
+    shared = staged(rows.join(bounded(regions), "region", "left_semi"), "near-forest")  # rows alone in their region are no one's candidates
+    involved = staged(shared.select("rep").distinct(), "near-involved")
     texts = staged(docs.select(F.col(f"`{key}`").cast("long").alias("rep"), F.col(f"`{text}`").alias("text")).where(F.col("text").isNotNull())
-                   .join(involved, "rep", "left_semi"), "near-texts")
+                   .join(bounded(involved), "rep", "left_semi"), "near-texts")
+    reps = staged(reps.join(bounded(involved), "rep", "left_semi"), "near-reps")
     close = staged(estimated(neighbours(shared), reps, floor), "near-pairs")
     both = close.unionByName(close.select(F.col("b").alias("a"), F.col("a").alias("b"), "est"))
     best = both.groupBy("a").agg(F.max_by("b", F.struct("est", -F.col("b"))).alias("b"))
@@ -225,30 +238,30 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     between = (apart.groupBy(F.greatest("ca", "cb").alias("x"), F.least("ca", "cb").alias("y")).agg(F.max(rank).alias("p")).select("p.a", "p.b"))
     comps = grown(comps, staged(confirmed(between, texts, size, percent), "near-links"))
 
-    members = staged(_labelled(shared.select("region", "rep").distinct(), comps, "rep", "c"), "near-members")
-    held = members.groupBy("region", "c").agg(F.count("*").alias("n")).groupBy("region").agg(
-        F.count("*").alias("parts"), F.sum("n").alias("size"), F.max_by("c", F.struct("n", "c")).alias("main"))
+    members = staged(_labelled(shared.select("region", "rep"), comps, "rep", "c"), "near-members")
+    held = staged(members.groupBy("region", "c").agg(F.count("*").alias("n")).groupBy("region").agg(
+        F.count("*").alias("parts"), F.sum("n").alias("size"), F.max_by("c", F.struct("n", "c")).alias("main")), "near-held")
     open_ = staged(members.join(held.where(F.col("parts") > 1).select("region", "size", "main"), "region"), "near-regions")
     few = open_.where(F.col("size") <= SMALL)
     across = (few.alias("x").join(few.alias("y"), "region").where((F.col("x.rep") > F.col("y.rep")) & (F.col("x.c") != F.col("y.c")))
               .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
     comps = grown(comps, staged(confirmed(staged(estimated(across, reps, floor), "near-rest"), texts, size, percent), "near-links"))
     wide = open_.where(F.col("size") > SMALL)
-    central = (members.join(held.select("region", "size"), "region").groupBy("rep", "c").agg(F.sum("size").alias("score"))
+    mains = wide.select(F.col("main").alias("c")).distinct()
+    central = (members.join(bounded(mains), "c", "left_semi").join(held.select("region", "size"), "region").groupBy("rep", "c").agg(F.sum("size").alias("score"))
                .groupBy(F.col("c").alias("main")).agg(F.max_by("rep", F.struct("score", -F.col("rep"))).alias("pivot")))
-    groups = staged(wide.join(central, "main").select("pivot", "rep").distinct(), "near-groups")
+    groups = staged(wide.join(bounded(staged(central, "near-central")), "main").select("pivot", "rep").distinct(), "near-groups")
     both = groups.select("rep").unionByName(groups.select(F.col("pivot").alias("rep"))).distinct()
     sets = texts.join(bounded(both), "rep", "left_semi").select("rep", F.array_sort(shingle_hashes(F.col("text"), size)).alias("set"))
     sets = staged(sets.select("rep", F.xxhash64("set").alias("tag"), F.size("set").cast("long").alias("n"), "set").dropDuplicates(["rep", "tag"]), "near-sets").where(F.col("n") > 0)
     star, candidates = hot_links(groups, sets, comps, percent)
     links = staged(confirmed(star.unionByName(candidates).distinct(), texts, size, percent), "near-links")
     # a number of several texts joins their groups
-    named = full.join(reps.select("k1", "k2", "rep"), ["k1", "k2"]).select("doc_id", "rep", "k1", "k2").distinct()
+    named = known.select("doc_id", "rep", "k1", "k2").distinct()
     several = named.groupBy("doc_id").agg(F.count("*").alias("sets")).where(F.col("sets") > 1).select("doc_id")
     comps = grown(comps, links.unionByName(_pairs(named.join(several, "doc_id", "left_semi"), "doc_id", "rep")))
 
-    groups = _labelled(reps.select("k1", "k2", "rep"), comps, "rep", "component_id").select("k1", "k2", "component_id")
-    known = full.select("doc_id", "n", "k1", "k2").join(groups, ["k1", "k2"])
+    known = _labelled(known, comps, "rep", "component_id")
     alone = base.where((F.col("n") == 0) | F.col("doc_id").isNull()).select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return (known.select("doc_id", "n", "component_id").unionByName(alone)
             .select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
@@ -258,4 +271,4 @@ def deduplicate(docs: DataFrame, text: str = "text", key: str = "doc_id", size:
     """The rows of ``docs`` whose document is the smallest of its group; all columns stay."""
     gone = near_duplicates(docs, text, key, size, percent).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
     held, back = sheltered(docs, docs.columns, __key=named(key)[0].cast("long"))
-    return held.join(gone, F.col("__key") == F.col("__gone"), "left_anti").select(*back)
+    return held.join(bounded(staged(gone, "near-gone")), F.col("__key") == F.col("__gone"), "left_anti").select(*back)

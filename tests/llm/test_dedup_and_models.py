@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stationcast.llm import components, decontamination, language_id, mixing, near_dedup, quality, repeats, suffix_arrays
+from stationcast.llm import components, decontamination, language_id, mixing, near_dedup, pivots, quality, repeats, suffix_arrays
 from stationcast.llm.common import held_out
 from tests.llm import brute
 from tests.llm.conftest import prose
@@ -306,3 +306,36 @@ def test_near_duplicates_of_repeated_numbers(spark):
         got.setdefault(r["doc_id"], set()).add(r["component_id"])
     assert got[0] == {0} and all(got[i] == {0} for i in range(0, 24, 2)) and all(len(v) == 1 for v in got.values())
     assert all(got[i] == {0} for i in range(1, 24, 2))  # the second text of an even number
+
+
+def test_small_sides_are_not_a_reason_to_shuffle_texts(spark):
+    """What is left out is a few rows; the texts of all others stay where they lie."""
+    texts = [f"{' '.join(f'w{i}x{j}' for j in range(30))}" for i in range(40)]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, texts[3]])], "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([("i", texts[7])], "item_id string, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(5)], "doc_id long, quality int")
+    near, clean = near_dedup.deduplicate(d), decontamination.decontaminate(d, bench)
+    weighed = mixing.with_quality(d, labels)
+    assert sorted(r["doc_id"] for r in near.collect()) == list(range(40))
+    assert sorted(r["doc_id"] for r in clean.collect()) == [i for i in range(41) if i != 7]
+    for frame in (near, clean, weighed):
+        plan = frame._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_elements_of_the_pivot_are_not_dealt_out(spark, monkeypatch):
+    """Members far from a pivot all lack the same elements of it; these would meet in pairs."""
+    rng = np.random.default_rng(5)
+    base = np.unique(rng.integers(0, 1 << 60, 200))
+    sets = [base] + [np.unique(np.r_[base[:60], rng.integers(0, 1 << 60, 140)]) for _ in range(60)]
+    sets += [np.r_[sets[-1][1:], 1 << 61], np.r_[base[:90], 1 << 61]]
+    table = spark.createDataFrame([(i, 0, len(s), sorted(map(int, s))) for i, s in enumerate(sets)], "rep long, tag long, n long, set array<bigint>")
+    seen = {}
+    staged = pivots.staged
+    monkeypatch.setattr(pivots, "staged", lambda df, label, *a: seen.setdefault(label, staged(df, label, *a)))
+    members = spark.createDataFrame([(0, i) for i in range(len(sets))], "pivot long, rep long")
+    star, candidates = pivots.hot_links(members, table, spark.createDataFrame([], "id long, component long"), 85)
+    assert star.count() == 0 and {(r["a"], r["b"]) for r in candidates.collect()} >= {(61, 60)}
+    assert candidates.count() < 5
+    assert sum(f.count() for k, f in seen.items() if k in ("pivot-elements", "pivot-first")) < 1.2 * sum(len(np.setdiff1d(s, base)) for s in sets)
+    assert seen["pivot-elements"].where(F.col("h").isin([int(x) for x in base])).count() == 0
