@@ -339,3 +339,11 @@ def test_elements_of_the_pivot_are_not_dealt_out(spark, monkeypatch):
     assert candidates.count() < 5
     assert sum(f.count() for k, f in seen.items() if k in ("pivot-elements", "pivot-first")) < 1.2 * sum(len(np.setdiff1d(s, base)) for s in sets)
     assert seen["pivot-elements"].where(F.col("h").isin([int(x) for x in base])).count() == 0
+
+
+def test_suffixes_equal_in_their_first_bytes_are_told_apart():
+    rng = np.random.default_rng(8)
+    for unit in (1, 5, 8, 13):
+        data = np.tile(rng.integers(97, 99, unit).astype(np.uint8), 60)
+        raw = data.tobytes()
+        assert suffix_arrays.suffix_array(data).tolist() == sorted(range(len(raw)), key=lambda i: raw[i:])
