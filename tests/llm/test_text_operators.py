@@ -1,12 +1,14 @@
 """Secret scan, line dedup, fingerprints, token counts, mixing, decontamination."""
 
 import hashlib
+import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from stationcast.llm import decontamination, fingerprints, line_dedup, mixing, secrets, token_counts
+from stationcast.llm.common import n_words
 from tests.llm import brute
 
 TOKENIZER = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
@@ -100,6 +102,32 @@ def test_line_dedup_compares_bytes(spark, monkeypatch):
     assert line_dedup.dedup_lines(df).where("lines_removed > 0").count() == 0
 
 
+def test_line_dedup_tells_pairs_of_one_md5_apart(spark, monkeypatch):
+    """Where MD5 is the same for everything, repeats still go and nothing else does."""
+    monkeypatch.setattr(line_dedup.F, "md5", lambda c: F.lit("00000000000000000000000000000000"))
+    docs = [(1, "a b\nc d\ne f"), (2, "g h\ni j\nk l"), (3, "new\nc d\ne f\nlast"), (4, "g h\nc d")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df).collect()}
+    assert got == brute.line_dedup(docs) and got[3] == "new\nlast"
+
+
+def test_line_dedup_makes_pairs_once_after_the_groups(spark):
+    """With the groups known, the pairs and long lines of a text are made a single time."""
+    df = spark.createDataFrame([(i, "a b\nc d\ne f") for i in range(3)], "doc_id long, text string")
+    plan = line_dedup.removed_lines(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode(element_at") == 1
+
+
+@pytest.mark.parametrize("n", [1, 2, 20])
+def test_has_words_counts_as_n_words(spark, n):
+    rng = random.Random(n)
+    rows = [("".join(rng.choice(" \t\n\r\x0b\x0c\x0e\x1f\u0085\u00a0aé\U0001F600") for _ in range(rng.randint(0, 90))),) for _ in range(800)]
+    rows += [("",), (" ",), ("a",), ("a " * 19,), ("a " * 19 + "a",), (" a" * 20,), ("a" * 50_000,)]
+    df = spark.createDataFrame(rows, "t string")
+    got = df.select(line_dedup.has_words(F.col("t"), n), n_words(F.col("t")) >= n).collect()
+    assert all(a == b for a, b in got) and {a for a, _ in got} == {True, False}
+
+
 def test_names_that_clash(spark):
     """Columns named like results in other letters, internal names and dots, through every operator of the pipeline."""
     rows = [(i, " ".join(f"w{i % 3}x{k}" for k in range(40)), "en", f"s{i % 2}", 9, 1, "q", 2.5, "k", "m", 3) for i in range(9)]
