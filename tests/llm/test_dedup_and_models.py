@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -347,3 +348,35 @@ def test_suffixes_equal_in_their_first_bytes_are_told_apart():
         data = np.tile(rng.integers(97, 99, unit).astype(np.uint8), 60)
         raw = data.tobytes()
         assert suffix_arrays.suffix_array(data).tolist() == sorted(range(len(raw)), key=lambda i: raw[i:])
+
+
+def test_little_is_sent_between_many_small_shards(spark, monkeypatch):
+    """A large input has few keys for each pair of shards, and more short strings that repeat by chance."""
+    rng = random.Random(11)
+    shared = [prose(rng, 25) for _ in range(4)]
+    docs = [(i, " ".join([prose(rng, 120), rng.choice(shared), prose(rng, 120)])) for i in range(120)]
+    made = []
+    for kind in (type(spark.range(1).groupBy("id")), type(spark.range(1).groupBy("id").cogroup(spark.range(1).groupBy("id")))):
+        monkeypatch.setattr(kind, "applyInArrow", lambda self, f, schema, call=kind.applyInArrow: made.append(call(self, f, schema)) or made[-1])
+    repeats.removal(spark.createDataFrame(docs, "doc_id long, text string"), shard_bytes=1000)
+    monkeypatch.undo()
+    sizes = [d.agg(F.sum(sum((F.coalesce(F.octet_length(c), F.lit(0)) if k == "binary" else F.lit(0)) + 8 for c, k in d.dtypes))).first()[0] for d in made[:-1]]
+    assert len(sizes) == 4 and sum(sizes) < 0.6 * sum(len(t) for _, t in docs)
+
+
+def test_each_window_is_in_the_context_of_one_anchor():
+    rng = random.Random(12)
+    texts = [prose(rng, 60).encode(), b"x" * 49, b"", prose(rng, 9).encode()[:50], "é ü ".encode() * 30, prose(rng, 200).encode()]
+    ids = list(range(len(texts)))
+    shard = repeats.Shard(pa.table({"doc_id": ids, "doc": ids, "n": [len(t) for t in texts], "bytes": pa.array(texts, pa.binary())}))
+    keys = np.unique(shard.key)
+    for hot in (False, True):
+        rows, size, _, _, number, base, at = shard.contexts(keys, np.full(len(keys), hot))
+        held = {}
+        for k, b, own in zip(number, base, at):
+            assert rows[k, :size[k]].tobytes() == texts[own][b - shard.start[own]:][:size[k]] and (rows[k, size[k]:] == repeats.OUTSIDE).all()
+            for w in range(b, b + size[k] - repeats.LENGTH + 1):
+                held[w] = held.get(w, 0) + 1
+        assert sorted(held) == [s + w for s, t in zip(shard.start.tolist(), texts) for w in range(len(t) - repeats.LENGTH + 1)]
+        plain = [n for w, n in held.items() if not shard.start[4] <= w < shard.end[4]]  # that text repeats within a window
+        assert set(plain) == {1}
